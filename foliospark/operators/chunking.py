@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import TOKEN_GAP, tokens
+from ..functions.packing import greedy_runs
+from ..functions.text import tokens
 
 
 def _check(size: int, overlap: int) -> None:
@@ -40,63 +41,25 @@ def split_tokens(df: DataFrame, text: str, size: int = 256, overlap: int = 0, *,
 
 
 def sentences(text: Column) -> Column:
-    """Sentences: cut behind ``.``, ``!`` or ``?`` followed by white space; marks stay."""
-    marked = F.regexp_replace(text, r"([.!?])[ \t\n\r\f]+", "$1\u0001")
-    return F.array_remove(F.split(marked, "\u0001"), "")
-
-
-def _greedy_starts(sizes: Column, limit: int, overlap: int, joint: int = 0) -> Column:
-    """First item of every chunk when items are packed greedily up to ``limit``.
-
-    ``joint`` is the cost of the separator between two items. With an overlap a chunk begins at the
-    earliest earlier item such that the repeated part stays within ``overlap`` and the new item fits.
-    The result is an array of structs (start, stop), stop exclusive.
-    """
-    totals = F.aggregate(
-        sizes, F.array(F.lit(0)).cast("array<int>"),
-        lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n))) if overlap else None
-
-    def weight(start, stop):  # items start..stop-1 joined
-        return F.get(totals, stop) - F.get(totals, start) + joint * (stop - start - 1)
-
-    def step(acc, n, i):
-        fits = (acc["used"] + F.when(acc["used"] > 0, joint).otherwise(0) + n) <= limit
-        grown = F.struct(acc["done"].alias("done"), acc["start"].alias("start"),
-                         (acc["used"] + F.when(acc["used"] > 0, joint).otherwise(0) + n).cast("int").alias("used"))
-        if overlap:
-            again = F.element_at(F.filter(
-                F.sequence(acc["start"] + 1, i),
-                lambda s: (F.when(s < i, weight(s, i)).otherwise(0) <= overlap) & (weight(s, i + 1) <= limit)), 1)
-            used = weight(again, i + 1)
-        else:
-            again, used = i, n
-        fresh = F.struct(F.concat(acc["done"], F.array(F.struct(acc["start"].alias("start"), i.alias("stop")))).alias("done"),
-                         again.cast("int").alias("start"), used.cast("int").alias("used"))
-        return F.when(fits | (i == acc["start"]), grown).otherwise(fresh)
-
-    zero = F.struct(F.array().cast("array<struct<start:int,stop:int>>").alias("done"), F.lit(0).alias("start"),
-                    F.lit(0).alias("used"))
-    indexed = F.transform(sizes, lambda n, i: F.struct(n.cast("int").alias("n"), i.alias("i")))
-    return F.aggregate(indexed, zero, lambda acc, x: step(acc, x["n"], x["i"]),
-                       lambda acc: F.when(F.size(sizes) > 0, F.concat(acc["done"], F.array(F.struct(
-                           acc["start"].alias("start"), F.size(sizes).alias("stop"))))).otherwise(acc["done"]))
+    """Sentences: cut behind ``.``, ``!`` or ``?`` with the white space that follows."""
+    return F.array_remove(F.regexp_extract_all(
+        text, F.lit(r"(?s)(.*?(?:[.!?][ \t\n\r\f]+|\z))"), F.lit(1)), "")
 
 
 def split_sentences(df: DataFrame, text: str, size: int = 256, overlap: int = 0, *, adjacent: bool = True) -> DataFrame:
     """Sentence splitter: whole sentences up to ``size`` tokens; a longer sentence is cut into token windows."""
     _check(size, overlap)
-    pieces = F.flatten(F.transform(sentences(F.col(text)), lambda s: token_windows(tokens(s), size)))
-    parts = df.withColumn("_pieces", pieces)
+    # Columns in steps: a lambda would evaluate an inlined expression again for every element.
+    parts = df.withColumn("_words", F.transform(sentences(F.col(text)), tokens))
+    parts = parts.withColumn("_pieces", F.flatten(F.transform("_words", lambda w: token_windows(w, size)))).drop("_words")
     parts = parts.withColumn("_sizes", F.transform("_pieces", lambda p: F.size(F.split(p, " "))))
-    parts = parts.withColumn("_cuts", _greedy_starts(F.col("_sizes"), size, overlap)).drop("_sizes")
+    parts = parts.withColumn("_cuts", greedy_runs(F.col("_sizes"), size, overlap)).drop("_sizes")
     chunks = F.transform("_cuts", lambda c: F.array_join(F.slice("_pieces", c["start"] + 1, c["stop"] - c["start"]), " "))
     return explode_chunks(parts.withColumn("_chunks", chunks).drop("_pieces", "_cuts"), "_chunks", adjacent=adjacent)
 
 
-def _keep_ends(text: Column, separator: str) -> Column:
-    """Split and leave the separator at the end of each piece, so pieces concatenate to the text."""
-    parts = F.split(text, separator)
-    return F.transform(parts, lambda p, i: F.when(i < F.size(parts) - 1, F.concat(p, F.lit(separator))).otherwise(p))
+# Pieces that keep their separator at the end, so they concatenate to the text.
+_PARAGRAPHS, _LINES, _WORDS = r"(?s)(.+?(?:\n\n|\z))", r"([^\n]*\n|[^\n]+)", r"([^ ]* |[^ ]+)"
 
 
 def _hard_cut(text: Column, budget: int) -> Column:
@@ -112,13 +75,14 @@ def split_characters(df: DataFrame, text: str, budget: int = 1024, *, adjacent:
     def refine(pieces: Column, cut) -> Column:
         return F.flatten(F.transform(pieces, lambda p: F.when(F.length(p) <= budget, F.array(p)).otherwise(cut(p))))
 
-    parts = df.withColumn("_pieces", _keep_ends(F.col(text), "\n\n"))
-    for separator in ("\n", " "):
-        parts = parts.withColumn("_pieces", refine(F.col("_pieces"), lambda p, s=separator: _keep_ends(p, s)))
+    parts = df.withColumn("_pieces", F.regexp_extract_all(F.col(text), F.lit(_PARAGRAPHS), F.lit(1)))
+    for pattern in (_LINES, _WORDS):
+        parts = parts.withColumn("_pieces", refine(
+            F.col("_pieces"), lambda p, r=pattern: F.regexp_extract_all(p, F.lit(r), F.lit(1))))
     parts = parts.withColumn("_pieces", refine(F.col("_pieces"), lambda p: _hard_cut(p, budget)))
     parts = parts.withColumn("_pieces", F.array_remove("_pieces", ""))
     parts = parts.withColumn("_sizes", F.transform("_pieces", lambda p: F.length(p)))
-    parts = parts.withColumn("_cuts", _greedy_starts(F.col("_sizes"), budget, 0)).drop("_sizes")
+    parts = parts.withColumn("_cuts", greedy_runs(F.col("_sizes"), budget)).drop("_sizes")
     chunks = F.transform("_cuts", lambda c: F.array_join(F.slice("_pieces", c["start"] + 1, c["stop"] - c["start"]), ""))
     return explode_chunks(parts.withColumn("_chunks", chunks).drop("_pieces", "_cuts"), "_chunks", adjacent=adjacent)
 
@@ -132,5 +96,5 @@ def neighbours_by_join(hits: DataFrame, chunks: DataFrame, doc: str = "doc", num
     return hits.join(side(1, "prev"), [doc, number], "left").join(side(-1, "next"), [doc, number], "left")
 
 
-__all__ = ["TOKEN_GAP", "token_windows", "explode_chunks", "split_tokens", "sentences", "split_sentences",
+__all__ = ["token_windows", "explode_chunks", "split_tokens", "sentences", "split_sentences",
            "split_characters", "neighbours_by_join"]

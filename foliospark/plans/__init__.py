@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("scans", "scalars")
+FAMILIES = ("scans", "scalars", "splitting")
 
 
 def load_queries():
