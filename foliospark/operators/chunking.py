@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.generate import inline_rows, let, posexplode_rows
 from ..functions.packing import greedy_runs
 from ..functions.text import tokens
 
@@ -17,27 +18,30 @@ def _check(size: int, overlap: int) -> None:
 def token_windows(words: Column, size: int, overlap: int = 0) -> Column:
     """Chunk texts of a token array: a window every ``size - overlap`` tokens until the end is reached."""
     _check(size, overlap)
-    last = F.greatest(F.size(words) - 1 - overlap, F.lit(0))
-    starts = F.when(F.size(words) > 0, F.sequence(F.lit(0), last, F.lit(size - overlap))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda at: F.array_join(F.slice(words, at + 1, size), " "))
+
+    def windows(w: Column) -> Column:
+        last = F.greatest(F.size(w) - 1 - overlap, F.lit(0))
+        starts = F.when(F.size(w) > 0, F.sequence(F.lit(0), last, F.lit(size - overlap))).otherwise(
+            F.array().cast("array<int>"))
+        return F.transform(starts, lambda at: F.array_join(F.slice(w, at + 1, size), " "))
+
+    return let(words, windows)
 
 
 def explode_chunks(df: DataFrame, chunks: str, *, adjacent: bool = True) -> DataFrame:
     """One row per chunk with its number and, if asked for, the chunk before and after it."""
     if not adjacent:
-        return df.select("*", F.posexplode(chunks).alias("chunk_no", "chunk")).drop(chunks)
-    texts = F.col(chunks)
-    rows = F.transform(texts, lambda text, i: F.struct(
+        return posexplode_rows(df, [c for c in df.columns if c != chunks], chunks, "chunk_no", "chunk")
+    rows = let(F.col(chunks), lambda texts: F.transform(texts, lambda text, i: F.struct(
         i.alias("chunk_no"), text.alias("chunk"), F.when(i > 0, F.get(texts, i - 1)).alias("prev"),
-        F.get(texts, i + 1).alias("next")))
-    return df.withColumn("_rows", rows).drop(chunks).select("*", F.inline("_rows")).drop("_rows")
+        F.get(texts, i + 1).alias("next"))))
+    return inline_rows(df, [c for c in df.columns if c != chunks], rows, "chunk_no")
 
 
 def split_tokens(df: DataFrame, text: str, size: int = 256, overlap: int = 0, *, adjacent: bool = True) -> DataFrame:
     """Token splitter: whole text into windows of whitespace tokens."""
-    words = df.withColumn("_words", tokens(F.col(text)))
-    return explode_chunks(words.withColumn("_chunks", token_windows(F.col("_words"), size, overlap)).drop("_words"),
-                          "_chunks", adjacent=adjacent)
+    chunks = token_windows(tokens(F.col(text)), size, overlap)
+    return explode_chunks(df.withColumn("_chunks", chunks), "_chunks", adjacent=adjacent)
 
 
 def sentences(text: Column) -> Column:
@@ -49,13 +53,14 @@ def sentences(text: Column) -> Column:
 def split_sentences(df: DataFrame, text: str, size: int = 256, overlap: int = 0, *, adjacent: bool = True) -> DataFrame:
     """Sentence splitter: whole sentences up to ``size`` tokens; a longer sentence is cut into token windows."""
     _check(size, overlap)
-    # Columns in steps: a lambda would evaluate an inlined expression again for every element.
-    parts = df.withColumn("_words", F.transform(sentences(F.col(text)), tokens))
-    parts = parts.withColumn("_pieces", F.flatten(F.transform("_words", lambda w: token_windows(w, size)))).drop("_words")
-    parts = parts.withColumn("_sizes", F.transform("_pieces", lambda p: F.size(F.split(p, " "))))
-    parts = parts.withColumn("_cuts", greedy_runs(F.col("_sizes"), size, overlap)).drop("_sizes")
-    chunks = F.transform("_cuts", lambda c: F.array_join(F.slice("_pieces", c["start"] + 1, c["stop"] - c["start"]), " "))
-    return explode_chunks(parts.withColumn("_chunks", chunks).drop("_pieces", "_cuts"), "_chunks", adjacent=adjacent)
+    pieces = F.flatten(F.transform(sentences(F.col(text)), lambda s: token_windows(tokens(s), size)))
+    chunks = let(pieces, lambda p: _joined_runs(p, lambda x: F.size(F.split(x, " ")), size, overlap, " "))
+    return explode_chunks(df.withColumn("_chunks", chunks), "_chunks", adjacent=adjacent)
+
+
+def _joined_runs(pieces: Column, measure, limit: int, overlap: int, separator: str) -> Column:
+    runs = let(F.transform(pieces, measure), lambda sizes: greedy_runs(sizes, limit, overlap))
+    return F.transform(runs, lambda r: F.array_join(F.slice(pieces, r["start"] + 1, r["stop"] - r["start"]), separator))
 
 
 # Pieces that keep their separator at the end, so they concatenate to the text.
@@ -75,16 +80,12 @@ def split_characters(df: DataFrame, text: str, budget: int = 1024, *, adjacent:
     def refine(pieces: Column, cut) -> Column:
         return F.flatten(F.transform(pieces, lambda p: F.when(F.length(p) <= budget, F.array(p)).otherwise(cut(p))))
 
-    parts = df.withColumn("_pieces", F.regexp_extract_all(F.col(text), F.lit(_PARAGRAPHS), F.lit(1)))
+    pieces = F.regexp_extract_all(F.col(text), F.lit(_PARAGRAPHS), F.lit(1))
     for pattern in (_LINES, _WORDS):
-        parts = parts.withColumn("_pieces", refine(
-            F.col("_pieces"), lambda p, r=pattern: F.regexp_extract_all(p, F.lit(r), F.lit(1))))
-    parts = parts.withColumn("_pieces", refine(F.col("_pieces"), lambda p: _hard_cut(p, budget)))
-    parts = parts.withColumn("_pieces", F.array_remove("_pieces", ""))
-    parts = parts.withColumn("_sizes", F.transform("_pieces", lambda p: F.length(p)))
-    parts = parts.withColumn("_cuts", greedy_runs(F.col("_sizes"), budget)).drop("_sizes")
-    chunks = F.transform("_cuts", lambda c: F.array_join(F.slice("_pieces", c["start"] + 1, c["stop"] - c["start"]), ""))
-    return explode_chunks(parts.withColumn("_chunks", chunks).drop("_pieces", "_cuts"), "_chunks", adjacent=adjacent)
+        pieces = refine(pieces, lambda p, r=pattern: F.regexp_extract_all(p, F.lit(r), F.lit(1)))
+    pieces = F.array_remove(refine(pieces, lambda p: _hard_cut(p, budget)), "")
+    chunks = let(pieces, lambda p: _joined_runs(p, F.length, budget, 0, ""))
+    return explode_chunks(df.withColumn("_chunks", chunks), "_chunks", adjacent=adjacent)
 
 
 def neighbours_by_join(hits: DataFrame, chunks: DataFrame, doc: str = "doc", number: str = "chunk_no",

@@ -5,15 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.generate import explode_rows, let
 from ..functions.text import tokens
 
 ANCHOR_WORDS = 8
 
 
 def _grams(words, n: int):
-    last = F.greatest(F.size(words) - n + 1, F.lit(0))
-    starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda at: F.xxhash64(F.array_join(F.slice(words, at, n), " ")))
+    """Hash of every run of ``n`` words. Single elements are read, not slices: linear in the text."""
+    def runs(w):
+        last = F.size(w) - n
+        starts = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda at: F.xxhash64(F.concat_ws(" ", *[F.get(w, at + i) for i in range(n)])))
+
+    return let(words, runs)
 
 
 def passages_in_texts(passages: DataFrame, texts: DataFrame, passage_id: str, passage: str,
@@ -28,17 +33,17 @@ def passages_in_texts(passages: DataFrame, texts: DataFrame, passage_id: str, pa
     words = passages.select(F.col(passage_id), F.col(passage).alias("_passage"), tokens(F.col(passage)).alias("_w"))
     words = words.withColumn("_n", F.greatest(F.least(F.lit(ANCHOR_WORDS), F.size("_w") - 2), F.lit(0)))
     sizes = [r[0] for r in words.select("_n").distinct().collect()]  # at most ANCHOR_WORDS + 1 values
-    split = texts.select(F.col(text_id), F.col(text).alias("_text")).withColumn("_w", tokens(F.col("_text")))
+    split = texts.select(F.col(text_id), F.col(text).alias("_text"))
     candidates = []
     for n in sorted(sizes):
         mine = words.where(F.col("_n") == n)
         if n == 0:  # one or two words, none of them inner: look up the first two characters
             keyed = mine.select(passage_id, F.substring("_passage", 1, 2).alias("_gram"))
-            keys = split.select(text_id, F.explode(_character_pairs("_text")).alias("_gram"))
+            keys = explode_rows(split, [text_id], _character_pairs("_text"), "_gram")
         else:  # middle of the inner words: openings are often shared, middles rarely
             at = F.greatest((F.floor((F.size("_w") - n) / 2) + 1).cast("int"), F.lit(2))
             keyed = mine.select(passage_id, F.xxhash64(F.array_join(F.slice("_w", at, n), " ")).alias("_gram"))
-            keys = split.select(text_id, F.explode(F.array_distinct(_grams(F.col("_w"), n))).alias("_gram"))
+            keys = explode_rows(split, [text_id], F.array_distinct(_grams(tokens(F.col("_text")), n)), "_gram")
         candidates.append(keys.join(keyed, "_gram").select(passage_id, text_id))
     if not candidates:
         return passages.select(passage_id).limit(0).join(texts.select(text_id), F.lit(True))

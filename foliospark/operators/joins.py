@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.constants import CLASS_NAMES
+from ..functions.generate import inline_rows, posexplode_rows
 
 REWRITE = "array<struct<question:string,`group`:string,topic:string,similarity_score:string>>"
 
 
 def rewritten_questions(replies: DataFrame, reply: str, confidence_threshold: int = 1) -> DataFrame:
     """Questions of JSON replies scored at or above the threshold; ``n/a`` and malformed replies are dropped."""
-    rows = replies.select("question_id", F.inline(F.from_json(reply, REWRITE)))
+    rows = inline_rows(replies, ["question_id"], F.from_json(reply, REWRITE), "question")
     score = F.col("similarity_score").try_cast("int")
     return rows.withColumn("similarity_score", score).where(
         (F.col("similarity_score") >= confidence_threshold) & (F.lower("question") != "n/a"))
@@ -30,7 +31,7 @@ def expand_from_table(df: DataFrame, key: str, text: str, dictionary: DataFrame)
 
     ``key`` identifies one text, so a group is never larger than that text.
     """
-    words = df.select(key, F.posexplode(F.split(text, " ")).alias("_pos", "acronym"))
+    words = posexplode_rows(df, [key], F.split(text, " "), "_pos", "acronym")
     joined = words.join(dictionary, "acronym", "left")
     ordered = F.array_sort(F.collect_list(F.struct("_pos", F.coalesce("full_form", "acronym").alias("w"))))
     return joined.groupBy(key).agg(F.array_join(F.transform(ordered, lambda x: x["w"]), " ").alias(text))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.generate import inline_rows, posexplode_rows
 from ..functions.keys import stable_hash
 from ..functions.packing import greedy_runs
 from ..functions.text import token_count, tokens
@@ -49,7 +50,7 @@ def pack_constant_length(df: DataFrame, key: str, ids: str, seq_length: int, *,
         return F.struct(no.alias("seq_no"), start.alias("at"), F.slice(
             "_all", (start - F.col("_at") + 1).cast("int"), (stop - start).cast("int")).alias("piece"))
 
-    pieces = rows.select("shard", F.inline(F.transform(numbers, piece)))
+    pieces = inline_rows(rows, ["shard"], F.transform(numbers, piece), "seq_no")
     packed = pieces.groupBy("shard", "seq_no").agg(F.array_sort(F.collect_list(F.struct("at", "piece"))).alias("p"))
     joined = packed.select("shard", "seq_no", F.flatten(F.transform("p", lambda x: x["piece"])).alias("input_ids"))
     return joined.where(F.size("input_ids") == seq_length).withColumn("labels", F.col("input_ids"))
@@ -100,8 +101,8 @@ def pack_samples(df: DataFrame, key: str, ids: str, seq_length: int, *, samples_
         F.array_sort(F.flatten(F.collect_list(pieces))).alias("_pieces"))
     shards = shards.withColumn("_sizes", F.transform("_pieces", lambda p: F.size(p["ids"])))
     shards = shards.withColumn("_runs", greedy_runs(F.col("_sizes"), seq_length))
-    bins = shards.select("shard", "_pieces", "_runs").select("shard", F.posexplode(F.transform(
-        "_runs", lambda r: F.slice("_pieces", r["start"] + 1, r["stop"] - r["start"]))).alias("bin_no", "_run"))
+    bins = posexplode_rows(shards, ["shard"], F.transform(
+        "_runs", lambda r: F.slice("_pieces", r["start"] + 1, r["stop"] - r["start"])), "bin_no", "_run")
     filled = bins.select("shard", "bin_no", F.size("_run").alias("n_samples"),
                          F.flatten(F.transform("_run", lambda p: p["ids"])).alias("_ids"))
     missing = F.lit(seq_length) - F.size("_ids")
