@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("scans", "scalars", "splitting")
+FAMILIES = ("scans", "scalars", "splitting", "retrieval")
 
 
 def load_queries():
