@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.embedding import embed
 from ..functions.text import token_count, tokens
 from .ordering import with_halo
+from .sizes import BROADCAST_ROWS, at_most, broadcast_when
 from .similarity import top_k_similar
 
 CHUNKS_PER_DOC = 100_000
@@ -42,9 +43,10 @@ def jaccard(a: Column, b: Column) -> Column:
 def rerank(hits: DataFrame, questions: DataFrame, chunks: DataFrame, scorer: Callable[[Column, Column], Column] = jaccard,
            top_n: int | None = None) -> DataFrame:
     """Second scoring pass over the candidates only; ties keep the first pass' order."""
-    both = (hits.join(questions.select("question_id", "question"), "question_id")
-            .join(chunks.select("chunk_id", "chunk"), "chunk_id")
-            .withColumn("rerank_score", scorer(F.col("question"), F.col("chunk"))))
+    few = at_most(questions, BROADCAST_ROWS)  # a handful of candidates per question: the chunks need no shuffle
+    asked = hits.join(questions.select("question_id", "question"), "question_id")
+    both = chunks.join(broadcast_when(asked, few), "chunk_id").withColumn(
+        "rerank_score", scorer(F.col("question"), F.col("chunk")))
     order = Window.partitionBy("question_id").orderBy(F.desc("rerank_score"), "rank")
     ranked = both.withColumn("new_rank", F.row_number().over(order))
     return ranked if top_n is None else ranked.where(F.col("new_rank") <= top_n)

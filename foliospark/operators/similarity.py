@@ -31,7 +31,8 @@ class Vectors:
     @classmethod
     def from_arrow(cls, table) -> Vectors:
         """Rows with a usable vector, scaled to length one; zero and missing vectors have no score."""
-        table = pa.table(table) if isinstance(table, pa.RecordBatch) is False else pa.Table.from_batches([table])
+        if isinstance(table, pa.RecordBatch):
+            table = pa.Table.from_batches([table])
         table = table.filter(pc.is_valid(table["vector"])).combine_chunks()
         ids = table["id"].to_numpy()
         if not len(ids):
@@ -123,8 +124,8 @@ def top_k_similar(questions: DataFrame, corpus: DataFrame, k: int, *, question_i
     """
     q, c = _side(questions, question_id, vector, group), _side(corpus, doc_id, vector, group)
     rules = Rules(k, exclude_self, group_rule)
-    width = q.select(F.max(F.size("vector"))).first()[0] or 1
-    most = max(1, broadcast_values // width)
+    sample = q.where(F.size("vector") > 0).select(F.size("vector")).first()  # all vectors share one width
+    most = max(1, broadcast_values // (sample[0] if sample else 1))
     small = q.limit(most + 1).toArrow()
     found = (_search_broadcast(Vectors.from_arrow(small), c, rules) if small.num_rows <= most
              else _search_blocks(q, c, rules, most, block_rows))

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("scans", "scalars", "splitting", "retrieval")
+FAMILIES = ("scans", "scalars", "splitting", "retrieval", "metrics")
 
 
 def load_queries():

@@ -105,8 +105,7 @@ def retrieved(spark, sf):
 
 
 def reranked(spark, sf):
-    return retrieval.rerank(retrieved(spark, sf), question_table(spark, sf), chunk_table(spark, sf)
-                            ).join(chunk_table(spark, sf).select("chunk_id", "doc_id", "source", "prev", "next"), "chunk_id")
+    return retrieval.rerank(retrieved(spark, sf), question_table(spark, sf), chunk_table(spark, sf))
 
 
 @query("jn3_vector_search", f"WITH {SQL_RETRIEVED} SELECT question_id, doc_id AS chunk_id, score, CAST(rank AS INTEGER) AS rank FROM hits WHERE rank <= 3")
@@ -191,13 +190,13 @@ cache AS (SELECT min(conv_id) AS cache_id, text AS question FROM conversations W
 {sql_embed('i', 'inc', 'question_id', 'question')}, {sql_embed('k', 'cache', 'cache_id', 'question')},
 sc AS ({sql_scores('i', 'k')}),
 r AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, doc_id) AS rank FROM sc),
-n AS (SELECT *, rank = 1 AND score >= 0.6 AS hit FROM r WHERE rank <= 4),
-f AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY rank) AS fr FROM n WHERE NOT hit AND score >= 0.5),
+n AS (SELECT *, rank = 1 AND score >= {{hit}} AS hit FROM r WHERE rank <= 4),
+f AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY rank) AS fr FROM n WHERE NOT hit AND score >= {{near}}),
 g AS (SELECT question_id, max(score) AS best_score, max(CASE WHEN hit THEN doc_id END) AS cache_id FROM n GROUP BY 1),
 s AS (SELECT question_id, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY rank) AS suggestions FROM f WHERE fr <= 3 GROUP BY 1)"""
 
 
-def cache_lookup(spark, sf, threshold=0.6, suggestion_threshold=0.5):
+def cache_lookup(spark, sf, threshold=0.90, suggestion_threshold=0.85):
     users = table(spark, sf, "conversations").where(F.col("role") == "user")
     incoming = users.where(F.col("turn") > 0).select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("question_id"), F.col("text").alias("question"))
@@ -205,10 +204,19 @@ def cache_lookup(spark, sf, threshold=0.6, suggestion_threshold=0.5):
     return retrieval.question_cache(incoming, cache, threshold=threshold, suggestion_threshold=suggestion_threshold)
 
 
-@query("jn4_question_cache", f"""
+_SQL_CACHE_STATUS = f"""
 WITH {_SQL_CACHE}
 SELECT inc.question_id, CASE WHEN g.cache_id IS NOT NULL THEN 'hit' WHEN suggestions IS NOT NULL THEN 'suggest' ELSE 'miss' END AS status,
        g.cache_id, g.best_score, coalesce(suggestions, '') AS suggestions
-FROM inc LEFT JOIN g USING (question_id) LEFT JOIN s USING (question_id)""")
+FROM inc LEFT JOIN g USING (question_id) LEFT JOIN s USING (question_id)"""
+
+
+@query("jn4_question_cache", _SQL_CACHE_STATUS.format(hit=0.90, near=0.85))
 def question_cache(spark, sf):
     return cache_lookup(spark, sf).withColumn("suggestions", F.array_join(F.col("suggestions").cast("array<string>"), ","))
+
+
+@query("jn4_question_cache_wide", _SQL_CACHE_STATUS.format(hit=0.6, near=0.5))
+def question_cache_wide(spark, sf):
+    return cache_lookup(spark, sf, 0.6, 0.5).withColumn(
+        "suggestions", F.array_join(F.col("suggestions").cast("array<string>"), ","))
