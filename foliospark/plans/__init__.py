@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("scans", "scalars", "splitting", "retrieval", "metrics")
+FAMILIES = ("scans", "scalars", "splitting", "retrieval", "metrics", "chats")
 
 
 def load_queries():
