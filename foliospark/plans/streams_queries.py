@@ -38,11 +38,11 @@ def assemble_replies(spark, sf):
     words = table(spark, sf, "conversations").where(F.col("role") == "assistant").select(
         F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("request_id"), tokens(F.col("text")).alias("w"))
     pieces = words.select("request_id", F.size("w").alias("n_pieces"), F.posexplode("w").alias("piece_no", "word")).select(
-        "request_id", "piece_no", "n_pieces", F.when(F.col("piece_no") == 0, F.col("word")).otherwise(F.concat(F.lit(" "), "word")).alias("piece"))
+        "request_id", "piece_no", "n_pieces", F.timestamp_seconds(F.lit(1_704_067_200) + F.col("piece_no")).alias("sent_at"), F.when(F.col("piece_no") == 0, F.col("word")).otherwise(F.concat(F.lit(" "), "word")).alias("piece"))
     # Pieces of one reply land in different files, hence in different micro-batches, out of order.
     pieces.repartition(4, F.pmod(F.xxhash64("request_id", "piece_no"), F.lit(4))).write.parquet(folder)
     stream = jobs.file_stream(spark, folder, pieces.schema, files_per_batch=1)
-    return jobs.run_to_table(jobs.assemble_replies(stream), "replies")
+    return jobs.run_to_table(jobs.assemble_replies(jobs.event_time(stream, "sent_at", "1 hour")), "replies")
 
 
 _FEEDBACK_SQL = """

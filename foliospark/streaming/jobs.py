@@ -41,10 +41,11 @@ def ingest_stream(docs: DataFrame, store: DatasetStore, **options) -> None:
 
 
 def assemble_replies(pieces: DataFrame, timeout_ms: int = 600_000) -> DataFrame:
-    """Join the pieces (request_id, piece_no, n_pieces, piece) of each reply in piece order.
+    """Join the pieces (request_id, piece_no, n_pieces, piece, sent_at) of each reply in piece order.
 
-    A reply is emitted once, when its last missing piece arrives, or incomplete after the timeout.
-    State per request is one reply, which the model's answer length bounds.
+    A reply is emitted once, when its last missing piece arrives, or incomplete once the watermark on
+    ``sent_at`` has passed its newest piece by the timeout. State per request is one reply, which the
+    model's answer length bounds. (A processing-time timeout would keep an available-now run going.)
     """
     def collect(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -52,14 +53,15 @@ def assemble_replies(pieces: DataFrame, timeout_ms: int = 600_000) -> DataFrame:
             state.remove()
         else:
             numbers, texts, total = state.get if state.exists else ([], [], 0)
-            known = dict(zip(numbers, texts))
+            known, newest = dict(zip(numbers, texts)), 0
             for batch in batches:
                 known.update(zip(batch["piece_no"].tolist(), batch["piece"].tolist()))
                 total = int(batch["n_pieces"].max())
+                newest = max(newest, int(batch["sent_at"].max().timestamp() * 1000))
             numbers, texts = list(known), list(known.values())
             if len(known) < total:
                 state.update((numbers, texts, total))
-                state.setTimeoutDuration(timeout_ms)
+                state.setTimeoutTimestamp(max(newest, state.getCurrentWatermarkMs()) + timeout_ms)
                 return
             if state.exists:
                 state.remove()
@@ -68,7 +70,7 @@ def assemble_replies(pieces: DataFrame, timeout_ms: int = 600_000) -> DataFrame:
 
     return pieces.groupBy("request_id").applyInPandasWithState(
         collect, "request_id string, text string, complete boolean", "numbers array<int>, texts array<string>, total int",
-        "append", GroupStateTimeout.ProcessingTimeTimeout)
+        "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def attach_late_feedback(messages: DataFrame, feedback: DataFrame, interval: str = "15 minutes") -> DataFrame:
