@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import random
 
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import DecisionTreeClassifier, MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -50,7 +50,8 @@ def dense_classifier(train: DataFrame, width: int, classes: int, hidden: tuple[i
     return MultilayerPerceptronClassifier(layers=[width, *hidden, classes], maxIter=max_iter, seed=seed).fit(train)
 
 
-ACCURACY = MulticlassClassificationEvaluator(metricName="accuracy")
+def accuracy() -> MulticlassClassificationEvaluator:
+    return MulticlassClassificationEvaluator(metricName="accuracy")
 
 
 def with_folds(df: DataFrame, key: str, folds: int = 3, seed: int = 0) -> DataFrame:
@@ -60,7 +61,7 @@ def with_folds(df: DataFrame, key: str, folds: int = 3, seed: int = 0) -> DataFr
 
 def cross_validated_accuracy(folded: DataFrame, estimator, folds: int = 3, parallelism: int = 3) -> float:
     grid = ParamGridBuilder().build()
-    return CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=ACCURACY, numFolds=folds,
+    return CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=accuracy(), numFolds=folds,
                           foldCol="fold", parallelism=parallelism).fit(folded).avgMetrics[0]
 
 
@@ -77,7 +78,7 @@ def search(folded: DataFrame, candidates: list[dict], folds: int = 3, parallelis
     base = RandomForestClassifier(seed=42)
     grid = [{base.numTrees: c["n_estimators"], base.maxDepth: min(c["max_depth"], 30),
              base.minWeightFractionPerNode: min(c["min_samples_split"] / 2, 0.49)} for c in candidates]
-    fitted = CrossValidator(estimator=base, estimatorParamMaps=grid, evaluator=ACCURACY, numFolds=folds, foldCol="fold",
+    fitted = CrossValidator(estimator=base, estimatorParamMaps=grid, evaluator=accuracy(), numFolds=folds, foldCol="fold",
                             parallelism=parallelism).fit(folded)
     rows = [(c["trial_no"], c["n_estimators"], c["max_depth"], c["min_samples_split"], float(m))
             for c, m in zip(candidates, fitted.avgMetrics)]
@@ -105,5 +106,5 @@ def score_json(records: DataFrame, schema: str, folder: str, keep: list[str]) ->
     return model.transform(parsed).select(F.to_json(F.struct(*keep, "prediction")).alias("value"))
 
 
-__all__ = ["Pipeline", "features_and_label", "vector_features", "elastic_net", "decision_tree", "forest", "dense_classifier",
-           "with_folds", "cross_validated_accuracy", "search_space", "search", "save_model", "signature", "score_json", "ACCURACY"]
+__all__ = ["features_and_label", "vector_features", "elastic_net", "decision_tree", "forest", "dense_classifier",
+           "with_folds", "cross_validated_accuracy", "search_space", "search", "save_model", "signature", "score_json"]

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("scans", "scalars", "splitting", "retrieval", "metrics", "chats", "learning", "streams")
+FAMILIES = ("scans", "scalars", "splitting", "retrieval", "metrics", "chats", "learning", "streams", "lifecycle")
 
 
 def load_queries():

@@ -47,3 +47,13 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
 
 def table(spark: SparkSession, folder: str, name: str):
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def materialise(df, purpose: str):
+    """Write a frame that several branches read to the shared folder and read it back.
+
+    Unlike a cache the written table survives lost executors.
+    """
+    folder = work_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
