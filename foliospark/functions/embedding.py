@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
@@ -15,40 +15,45 @@ from pyspark.sql.types import ArrayType, DoubleType
 from .text import TOKEN_GAP
 
 WIDTH = 64
-CACHED_TOKENS = 200_000
+CACHED_TOKENS = 500_000
 Embedder = Callable[[list[str]], np.ndarray]
 
 
 class HashingEmbedder:
-    """Signed feature hashing of whitespace tokens; the same text gives the same vector anywhere."""
+    """Signed feature hashing of whitespace tokens; the same text gives the same vector anywhere.
+
+    Tokens of a whole batch are split and numbered by Arrow; only distinct tokens are hashed.
+    """
 
     def __init__(self, width: int = WIDTH):
-        self.width, self.gap, self.known = width, re.compile(TOKEN_GAP), {}
+        self.width, self.known = width, {"": -1}
 
-    def _slot(self, token: str) -> tuple[int, int]:
-        slot = self.known.get(token)
-        if slot is None:
+    def _cell(self, token: str) -> int:
+        """Column of a token: its slot, moved by ``width`` when its sign is negative."""
+        cell = self.known.get(token)
+        if cell is None:
             number = int(md5(token.encode()).hexdigest()[:8], 16)
-            slot = number % self.width, 1 - 2 * (number // self.width % 2)
+            cell = number % (2 * self.width)
             if len(self.known) < CACHED_TOKENS:
-                self.known[token] = slot
-        return slot
+                self.known[token] = cell
+        return cell
 
     def __call__(self, texts: list[str]) -> np.ndarray:
-        out = np.zeros((len(texts), self.width))
-        for row, text in zip(out, texts):
-            slots = [self._slot(t) for t in self.gap.split(text) if t]
-            if slots:
-                places, signs = zip(*slots)
-                row += np.bincount(places, weights=signs, minlength=self.width)
-        return out
+        words = pc.split_pattern_regex(pa.array(texts, pa.large_string()), TOKEN_GAP)
+        flat = words.flatten().dictionary_encode()
+        cells = np.array([self._cell(t) for t in flat.dictionary.to_pylist()], np.int64)[flat.indices.to_numpy()]
+        rows = np.repeat(np.arange(len(texts)), np.diff(words.offsets.to_numpy()))
+        used = cells >= 0
+        counts = np.bincount(rows[used] * 2 * self.width + cells[used], minlength=2 * self.width * len(texts))
+        signed = counts.reshape(len(texts), 2, self.width)
+        return (signed[:, 0] - signed[:, 1]).astype(float)
 
 
-def embed(text: Column, make_client: Callable[[], Embedder] = HashingEmbedder, batch_size: int = 10) -> Column:
-    """Vector of each text. ``make_client`` runs once per task, the client once per ``batch_size`` texts.
+def embed(text: Column, make_client: Callable[[], Embedder] = HashingEmbedder, batch_size: int | None = None) -> Column:
+    """Vector of each text. ``make_client`` runs once per task.
 
-    Arrow batches stay as Spark cuts them; the request size is independent of them. Null text is
-    embedded as empty text.
+    ``batch_size`` is the number of texts per client call, for a model endpoint that takes few at a
+    time (10, say); Arrow batches stay as Spark cuts them. Null text is embedded as empty text.
     """
 
     @F.arrow_udf(ArrayType(DoubleType()))
@@ -56,7 +61,8 @@ def embed(text: Column, make_client: Callable[[], Embedder] = HashingEmbedder, b
         client = make_client()
         for batch in batches:
             texts = [t or "" for t in batch.to_pylist()]
-            parts = [client(texts[i:i + batch_size]) for i in range(0, len(texts), batch_size)]
+            step = batch_size or max(1, len(texts))
+            parts = [client(texts[i:i + step]) for i in range(0, len(texts), step)]
             matrix = np.concatenate(parts) if parts else np.zeros((0, 1))
             ends = np.arange(len(texts) + 1, dtype=np.int32) * matrix.shape[1]
             yield pa.ListArray.from_arrays(pa.array(ends), pa.array(matrix.reshape(-1), type=pa.float64()))

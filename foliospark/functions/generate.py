@@ -26,6 +26,14 @@ def explode_rows(df: DataFrame, keep: list, array: Column | str, name: str) -> D
     return df.select(*keep, F.explode_outer(array).alias(name)).where(F.col(name).isNotNull())
 
 
+def non_null(df: DataFrame, keep: list, value: Column, name: str) -> DataFrame:
+    """Rows where a costly expression is not null, computed once.
+
+    A plain filter would be pushed down with a copy of the expression, often into the few scan tasks.
+    """
+    return explode_rows(df, keep, F.array(value), name)
+
+
 def posexplode_rows(df: DataFrame, keep: list, array: Column | str, position: str, name: str) -> DataFrame:
     """One row per element with its zero-based position."""
     return df.select(*keep, F.posexplode_outer(array).alias(position, name)).where(F.col(position).isNotNull())

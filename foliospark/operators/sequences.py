@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.generate import inline_rows, posexplode_rows
+from ..functions.generate import inline_rows, let, posexplode_rows
 from ..functions.keys import stable_hash
 from ..functions.packing import greedy_runs
 from ..functions.text import token_count, tokens
@@ -51,9 +51,11 @@ def pack_constant_length(df: DataFrame, key: str, ids: str, seq_length: int, *,
             "_all", (start - F.col("_at") + 1).cast("int"), (stop - start).cast("int")).alias("piece"))
 
     pieces = inline_rows(rows, ["shard"], F.transform(numbers, piece), "seq_no")
-    packed = pieces.groupBy("shard", "seq_no").agg(F.array_sort(F.collect_list(F.struct("at", "piece"))).alias("p"))
-    joined = packed.select("shard", "seq_no", F.flatten(F.transform("p", lambda x: x["piece"])).alias("input_ids"))
-    return joined.where(F.size("input_ids") == seq_length).withColumn("labels", F.col("input_ids"))
+    packed = pieces.groupBy("shard", "seq_no").agg(
+        F.array_sort(F.collect_list(F.struct("at", "piece"))).alias("p"), F.sum(F.size("piece")).alias("_n"))
+    joined = packed.where(F.col("_n") == seq_length).select(
+        "shard", "seq_no", F.flatten(F.transform("p", lambda x: x["piece"])).alias("input_ids"))
+    return joined.withColumn("labels", F.col("input_ids"))
 
 
 def fill_in_middle(df: DataFrame, key: str, ids: str, *, prefix: int | None, middle: int | None, suffix: int | None,
@@ -94,15 +96,20 @@ def pack_samples(df: DataFrame, key: str, ids: str, seq_length: int, *, samples_
     A sample longer than a sequence is cut into full pieces, so no token is lost. A shard is a run
     of ``samples_per_shard`` consecutive keys, which bounds what one task holds.
     """
-    n = F.size(ids)
-    pieces = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1)), F.lit(seq_length)),
-                         lambda at: F.struct(F.col(key).alias("key"), at.alias("at"), F.slice(ids, at, seq_length).alias("ids")))
-    shards = df.where(n > 0).groupBy(F.floor(F.col(key) / samples_per_shard).alias("shard")).agg(
-        F.array_sort(F.flatten(F.collect_list(pieces))).alias("_pieces"))
-    shards = shards.withColumn("_sizes", F.transform("_pieces", lambda p: F.size(p["ids"])))
-    shards = shards.withColumn("_runs", greedy_runs(F.col("_sizes"), seq_length))
-    bins = posexplode_rows(shards, ["shard"], F.transform(
-        "_runs", lambda r: F.slice("_pieces", r["start"] + 1, r["stop"] - r["start"])), "bin_no", "_run")
+    def cut(sample: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(sample), F.lit(1)), F.lit(seq_length))
+        return F.transform(starts, lambda at: F.struct(at.alias("at"), F.slice(sample, at, seq_length).alias("ids")))
+
+    def runs(pieces: Column) -> Column:
+        sizes = F.transform(pieces, lambda p: F.size(p["ids"]))
+        return F.transform(let(sizes, lambda s: greedy_runs(s, seq_length)),
+                           lambda r: F.slice(pieces, r["start"] + 1, r["stop"] - r["start"]))
+
+    # The pieces are made before the shuffle; a filter on their size would compute the ids twice.
+    shards = df.select(F.floor(F.col(key) / samples_per_shard).alias("shard"), F.col(key), let(F.col(ids), cut).alias("_cut")
+                       ).groupBy("shard").agg(F.array_sort(F.collect_list(F.struct(key, "_cut"))).alias("_samples"))
+    pieces = F.filter(F.flatten(F.transform("_samples", lambda s: s["_cut"])), lambda p: F.size(p["ids"]) > 0)
+    bins = posexplode_rows(shards, ["shard"], let(pieces, runs), "bin_no", "_run")
     filled = bins.select("shard", "bin_no", F.size("_run").alias("n_samples"),
                          F.flatten(F.transform("_run", lambda p: p["ids"])).alias("_ids"))
     missing = F.lit(seq_length) - F.size("_ids")

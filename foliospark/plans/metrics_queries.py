@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import constants, embedding
 from ..operators import chunking, evaluation, joins, retrieval
 from ..operators.containment import passages_in_texts
-from ..session import table
+from ..session import spread, table
 from ..sources import datasets
 from .registry import query
 from .retrieval_queries import SQL_RETRIEVED, _SQL_VECTORS, question_table, reranked, sql_embed, stored_neighbours
@@ -34,7 +34,7 @@ WITH {sql_chunks(256, 0)}, ck AS (SELECT doc_id * 100000 + chunk_no AS chunk_id,
 p AS (SELECT * FROM ck ORDER BY {SQL_HASH.format("chunk_id || ':3'")}, chunk_id LIMIT 10)
 SELECT chunk_id, CAST(unnest([1, 2]) AS INTEGER) AS question_no, regexp_extract(chunk, '(?s)^(.*?[.!?])', 1) AS lead FROM p""")
 def question_seeds(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
     chunks = chunking.split_tokens(docs, "text", 256, adjacent=False).select(
         retrieval.chunk_id(F.col("doc_id"), F.col("chunk_no")).alias("chunk_id"), "chunk")
     return evaluation.question_seeds(chunks, "chunk_id", "chunk", max_chunks=10, per_chunk=2, seed=3)
@@ -110,7 +110,7 @@ def mean_reciprocal_rank(spark, sf):
 
 
 def truth_table(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
     return passages_in_texts(question_table(spark, sf), docs, "question_id", "question", "doc_id", "text")
 
 

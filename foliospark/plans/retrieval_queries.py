@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import embedding, vectors
 from ..operators import chunking, retrieval, sequences
 from ..operators.similarity import top_k_similar
-from ..session import table
+from ..session import spread, table
 from .registry import query
 from .splitting_queries import SQL_HASH, SQL_TOKENS, sql_chunks
 
@@ -35,7 +35,7 @@ FROM documents CROSS JOIN (SELECT unnest(range(64)) AS slot) LEFT JOIN e ON e.id
 """.replace("AND e.slot = CAST(slot AS BIGINT)", "AND e.slot = s.slot").replace("unnest(range(64)) AS slot)", "unnest(range(64)) AS slot) s")
        .replace("CAST(slot AS INTEGER) AS slot, coalesce", "CAST(s.slot AS INTEGER) AS slot, coalesce"))
 def embed_texts(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", embedding.embed(F.col("text")).alias("vector"))
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id").select("doc_id", embedding.embed(F.col("text")).alias("vector"))
     return docs.select("doc_id", F.posexplode("vector").alias("slot", "value"))
 
 
@@ -79,7 +79,7 @@ def top_k_vectors(spark, sf):
 
 def chunk_table(spark, sf):
     """Chunks of all documents with their neighbours and a numeric id."""
-    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
+    docs = spread(table(spark, sf, "documents").select("doc_id", "source", "text"), "doc_id")
     return chunking.split_tokens(docs, "text", 256).select(
         retrieval.chunk_id(F.col("doc_id"), F.col("chunk_no")).alias("chunk_id"), "doc_id", "source", "chunk_no", "chunk", "prev", "next")
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import constants, html, keys, text, vectors
+from ..functions.generate import non_null
 from ..operators import joins
-from ..session import table
+from ..session import spread, table
 from ..sources import files
 from .registry import query
 
@@ -68,30 +69,32 @@ def custom_metadata(spark, sf):
 
 @query("prj4_clean_source_text", f"SELECT doc_id, md5({_sql_clean('text')}) AS clean_md5 FROM documents")
 def clean_source_text(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.md5(text.clean_source_text(F.col("text"))).alias("clean_md5"))
+    return spread(table(spark, sf, "documents"), "doc_id").select("doc_id", F.md5(text.clean_source_text(F.col("text"))).alias("clean_md5"))
 
 
 @query("prj5_clip_source_text", f"""
 SELECT doc_id, substring({_sql_clean('text')}, 1, 2000) AS clipped FROM documents""")
 def clip_source_text(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.clip(text.clean_source_text(F.col("text"))).alias("clipped"))
+    return spread(table(spark, sf, "documents"), "doc_id").select("doc_id", text.clip(text.clean_source_text(F.col("text"))).alias("clipped"))
+
+
+def readable_pages(pages):
+    """Pages with a title and readable text; pages without readable text are dropped."""
+    return non_null(pages, ["page_id", "url", html.html_title(F.col("html")).alias("title")],
+                    html.readable_text(F.col("html")), "readable")
 
 
 @query("prj6_readable_html", f"""{_SQL_PAGES}
 SELECT page_id, title, readable FROM readable WHERE readable <> ''""")
 def readable_html(spark, sf):
-    return table(spark, sf, "pages").select(
-        "page_id", html.html_title(F.col("html")).alias("title"), html.readable_text(F.col("html")).alias("readable")
-    ).where(F.col("readable").isNotNull())
+    return readable_pages(spread(table(spark, sf, "pages"), "page_id")).select("page_id", "title", "readable")
 
 
 @query("prj7_source_block", f"""{_SQL_PAGES}
 SELECT page_id, title || ' (' || url || E'):\\n' || substring({_sql_clean('readable')}, 1, 2000) AS block
 FROM readable WHERE readable <> ''""")
 def source_block(spark, sf):
-    pages = table(spark, sf, "pages").select(
-        "page_id", "url", html.html_title(F.col("html")).alias("title"), html.readable_text(F.col("html")).alias("readable"))
-    return pages.where(F.col("readable").isNotNull()).select("page_id", text.source_block(
+    return readable_pages(spread(table(spark, sf, "pages"), "page_id")).select("page_id", text.source_block(
         F.col("title"), F.col("url"), text.clip(text.clean_source_text(F.col("readable")))).alias("block"))
 
 
@@ -214,7 +217,7 @@ SELECT doc_id, md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t
   '{text.IP_ADDRESS}', '<IP>', 'g'), '{text.LONG_NUMBER}', '<ID>', 'g'), '{text.PHONE}', '<PHONE>', 'g')) AS redacted_md5
 FROM documents""")
 def redact(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.md5(text.redact(F.col("text"))).alias("redacted_md5"))
+    return spread(table(spark, sf, "documents"), "doc_id").select("doc_id", F.md5(text.redact(F.col("text"))).alias("redacted_md5"))
 
 
 @query("prj16_length_limit", f"""
@@ -316,7 +319,7 @@ SELECT split_part(url, '/', 4) AS lang_level, count(*) AS total, count(*) FILTER
 def ingest_report(spark, sf):
     from .ingest import ingest_report as report
 
-    pages = table(spark, sf, "pages").select(
+    pages = spread(table(spark, sf, "pages"), "page_id").select(
         F.split_part("url", F.lit("/"), F.lit(4)).alias("lang_level"),
         html.readable_text(F.when(F.col("page_id") % 9 != 0, F.col("html"))).alias("readable"))
     return report(pages, "readable", ["lang_level"])

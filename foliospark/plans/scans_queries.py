@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import document_key
 from ..operators import ordering
-from ..session import table, work_folder
+from ..session import spread, table, work_folder
 from ..sources import corpora, datasets, files, loaders
 from .ingest import ingest_documents
 from .registry import query
@@ -103,7 +103,7 @@ def ground_truth(spark, sf):
     folder = work_folder(spark, "truth")
     found = passages_in_texts(
         table(spark, sf, "benchmark").select(F.col("item_id").alias("question_id"), F.col("text").alias("passage")),
-        table(spark, sf, "documents").select("doc_id", "text"), "question_id", "passage", "doc_id", "text")
+        spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id"), "question_id", "passage", "doc_id", "text")
     found.write.json(folder)
     return corpora.read_ground_truth(spark, folder)
 
@@ -154,7 +154,7 @@ SELECT 'D' || source || 'chunks', CAST(sum(c) AS BIGINT) FROM chunk_n GROUP BY s
 def _stored_twice(spark, sf) -> datasets.DatasetStore:
     """The corpus ingested, then ingested again: the second run must add nothing."""
     store = datasets.DatasetStore(spark, work_folder(spark, "datasets"))
-    docs = table(spark, sf, "documents").select(
+    docs = spread(table(spark, sf, "documents"), "doc_id").select(
         F.col("source").alias("dataset"), document_key(F.col("source"), F.col("doc_id").cast("string")).alias("dockey"),
         "doc_id", "text")
     for _ in range(2):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import chunking, ordering, sequences
-from ..session import table
+from ..session import spread, table
 from .registry import query
 
 SQL_TOKENS = r"list_filter(regexp_split_to_array({0}, '[ \t\n\r\f]+'), lambda x: x <> '')"
@@ -28,12 +28,16 @@ def _md5_list(column: str):
     return F.md5(F.array_join(F.col(column).cast("array<string>"), ","))
 
 
+def _texts(spark, sf):
+    return spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+
+
 _SQL_MD5_LIST = "md5(array_to_string(CAST({0} AS VARCHAR[]), ','))"
 
 
 @query("spl1_token_chunks", f"WITH {sql_chunks(256, 32)} SELECT doc_id, chunk_no, chunk FROM chunks")
 def token_chunks(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = _texts(spark, sf)
     return chunking.split_tokens(docs, "text", 256, 32, adjacent=False).select("doc_id", "chunk_no", "chunk")
 
 
@@ -57,13 +61,13 @@ fill AS (SELECT doc_id, i, 0 AS chunk_no, n AS used FROM items WHERE i = 1
 WITH RECURSIVE {_SQL_SENTENCES.format(size=256)}
 SELECT doc_id, chunk_no, string_agg(piece, ' ' ORDER BY i) AS chunk FROM fill JOIN items USING (doc_id, i) GROUP BY 1, 2""")
 def sentence_chunks(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = _texts(spark, sf)
     return chunking.split_sentences(docs, "text", 256, adjacent=False).select("doc_id", "chunk_no", "chunk")
 
 
 @query("spl3_character_chunks")
 def character_chunks(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = _texts(spark, sf)
     return chunking.split_characters(docs, "text", 1024, adjacent=False).select("doc_id", "chunk_no", "chunk")
 
 
@@ -72,7 +76,7 @@ WITH {sql_chunks(256, 0)}
 SELECT doc_id, chunk_no, md5(chunk) AS chunk_md5, md5(lag(chunk) OVER w) AS prev_md5, md5(lead(chunk) OVER w) AS next_md5
 FROM chunks WINDOW w AS (PARTITION BY doc_id ORDER BY chunk_no)""")
 def adjacent_chunks(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = _texts(spark, sf)
     return chunking.split_tokens(docs, "text", 256).select(
         "doc_id", "chunk_no", F.md5("chunk").alias("chunk_md5"), F.md5("prev").alias("prev_md5"), F.md5("next").alias("next_md5"))
 
@@ -83,7 +87,7 @@ SELECT c.doc_id, c.chunk_no, md5(p.chunk) AS prev_md5, md5(n.chunk) AS next_md5
 FROM chunks c LEFT JOIN chunks p ON p.doc_id = c.doc_id AND p.chunk_no = c.chunk_no - 1
      LEFT JOIN chunks n ON n.doc_id = c.doc_id AND n.chunk_no = c.chunk_no + 1 WHERE contains(c.chunk, 'the ')""")
 def neighbour_join(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = _texts(spark, sf)
     chunks = chunking.split_tokens(docs, "text", 256, adjacent=False).select("doc_id", "chunk_no", "chunk")
     hits = chunks.where(F.col("chunk").contains("the ")).select("doc_id", "chunk_no")
     return chunking.neighbours_by_join(hits, chunks, "doc_id").select(
@@ -99,7 +103,7 @@ def chars_per_token(spark, sf):
 
 
 def _ids(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", sequences.token_ids(F.col("text")).alias("ids"))
+    return _texts(spark, sf).select("doc_id", sequences.token_ids(F.col("text")).alias("ids"))
 
 
 @query("spl6_constant_length", f"""

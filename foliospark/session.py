@@ -57,3 +57,20 @@ def materialise(df, purpose: str):
     folder = work_folder(df.sparkSession, purpose)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+SPREAD_BYTES = 1 << 20
+
+
+def spread(df, *key: str):
+    """Give per-row heavy work enough tasks when the input is too small to make them itself.
+
+    One Parquet row group is one scan task, however costly the rows are. Inputs whose estimated size
+    already fills the cluster with scan tasks are returned as they are, without a shuffle.
+    """
+    spark = df.sparkSession
+    slots = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    tasks = min(2 * slots, -(-size // SPREAD_BYTES))
+    return df if size >= slots * split or tasks < 2 else df.repartition(tasks, *key)
