@@ -12,8 +12,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from .text import TOKEN_GAP
-
 WIDTH = 64
 CACHED_TOKENS = 500_000
 Embedder = Callable[[list[str]], np.ndarray]
@@ -39,7 +37,7 @@ class HashingEmbedder:
         return cell
 
     def __call__(self, texts: list[str]) -> np.ndarray:
-        words = pc.split_pattern_regex(pa.array(texts, pa.large_string()), TOKEN_GAP)
+        words = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))  # the gaps of TOKEN_GAP
         flat = words.flatten().dictionary_encode()
         cells = np.array([self._cell(t) for t in flat.dictionary.to_pylist()], np.int64)[flat.indices.to_numpy()]
         rows = np.repeat(np.arange(len(texts)), np.diff(words.offsets.to_numpy()))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 # The white space a browser trims, as a regex class both Java and RE2 read.
 BROWSER_SPACE = (r"[\s\x{0B}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]")
-TOKEN_GAP = r"[ \t\n\r\f]+"
+TOKEN_GAP = r"[ \t\n\x0B\f\r]+"
 
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 IP_ADDRESS = r"[0-9]{1,3}(\.[0-9]{1,3}){3}"

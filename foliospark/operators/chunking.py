@@ -47,7 +47,7 @@ def split_tokens(df: DataFrame, text: str, size: int = 256, overlap: int = 0, *,
 def sentences(text: Column) -> Column:
     """Sentences: cut behind ``.``, ``!`` or ``?`` with the white space that follows."""
     return F.array_remove(F.regexp_extract_all(
-        text, F.lit(r"(?s)(.*?(?:[.!?][ \t\n\r\f]+|\z))"), F.lit(1)), "")
+        text, F.lit(r"(?s)(.*?(?:[.!?][ \t\n\x0B\f\r]+|\z))"), F.lit(1)), "")
 
 
 def split_sentences(df: DataFrame, text: str, size: int = 256, overlap: int = 0, *, adjacent: bool = True) -> DataFrame:

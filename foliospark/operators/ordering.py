@@ -90,6 +90,7 @@ def with_halo(df: DataFrame, position: str, width: int, before: int = 0, after:
     most ``before`` back and ``after`` ahead then sees every row it needs, while a group of any
     size is spread over many tasks. Drop rows with ``_halo`` afterwards.
     """
+    width = max(width, before, after)  # an edge must lie within the neighbouring piece
     own = F.floor(F.col(position) / width)
     offset = F.col(position) - own * width
     pieces = [F.struct(own.alias("_piece"), F.lit(False).alias("_halo"))]

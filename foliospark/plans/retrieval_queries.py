@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import embedding, vectors
+from ..functions.generate import posexplode_rows
 from ..operators import chunking, retrieval, sequences
 from ..operators.similarity import top_k_similar
 from ..session import spread, table
@@ -36,7 +37,7 @@ FROM documents CROSS JOIN (SELECT unnest(range(64)) AS slot) LEFT JOIN e ON e.id
        .replace("CAST(slot AS INTEGER) AS slot, coalesce", "CAST(s.slot AS INTEGER) AS slot, coalesce"))
 def embed_texts(spark, sf):
     docs = spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id").select("doc_id", embedding.embed(F.col("text")).alias("vector"))
-    return docs.select("doc_id", F.posexplode("vector").alias("slot", "value"))
+    return posexplode_rows(docs, ["doc_id"], "vector", "slot", "value")
 
 
 @query("vec2_l2_normalise", """
@@ -46,7 +47,7 @@ SELECT vec_id, CAST(unnest(range(64)) AS INTEGER) AS pos, round(unnest(e) / norm
 def l2_normalise(spark, sf):
     scaled = table(spark, sf, "embeddings").select("vec_id", F.transform("embedding", lambda v: v.cast("double") * 3).alias("e"))
     rows = scaled.select("vec_id", vectors.l2_normalise(F.col("e")).alias("u"))
-    return rows.select("vec_id", F.posexplode("u").alias("pos", "v")).select("vec_id", "pos", F.round("v", 6).alias("value"))
+    return posexplode_rows(rows, ["vec_id"], "u", "pos", "v").select("vec_id", "pos", F.round("v", 6).alias("value"))
 
 
 @query("vec3_cosine", """

@@ -124,7 +124,7 @@ def document_loader(spark, sf):
     flat = F.translate("text", "\n\r", "  ")
     table(spark, sf, "documents").select(
         F.to_json(F.struct("doc_id", "source", flat.alias("text"))).alias("value")).repartition(8).write.text(folder)
-    rows = spark.read.format("document_loader").option("loader", "lines").load(folder)
+    rows = spark.read.format("loader_lines").load(folder)
     return rows.select(F.from_json("text", "doc_id long, source string, text string").alias("d")).select(
         "d.doc_id", "d.source", F.md5("d.text").alias("text_md5"))
 
@@ -143,7 +143,7 @@ def keyset_walk(spark, sf):
 
 
 _CLASS_SQL = r"""
-WITH toks AS (SELECT source, doc_id, len(list_filter(regexp_split_to_array(text, '[ \t\n\r\f]+'), lambda x: x <> '')) AS n
+WITH toks AS (SELECT source, doc_id, len(list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), lambda x: x <> '')) AS n
               FROM documents),
      chunk_n AS (SELECT source, CAST(ceil(n / 256.0) AS BIGINT) AS c FROM toks)
 SELECT 'D' || source || 'docs' AS class_name, count(*) AS n_objects FROM documents GROUP BY source

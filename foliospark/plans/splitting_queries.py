@@ -8,7 +8,7 @@ from ..operators import chunking, ordering, sequences
 from ..session import spread, table
 from .registry import query
 
-SQL_TOKENS = r"list_filter(regexp_split_to_array({0}, '[ \t\n\r\f]+'), lambda x: x <> '')"
+SQL_TOKENS = r"list_filter(regexp_split_to_array({0}, '[ \t\n\x0B\f\r]+'), lambda x: x <> '')"
 SQL_HASH = "CAST('0x' || substr(md5({0}), 1, 8) AS BIGINT)"
 
 
@@ -42,9 +42,9 @@ def token_chunks(spark, sf):
 
 
 _SQL_SENTENCES = rf"""
-s AS (SELECT doc_id, unnest(list_filter(string_split(regexp_replace(text, '([.!?])[ \t\n\r\f]+', '\1' || chr(1), 'g'), chr(1)),
+s AS (SELECT doc_id, unnest(list_filter(string_split(regexp_replace(text, '([.!?])[ \t\n\x0B\f\r]+', '\1' || chr(1), 'g'), chr(1)),
              lambda x: x <> '')) AS sent, generate_subscripts(list_filter(string_split(regexp_replace(text,
-             '([.!?])[ \t\n\r\f]+', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> ''), 1) AS sno FROM documents),
+             '([.!?])[ \t\n\x0B\f\r]+', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> ''), 1) AS sno FROM documents),
 t AS (SELECT doc_id, sno, {SQL_TOKENS.format('sent')} AS words FROM s),
 p AS (SELECT doc_id, sno, st, words[st + 1 : st + {{size}}] AS piece
       FROM (SELECT *, unnest(range(0, len(words), {{size}})) AS st FROM t WHERE len(words) > 0)),

@@ -31,8 +31,8 @@ def incremental_ingest(spark, sf):
 
 @query("str2_assemble_replies", r"""
 SELECT conv_id || ':' || turn AS request_id,
-       array_to_string(list_filter(regexp_split_to_array(text, '[ \t\n\r\f]+'), lambda x: x <> ''), ' ') AS text, true AS complete
-FROM conversations WHERE role = 'assistant' AND len(list_filter(regexp_split_to_array(text, '[ \t\n\r\f]+'), lambda x: x <> '')) > 0""")
+       array_to_string(list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), lambda x: x <> ''), ' ') AS text, true AS complete
+FROM conversations WHERE role = 'assistant' AND len(list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), lambda x: x <> '')) > 0""")
 def assemble_replies(spark, sf):
     folder = work_folder(spark, "pieces")
     words = table(spark, sf, "conversations").where(F.col("role") == "assistant").select(

@@ -1,7 +1,7 @@
 """User-defined document loaders, run as a Python data source.
 
 A loader turns one file path into (text, metadata) pairs. It is registered under a name with a
-description and read with ``spark.read.format("document_loader").option("loader", name).load(folder)``.
+description and read with ``spark.read.format("loader_" + name).load(folder)``.
 Each file is one unit of work on an executor, so files must lie where executors can open them.
 """
 
@@ -70,18 +70,24 @@ class LoaderReader(DataSourceReader):
                 yield os.path.basename(path), "1", text, extra
 
 
-class LoaderSource(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return "document_loader"
+def data_source(loader: Registered) -> type[DataSource]:
+    """A data source class that carries its loader along to the processes that plan and read."""
 
-    def schema(self) -> str:
-        return "file_name string, page_label string, text string, metadata map<string,string>"
+    class LoaderSource(DataSource):
+        @classmethod
+        def name(cls) -> str:
+            return f"loader_{loader.name}"
 
-    def reader(self, schema) -> LoaderReader:
-        loader = LOADERS[self.options["loader"]]
-        return LoaderReader(loader.load, self.options["path"], int(self.options.get("files_per_task", "16")))
+        def schema(self) -> str:
+            return "file_name string, page_label string, text string, metadata map<string,string>"
+
+        def reader(self, schema) -> LoaderReader:
+            return LoaderReader(loader.load, self.options["path"], int(self.options.get("files_per_task", "16")))
+
+    return LoaderSource
 
 
 def register_loaders(spark: SparkSession) -> None:
-    spark.dataSource.register(LoaderSource)
+    """Make every registered loader readable as ``loader_<name>``."""
+    for loader in LOADERS.values():
+        spark.dataSource.register(data_source(loader))
