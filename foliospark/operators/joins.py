@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.constants import CLASS_NAMES
-from ..functions.generate import inline_rows, posexplode_rows
+from ..functions.generate import explode_rows, inline_rows
 
 REWRITE = "array<struct<question:string,`group`:string,topic:string,similarity_score:string>>"
 
@@ -27,14 +27,16 @@ def rewrite_report(replies: DataFrame, reply: str) -> DataFrame:
 
 
 def expand_from_table(df: DataFrame, key: str, text: str, dictionary: DataFrame) -> DataFrame:
-    """Replace tokens found in a dictionary table (acronym, full_form); one text's tokens regroup by key.
+    """Replace tokens found in a dictionary table (acronym, full_form).
 
-    ``key`` identifies one text, so a group is never larger than that text.
+    Only the distinct tokens a text shares with the dictionary are regrouped, as a small map per text;
+    ``key`` identifies one text, so a map is never larger than that text.
     """
-    words = posexplode_rows(df, [key], F.split(text, " "), "_pos", "acronym")
-    joined = words.join(dictionary, "acronym", "left")
-    ordered = F.array_sort(F.collect_list(F.struct("_pos", F.coalesce("full_form", "acronym").alias("w"))))
-    return joined.groupBy(key).agg(F.array_join(F.transform(ordered, lambda x: x["w"]), " ").alias(text))
+    words = explode_rows(df, [key], F.array_distinct(F.split(text, " ")), "acronym")
+    found = words.join(dictionary, "acronym").groupBy(key).agg(
+        F.map_from_entries(F.collect_list(F.struct("acronym", "full_form"))).alias("_forms"))
+    replaced = F.array_join(F.transform(F.split(text, " "), lambda t: F.coalesce(F.try_element_at("_forms", t), t)), " ")
+    return df.join(found, key, "left").withColumn(text, F.coalesce(replaced, F.col(text))).drop("_forms")
 
 
 def over_length(texts: DataFrame, models: DataFrame, n_chars: str) -> DataFrame:

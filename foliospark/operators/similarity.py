@@ -142,7 +142,8 @@ def _search_broadcast(questions: Vectors, corpus: DataFrame, rules: Rules) -> Da
             score_block(shared.value, Vectors.from_arrow(batch), rules, best)
         yield _matches(shared.value, best)
 
-    return corpus.mapInArrow(scan, MATCHES)
+    # Fewer, longer tasks: each hands on k matches per question, however many files it has read.
+    return corpus.coalesce(4 * corpus.sparkSession.sparkContext.defaultParallelism).mapInArrow(scan, MATCHES)
 
 
 def _search_blocks(questions: DataFrame, corpus: DataFrame, rules: Rules, question_rows: int, block_rows: int) -> DataFrame:

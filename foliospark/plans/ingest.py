@@ -25,7 +25,8 @@ def chunk_documents(docs: DataFrame, splitter: str = "token", adjacent: bool = T
 def ingest_documents(store: DatasetStore, docs: DataFrame, splitter: str = "token", **options) -> None:
     """Append documents not stored yet, with their chunks; running it again adds nothing."""
     fresh = store.unknown_docs(docs.where(valid_name(F.col("dataset"))).dropDuplicates(["dataset", "dockey"]))
-    store.append(fresh, chunk_documents(fresh, splitter, **options))
+    if not fresh.isEmpty():
+        store.append(fresh, chunk_documents(fresh, splitter, **options))
 
 
 def ingest_report(docs: DataFrame, text: str, group: list[str]) -> DataFrame:

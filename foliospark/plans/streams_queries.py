@@ -26,7 +26,7 @@ def incremental_ingest(spark, sf):
         F.col("source").alias("dataset"), document_key(F.col("source"), F.col("doc_id").cast("string")).alias("dockey"), "doc_id", "text")
     jobs.ingest_stream(arriving, store)
     jobs.ingest_stream(arriving, store)  # the same files again: nothing may be added
-    return store.stored_chunks().select("dataset", "doc", "chunk_no", F.md5("text").alias("chunk_md5"))
+    return store.chunks().select("dataset", "doc", "chunk_no", F.md5("text").alias("chunk_md5"))
 
 
 @query("str2_assemble_replies", r"""

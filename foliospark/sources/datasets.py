@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,22 +24,32 @@ def valid_name(dataset: Column) -> Column:
     return dataset.rlike("^[A-Za-z0-9]+$")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
-
-
 class DatasetStore:
-    """Docs and chunks of all datasets, partitioned by dataset below one folder."""
+    """Docs and chunks of all datasets below one folder.
+
+    Every append is a run with folders of its own, partitioned by dataset, and becomes visible by one
+    marker file written last. A run that died leaves folders no one reads; readers need neither a
+    duplicate check nor a join to ignore them.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
+    def _path(self, *parts: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self.root, *parts)))
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def runs(self) -> list[str]:
+        """Committed runs: one short name per append."""
+        system, path = self._path("committed")
+        return sorted(s.getPath().getName() for s in system.listStatus(path)) if system.exists(path) else []
+
     def _read(self, kind: str, schema: str) -> DataFrame:
-        path = f"{self.root}/{kind}"
-        if not _exists(self.spark, path):
+        base = f"{self.root}/{kind}"
+        folders = [f"{base}/run={run}" for run in self.runs()]
+        if not folders:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
+        return self.spark.read.schema(f"{schema}, run string").option("basePath", base).parquet(*folders).drop("run")
 
     def docs(self) -> DataFrame:
         return self._read("docs", DOCS)
@@ -48,25 +59,15 @@ class DatasetStore:
 
     def unknown_docs(self, docs: DataFrame) -> DataFrame:
         """Documents whose key is not stored yet; only keys of the store are read."""
-        if not _exists(self.spark, f"{self.root}/docs"):
-            return docs
-        return docs.join(self.docs().select("dataset", "dockey"), ["dataset", "dockey"], "left_anti")
+        return docs.join(self.docs().select("dataset", "dockey"), ["dataset", "dockey"], "left_anti") if self.runs() else docs
 
     def append(self, docs: DataFrame, chunks: DataFrame) -> None:
-        """Write chunks first and docs last.
-
-        A document counts as stored once its docs row exists. A run lost in between leaves chunks
-        without a document, which :meth:`stored_chunks` hides and the next run writes anew.
-        """
+        run = uuid.uuid4().hex
         for kind, frame, schema in (("chunks", chunks, CHUNKS), ("docs", docs, DOCS)):
             columns = [c.split()[0] for c in schema.split(", ")]
-            frame.select(columns).write.mode("append").partitionBy("dataset").parquet(f"{self.root}/{kind}")
-
-    def stored_chunks(self) -> DataFrame:
-        """Chunks of stored documents, each once even if an earlier run was repeated."""
-        kept = self.chunks().dropDuplicates(["dataset", "doc", "chunk_no"])
-        keys = self.docs().select("dataset", F.col("dockey").alias("doc"))
-        return kept.join(keys, ["dataset", "doc"], "left_semi")
+            frame.select(columns).write.partitionBy("dataset").parquet(f"{self.root}/{kind}/run={run}")
+        system, marker = self._path("committed", run)
+        system.create(marker).close()
 
     def class_counts(self) -> DataFrame:
         """Object count per class name, ``D<dataset>docs`` and ``D<dataset>chunks``."""

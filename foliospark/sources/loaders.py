@@ -2,15 +2,15 @@
 
 A loader turns one file path into (text, metadata) pairs. It is registered under a name with a
 description and read with ``spark.read.format("loader_" + name).load(folder)``.
-Each file is one unit of work on an executor, so files must lie where executors can open them.
+Files are listed and opened through Arrow file systems, so local, HDFS and object-store folders work.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
+from pyarrow import fs
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -35,17 +35,28 @@ def document_loader(name: str, description: str) -> Callable[[Loader], Loader]:
     return add
 
 
+def file_system(path: str) -> tuple[fs.FileSystem, str]:
+    """File system and inner path of a folder or file, given with or without a scheme."""
+    if path.startswith("file:"):
+        path = "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+
+def read_text(path: str) -> str:
+    system, inner = file_system(path)
+    with system.open_input_stream(inner) as source:
+        return source.read().decode("utf-8")
+
+
 @document_loader("lines", "every line of a text file is one document")
 def load_lines(path: str) -> Iterator[tuple[str, dict[str, str]]]:
-    with open(path, encoding="utf-8") as lines:
-        for number, line in enumerate(lines):
-            yield line.rstrip("\n"), {"line": str(number)}
+    for number, line in enumerate(read_text(path).removesuffix("\n").split("\n")):
+        yield line, {"line": str(number)}
 
 
 @document_loader("whole", "a text file is one document")
 def load_whole(path: str) -> Iterator[tuple[str, dict[str, str]]]:
-    with open(path, encoding="utf-8") as source:
-        yield source.read(), {}
+    yield read_text(path), {}
 
 
 class FilePartition(InputPartition):
@@ -58,16 +69,19 @@ class LoaderReader(DataSourceReader):
         self.load, self.folder, self.files_per_task = load, folder, files_per_task
 
     def partitions(self) -> list[FilePartition]:
-        root = self.folder.removeprefix("file://")
-        paths = sorted(os.path.join(base, name) for base, _, names in os.walk(root) for name in names
-                       if not name.startswith((".", "_")))
+        system, root = file_system(self.folder)
+        scheme = self.folder.split("://")[0] + "://" if "://" in self.folder and not self.folder.startswith("file:") else ""
+        found = system.get_file_info(fs.FileSelector(root, recursive=True))
+        inner = [f.path[len(root):] for f in found if f.type == fs.FileType.File]
+        shown = [p for p in inner if not any(part.startswith((".", "_")) for part in p.strip("/").split("/"))]
+        paths = sorted(f"{scheme}{root}{p}" for p in shown)
         step = self.files_per_task
         return [FilePartition(paths[i:i + step]) for i in range(0, len(paths), step)] or [FilePartition([])]
 
     def read(self, partition: FilePartition) -> Iterator[tuple]:
         for path in partition.paths:
             for text, extra in self.load(path):
-                yield os.path.basename(path), "1", text, extra
+                yield path.rsplit("/", 1)[-1], "1", text, extra
 
 
 def data_source(loader: Registered) -> type[DataSource]:
