@@ -13,23 +13,26 @@ from pyspark.sql import functions as F
 from ..functions.keys import stable_hash
 
 SEGMENT_ROWS = 200_000
-MAX_SEGMENTS = 20_000
+MAX_SEGMENTS = 5_000
+SAMPLED_PER_SEGMENT = 200
 
 
 def order_bounds(df: DataFrame, key: str, rows_per_segment: int = SEGMENT_ROWS) -> list:
     """Cut points that split a numeric key into segments of about ``rows_per_segment`` rows.
 
-    One small aggregate; at most MAX_SEGMENTS numbers reach the driver. The cut points only
-    balance the work: any set of them gives the same row numbers.
+    The cut points come from a sample of the key, so one task never merges summaries of the whole
+    table. They only balance the work: any set of them gives the same, whole result.
     """
-    count = df.count()
+    keys = df.select(key)
+    count = keys.count()
     segments = min(MAX_SEGMENTS, -(-count // rows_per_segment))
     if segments <= 1:
         return []
+    share = SAMPLED_PER_SEGMENT * segments / count
+    sample = keys if share >= 1 else keys.sample(share, seed=17)
     marks = [i / segments for i in range(1, segments)]
-    accuracy = max(10_000, 4 * segments)
-    (points,) = df.agg(F.percentile_approx(key, marks, accuracy)).first()
-    return sorted(set(points))
+    (points,) = sample.agg(F.percentile_approx(key, marks, max(10_000, 4 * segments))).first()
+    return sorted(set(points or []))
 
 
 def with_segment(df: DataFrame, key: str, bounds: list, name: str = "segment") -> DataFrame:
@@ -73,6 +76,8 @@ def running_totals(df: DataFrame, key: str, values: dict[str, str],
     bounds = order_bounds(df, key, rows_per_segment)
     parts = with_segment(df, key, bounds, "_segment")
     upto = Window.partitionBy("_segment").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+    if not bounds:  # the whole table is one segment of bounded size
+        return parts.withColumns({o: F.sum(v).over(upto) for o, v in values.items()}).drop("_segment")
     totals = parts.groupBy("_segment").agg(*[F.sum(v).alias(f"_t_{o}") for o, v in values.items()])
     before = Window.orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_segment", *[F.coalesce(F.sum(f"_t_{o}").over(before), F.lit(0)).alias(f"_o_{o}")
