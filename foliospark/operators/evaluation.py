@@ -119,11 +119,16 @@ def _score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
 
 
 def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
-    """ROC curve: false and true positive rate at each distinct score, from the highest down."""
+    """ROC curve: false and true positive rate at each distinct score, from the highest down.
+
+    The curve starts at (0, 0) with an infinite threshold.
+    """
     p, n = df.agg(F.count_if(F.col(label) == 1), F.count_if(F.col(label) != 1)).first()
-    return _score_counts(df, label, score).select(
-        "threshold", F.round(F.try_divide(F.col("fp"), F.lit(n)), 6).alias("fpr"),
+    points = _score_counts(df, label, score).select(
+        F.col("threshold").cast("double").alias("threshold"), F.round(F.try_divide(F.col("fp"), F.lit(n)), 6).alias("fpr"),
         F.round(F.try_divide(F.col("tp"), F.lit(p)), 6).alias("tpr"))
+    start = df.sparkSession.range(1).select(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return start.unionByName(points)
 
 
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:

@@ -31,8 +31,15 @@ def vector_features(df: DataFrame, vector: str, label: str, keep: list[str] = ()
 
 
 def elastic_net(train: DataFrame, alpha: float = 0.5, l1_ratio: float = 0.5, max_iter: int = 1000) -> LinearRegressionModel:
-    """Least squares / 2n with alpha * (l1_ratio * L1 + (1 - l1_ratio) / 2 * L2), on unscaled features."""
-    return LinearRegression(regParam=alpha, elasticNetParam=l1_ratio, standardization=False, maxIter=max_iter, tol=1e-8).fit(train)
+    """Least squares / 2n + alpha * (l1_ratio * L1 + (1 - l1_ratio) / 2 * L2), on unscaled features.
+
+    The solver scales the label to unit deviation, which divides the L2 part by that deviation; the two
+    parameters handed over make up for it.
+    """
+    deviation = train.agg(F.stddev_pop("label")).first()[0] or 1.0
+    l1, l2 = alpha * l1_ratio, alpha * (1 - l1_ratio) * deviation
+    return LinearRegression(regParam=l1 + l2, elasticNetParam=l1 / (l1 + l2) if alpha else 0.0, standardization=False,
+                            maxIter=max_iter, tol=1e-8).fit(train)
 
 
 def decision_tree(train: DataFrame, max_depth: int = 5, seed: int = 42):

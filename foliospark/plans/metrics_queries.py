@@ -211,7 +211,7 @@ def confusion_matrix(spark, sf):
 @query("evl8_roc_points", f"""
 WITH {_SQL_SCORED}, g AS (SELECT score AS threshold, count(*) FILTER (quality = 1) AS p, count(*) FILTER (quality <> 1) AS n FROM s GROUP BY 1)
 SELECT threshold, round(sum(n) OVER w / sum(n) OVER (), 6) AS fpr, round(sum(p) OVER w / sum(p) OVER (), 6) AS tpr
-FROM g WINDOW w AS (ORDER BY threshold DESC)""")
+FROM g WINDOW w AS (ORDER BY threshold DESC) UNION ALL SELECT CAST('Infinity' AS DOUBLE), 0.0::DOUBLE, 0.0::DOUBLE""")
 def roc_points(spark, sf):
     return evaluation.roc_points(scored_labels(spark, sf), "quality", "score")
 

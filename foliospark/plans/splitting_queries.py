@@ -65,7 +65,31 @@ def sentence_chunks(spark, sf):
     return chunking.split_sentences(docs, "text", 256, adjacent=False).select("doc_id", "chunk_no", "chunk")
 
 
-@query("spl3_character_chunks")
+_SQL_LINES = r"([^\n]*\n|[^\n]+)"
+
+
+def _sql_refine(name: str, source: str, pattern: str) -> str:
+    """Cut the pieces that are still over budget; ``path`` keeps the reading order."""
+    return rf"""
+{name} AS (SELECT doc_id, list_append(path, 0) AS path, piece FROM {source} WHERE length(piece) <= 1024
+  UNION ALL SELECT doc_id, list_append(path, unnest(range(len(parts)))), unnest(parts)
+  FROM (SELECT doc_id, path, regexp_extract_all(piece, '{pattern}', 1) AS parts FROM {source} WHERE length(piece) > 1024))"""
+
+
+@query("spl3_character_chunks", rf"""
+WITH RECURSIVE p0 AS (SELECT doc_id, [CAST(0 AS BIGINT)] AS path, text || repeat(chr(1), 1025) AS piece FROM documents),
+p1 AS (SELECT doc_id, path, replace(piece, chr(1), '') AS piece FROM (SELECT doc_id, list_append(path, unnest(range(len(parts)))) AS path, unnest(parts) AS piece
+  FROM (SELECT doc_id, path, regexp_extract_all(piece, '(?s)(.+?(?:\n\n|\z))', 1) AS parts FROM p0))),
+{_sql_refine('p2', 'p1', _SQL_LINES)}, {_sql_refine('p3', 'p2', '([^ ]* |[^ ]+)')},
+p4 AS (SELECT doc_id, list_append(path, s) AS path, substring(piece, s * 1024 + 1, 1024) AS piece
+       FROM (SELECT *, unnest(range(CAST(ceil(length(piece) / 1024.0) AS BIGINT))) AS s FROM p3)),
+items AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY path) AS i, piece, length(piece) AS n FROM p4 WHERE piece <> ''),
+fill AS (SELECT doc_id, i, 0 AS chunk_no, n AS used FROM items WHERE i = 1
+         UNION ALL
+         SELECT it.doc_id, it.i, CASE WHEN f.used + it.n <= 1024 THEN f.chunk_no ELSE f.chunk_no + 1 END,
+                CASE WHEN f.used + it.n <= 1024 THEN f.used + it.n ELSE it.n END
+         FROM fill f JOIN items it ON it.doc_id = f.doc_id AND it.i = f.i + 1)
+SELECT doc_id, chunk_no, string_agg(piece, '' ORDER BY i) AS chunk FROM fill JOIN items USING (doc_id, i) GROUP BY 1, 2""")
 def character_chunks(spark, sf):
     docs = _texts(spark, sf)
     return chunking.split_characters(docs, "text", 1024, adjacent=False).select("doc_id", "chunk_no", "chunk")

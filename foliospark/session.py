@@ -18,6 +18,8 @@ SESSION_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+LOCAL_ROOTS: dict[str, str] = {}  # folder of each local test session
+
 
 def build_session(master: str | None = None, app: str = "foliospark", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -31,12 +33,15 @@ def build_session(master: str | None = None, app: str = "foliospark", **conf: st
 def shared_root(spark: SparkSession) -> str:
     """Folder all executors can reach: the cluster's ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a local test run) gets a folder of its own.
+    Only a local session without that setting (a test run) gets a folder of its own.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="foliospark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = LOCAL_ROOTS.setdefault(context.applicationId, "") or "file://" + tempfile.mkdtemp(prefix="foliospark-")
+        LOCAL_ROOTS[context.applicationId] = root
     return root.rstrip("/")
 
 
