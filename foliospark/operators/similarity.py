@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 BROADCAST_VALUES = 4_000_000      # numbers in the broadcast question matrix (32 MB)
 BLOCK_ROWS = 20_000               # corpus rows per block of the blocked form
-SCORE_CELLS = 4_000_000           # scores held at once by one task
+QUESTION_ROWS, DOC_ROWS = 512, 8192  # one product inside a task
 MATCHES = "question_id long, doc_id long, score double"
+MATCH_ARROW = pa.schema([("question_id", pa.int64()), ("doc_id", pa.int64()), ("score", pa.float64())])
 
 
 @dataclass
@@ -30,7 +31,7 @@ class Vectors:
 
     @classmethod
     def from_arrow(cls, table) -> Vectors:
-        """Rows with a usable vector, scaled to length one; zero and missing vectors have no score."""
+        """Rows with a usable vector in id order, scaled to length one; zero and missing vectors have no score."""
         if isinstance(table, pa.RecordBatch):
             table = pa.Table.from_batches([table])
         table = table.filter(pc.is_valid(table["vector"])).combine_chunks()
@@ -43,8 +44,13 @@ class Vectors:
         flat = pc.list_flatten(table["vector"]).to_numpy().astype(np.float64)
         matrix = flat.reshape(len(ids), -1)
         length = np.sqrt((matrix * matrix).sum(axis=1))
-        usable = length > 0
-        return cls(ids[usable], matrix[usable] / length[usable, None], table["grp"].to_numpy()[usable])
+        order = np.argsort(ids, kind="stable")
+        order = order[length[order] > 0]
+        return cls(ids[order], matrix[order] / length[order, None], table["grp"].to_numpy()[order])
+
+    def pieces(self, rows: int) -> Iterator[Vectors]:
+        for i in range(0, len(self.ids), rows):
+            yield Vectors(self.ids[i:i + rows], self.unit[i:i + rows], self.group[i:i + rows])
 
 
 @dataclass
@@ -66,45 +72,51 @@ class Rules:
 
 
 class Best:
-    """Best matches so far, ordered by rounded score and then by lower id."""
+    """Best matches so far of a few questions, ordered by rounded score and then by lower id."""
 
-    def __init__(self, k: int):
-        self.k = k
+    def __init__(self, questions: Vectors, rules: Rules):
+        self.questions, self.rules = questions, rules
         self.row, self.score, self.doc = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
 
-    def add(self, row: np.ndarray, score: np.ndarray, doc: np.ndarray) -> None:
-        row, score, doc = (np.concatenate(pair) for pair in
-                           ((self.row, row), (self.score, score), (self.doc, doc)))
-        order = np.lexsort((doc, -score, row))
-        row = row[order]
-        first = np.searchsorted(row, row, side="left")
-        keep = np.arange(len(row)) - first < self.k
-        self.row, self.score, self.doc = row[keep], score[order][keep], doc[order][keep]
-
-
-def score_block(questions: Vectors, docs: Vectors, rules: Rules, best: Best) -> None:
-    """Add the matches of one corpus block; block size bounds the memory."""
-    if not len(docs.ids) or not len(questions.ids):
-        return
-    step = max(1, SCORE_CELLS // len(docs.ids))
-    for start in range(0, len(questions.ids), step):
-        part = Vectors(questions.ids[start:start + step], questions.unit[start:start + step], questions.group[start:start + step])
-        scores = np.round(part.unit @ docs.unit.T, rules.digits) + 0.0
-        mask = rules.allowed(part, docs)
+    def add(self, docs: Vectors) -> None:
+        k = self.rules.k
+        scores = np.round(self.questions.unit @ docs.unit.T, self.rules.digits) + 0.0
+        mask = self.rules.allowed(self.questions, docs)
         if mask is not None:
             scores[~mask] = -np.inf
-        if scores.shape[1] > rules.k:
-            floor = -np.partition(-scores, rules.k - 1, axis=1)[:, rules.k - 1]
-            row, col = np.nonzero((scores >= floor[:, None]) & (scores > -np.inf))
-        else:
-            row, col = np.nonzero(scores > -np.inf)
-        best.add(row + start, scores[row, col], docs.ids[col])
+        keep = scores > -np.inf
+        if scores.shape[1] > k:
+            # All above the k-th score, and of those equal to it the lowest ids: at most k per question,
+            # however many copies of a document there are.
+            floor = -np.partition(-scores, k - 1, axis=1)[:, k - 1:k]
+            above = scores > floor
+            level = scores == floor
+            keep &= above | (level & (np.cumsum(level, axis=1) <= k - above.sum(axis=1, keepdims=True)))
+        row, col = np.nonzero(keep)
+        row, score, doc = (np.concatenate(pair) for pair in (
+            (self.row, row), (self.score, scores[row, col]), (self.doc, docs.ids[col])))
+        order = np.lexsort((doc, -score, row))
+        row = row[order]
+        first = np.arange(len(row)) - np.searchsorted(row, row, side="left") < k
+        self.row, self.score, self.doc = row[first], score[order][first], doc[order][first]
+
+
+class Search:
+    """All questions against a stream of document batches, in products of bounded size."""
+
+    def __init__(self, questions: Vectors, rules: Rules):
+        self.best = [Best(part, rules) for part in questions.pieces(QUESTION_ROWS)]
 
+    def add(self, docs: Vectors) -> None:
+        for part in docs.pieces(DOC_ROWS):
+            for best in self.best:
+                best.add(part)
 
-def _matches(questions: Vectors, best: Best) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(questions.ids[best.row]), pa.array(best.doc), pa.array(best.score)],
-        names=["question_id", "doc_id", "score"])
+    def matches(self) -> Iterator[pa.RecordBatch]:
+        for best in self.best:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(best.questions.ids[best.row]), pa.array(best.doc), pa.array(best.score)],
+                names=["question_id", "doc_id", "score"])
 
 
 def _side(df: DataFrame, key: str, vector: str, group: str | None) -> DataFrame:
@@ -137,10 +149,10 @@ def _search_broadcast(questions: Vectors, corpus: DataFrame, rules: Rules) -> Da
     shared = corpus.sparkSession.sparkContext.broadcast(questions)  # at most BROADCAST_VALUES numbers
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = Best(rules.k)
+        search = Search(shared.value, rules)
         for batch in batches:
-            score_block(shared.value, Vectors.from_arrow(batch), rules, best)
-        yield _matches(shared.value, best)
+            search.add(Vectors.from_arrow(batch))
+        yield from search.matches()
 
     # Fewer, longer tasks: each hands on k matches per question, however many files it has read.
     return corpus.coalesce(4 * corpus.sparkSession.sparkContext.defaultParallelism).mapInArrow(scan, MATCHES)
@@ -156,10 +168,9 @@ def _search_blocks(questions: DataFrame, corpus: DataFrame, rules: Rules, questi
                                other: F.explode(F.sequence(F.lit(0), F.lit(other_n - 1)))})
 
     def meet(q: pa.Table, c: pa.Table) -> pa.Table:
-        left, best = Vectors.from_arrow(q), Best(rules.k)
-        for batch in c.to_batches(max_chunksize=10_000):
-            score_block(left, Vectors.from_arrow(batch), rules, best)
-        return pa.Table.from_batches([_matches(left, best)])
+        search = Search(Vectors.from_arrow(q), rules)
+        search.add(Vectors.from_arrow(c))
+        return pa.Table.from_batches(search.matches(), schema=MATCH_ARROW)
 
     q = block(questions, "qb", q_blocks, "cb", c_blocks)
     c = block(corpus, "cb", c_blocks, "qb", q_blocks)

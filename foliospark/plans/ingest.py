@@ -22,9 +22,15 @@ def chunk_documents(docs: DataFrame, splitter: str = "token", adjacent: bool = T
     return cut.withColumn("name", name).withColumnRenamed("chunk", "text")
 
 
-def ingest_documents(store: DatasetStore, docs: DataFrame, splitter: str = "token", **options) -> None:
-    """Append documents not stored yet, with their chunks; running it again adds nothing."""
-    fresh = store.unknown_docs(docs.where(valid_name(F.col("dataset"))).dropDuplicates(["dataset", "dockey"]))
+def ingest_documents(store: DatasetStore, docs: DataFrame, splitter: str = "token", *, unique_keys: bool = False,
+                     **options) -> None:
+    """Append documents not stored yet, with their chunks; running it again adds nothing.
+
+    With ``unique_keys`` (keys made from file paths, say) the duplicate check and its shuffle are left
+    out. Otherwise that shuffle also serves the comparison with the stored keys.
+    """
+    named = docs.where(valid_name(F.col("dataset")))
+    fresh = store.unknown_docs(named if unique_keys else named.dropDuplicates(["dataset", "dockey"]))
     if not fresh.isEmpty():
         store.append(fresh, chunk_documents(fresh, splitter, **options))
 
