@@ -12,6 +12,7 @@ MODELS = [
     ("gpt-4", "GPT-4", 24000, 8000),
     ("gpt-4-32k", "GPT-4-32K", 96000, 32000),
 ]
+# What a conversation without these settings gets.
 DEFAULT_MODEL = "gpt-3.5-turbo"
 DEFAULT_TEMPERATURE = 0.0
 DEFAULT_PROMPT = ("You are ChatGPT, a large language model trained by OpenAI. "

@@ -124,8 +124,9 @@ def export_json(messages: DataFrame) -> DataFrame:
         empty.alias("prompts"))).alias("bundle"))
 
 
-def export_file_name(day: Column) -> Column:
-    return F.concat(F.lit("chatbot_ui_history_"), F.date_format(day, "M-d"), F.lit(".json"))
+def export_file_name(day: Column, prefix: str = "chat_history") -> Column:
+    """Name of an export file with month and day, such as ``chat_history_3-7.json``."""
+    return F.concat(F.lit(f"{prefix}_"), F.date_format(day, "M-d"), F.lit(".json"))
 
 
 def last_message(messages: DataFrame) -> DataFrame:

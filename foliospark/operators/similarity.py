@@ -78,21 +78,29 @@ class Best:
         self.questions, self.rules = questions, rules
         self.row, self.score, self.doc = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
 
+    def floor(self) -> np.ndarray:
+        """Score a document needs to matter: the k-th best so far, column-shaped."""
+        counts = np.bincount(self.row, minlength=len(self.questions.ids))
+        out, full = np.full(len(counts), -np.inf), counts >= self.rules.k
+        out[full] = self.score[np.cumsum(counts)[full] - 1]
+        return out[:, None]
+
     def add(self, docs: Vectors) -> None:
         k = self.rules.k
         scores = np.round(self.questions.unit @ docs.unit.T, self.rules.digits) + 0.0
         mask = self.rules.allowed(self.questions, docs)
         if mask is not None:
             scores[~mask] = -np.inf
-        keep = scores > -np.inf
-        if scores.shape[1] > k:
+        keep = (scores >= self.floor()) & (scores > -np.inf)
+        if scores.shape[1] > k and np.count_nonzero(keep) > 4 * k * len(scores):
             # All above the k-th score, and of those equal to it the lowest ids: at most k per question,
             # however many copies of a document there are.
-            floor = -np.partition(-scores, k - 1, axis=1)[:, k - 1:k]
-            above = scores > floor
-            level = scores == floor
+            level_score = -np.partition(-scores, k - 1, axis=1)[:, k - 1:k]
+            above, level = scores > level_score, scores == level_score
             keep &= above | (level & (np.cumsum(level, axis=1) <= k - above.sum(axis=1, keepdims=True)))
         row, col = np.nonzero(keep)
+        if not len(row):
+            return
         row, score, doc = (np.concatenate(pair) for pair in (
             (self.row, row), (self.score, scores[row, col]), (self.doc, docs.ids[col])))
         order = np.lexsort((doc, -score, row))

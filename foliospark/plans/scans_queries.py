@@ -129,9 +129,14 @@ def document_loader(spark, sf):
         "d.doc_id", "d.source", F.md5("d.text").alias("text_md5"))
 
 
-@query("src12_keyset_page", "SELECT doc_id, source FROM documents WHERE doc_id > 100 ORDER BY doc_id LIMIT 10")
+@query("src12_keyset_page", """
+SELECT doc_id, source FROM documents WHERE doc_id > (SELECT max(doc_id) FROM (SELECT doc_id FROM documents ORDER BY doc_id LIMIT 10))
+ORDER BY doc_id LIMIT 10""")
 def keyset_page(spark, sf):
-    return ordering.keyset_page(table(spark, sf, "documents").select("doc_id", "source"), "doc_id", 100, 10)
+    """The second page: its cursor is the last key of the first."""
+    docs = table(spark, sf, "documents").select("doc_id", "source")
+    cursor = ordering.keyset_page(docs, "doc_id").agg(F.max("doc_id")).first()[0]
+    return ordering.keyset_page(docs, "doc_id", cursor)
 
 
 @query("src12_keyset_walk", """
@@ -186,16 +191,14 @@ def dataset_append(spark, sf):
 
 
 @query("snk2_vector_store", """
-SELECT vec_id, CAST(floor((row_number() OVER (ORDER BY vec_id) - 1) / 10) AS BIGINT) AS batch_no,
-       CAST(len(embedding) AS INTEGER) AS width, embedding[1] AS first_value, embedding[64] AS last_value
-FROM embeddings""")
+SELECT vec_id, CAST(len(embedding) AS INTEGER) AS width, CAST(embedding[1] AS DOUBLE) AS first_value,
+       CAST(embedding[64] AS DOUBLE) AS last_value FROM embeddings""")
 def vector_store(spark, sf):
     folder = work_folder(spark, "vectors")
-    rows = ordering.global_row_number(table(spark, sf, "embeddings"), "vec_id")
-    rows.withColumn("batch_no", F.floor((F.col("row_no") - 1) / 10)).drop("row_no").write.parquet(folder)
+    datasets.write_vectors(table(spark, sf, "embeddings"), folder, "embedding")
     return spark.read.parquet(folder).select(
-        "vec_id", "batch_no", F.size("embedding").alias("width"), F.element_at("embedding", 1).alias("first_value"),
-        F.element_at("embedding", 64).alias("last_value"))
+        "vec_id", F.size("embedding").alias("width"), F.element_at("embedding", 1).cast("double").alias("first_value"),
+        F.element_at("embedding", 64).cast("double").alias("last_value"))
 
 
 @query("snk3_json_shards", """

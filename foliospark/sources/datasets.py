@@ -90,6 +90,11 @@ def parse_class_name(df: DataFrame, column: str = "class_name") -> DataFrame:
     })
 
 
+def write_vectors(df: DataFrame, folder: str, vector: str = "vector") -> None:
+    """Append rows with a vector column, stored as 32-bit floats. Request batching belongs to the embedder."""
+    df.withColumn(vector, F.col(vector).cast("array<float>")).write.mode("append").parquet(folder)
+
+
 def with_shards(df: DataFrame, key: str, shard_size: int = 500) -> DataFrame:
     """Consecutive shards of ``shard_size`` rows in key order, named like ``0-000017``."""
     numbered = global_row_number(df, key)
