@@ -44,9 +44,9 @@ def rerank(hits: DataFrame, questions: DataFrame, chunks: DataFrame, scorer: Cal
            top_n: int | None = None) -> DataFrame:
     """Second scoring pass over the candidates only; ties keep the first pass' order."""
     few = at_most(questions, BROADCAST_ROWS)  # a handful of candidates per question: the chunks need no shuffle
-    asked = hits.join(questions.select("question_id", "question"), "question_id")
-    both = chunks.join(broadcast_when(asked, few), "chunk_id").withColumn(
-        "rerank_score", scorer(F.col("question"), F.col("chunk")))
+    both = (chunks.join(broadcast_when(hits, few), "chunk_id")
+            .join(questions.select("question_id", "question"), "question_id")
+            .withColumn("rerank_score", scorer(F.col("question"), F.col("chunk"))))
     order = Window.partitionBy("question_id").orderBy(F.desc("rerank_score"), "rank")
     ranked = both.withColumn("new_rank", F.row_number().over(order))
     return ranked if top_n is None else ranked.where(F.col("new_rank") <= top_n)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 100_000  # questions; their few candidates are ids and scores only
 
 
 def at_most(df: DataFrame, rows: int) -> bool:

@@ -31,8 +31,7 @@ def ingest_documents(store: DatasetStore, docs: DataFrame, splitter: str = "toke
     """
     named = docs.where(valid_name(F.col("dataset")))
     fresh = store.unknown_docs(named if unique_keys else named.dropDuplicates(["dataset", "dockey"]))
-    if not fresh.isEmpty():
-        store.append(fresh, chunk_documents(fresh, splitter, **options))
+    store.append(fresh, lambda stored: chunk_documents(stored, splitter, **options))
 
 
 def ingest_report(docs: DataFrame, text: str, group: list[str]) -> DataFrame:

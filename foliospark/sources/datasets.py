@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,11 +62,22 @@ class DatasetStore:
         """Documents whose key is not stored yet; only keys of the store are read."""
         return docs.join(self.docs().select("dataset", "dockey"), ["dataset", "dockey"], "left_anti") if self.runs() else docs
 
-    def append(self, docs: DataFrame, chunks: DataFrame) -> None:
+    def append(self, docs: DataFrame, chunker: Callable[[DataFrame], DataFrame]) -> None:
+        """Write documents, cut chunks from the written documents, then commit the run.
+
+        The chunks come from the stored table, so whatever produced the documents runs only once.
+        """
         run = uuid.uuid4().hex
-        for kind, frame, schema in (("chunks", chunks, CHUNKS), ("docs", docs, DOCS)):
-            columns = [c.split()[0] for c in schema.split(", ")]
-            frame.select(columns).write.partitionBy("dataset").parquet(f"{self.root}/{kind}/run={run}")
+
+        def write(frame: DataFrame, kind: str, schema: str) -> str:
+            folder = f"{self.root}/{kind}/run={run}"
+            frame.select([c.split()[0] for c in schema.split(", ")]).write.partitionBy("dataset").parquet(folder)
+            return folder
+
+        stored = self.spark.read.schema(DOCS).parquet(write(docs, "docs", DOCS))
+        if stored.isEmpty():
+            return
+        write(chunker(stored), "chunks", CHUNKS)
         system, marker = self._path("committed", run)
         system.create(marker).close()
 

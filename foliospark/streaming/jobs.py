@@ -27,18 +27,26 @@ def event_time(df: DataFrame, column: str, delay: str) -> DataFrame:
     return df.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, delay)
 
 
-def run_to_table(stream: DataFrame, purpose: str, *, mode: str = "append") -> DataFrame:
-    """Run a stream over all available input into a Parquet table and read that table."""
+def run_to_table(stream: DataFrame, purpose: str, *, folder: str | None = None) -> DataFrame:
+    """Run a stream over all available input into a Parquet table and read that table.
+
+    With a ``folder`` of your own, table and progress live there and a later run goes on where this
+    one ended.
+    """
     spark = stream.sparkSession
-    out, log = work_folder(spark, purpose), work_folder(spark, f"{purpose}-checkpoint")
-    stream.writeStream.format("parquet").outputMode(mode).option("path", out).option("checkpointLocation", log).trigger(
+    base = folder or work_folder(spark, purpose)
+    out, log = f"{base}/table", f"{base}/progress"
+    stream.writeStream.format("parquet").outputMode("append").option("path", out).option("checkpointLocation", log).trigger(
         availableNow=True).start().awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def ingest_stream(docs: DataFrame, store: DatasetStore, **options) -> None:
-    """Append arriving documents to a dataset; a repeated batch or document adds nothing."""
-    log = work_folder(docs.sparkSession, "ingest-checkpoint")
+def ingest_stream(docs: DataFrame, store: DatasetStore, *, progress: str | None = None, **options) -> None:
+    """Append arriving documents to a dataset; a repeated batch or document adds nothing.
+
+    With a ``progress`` folder a later run only reads files that are new since.
+    """
+    log = progress or work_folder(docs.sparkSession, "ingest-progress")
     docs.writeStream.foreachBatch(lambda batch, _: ingest_documents(store, batch, **options)).option(
         "checkpointLocation", log).trigger(availableNow=True).start().awaitTermination()
 

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from foliospark.session import work_folder
+from foliospark.sources.datasets import DatasetStore
 from foliospark.streaming import jobs
 
 
@@ -23,3 +24,22 @@ def test_rate_limit_and_sessions(spark):
     assert sorted(r.payload for r in first) == [1, 3, 4, 5]
     got = jobs.sessions(df, "user", "ts", "2 minutes").collect()
     assert sorted((r.user, r.n_events) for r in got) == [(1, 1), (1, 3), (2, 1)]
+
+
+def test_streams_go_on_where_they_ended(spark):
+    source, base = work_folder(spark, "test-source"), work_folder(spark, "test-resume")
+    for start in (0, 5):
+        spark.range(start, start + 5).withColumn("v", F.col("id") * 2).coalesce(1).write.mode("append").parquet(source)
+        stream = jobs.file_stream(spark, source, "id long, v long")
+        assert jobs.run_to_table(stream, "test", folder=base).count() == start + 5
+
+
+def test_incremental_ingest_adds_only_new_documents(spark):
+    store, progress = DatasetStore(spark, work_folder(spark, "test-store")), work_folder(spark, "test-progress")
+    source = work_folder(spark, "test-docs")
+    for number, text in ((1, "a b c"), (1, "a b c"), (2, "d e")):
+        spark.createDataFrame([("one", f"k{number}", number, text)], "dataset string, dockey string, doc_id long, text string").coalesce(
+            1).write.mode("append").parquet(source)
+        jobs.ingest_stream(jobs.file_stream(spark, source, "dataset string, dockey string, doc_id long, text string"), store,
+                           progress=progress, size=2)
+    assert (store.docs().count(), store.chunks().count(), len(store.runs())) == (2, 3, 2)
