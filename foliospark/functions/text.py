@@ -7,7 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The white space a browser trims, as a regex class both Java and RE2 read.
+# The white space a browser trims, as characters and as a regex class Java and RE2 both read.
+SPACE_CHARACTERS = ("\t\n\x0b\x0c\r \xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff")
 BROWSER_SPACE = (r"[\s\x{0B}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]")
 TOKEN_GAP = r"[ \t\n\x0B\f\r]+"
 
@@ -29,7 +30,7 @@ def token_count(text: Column) -> Column:
 
 
 def trim_space(text: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(text, f"^{BROWSER_SPACE}+", ""), f"{BROWSER_SPACE}+$", "")
+    return F.btrim(text, F.lit(SPACE_CHARACTERS))
 
 
 def clean_source_text(text: Column) -> Column:
@@ -110,7 +111,7 @@ def judge_score(output: Column) -> Column:
 
 def redact(text: Column) -> Column:
     """Mask mail addresses, IP addresses, long id numbers and phone numbers."""
-    text = F.regexp_replace(text, EMAIL, "<EMAIL>")
+    text = F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, EMAIL, "<EMAIL>")).otherwise(text)
     text = F.regexp_replace(text, IP_ADDRESS, "<IP>")
     text = F.regexp_replace(text, LONG_NUMBER, "<ID>")
     return F.regexp_replace(text, PHONE, "<PHONE>")

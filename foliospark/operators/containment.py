@@ -13,12 +13,12 @@ ANCHOR_WORDS = 8
 
 def _grams(words, n: int):
     """Hash of every run of ``n`` words. Single elements are read, not slices: linear in the text."""
-    def runs(w):
-        last = F.size(w) - n
+    def runs(hashes):
+        last = F.size(hashes) - n
         starts = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda at: F.xxhash64(F.concat_ws(" ", *[F.get(w, at + i) for i in range(n)])))
+        return F.transform(starts, lambda at: F.xxhash64(*[F.get(hashes, at + i) for i in range(n)]))
 
-    return let(words, runs)
+    return let(F.transform(words, lambda w: F.xxhash64(w)), runs)
 
 
 def passages_in_texts(passages: DataFrame, texts: DataFrame, passage_id: str, passage: str,
@@ -42,7 +42,7 @@ def passages_in_texts(passages: DataFrame, texts: DataFrame, passage_id: str, pa
             keys = explode_rows(split, [text_id], _character_pairs("_text"), "_gram")
         else:  # middle of the inner words: openings are often shared, middles rarely
             at = F.greatest((F.floor((F.size("_w") - n) / 2) + 1).cast("int"), F.lit(2))
-            keyed = mine.select(passage_id, F.xxhash64(F.array_join(F.slice("_w", at, n), " ")).alias("_gram"))
+            keyed = mine.select(passage_id, F.get(_grams(F.slice("_w", at, n), n), 0).alias("_gram"))
             keys = explode_rows(split, [text_id], F.array_distinct(_grams(tokens(F.col("_text")), n)), "_gram")
         candidates.append(keys.join(keyed, "_gram").select(passage_id, text_id))
     if not candidates:
