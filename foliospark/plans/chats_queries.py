@@ -70,21 +70,21 @@ def _bundles(spark, sf):
 
 @query("prj18_bundle_upgrade", f"""
 WITH b AS (SELECT conv_id, turn, turn % 6 AS v FROM conversations)
-SELECT conv_id, turn, CASE v WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 2 WHEN 3 THEN 3 WHEN 4 THEN 4 END AS version_found,
-       CASE WHEN v IN (0, 1, 3, 4) THEN 1 WHEN v = 2 THEN 0 END AS n_history,
+SELECT conv_id, turn, CAST(CASE v WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 2 WHEN 3 THEN 3 WHEN 4 THEN 4 ELSE 0 END AS INTEGER) AS version_found,
+       CASE WHEN v IN (0, 1, 3, 4) THEN 1 ELSE 0 END AS n_history,
        CASE WHEN v IN (0, 1, 3, 4) THEN CAST(conv_id * 100 + turn AS VARCHAR) END AS first_id,
        CASE WHEN v IN (0, 1) THEN 'gpt-3.5-turbo' WHEN v IN (3, 4) THEN 'gpt-4' END AS first_model,
        CASE WHEN v IN (0, 1) THEN '{constants.DEFAULT_PROMPT.replace("'", "''")}' WHEN v IN (3, 4) THEN 'p' END AS first_prompt,
        CASE WHEN v = 1 THEN '7/chat,8/chat' WHEN v = 3 THEN 'a/prompt' WHEN v IN (0, 2, 4) THEN '' END AS folders,
-       CASE WHEN v = 4 THEN 1 WHEN v < 4 THEN 0 END AS n_prompts FROM b""")
+       CASE WHEN v = 4 THEN 1 ELSE 0 END AS n_prompts FROM b""")
 def bundle_upgrade(spark, sf):
     up = chat.upgrade_bundles(_bundles(spark, sf), "raw")
     known, first = F.col("version_found").isNotNull(), F.get("history", 0)
     return up.select(
-        "conv_id", "turn", "version_found", F.when(known, F.size("history")).alias("n_history"), first["id"].alias("first_id"),
+        "conv_id", "turn", F.coalesce("version_found", F.lit(0)).alias("version_found"), F.when(known, F.size("history")).otherwise(0).alias("n_history"), first["id"].alias("first_id"),
         first["model"]["id"].alias("first_model"), first["prompt"].alias("first_prompt"),
         F.when(known, F.array_join(F.transform("folders", lambda f: F.concat_ws("/", f["id"], f["type"])), ",")).alias("folders"),
-        F.when(known, F.size("prompts")).alias("n_prompts"))
+        F.when(known, F.size("prompts")).otherwise(0).alias("n_prompts"))
 
 
 def _sql_search(term: str) -> str:
@@ -278,17 +278,18 @@ def attach_feedback(spark, sf):
 
 
 @query("jn8_drop_dangling", """
-SELECT c_custkey, CASE WHEN n_regionkey <> 2 THEN c_nationkey END AS folder_id FROM customer JOIN nation ON n_nationkey = c_nationkey""")
+SELECT c_custkey, CASE WHEN n_regionkey <> 2 THEN CAST(c_nationkey AS VARCHAR) END AS folder_id FROM customer JOIN nation ON n_nationkey = c_nationkey""")
 def drop_dangling(spark, sf):
     folders = table(spark, sf, "nation").where(F.col("n_regionkey") != 2)
     items = table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("folder_id"))
-    return joins.drop_dangling(items, folders, "folder_id", "n_nationkey")
+    kept = joins.drop_dangling(items, folders, "folder_id", "n_nationkey")
+    return kept.withColumn("folder_id", F.col("folder_id").cast("string"))
 
 
 @query("jn9_filed_items", """
-SELECT c_custkey, folder_id, n_name FROM (SELECT c_custkey, CASE WHEN c_custkey % 5 <> 0 THEN c_nationkey END AS folder_id FROM customer)
+SELECT c_custkey, CAST(folder_id AS VARCHAR) AS folder_id, n_name FROM (SELECT c_custkey, CASE WHEN c_custkey % 5 <> 0 THEN c_nationkey END AS folder_id FROM customer)
 LEFT JOIN nation ON n_nationkey = folder_id""")
 def filed_items(spark, sf):
     items = table(spark, sf, "customer").select("c_custkey", F.when(F.col("c_custkey") % 5 != 0, F.col("c_nationkey")).alias("folder_id"))
     return joins.filed_items(items, table(spark, sf, "nation").select("n_nationkey", "n_name"), "folder_id", "n_nationkey",
-                             "n_name", "c_custkey").select("c_custkey", "folder_id", "n_name")
+                             "n_name", "c_custkey").select("c_custkey", F.col("folder_id").cast("string").alias("folder_id"), "n_name")

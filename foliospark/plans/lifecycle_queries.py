@@ -35,12 +35,16 @@ def _named_chunks(spark, sf):
     return chunk_table(spark, sf).withColumn("name", F.concat(F.lit("doc "), F.col("doc_id").cast("string")))
 
 
+def _flat(answered):
+    return answered.withColumn("cache_id", F.col("cache_id").cast("string"))
+
+
 @query("lifecycle_answers", f"""
 WITH {_SQL_SOURCES}
-SELECT item_id AS question_id, 'miss' AS status, CAST(NULL AS BIGINT) AS cache_id, context, "references", {_SQL_PROMPT} AS prompt
+SELECT item_id AS question_id, 'miss' AS status, CAST(NULL AS VARCHAR) AS cache_id, context, "references", {_SQL_PROMPT} AS prompt
 FROM benchmark LEFT JOIN ctx ON ctx.question_id = item_id LEFT JOIN refs ON refs.question_id = item_id""")
 def answers(spark, sf):
-    return answer_questions(question_table(spark, sf), _named_chunks(spark, sf))
+    return _flat(answer_questions(question_table(spark, sf), _named_chunks(spark, sf)))
 
 
 @query("lifecycle_cached_answers", f"""
@@ -51,7 +55,7 @@ cache AS (SELECT min(conv_id) AS cache_id, text FROM (SELECT conv_id, text FROM
 sc AS ({sql_scores('i', 'k')}),
 best AS (SELECT question_id, doc_id AS cache_id, score FROM sc QUALIFY row_number() OVER (PARTITION BY question_id ORDER BY score DESC, doc_id) = 1)
 SELECT item_id AS question_id, CASE WHEN score >= 0.9 THEN 'hit' WHEN score >= 0.85 THEN 'suggest' ELSE 'miss' END AS status,
-       CASE WHEN score >= 0.9 THEN cache_id END AS cache_id, CASE WHEN score < 0.9 THEN context END AS context,
+       CASE WHEN score >= 0.9 THEN CAST(cache_id AS VARCHAR) END AS cache_id, CASE WHEN score < 0.9 THEN context END AS context,
        CASE WHEN score < 0.9 THEN "references" END AS "references", CASE WHEN score < 0.9 THEN {_SQL_PROMPT} END AS prompt
 FROM benchmark JOIN best ON best.question_id = item_id LEFT JOIN ctx ON ctx.question_id = item_id LEFT JOIN refs ON refs.question_id = item_id""")
 def cached_answers(spark, sf):
@@ -59,7 +63,7 @@ def cached_answers(spark, sf):
     cache = users.select(F.col("conv_id").alias("cache_id"), F.col("text").alias("question")).unionByName(
         table(spark, sf, "benchmark").where(F.length("text") > 200).select(
             (F.col("item_id") + 1_000_000).alias("cache_id"), F.col("text").alias("question")))
-    return answer_questions(question_table(spark, sf), _named_chunks(spark, sf), cache)
+    return _flat(answer_questions(question_table(spark, sf), _named_chunks(spark, sf), cache))
 
 
 @query("lifecycle_evaluation", f"""
@@ -127,11 +131,11 @@ def metadata_extractor(spark, sf):
     return table(spark, sf, "pages").transform(extract).select("page_id", "n_html", "kind")
 
 
-@query("udx3_output_parser", f"SELECT doc_id, CASE WHEN score > 5 THEN 1 WHEN score IS NOT NULL THEN 0 END AS passed FROM ({SQL_JUDGED})")
+@query("udx3_output_parser", f"SELECT doc_id, CASE WHEN score > 5 THEN 'yes' WHEN score IS NOT NULL THEN 'no' END AS passed FROM ({SQL_JUDGED})")
 def output_parser(spark, sf):
     def passed(output):
         score = judge_score(output)
-        return F.when(score > 5, 1).when(score.isNotNull(), 0)
+        return F.when(score > 5, "yes").when(score.isNotNull(), "no")
 
     return judge_replies(spark, sf).select("doc_id", passed(F.col("judge_output")).alias("passed"))
 

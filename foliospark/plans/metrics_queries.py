@@ -232,10 +232,10 @@ def roc_auc_hard_labels(spark, sf):
 
 
 @query("evl10_epoch_averages", """
-SELECT CAST(ts AS DATE) AS epoch, round(avg(value), 6) AS loss, round(100 * avg(CASE WHEN event_type <> 'error' THEN 1.0 ELSE 0.0 END), 6) AS accuracy
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS epoch, round(avg(value), 6) AS loss, round(100 * avg(CASE WHEN event_type <> 'error' THEN 1.0 ELSE 0.0 END), 6) AS accuracy
 FROM events GROUP BY 1""")
 def epoch_averages(spark, sf):
-    return evaluation.epoch_averages(table(spark, sf, "events"), F.col("ts").cast("date"), "value", F.col("event_type") != "error")
+    return evaluation.epoch_averages(table(spark, sf, "events"), F.col("ts").cast("date").cast("string"), "value", F.col("event_type") != "error")
 
 
 @query("agg6_best_trial", """

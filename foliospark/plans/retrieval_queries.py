@@ -208,16 +208,20 @@ def cache_lookup(spark, sf, threshold=0.90, suggestion_threshold=0.85):
 _SQL_CACHE_STATUS = f"""
 WITH {_SQL_CACHE}
 SELECT inc.question_id, CASE WHEN g.cache_id IS NOT NULL THEN 'hit' WHEN suggestions IS NOT NULL THEN 'suggest' ELSE 'miss' END AS status,
-       g.cache_id, g.best_score, coalesce(suggestions, '') AS suggestions
+       CAST(g.cache_id AS VARCHAR) AS cache_id, g.best_score, coalesce(suggestions, '') AS suggestions
 FROM inc LEFT JOIN g USING (question_id) LEFT JOIN s USING (question_id)"""
 
 
+def _flat(looked_up):
+    return looked_up.withColumns({"cache_id": F.col("cache_id").cast("string"),
+                                  "suggestions": F.array_join(F.col("suggestions").cast("array<string>"), ",")})
+
+
 @query("jn4_question_cache", _SQL_CACHE_STATUS.format(hit=0.90, near=0.85))
 def question_cache(spark, sf):
-    return cache_lookup(spark, sf).withColumn("suggestions", F.array_join(F.col("suggestions").cast("array<string>"), ","))
+    return _flat(cache_lookup(spark, sf))
 
 
 @query("jn4_question_cache_wide", _SQL_CACHE_STATUS.format(hit=0.6, near=0.5))
 def question_cache_wide(spark, sf):
-    return cache_lookup(spark, sf, 0.6, 0.5).withColumn(
-        "suggestions", F.array_join(F.col("suggestions").cast("array<string>"), ","))
+    return _flat(cache_lookup(spark, sf, 0.6, 0.5))

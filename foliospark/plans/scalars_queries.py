@@ -207,9 +207,9 @@ SELECT doc_id, source, CASE WHEN s BETWEEN 1 AND 10 THEN s END AS score
 FROM (SELECT doc_id, source, TRY_CAST(regexp_extract({_SQL_JUDGE}, '([0-9]+)', 1) AS INTEGER) AS s FROM documents)"""
 
 
-@query("prj13_judge_score", f"SELECT doc_id, score FROM ({SQL_JUDGED})")
+@query("prj13_judge_score", f"SELECT doc_id, CAST(score AS VARCHAR) AS score FROM ({SQL_JUDGED})")
 def judge_score(spark, sf):
-    return judge_replies(spark, sf).select("doc_id", text.judge_score(F.col("judge_output")).alias("score"))
+    return judge_replies(spark, sf).select("doc_id", text.judge_score(F.col("judge_output")).cast("string").alias("score"))
 
 
 @query("prj14_redact", f"""
@@ -247,16 +247,16 @@ def prompt_name_search(spark, sf):
 
 
 @query("prj21_mixed_dates", """
-SELECT o_orderkey, CASE WHEN o_orderkey % 3 < 2 THEN CAST(o_orderdate AS DATE) + INTERVAL 24 YEAR END::DATE AS day FROM orders""")
+SELECT o_orderkey, CASE WHEN o_orderkey % 3 < 2 THEN CAST(CAST(CAST(o_orderdate AS DATE) + INTERVAL 24 YEAR AS DATE) AS VARCHAR) END AS day FROM orders""")
 def mixed_dates(spark, sf):
     day = F.add_months(F.col("o_orderdate").cast("date"), 288)
     raw = F.when(F.col("o_orderkey") % 3 == 0, F.date_format(day, "yyyy-MM-dd")).when(
         F.col("o_orderkey") % 3 == 1, F.date_format(day, "MMMM dd yy")).otherwise("last week")
-    return table(spark, sf, "orders").select("o_orderkey", text.mixed_date(raw).alias("day"))
+    return table(spark, sf, "orders").select("o_orderkey", text.mixed_date(raw).cast("string").alias("day"))
 
 
 @query("prj22_scale_features", """
-SELECT vec_id, CAST(label AS BIGINT) AS label, pos - 1 AS pos, round(x / 255, 6) AS scaled, round((x - 0.1307) / 0.3081, 6) AS standard
+SELECT vec_id, CAST(label AS BIGINT) AS label, pos - 1 AS pos, round(x / 255, 6) + 0.0 AS scaled, round((x - 0.1307) / 0.3081, 6) + 0.0 AS standard
 FROM (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x,
              CAST(generate_subscripts(embedding, 1) AS INTEGER) AS pos FROM embeddings)""")
 def scale_features(spark, sf):

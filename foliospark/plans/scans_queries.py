@@ -40,16 +40,16 @@ def _scraped_folder(spark, sf) -> str:
 
 @query("src3_json_documents", """
 SELECT 'https://example.org/' || source || '/' || doc_id AS url,
-       DATE '2024-01-01' + CAST(doc_id % 300 AS INTEGER) AS collected_on,
-       CASE WHEN doc_id % 2 = 1 THEN DATE '2024-01-01' + CAST(doc_id % 300 AS INTEGER) END AS published_on,
+       CAST(CAST(DATE '2024-01-01' + CAST(doc_id % 300 AS INTEGER) AS DATE) AS VARCHAR) AS collected_on,
+       CASE WHEN doc_id % 2 = 1 THEN CAST(CAST(DATE '2024-01-01' + CAST(doc_id % 300 AS INTEGER) AS DATE) AS VARCHAR) END AS published_on,
        CASE WHEN doc_id % 3 = 0 THEN split_part(text, '.', 1) END AS question,
        md5(text) AS text_md5
 FROM documents""")
 def json_documents(spark, sf):
     docs = corpora.read_scraped(spark, _scraped_folder(spark, sf))
     return docs.select(
-        "url", corpora.collected_on(F.col("date"), F.col("scraped_date")).alias("collected_on"),
-        corpora.mixed_date(F.col("published_date")).alias("published_on"), "question",
+        "url", corpora.collected_on(F.col("date"), F.col("scraped_date")).cast("string").alias("collected_on"),
+        corpora.mixed_date(F.col("published_date")).cast("string").alias("published_on"), "question",
         F.md5("text").alias("text_md5"))
 
 

@@ -17,6 +17,11 @@ def _stream(spark, sf, name):
     return jobs.file_stream(spark, sf, table(spark, sf, name).schema, pattern=f"{name}.parquet")
 
 
+def _micros(df, *columns):
+    """Times as microseconds since 1970, which every client reads the same way."""
+    return df.withColumns({c: F.unix_micros(c) for c in columns})
+
+
 @query("str1_incremental_ingest", f"""
 WITH {sql_chunks(256, 0)}
 SELECT source AS dataset, sha256(source || doc_id) AS doc, chunk_no, md5(chunk) AS chunk_md5 FROM chunks JOIN documents USING (doc_id)""")
@@ -52,7 +57,7 @@ f AS (SELECT event_id - 1 - event_id % 3 AS request_id, ts AS fb_ts, event_type
 
 @query("str3_late_feedback", f"""
 WITH {_FEEDBACK_SQL}
-SELECT request_id, ts, fb_ts, feedback FROM m JOIN f USING (request_id) WHERE fb_ts BETWEEN ts AND ts + INTERVAL 15 MINUTE""")
+SELECT request_id, epoch_us(ts) AS ts, epoch_us(fb_ts) AS fb_ts, feedback FROM m JOIN f USING (request_id) WHERE fb_ts BETWEEN ts AND ts + INTERVAL 15 MINUTE""")
 def late_feedback(spark, sf):
     events = _stream(spark, sf, "events")
     messages = jobs.event_time(events.where(F.col("event_type") == "view").select(F.col("event_id").alias("request_id"), "ts"), "ts", "1 hour")
@@ -60,17 +65,17 @@ def late_feedback(spark, sf):
         (F.col("event_id") - 1 - F.col("event_id") % 3).alias("request_id"), F.col("ts").alias("fb_ts"),
         F.col("event_type").alias("feedback")), "fb_ts", "1 hour")
     joined = jobs.run_to_table(jobs.attach_late_feedback(messages, posts), "feedback")
-    return joined.withColumns({"ts": F.col("ts").cast("timestamp_ntz"), "fb_ts": F.col("fb_ts").cast("timestamp_ntz")})
+    return _micros(joined, "ts", "fb_ts")
 
 
 @query("str4_rate_limit", """
 WITH e AS (SELECT user_id, event_id, ts, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') AS window_start FROM events)
-SELECT user_id, window_start, min(ts) AS ts, arg_min(event_id, (ts, event_id)) AS payload FROM e
-WHERE window_start + INTERVAL 6 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY 1, 2""")
+SELECT user_id, epoch_us(window_start) AS window_start, epoch_us(min(ts)) AS ts, arg_min(event_id, (ts, event_id)) AS payload FROM e
+WHERE window_start + INTERVAL 6 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY user_id, window_start""")
 def rate_limit(spark, sf):
     events = jobs.event_time(_stream(spark, sf, "events").select("user_id", "event_id", "ts"), "ts", "1 hour")
     first = jobs.run_to_table(jobs.first_per_interval(events, "user_id", "ts", F.col("event_id"), "6 hours"), "rate-limit")
-    return first.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "ts")})
+    return _micros(first, "window_start", "ts")
 
 
 _SESSION_SQL = """
@@ -80,16 +85,16 @@ w AS (SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 2 HOUR AS ses
 
 
 @query("str5_sessions", f"""
-WITH {_SESSION_SQL} SELECT user_id, session_start, session_end, n_events FROM w
+WITH {_SESSION_SQL} SELECT user_id, epoch_us(session_start) AS session_start, epoch_us(session_end) AS session_end, n_events FROM w
 WHERE session_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""")
 def session_stream(spark, sf):
     events = jobs.event_time(_stream(spark, sf, "events").select("user_id", "ts"), "ts", "1 hour")
     out = jobs.run_to_table(jobs.sessions(events, "user_id", "ts", "2 hours"), "sessions")
-    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
+    return _micros(out, "session_start", "session_end")
 
 
-@query("str5_sessions_batch", f"WITH {_SESSION_SQL} SELECT user_id, session_start, session_end, n_events FROM w")
+@query("str5_sessions_batch", f"WITH {_SESSION_SQL} SELECT user_id, epoch_us(session_start) AS session_start, epoch_us(session_end) AS session_end, n_events FROM w")
 def session_batch(spark, sf):
     events = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     out = jobs.sessions(events, "user_id", "ts", "2 hours")
-    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
+    return _micros(out, "session_start", "session_end")
