@@ -96,6 +96,3 @@ def neighbours_by_join(hits: DataFrame, chunks: DataFrame, doc: str = "doc", num
 
     return hits.join(side(1, "prev"), [doc, number], "left").join(side(-1, "next"), [doc, number], "left")
 
-
-__all__ = ["token_windows", "explode_chunks", "split_tokens", "sentences", "split_sentences",
-           "split_characters", "neighbours_by_join"]

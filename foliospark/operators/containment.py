@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.generate import explode_rows, let
@@ -11,14 +11,22 @@ from ..functions.text import tokens
 ANCHOR_WORDS = 8
 
 
-def _grams(words, n: int):
+def _word_runs(hashes: Column, n: int) -> Column:
     """Hash of every run of ``n`` words. Single elements are read, not slices: linear in the text."""
-    def runs(hashes):
-        last = F.size(hashes) - n
-        starts = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda at: F.xxhash64(*[F.get(hashes, at + i) for i in range(n)]))
+    last = F.size(hashes) - n
+    starts = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda at: F.xxhash64(*[F.get(hashes, at + i) for i in range(n)]))
 
-    return let(F.transform(words, lambda w: F.xxhash64(w)), runs)
+
+def _word_hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def _character_pairs(text: Column) -> Column:
+    at = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
+    pairs = F.transform(at, lambda i: F.substring(text, i, F.lit(2)))
+    singles = F.transform(at, lambda i: F.substring(text, i, F.lit(1)))
+    return F.array_distinct(F.concat(pairs, singles, F.array(F.lit(""))))
 
 
 def passages_in_texts(passages: DataFrame, texts: DataFrame, passage_id: str, passage: str,
@@ -28,35 +36,35 @@ def passages_in_texts(passages: DataFrame, texts: DataFrame, passage_id: str, pa
     A passage found in a text brings its inner words along as whole, consecutive words (only the
     first and last may be cut). So each passage is looked up by one run of inner words, and only
     texts with that run are compared in full. Word runs join on their hash and carry the text id
-    alone; Spark broadcasts the passages when small and shuffles otherwise. ``text_id`` is unique.
+    alone; Spark broadcasts the passages when small and shuffles otherwise. Equal passages are looked
+    up once. Ids are unique per side.
     """
-    words = passages.select(F.col(passage_id), F.col(passage).alias("_passage"), tokens(F.col(passage)).alias("_w"))
-    words = words.withColumn("_n", F.greatest(F.least(F.lit(ANCHOR_WORDS), F.size("_w") - 2), F.lit(0)))
-    sizes = [r[0] for r in words.select("_n").distinct().collect()]  # at most ANCHOR_WORDS + 1 values
+    asked = passages.select(F.col(passage_id), F.col(passage).alias("_passage"))
+    distinct = asked.groupBy("_passage").agg(F.min(passage_id).alias("_rep")).withColumn("_w", tokens(F.col("_passage")))
+    distinct = distinct.withColumn("_n", F.greatest(F.least(F.lit(ANCHOR_WORDS), F.size("_w") - 2), F.lit(0)))
+    sizes = sorted(r[0] for r in distinct.select("_n").distinct().collect())  # at most ANCHOR_WORDS + 1 values
     split = texts.select(F.col(text_id), F.col(text).alias("_text"))
     candidates = []
-    for n in sorted(sizes):
-        mine = words.where(F.col("_n") == n)
-        if n == 0:  # one or two words, none of them inner: look up the first two characters
-            keyed = mine.select(passage_id, F.substring("_passage", 1, 2).alias("_gram"))
-            keys = explode_rows(split, [text_id], _character_pairs("_text"), "_gram")
-        else:  # middle of the inner words: openings are often shared, middles rarely
+    runs = [n for n in sizes if n > 0]
+    if runs:
+        # The run in the middle of the passage: openings are often shared, middles rarely.
+        def anchor(n: int) -> Column:
             at = F.greatest((F.floor((F.size("_w") - n) / 2) + 1).cast("int"), F.lit(2))
-            keyed = mine.select(passage_id, F.get(_grams(F.slice("_w", at, n), n), 0).alias("_gram"))
-            keys = explode_rows(split, [text_id], F.array_distinct(_grams(tokens(F.col("_text")), n)), "_gram")
-        candidates.append(keys.join(keyed, "_gram").select(passage_id, text_id))
+            return F.when(F.col("_n") == n, F.get(_word_runs(_word_hashes(F.slice("_w", at, n)), n), 0))
+
+        keyed = distinct.where(F.col("_n") > 0).select("_rep", F.coalesce(*[anchor(n) for n in runs]).alias("_key"))
+        found = let(_word_hashes(tokens(F.col("_text"))), lambda h: F.concat(*[_word_runs(h, n) for n in runs]))
+        candidates.append(explode_rows(split, [text_id], F.array_distinct(found), "_key").join(keyed, "_key"))
+    if 0 in sizes:  # one or two words, none of them inner: look up the first two characters
+        keyed = distinct.where(F.col("_n") == 0).select("_rep", F.substring("_passage", 1, 2).alias("_key"))
+        candidates.append(explode_rows(split, [text_id], _character_pairs(F.col("_text")), "_key").join(keyed, "_key"))
     if not candidates:
-        return passages.select(passage_id).limit(0).join(texts.select(text_id), F.lit(True))
-    pairs = candidates[0]
+        id_type = texts.schema[text_id].dataType
+        return passages.where(F.lit(False)).select(passage_id, F.lit(None).cast(id_type).alias(text_id))
+    pairs = candidates[0].select("_rep", text_id)
     for more in candidates[1:]:
-        pairs = pairs.unionByName(more)
-    return (pairs.join(words.select(passage_id, "_passage"), passage_id)
-            .join(texts.select(text_id, F.col(text).alias("_text")), text_id)
-            .where(F.contains("_text", "_passage")).select(passage_id, text_id).distinct())
-
-
-def _character_pairs(text: str):
-    at = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
-    pairs = F.transform(at, lambda i: F.substring(F.col(text), i, F.lit(2)))
-    singles = F.transform(at, lambda i: F.substring(F.col(text), i, F.lit(1)))
-    return F.array_distinct(F.concat(pairs, singles, F.array(F.lit(""))))
+        pairs = pairs.unionByName(more.select("_rep", text_id))
+    inside = (pairs.join(distinct.select("_rep", "_passage"), "_rep").join(split, text_id)
+              .where(F.contains("_text", "_passage")).select("_rep", text_id).distinct())
+    members = asked.join(distinct.select("_rep", "_passage"), "_passage").select("_rep", passage_id)
+    return inside.join(members, "_rep").select(passage_id, text_id)

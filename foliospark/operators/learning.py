@@ -112,6 +112,3 @@ def score_json(records: DataFrame, schema: str, folder: str, keep: list[str]) ->
     parsed = records.select(F.from_json("value", schema).alias("r")).select("r.*")
     return model.transform(parsed).select(F.to_json(F.struct(*keep, "prediction")).alias("value"))
 
-
-__all__ = ["features_and_label", "vector_features", "elastic_net", "decision_tree", "forest", "dense_classifier",
-           "with_folds", "cross_validated_accuracy", "search_space", "search", "save_model", "signature", "score_json"]

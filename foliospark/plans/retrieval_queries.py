@@ -30,11 +30,9 @@ LEFT JOIN (SELECT a.id AS qid, b.id AS cid, sum(a.v * b.v) AS dot FROM {left} a
 
 
 @query("vec1_embed_texts", f"""
-WITH {sql_embed('e', 'documents', 'doc_id', 'text')}
-SELECT doc_id, CAST(slot AS INTEGER) AS slot, coalesce(e.v, 0.0) AS value
-FROM documents CROSS JOIN (SELECT unnest(range(64)) AS slot) LEFT JOIN e ON e.id = doc_id AND e.slot = CAST(slot AS BIGINT)
-""".replace("AND e.slot = CAST(slot AS BIGINT)", "AND e.slot = s.slot").replace("unnest(range(64)) AS slot)", "unnest(range(64)) AS slot) s")
-       .replace("CAST(slot AS INTEGER) AS slot, coalesce", "CAST(s.slot AS INTEGER) AS slot, coalesce"))
+WITH {sql_embed('e', 'documents', 'doc_id', 'text')}, slots AS (SELECT unnest(range(64)) AS slot)
+SELECT doc_id, CAST(s.slot AS INTEGER) AS slot, coalesce(e.v, 0.0) AS value
+FROM documents CROSS JOIN slots s LEFT JOIN e ON e.id = doc_id AND e.slot = s.slot""")
 def embed_texts(spark, sf):
     docs = spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id").select("doc_id", embedding.embed(F.col("text")).alias("vector"))
     return posexplode_rows(docs, ["doc_id"], "vector", "slot", "value")

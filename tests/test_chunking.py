@@ -116,7 +116,13 @@ def test_passages_in_texts(spark):
     rng = random.Random(6)
     texts = [(i, words(rng.randint(1, 60), rng)) for i in range(40)]
     passages = [(i, t[rng.randint(0, len(t) // 2):][:rng.randint(1, 80)]) for i, (_, t) in enumerate(texts)]
-    passages += [(100, "a"), (101, "zz"), (102, " a"), (103, "a b")]
+    passages += [(100, "a"), (101, "zz"), (102, " a"), (103, "a b"), (104, passages[3][1]), (105, passages[3][1])]
     got = passages_in_texts(spark.createDataFrame(passages, "p long, s string"), spark.createDataFrame(texts, "t long, x string"),
                             "p", "s", "t", "x").collect()
     assert sorted(map(tuple, got)) == sorted((p, t) for p, s in passages for t, x in texts if s in x)
+
+
+def test_no_passages(spark):
+    texts = spark.createDataFrame([(1, "a")], "t long, x string")
+    none = spark.createDataFrame([], "p long, s string")
+    assert passages_in_texts(none, texts, "p", "s", "t", "x").collect() == []
