@@ -114,14 +114,29 @@ def assemble(messages: DataFrame, segment_turns: int = SEGMENT_TURNS) -> DataFra
     return messages.groupBy("conv_id", segment).agg(items.alias("messages"))
 
 
+def _bundle(history: Column, folders: Column, prompts: Column) -> Column:
+    return F.to_json(F.struct(F.lit(4).alias("version"), history.alias("history"), folders.alias("folders"),
+                              prompts.alias("prompts"))).alias("bundle")
+
+
 def export_json(messages: DataFrame) -> DataFrame:
-    """Version 4 bundle text per conversation segment."""
+    """Version 4 bundle text per conversation segment; every row can be imported on its own.
+
+    Later segments of a long conversation get an id of their own, so an import keeps all of them.
+    """
     plain = F.transform("messages", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
-    conversation = F.struct(F.col("conv_id").cast("string").alias("id"), plain.alias("messages"))
+    number = F.col("conv_id").cast("string")
+    own_id = F.when(F.col("segment") == 0, number).otherwise(F.concat(number, F.lit("/"), F.col("segment").cast("string")))
+    empty = F.array().cast("array<string>")
+    history = F.array(F.struct(own_id.alias("id"), plain.alias("messages")))
+    return assemble(messages).select("conv_id", "segment", _bundle(history, empty, empty))
+
+
+def export_folders_and_prompts(folders: DataFrame, prompts: DataFrame) -> DataFrame:
+    """Version 4 bundle text per folder (id, name, type) and per prompt."""
     empty = F.array().cast("array<string>")
-    return assemble(messages).select("conv_id", "segment", F.to_json(F.struct(
-        F.lit(4).alias("version"), F.array(conversation).alias("history"), empty.alias("folders"),
-        empty.alias("prompts"))).alias("bundle"))
+    return folders.select(_bundle(empty, F.array(F.struct("id", "name", "type")), empty)).unionByName(
+        prompts.select(_bundle(empty, empty, F.array(F.struct(*prompts.columns)))))
 
 
 def export_file_name(day: Column, prefix: str = "chat_history") -> Column:

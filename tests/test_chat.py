@@ -121,3 +121,16 @@ def test_sets(spark):
     assert sorted(r.v for r in sets.upsert(old, new.where("v = 'c'"), "id").collect()) == ["a", "c"]
     typed = spark.createDataFrame([(1, "chat"), (2, None), (3, "prompt")], "id long, type string")
     assert sorted(r.id for r in sets.clear_type(typed, "type", "chat").collect()) == [2, 3]
+
+
+def test_export_can_be_imported(spark):
+    out = chat.export_json(talk(spark))
+    up = chat.upgrade_bundles(out, "bundle").collect()
+    assert all(r.version_found == 4 for r in up)
+    assert {r.history[0].id: [m.content for m in r.history[0].messages] for r in up} == {"1": ["a", "b", "c", "d", "e"], "2": ["x"]}
+    folders = spark.createDataFrame([("f", "F", "chat")], "id string, name string, type string")
+    prompts = spark.createDataFrame([("p", "P", "text")], "id string, name string, content string")
+    rest = chat.upgrade_bundles(chat.export_folders_and_prompts(folders, prompts), "bundle").collect()
+    assert [f.id for r in rest for f in r.folders] == ["f"] and [(p.id, p.content) for r in rest for p in r.prompts] == [("p", "text")]
+    day = spark.sql("SELECT DATE'2024-03-07' AS d").select(chat.export_file_name(F.col("d"))).first()[0]
+    assert day == "chat_history_3-7.json"
