@@ -50,11 +50,11 @@ def clean_history(history: Column) -> Column:
 
 
 def bundle_version(raw: Column) -> Column:
-    """Version of an export bundle by its shape; null when unsupported."""
+    """Version of an export bundle by its shape; null when unsupported or no valid JSON."""
     keys = F.coalesce(F.json_object_keys(raw), F.array().cast("array<string>"))
     has = lambda key: F.array_contains(keys, key)
     stated = F.get_json_object(raw, "$.version")
-    return (F.when(F.ltrim(raw).startswith("["), 1)
+    return (F.when(F.json_array_length(raw).isNotNull(), 1)
             .when(~has("version") & has("folders") & has("history"), 2)
             .when(stated == "3", 3).when(stated == "4", 4))
 

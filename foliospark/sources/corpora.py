@@ -13,13 +13,14 @@ SCRAPED = T.StructType([T.StructField(n, T.StringType()) for n in
                         ("url", "date", "scraped_date", "published_date", "question", "text")])
 
 
-def read_scraped(spark: SparkSession, folder: str) -> DataFrame:
+def read_scraped(spark: SparkSession, folder: str, *, raise_on_error: bool = True, multiline: bool = False) -> DataFrame:
     """One JSON object per file (or per line); absent keys are null.
 
-    The schema is fixed, so there is no inference pass. Small files share a task: lower
+    Broken records fail the job or are left out. ``multiline`` reads objects that span lines. The schema is fixed, so there is no inference pass. Small files share a task: lower
     ``spark.sql.files.openCostInBytes`` to pack more of them, or compact the folder once.
     """
-    df = spark.read.schema(SCRAPED).option("recursiveFileLookup", "true").json(folder)
+    df = (spark.read.schema(SCRAPED).option("recursiveFileLookup", "true").option("multiLine", str(multiline).lower())
+          .option("mode", "FAILFAST" if raise_on_error else "DROPMALFORMED").json(folder))
     return df.withColumn("path", F.col("_metadata.file_path"))
 
 
@@ -27,9 +28,13 @@ def collected_on(date: Column, scraped_date: Column) -> Column:
     return mixed_date(F.coalesce(date, scraped_date))
 
 
-def read_csv(spark: SparkSession, path: str, *, sep: str = ",", schema: str | T.StructType | None = None) -> DataFrame:
-    """Headed CSV. Without a schema every column is a string; there is no inference pass."""
-    reader = spark.read.option("header", "true").option("sep", sep).option("escape", '"').option("multiLine", "false")
+def read_csv(spark: SparkSession, path: str, *, sep: str = ",", schema: str | T.StructType | None = None,
+             multiline: bool = False) -> DataFrame:
+    """Headed CSV. Without a schema every column is a string; there is no inference pass.
+
+    ``multiline`` allows line breaks inside quotes, at the price of one task per file.
+    """
+    reader = spark.read.option("header", "true").option("sep", sep).option("escape", '"').option("multiLine", str(multiline).lower())
     return (reader.schema(schema) if schema else reader).csv(path)
 
 

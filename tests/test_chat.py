@@ -22,7 +22,7 @@ def upgraded(spark, bundle):
 @pytest.mark.parametrize("bundle, version", [
     ([], 1), ({"history": [], "folders": []}, 2), ({"history": None, "folders": None}, 2), ({"history": []}, None),
     ({"version": 3, "history": [], "folders": []}, 3), ({"version": 4, "history": [], "folders": [], "prompts": []}, 4),
-    ({"version": 5, "history": [], "folders": []}, None), ("not json", None)])
+    ({"version": 5, "history": [], "folders": []}, None), ("not json", None), ("[{broken", None), ("\n [ ]", 1)])
 def test_versions(spark, bundle, version):
     assert upgraded(spark, bundle).version_found == version
 

@@ -108,3 +108,18 @@ def test_metrics_table(spark):
     for run in (1, 2):
         datasets.append_metrics(spark.createDataFrame([(run, 0.5, 3)], "run_id int, rmse double, n int"), ["run_id"], folder)
     assert spark.read.parquet(folder).where("metric = 'n'").count() == 2
+
+
+def test_broken_records(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"url": "u", "text": "t"}\n{"url": \n')
+    assert [r.url for r in corpora.read_scraped(spark, str(tmp_path), raise_on_error=False).select("url", "text").collect()] == ["u"]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        corpora.read_scraped(spark, str(tmp_path)).select("url", "text").collect()
+    (tmp_path / "a.json").write_text('{"url":\n "u",\n "text": "t"}')
+    assert corpora.read_scraped(spark, str(tmp_path), multiline=True).first().url == "u"
+
+
+def test_csv_with_separator_and_line_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id;text\n1;"a;b\nc ""q"""\n2;d\n')
+    rows = corpora.read_csv(spark, str(tmp_path / "a.csv"), sep=";", multiline=True).collect()
+    assert [tuple(r) for r in rows] == [("1", 'a;b\nc "q"'), ("2", "d")]
