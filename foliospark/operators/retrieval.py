@@ -13,14 +13,6 @@ from .ordering import with_halo
 from .sizes import BROADCAST_ROWS, at_most, broadcast_when
 from .similarity import top_k_similar
 
-CHUNKS_PER_DOC = 100_000
-
-
-def chunk_id(doc_id: Column, chunk_no: Column) -> Column:
-    """One whole number per (document, chunk)."""
-    return doc_id * CHUNKS_PER_DOC + chunk_no
-
-
 def retrieve_chunks(questions: DataFrame, chunks: DataFrame, top_k: int = 3, rerank_top_k: int = 5,
                     embedder: Callable[[Column], Column] = embed) -> DataFrame:
     """Candidates of each question (question_id, question) among chunks (chunk_id, chunk).

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank
@@ -12,14 +14,19 @@ from ..sources.datasets import DatasetStore, valid_name
 SPLITTERS = {"token": split_tokens, "sentence": split_sentences, "character": split_characters}
 
 
-def chunk_documents(docs: DataFrame, splitter: str = "token", adjacent: bool = True, **options) -> DataFrame:
-    """Chunks (dataset, doc, chunk_no, name, text, prev, next) of docs (dataset, dockey, text)."""
-    cut = SPLITTERS[splitter](docs.select("dataset", F.col("dockey").alias("doc"), "text"), "text",
+def chunk_documents(docs: DataFrame, splitter: str = "token", adjacent: bool = True,
+                    embedder: Callable[[Column], Column] | None = None, **options) -> DataFrame:
+    """Chunks of docs (dataset, dockey, doc_id, text), with neighbours and, given an embedder, vectors.
+
+    Splitting, neighbours and vectors all happen in the row: no shuffle.
+    """
+    cut = SPLITTERS[splitter](docs.select("dataset", F.col("dockey").alias("doc"), "doc_id", "text"), "text",
                               adjacent=adjacent, **options).drop("text")
     if not adjacent:
         cut = cut.withColumns({"prev": F.lit(None).cast("string"), "next": F.lit(None).cast("string")})
-    name = F.concat("doc", F.lit(" chunk "), F.col("chunk_no").cast("string"))
-    return cut.withColumn("name", name).withColumnRenamed("chunk", "text")
+    named = cut.withColumn("name", F.concat("doc", F.lit(" chunk "), F.col("chunk_no").cast("string"))).withColumnRenamed("chunk", "text")
+    vector = embedder(F.col("text")) if embedder else F.lit(None)
+    return named.withColumn("embedding", vector.cast("array<float>"))
 
 
 def ingest_documents(store: DatasetStore, docs: DataFrame, splitter: str = "token", *, unique_keys: bool = False,

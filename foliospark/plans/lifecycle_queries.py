@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
-from ..functions import embedding
+from ..functions import embedding, keys
 from ..functions.text import judge_score
 from ..operators import chat, evaluation, retrieval
-from ..session import table, work_folder
+from ..session import spread, table, work_folder
 from ..sources import datasets
 from .answer import acronym_expander, answer_questions, personal_data_remover, post_process
 from .chat_import import import_history
 from .chats_queries import _bundles
+from .ingest import ingest_documents
 from .metrics_queries import truth_table
 from .registry import query
 from .retrieval_queries import SQL_RETRIEVED, chunk_table, question_table, reranked, sql_embed, sql_scores
@@ -66,6 +67,22 @@ def cached_answers(spark, sf):
     return _flat(answer_questions(question_table(spark, sf), _named_chunks(spark, sf), cache))
 
 
+@query("lifecycle_ingest_and_search", f"""
+WITH {SQL_RETRIEVED}
+SELECT question_id, d.source AS dataset, sha256(d.source || d.doc_id) AS doc, CAST(h.doc_id % 100000 AS INTEGER) AS chunk_no, score,
+       CAST(rank AS INTEGER) AS rank
+FROM hits h JOIN documents d ON d.doc_id = h.doc_id // 100000 WHERE rank <= 3""")
+def ingest_and_search(spark, sf):
+    store = datasets.DatasetStore(spark, work_folder(spark, "searchable"))
+    docs = spread(table(spark, sf, "documents").select("doc_id", "source", "text"), "doc_id")
+    ingest_documents(store, docs.select(
+        F.col("source").alias("dataset"), keys.document_key(F.col("source"), F.col("doc_id").cast("string")).alias("dockey"),
+        "doc_id", "text"), unique_keys=True, embedder=embedding.embed)
+    chunks = store.search_table()
+    hits = retrieval.retrieve_chunks(question_table(spark, sf), chunks, 3, 0)
+    return chunks.select("chunk_id", "dataset", "doc", "chunk_no").join(hits, "chunk_id").select("question_id", "dataset", "doc", "chunk_no", "score", "rank")
+
+
 @query("lifecycle_evaluation", f"""
 WITH {SQL_RETRIEVED},
 truth AS (SELECT b.item_id AS question_id, d.doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)),
@@ -85,7 +102,7 @@ f AS (SELECT chunk_id, chunk, row_number() OVER (ORDER BY chunk_id) - 1 AS n FRO
 SELECT '0-' || lpad(CAST(n // 100 AS VARCHAR), 6, '0') AS shard, md5(chunk) AS chunk_md5 FROM f""")
 def training_chunks(spark, sf):
     id_file, folder = work_folder(spark, "chunk-ids"), work_folder(spark, "text-chunks")
-    table(spark, sf, "labels").select((F.col("doc_id") * retrieval.CHUNKS_PER_DOC).alias("chunk_id")).write.option(
+    table(spark, sf, "labels").select((F.col("doc_id") * keys.CHUNKS_PER_DOC).alias("chunk_id")).write.option(
         "header", "true").csv(id_file)
     export_chunks(chunk_table(spark, sf), id_file, folder, shard_size=100)
     return read_shards(spark, folder).select("shard", F.md5("chunk").alias("chunk_md5"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import constants, embedding
+from ..functions import constants, embedding, keys
 from ..operators import chunking, evaluation, joins, retrieval
 from ..operators.containment import passages_in_texts
 from ..session import spread, table
@@ -36,7 +36,7 @@ SELECT chunk_id, CAST(unnest([1, 2]) AS INTEGER) AS question_no, regexp_extract(
 def question_seeds(spark, sf):
     docs = spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
     chunks = chunking.split_tokens(docs, "text", 256, adjacent=False).select(
-        retrieval.chunk_id(F.col("doc_id"), F.col("chunk_no")).alias("chunk_id"), "chunk")
+        keys.chunk_id(F.col("doc_id"), F.col("chunk_no")).alias("chunk_id"), "chunk")
     return evaluation.question_seeds(chunks, "chunk_id", "chunk", max_chunks=10, per_chunk=2, seed=3)
 
 

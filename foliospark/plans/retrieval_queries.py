@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import embedding, vectors
+from ..functions import embedding, keys, vectors
 from ..functions.generate import posexplode_rows
 from ..operators import chunking, retrieval, sequences
 from ..operators.similarity import top_k_similar
@@ -80,7 +80,7 @@ def chunk_table(spark, sf):
     """Chunks of all documents with their neighbours and a numeric id."""
     docs = spread(table(spark, sf, "documents").select("doc_id", "source", "text"), "doc_id")
     return chunking.split_tokens(docs, "text", 256).select(
-        retrieval.chunk_id(F.col("doc_id"), F.col("chunk_no")).alias("chunk_id"), "doc_id", "source", "chunk_no", "chunk", "prev", "next")
+        keys.chunk_id(F.col("doc_id"), F.col("chunk_no")).alias("chunk_id"), "doc_id", "source", "chunk_no", "chunk", "prev", "next")
 
 
 def question_table(spark, sf):

@@ -9,10 +9,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.keys import chunk_id
 from ..operators.ordering import global_row_number
 
 DOCS = "dataset string, dockey string, doc_id long, text string"
-CHUNKS = "dataset string, doc string, chunk_no int, name string, text string, prev string, next string"
+CHUNKS = ("dataset string, doc string, doc_id long, chunk_no int, name string, text string, prev string, next string, "
+          "embedding array<float>")
 
 
 def check_name(dataset: str) -> str:
@@ -58,6 +60,12 @@ class DatasetStore:
     def chunks(self) -> DataFrame:
         return self._read("chunks", CHUNKS)
 
+    def search_table(self, dataset: str | None = None) -> DataFrame:
+        """Stored chunks as retrieval reads them; naming a dataset prunes the other partitions."""
+        chunks = self.chunks() if dataset is None else self.chunks().where(F.col("dataset") == check_name(dataset))
+        return chunks.select(chunk_id(F.col("doc_id"), F.col("chunk_no")).alias("chunk_id"), "dataset", "doc", "chunk_no",
+                             "name", F.col("text").alias("chunk"), "prev", "next", F.col("embedding").alias("vector"))
+
     def unknown_docs(self, docs: DataFrame) -> DataFrame:
         """Documents whose key is not stored yet; only keys of the store are read."""
         return docs.join(self.docs().select("dataset", "dockey"), ["dataset", "dockey"], "left_anti") if self.runs() else docs

@@ -123,3 +123,15 @@ def test_csv_with_separator_and_line_breaks(spark, tmp_path):
     (tmp_path / "a.csv").write_text('id;text\n1;"a;b\nc ""q"""\n2;d\n')
     rows = corpora.read_csv(spark, str(tmp_path / "a.csv"), sep=";", multiline=True).collect()
     assert [tuple(r) for r in rows] == [("1", 'a;b\nc "q"'), ("2", "d")]
+
+
+def test_search_reads_stored_vectors_of_one_dataset(spark):
+    from foliospark.functions.embedding import embed
+    from foliospark.operators.retrieval import retrieve_chunks
+
+    store = datasets.DatasetStore(spark, work_folder(spark, "test-store"))
+    ingest_documents(store, docs(spark, [("one", "k1", 1, "alpha beta"), ("one", "k2", 2, "gamma"), ("two", "k3", 3, "alpha")]),
+                     splitter="sentence", embedder=embed)
+    asked = spark.createDataFrame([(1, "alpha")], "question_id long, question string")
+    assert [r.chunk_id for r in retrieve_chunks(asked, store.search_table("one"), 1, 0).collect()] == [100_000]
+    assert [r.chunk_id for r in retrieve_chunks(asked, store.search_table(), 1, 0).collect()] == [300_000]
