@@ -17,9 +17,9 @@ from .ordering import running_totals
 
 def first_relevant(retrieved: DataFrame, truth: DataFrame, rank: str = "rank") -> DataFrame:
     """Rank of the first relevant document per question of the ground truth, null when none was found."""
-    found = retrieved.join(truth.select("question_id", "doc_id"), ["question_id", "doc_id"], "left_semi")
-    best = found.groupBy("question_id").agg(F.min(rank).alias("first_rank"))
-    return truth.select("question_id").distinct().join(best, "question_id", "left")
+    wanted = truth.select("question_id", "doc_id").join(
+        retrieved.select("question_id", "doc_id", F.col(rank).alias("_rank")), ["question_id", "doc_id"], "left")
+    return wanted.groupBy("question_id").agg(F.min("_rank").alias("first_rank"))
 
 
 def retrieval_metrics(ranks: DataFrame) -> DataFrame:
