@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from . import queries_native  # noqa: F401  registers its queries
+from .packing import pack_documents
 from .registry import query
 from .texts import read_vocabulary
 from .token_counts import token_counts
+from .url_filter import UrlRule, fit_url_model, judge_urls, labelled_by_rules
 from .word_codec import encode_decode
 
 
@@ -29,6 +32,27 @@ def op2(spark, folder):
     return counts.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
 
 
+# The rules the operator's contract states.
+URL_RULES = [UrlRule("com/", "allow"), UrlRule("example.com/en/", "block"), UrlRule("www.example.com/en/", "allow"),
+             UrlRule("net/es/", "block"), UrlRule("net/fr/", "block")]
+
+
+@query("op4_url_filter")
+def op4(spark, folder):
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    model = fit_url_model(labelled_by_rules(pages, URL_RULES))
+    return judge_urls(pages, URL_RULES, model).select("page_id", "host", "path", "rule", "verdict")
+
+
+SEQUENCE_TOKENS = 2048
+
+
+@query("op6_pattern_packing")
+def op6(spark, folder):
+    packed = pack_documents(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"), SEQUENCE_TOKENS)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 @query("op10_word_codec")
 def op10(spark, folder):
     coded = encode_decode(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
