@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
+from ..operators.sizes import at_most, broadcast_when
 from ..session import materialise
 from .blocks import by_shard, pack, parts_for, unpack_all
 from .components import components
@@ -51,6 +52,7 @@ RUN_CHARS = 8 << 20
 SAMPLE_DOCS = 4_000
 HOT_SHARE = 0.01
 HOT_CLASSES = 1 << 30  # stands for the count of a hot shingle
+BROADCAST_REMOVED = 200_000  # document ids
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
                          0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
@@ -391,3 +393,14 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     return sets.join(found, "class", "left").select(
         F.col("id").alias(id_col), "n_shingles",
         F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def one_per_component(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of their component, unchanged; rows without an id stay.
+
+    The other ids are written and counted; up to ``BROADCAST_REMOVED`` are sent to all tasks, beyond
+    that both sides are shuffled by id.
+    """
+    found = jaccard_components(docs, id_col=id_col, **options)
+    removed = materialise(found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct(), "removed")
+    return docs.join(broadcast_when(removed, at_most(removed, BROADCAST_REMOVED)), id_col, "left_anti").select(*docs.columns)

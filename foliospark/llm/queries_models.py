@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .jaccard_join import jaccard_components
+from .kneser_ney import scored_with_threshold
 from .registry import query
 
 
@@ -13,3 +14,9 @@ def table(spark, folder: str, name: str):
 @query("op3_jaccard_join")
 def op3(spark, folder):
     return jaccard_components(table(spark, folder, "documents"))
+
+
+@query("op9_kneser_ney")
+def op9(spark, folder):
+    judged = scored_with_threshold(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return judged.select(judged.id.alias("doc_id"), "lang", "n_words", "n_events", "log_prob", "perplexity", "threshold", "kept")
