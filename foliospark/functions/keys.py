@@ -17,12 +17,10 @@ def document_key(dataset: Column, path: Column) -> Column:
     return F.sha2(F.concat(dataset, path), 256)
 
 
-CHUNKS_PER_DOC = 100_000
-
-
-def chunk_id(doc_id: Column, chunk_no: Column) -> Column:
-    """One whole number per (document, chunk)."""
-    return doc_id * CHUNKS_PER_DOC + chunk_no
+def chunk_id(*key: Column) -> Column:
+    """60-bit number of a chunk from all that names it: data set, document key, chunk number."""
+    name = F.md5(F.concat_ws(":", *[k.cast("string") for k in key]))
+    return F.conv(F.substring(name, 1, 15), 16, 10).cast("long")
 
 
 def falsy_default(value: Column, default: Column, empty: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column
@@ -15,7 +17,8 @@ TOKEN_GAP = r"[ \t\n\x0B\f\r]+"
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 IP_ADDRESS = r"[0-9]{1,3}(\.[0-9]{1,3}){3}"
 LONG_NUMBER = r"[0-9]{12,19}"
-PHONE = r"\+?[0-9][0-9() .-]{7,}[0-9]"
+# A plus sign, a bracketed area code, or groups of 3-3-4 digits; bare numbers and dates are none.
+PHONE = (r"\+[0-9][0-9() .-]{6,}[0-9]|\([0-9]{2,5}\)[ .-]?[0-9]{2,4}[ .-]?[0-9]{2,4}|\b[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}\b")
 
 PLACEHOLDER = r"\{\{(.*?)\}\}"
 
@@ -82,11 +85,11 @@ def substitute(template: Column, values: Column) -> Column:
 
 
 def fill_prompt(template: str, **slots: Column) -> Column:
-    """Fill the ``{slot}`` marks of a literal template; marks without a value stay."""
-    text: Column = F.lit(template)
-    for name, value in slots.items():
-        text = F.replace(text, F.lit("{" + name + "}"), value)
-    return text
+    """Fill the ``{slot}`` marks of a literal template in one pass; marks without a value stay, also inside values."""
+    if not slots:
+        return F.lit(template)
+    parts = re.split(r"\{(" + "|".join(map(re.escape, slots)) + r")\}", template)
+    return F.concat(*[slots[part] if i % 2 else F.lit(part) for i, part in enumerate(parts)])
 
 
 def contains_folded(haystack: Column, term: str) -> Column:
@@ -95,10 +98,8 @@ def contains_folded(haystack: Column, term: str) -> Column:
 
 
 def expand_acronyms(text: Column, dictionary: Mapping[str, str]) -> Column:
-    """Replace whole space-separated tokens found in a small dictionary."""
-    if len(dictionary) > 200:
-        raise ValueError("use operators.joins.expand_from_table for a dictionary of this size")
-    lookup = F.create_map(*[F.lit(x) for pair in dictionary.items() for x in pair])
+    """Replace whole space-separated tokens found in a literal dictionary; ``joins.expand_from_table`` takes a table."""
+    lookup = F.from_json(F.lit(json.dumps(dict(dictionary))), "map<string,string>")
     return F.array_join(
         F.transform(F.split(text, " "), lambda t: F.coalesce(F.try_element_at(lookup, t), t)), " ")
 

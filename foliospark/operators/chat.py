@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.constants import DEFAULT_MODEL, DEFAULT_PROMPT, DEFAULT_TEMPERATURE, MODELS
 from ..functions.keys import falsy_default
 from ..functions.text import title_of
-from .ordering import with_halo
+from .ordering import with_halo, with_position
 
 MESSAGE = "struct<role:string,content:string,id:string,feedback:boolean>"
 MODEL = "struct<id:string,name:string,maxLength:int,tokenLimit:int>"
@@ -17,7 +17,6 @@ CONVERSATION = (f"struct<id:string,name:string,messages:array<{MESSAGE}>,model:{
 FOLDER = "struct<id:string,name:string,type:string>"
 PROMPT = f"struct<id:string,name:string,description:string,content:string,model:{MODEL},folderId:string>"
 BUNDLE = f"struct<version:int,history:array<{CONVERSATION}>,folders:array<{FOLDER}>,prompts:array<{PROMPT}>>"
-SEGMENT_TURNS = 1000
 
 
 def titles(messages: DataFrame, length: int = 30) -> DataFrame:
@@ -91,24 +90,32 @@ def search_conversations(messages: DataFrame, names: DataFrame, term: str, piece
     together with the ``s`` that follow; no conversation is ever joined into one text.
     """
     needle, borders = term.lower(), term.count(" ")
-    rows = messages.select("conv_id", "turn", "text").unionByName(
-        names.select("conv_id", F.lit(-1).cast("long").alias("turn"), F.col("name").alias("text")))
+    texts = messages.select("conv_id", "turn", "text")
+    title = names.select("conv_id", F.col("name").alias("text"))
     if borders == 0:
-        hits = rows.where(F.lower("text").contains(needle))
+        hits = texts.select("conv_id", "text").unionByName(title).where(F.lower("text").contains(needle))
     else:
-        cut = with_halo(rows, "turn", piece, after=borders)
-        ahead = Window.partitionBy("conv_id", "_piece").orderBy("turn").rangeBetween(0, borders)
+        placed = with_position(texts, "conv_id", "turn").select("conv_id", "position", "text")
+        rows = placed.unionByName(title.withColumn("position", F.lit(-1).cast("long")))
+        cut = with_halo(rows, "position", piece, after=borders)
+        ahead = Window.partitionBy("conv_id", "_piece").orderBy("position").rangeBetween(0, borders)
         joined = F.lower(F.array_join(F.collect_list("text").over(ahead), " "))
         hits = cut.withColumn("_seen", joined).where(F.col("_seen").contains(needle))
     return hits.select("conv_id").distinct()
 
 
-def assemble(messages: DataFrame, segment_turns: int = SEGMENT_TURNS) -> DataFrame:
-    """Messages of each conversation as ordered arrays of at most ``segment_turns`` positions.
+def transcript(messages: DataFrame) -> DataFrame:
+    """(conv_id, position, fragment): the lines of each conversation's transcript; joined in order they are its text.
 
-    Ordinary conversations give one row (segment 0). Long ones give several, so that no row or task
-    has to hold an unbounded conversation.
+    One row per message, so a conversation of any length is whole and no task has to hold it.
     """
+    line = F.concat(F.when(F.col("position") > 0, "\n").otherwise(""), "role", F.lit(": "), F.col("text"))
+    return with_position(messages.select("conv_id", "turn", "role", "text"), "conv_id", "turn").select(
+        "conv_id", "position", line.alias("fragment"))
+
+
+def assemble(messages: DataFrame, segment_turns: int) -> DataFrame:
+    """Messages of each conversation as ordered arrays, each of a range of ``segment_turns`` turn numbers."""
     segment = F.floor(F.col("turn") / segment_turns).alias("segment")
     items = F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content"))))
     return messages.groupBy("conv_id", segment).agg(items.alias("messages"))
@@ -119,17 +126,34 @@ def _bundle(history: Column, folders: Column, prompts: Column) -> Column:
                               prompts.alias("prompts"))).alias("bundle")
 
 
-def export_json(messages: DataFrame) -> DataFrame:
-    """Version 4 bundle text per conversation segment; every row can be imported on its own.
+def export_fragments(messages: DataFrame, settings: DataFrame) -> DataFrame:
+    """(conv_id, position, fragment): a version 4 bundle per conversation; its fragments in order are the JSON text.
 
-    Later segments of a long conversation get an id of their own, so an import keeps all of them.
+    ``settings`` has one row per conversation: conv_id, name, model, prompt, temperature, folderId. The
+    opening comes at position -1, then one fragment per message, then the closing, so a conversation of
+    any length is one bundle and no task has to hold it.
     """
-    plain = F.transform("messages", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
-    number = F.col("conv_id").cast("string")
-    own_id = F.when(F.col("segment") == 0, number).otherwise(F.concat(number, F.lit("/"), F.col("segment").cast("string")))
-    empty = F.array().cast("array<string>")
-    history = F.array(F.struct(own_id.alias("id"), plain.alias("messages")))
-    return assemble(messages).select("conv_id", "segment", _bundle(history, empty, empty))
+    head = F.to_json(F.struct(F.col("conv_id").cast("string").alias("id"), "name", "model", "prompt", "temperature", "folderId"))
+    opening = F.concat(F.lit('{"version":4,"history":['), F.substring(head, F.lit(1), F.length(head) - 1), F.lit(',"messages":['))
+    message = F.to_json(F.struct("role", F.col("text").alias("content")))
+    placed = with_position(messages.select("conv_id", "turn", "role", "text"), "conv_id", "turn")
+    ends = messages.groupBy("conv_id").agg(F.count(F.lit(1)).alias("position"))
+    closing = settings.select("conv_id").join(ends, "conv_id", "left").select(
+        "conv_id", F.coalesce("position", F.lit(0).cast("long")).alias("position"), F.lit(']}],"folders":[],"prompts":[]}').alias("fragment"))
+    return (settings.select("conv_id", F.lit(-1).cast("long").alias("position"), opening.alias("fragment"))
+            .unionByName(placed.join(settings.select("conv_id"), "conv_id", "left_semi").select(
+                "conv_id", "position", F.concat(F.when(F.col("position") > 0, ",").otherwise(""), message).alias("fragment")))
+            .unionByName(closing))
+
+
+def write_bundles(fragments: DataFrame, folder: str, parts: int) -> None:
+    """Fragments as lines in (conversation, position) order: the files, read by name, are one bundle after another.
+
+    JSON takes the line ends between fragments for blanks; an empty line ends a bundle.
+    """
+    ordered = fragments.repartitionByRange(parts, "conv_id", "position").sortWithinPartitions("conv_id", "position")
+    closed = F.endswith(F.col("fragment"), F.lit('"prompts":[]}'))
+    ordered.select(F.concat("fragment", F.when(closed, "\n").otherwise("")).alias("value")).write.text(folder)
 
 
 def export_folders_and_prompts(folders: DataFrame, prompts: DataFrame) -> DataFrame:
@@ -159,23 +183,29 @@ def replace_tail(messages: DataFrame, edits: DataFrame, drop_last: int) -> DataF
     """Drop the last messages of the edited conversations and append the edited message in their place.
 
     ``edits`` has one (conv_id, role, text) per conversation; other conversations stay as they are.
+    With nothing to drop, or an empty conversation, the message is appended.
     """
     back = Window.partitionBy("conv_id").orderBy(F.desc("turn"))
-    tail = messages.select("conv_id", "turn").withColumn("_back", F.row_number().over(back)).where(F.col("_back") <= drop_last)
-    cut = edits.join(tail.groupBy("conv_id").agg(F.min("turn").alias("_cut")), "conv_id")
+    own = messages.select("conv_id", "turn").join(edits.select("conv_id"), "conv_id", "left_semi")
+    cuts = own.groupBy("conv_id").agg((F.max("turn") + 1).alias("_end"))
+    if drop_last:
+        tail = own.withColumn("_back", F.row_number().over(back)).where(F.col("_back") <= drop_last)
+        cuts = tail.groupBy("conv_id").agg(F.min("turn").alias("_end"))
+    cut = edits.join(cuts, "conv_id", "left").withColumn("_cut", F.coalesce("_end", F.lit(0).cast("long")))
     kept = messages.join(cut.select("conv_id", "_cut"), "conv_id", "left").where(
         F.col("_cut").isNull() | (F.col("turn") < F.col("_cut"))).drop("_cut")
     return kept.unionByName(cut.select("conv_id", F.col("_cut").alias("turn"), "role", "text"))
 
 
 def delete_with_reply(messages: DataFrame, deleted: DataFrame) -> DataFrame:
-    """Remove the given (conv_id, turn) and an assistant message directly behind each.
+    """Remove the given (conv_id, turn) and an assistant message directly behind each, over gaps in the turns.
 
-    The previous message is found by a join on (conversation, position), which spreads evenly.
+    The message behind is found by a join on (conversation, position), which spreads evenly.
     """
     own = deleted.select("conv_id", "turn").distinct()
-    before = own.select("conv_id", (F.col("turn") + 1).alias("turn"))
-    replies = messages.where(F.col("role") == "assistant").join(before, ["conv_id", "turn"], "left_semi").select("conv_id", "turn")
+    placed = with_position(messages.select("conv_id", "turn", "role"), "conv_id", "turn")
+    behind = placed.join(own, ["conv_id", "turn"], "left_semi").select("conv_id", (F.col("position") + 1).alias("position"))
+    replies = placed.where(F.col("role") == "assistant").join(behind, ["conv_id", "position"], "left_semi").select("conv_id", "turn")
     return messages.join(own.unionByName(replies).distinct(), ["conv_id", "turn"], "left_anti")
 
 

@@ -30,8 +30,10 @@ def expand_from_table(df: DataFrame, key: str, text: str, dictionary: DataFrame)
     """Replace tokens found in a dictionary table (acronym, full_form).
 
     Only the distinct tokens a text shares with the dictionary are regrouped, as a small map per text;
-    ``key`` identifies one text, so a map is never larger than that text.
+    ``key`` identifies one text, so a map is never larger than that text. Of several forms of one
+    acronym the smallest counts.
     """
+    dictionary = dictionary.groupBy("acronym").agg(F.min("full_form").alias("full_form"))
     words = explode_rows(df, [key], F.array_distinct(F.split(text, " ")), "acronym")
     found = words.join(dictionary, "acronym").groupBy(key).agg(
         F.map_from_entries(F.collect_list(F.struct("acronym", "full_form"))).alias("_forms"))

@@ -19,10 +19,10 @@ from ..functions.keys import stable_hash
 
 
 def features_and_label(df: DataFrame, label: str, keep: list[str] = ()) -> DataFrame:
-    """All numeric columns but the label as one vector, beside the label."""
+    """All numeric columns but the label as one vector, beside the label; a missing feature is an error."""
     numeric = [f.name for f in df.schema if f.name not in (label, *keep) and f.dataType.typeName() in
                ("byte", "short", "integer", "long", "float", "double")]
-    made = VectorAssembler(inputCols=numeric, outputCol="features", handleInvalid="skip").transform(df)
+    made = VectorAssembler(inputCols=numeric, outputCol="features", handleInvalid="error").transform(df)
     return made.select(*keep, "features", F.col(label).cast("double").alias("label"))
 
 
@@ -46,10 +46,15 @@ def decision_tree(train: DataFrame, max_depth: int = 5, seed: int = 42):
     return DecisionTreeClassifier(maxDepth=max_depth, seed=seed).fit(train)
 
 
+MAX_DEPTH = 30  # of Spark's trees
+
+
 def forest(n_estimators: int, max_depth: int, min_samples_split: float, seed: int = 42) -> RandomForestClassifier:
-    """Random forest; the split share maps to a minimum weight share per node, which is at most one half."""
-    return RandomForestClassifier(numTrees=n_estimators, maxDepth=min(max_depth, 30),
-                                  minWeightFractionPerNode=min(min_samples_split / 2, 0.49), seed=seed)
+    """Random forest; the share a node needs to be split maps to half of it as the least share of either side."""
+    if max_depth > MAX_DEPTH or not 0 <= min_samples_split < 1:
+        raise ValueError(f"depth is at most {MAX_DEPTH} and the split share below 1")
+    return RandomForestClassifier(numTrees=n_estimators, maxDepth=max_depth,
+                                  minWeightFractionPerNode=min_samples_split / 2, seed=seed)
 
 
 def dense_classifier(train: DataFrame, width: int, classes: int, hidden: tuple[int, ...] = (512, 512), max_iter: int = 100,
@@ -72,8 +77,8 @@ def cross_validated_accuracy(folded: DataFrame, estimator, folds: int = 3, paral
                           foldCol="fold", parallelism=parallelism).fit(folded).avgMetrics[0]
 
 
-def search_space(trials: int, seed: int, trees=(50, 200), depth=(2, 32), share=(0.1, 1.0)) -> list[dict]:
-    """Seeded random candidates; depth is drawn on a log scale."""
+def search_space(trials: int, seed: int, trees=(50, 200), depth=(2, MAX_DEPTH), share=(0.1, 0.99)) -> list[dict]:
+    """Seeded random candidates, all of which the trees accept as they are; depth is drawn on a log scale."""
     draw = random.Random(seed)
     return [{"trial_no": i, "n_estimators": draw.randint(*trees),
              "max_depth": round(math.exp(draw.uniform(math.log(depth[0]), math.log(depth[1])))),
@@ -83,8 +88,10 @@ def search_space(trials: int, seed: int, trees=(50, 200), depth=(2, 32), share=(
 def search(folded: DataFrame, candidates: list[dict], folds: int = 3, parallelism: int = 4) -> DataFrame:
     """Cross-validated accuracy of each candidate, one row per trial."""
     base = RandomForestClassifier(seed=42)
-    grid = [{base.numTrees: c["n_estimators"], base.maxDepth: min(c["max_depth"], 30),
-             base.minWeightFractionPerNode: min(c["min_samples_split"] / 2, 0.49)} for c in candidates]
+    for c in candidates:
+        forest(c["n_estimators"], c["max_depth"], c["min_samples_split"])  # refuses what it could not use
+    grid = [{base.numTrees: c["n_estimators"], base.maxDepth: c["max_depth"],
+             base.minWeightFractionPerNode: c["min_samples_split"] / 2} for c in candidates]
     fitted = CrossValidator(estimator=base, estimatorParamMaps=grid, evaluator=accuracy(), numFolds=folds, foldCol="fold",
                             parallelism=parallelism).fit(folded)
     rows = [(c["trial_no"], c["n_estimators"], c["max_depth"], c["min_samples_split"], float(m))

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from ..functions.keys import stable_hash
 
 SEGMENT_ROWS = 200_000
-MAX_SEGMENTS = 5_000
 SAMPLED_PER_SEGMENT = 200
 
 
@@ -25,7 +24,7 @@ def order_bounds(df: DataFrame, key: str, rows_per_segment: int = SEGMENT_ROWS)
     """
     keys = df.select(key)
     count = keys.count()
-    segments = min(MAX_SEGMENTS, -(-count // rows_per_segment))
+    segments = -(-count // rows_per_segment)  # follows the rows, so no segment grows with the table
     if segments <= 1:
         return []
     share = SAMPLED_PER_SEGMENT * segments / count
@@ -65,7 +64,7 @@ def global_row_number(df: DataFrame, key: str, name: str = "row_no", *, tie: str
     counts = parts.groupBy("_segment").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_segment", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    return (parts.withColumn("_inside", inside).join(F.broadcast(offsets), "_segment")  # <= MAX_SEGMENTS rows
+    return (parts.withColumn("_inside", inside).join(F.broadcast(offsets), "_segment")  # one row per segment
             .withColumn(name, (F.col("_inside") + F.col("_offset")).cast("long"))
             .drop("_segment", "_inside", "_offset"))
 
@@ -83,7 +82,7 @@ def running_totals(df: DataFrame, key: str, values: dict[str, str],
     offsets = totals.select("_segment", *[F.coalesce(F.sum(f"_t_{o}").over(before), F.lit(0)).alias(f"_o_{o}")
                                           for o in values])
     inner = parts.withColumns({f"_r_{o}": F.sum(v).over(upto) for o, v in values.items()})
-    joined = inner.join(F.broadcast(offsets), "_segment")  # one row per segment, <= MAX_SEGMENTS
+    joined = inner.join(F.broadcast(offsets), "_segment")  # one row per segment
     return joined.withColumns({o: F.col(f"_r_{o}") + F.col(f"_o_{o}") for o in values}).drop(
         "_segment", *[f"_r_{o}" for o in values], *[f"_o_{o}" for o in values])
 
@@ -131,6 +130,15 @@ def carry_forward(df: DataFrame, group: list[str], order: list[str], piece: str,
     return out.drop("_before", *[f"_start_{o}" for o in carried])
 
 
+def with_position(df: DataFrame, group: str, order: str, name: str = "position", piece: int = 4096) -> DataFrame:
+    """Zero-based position of every row in its group, dense whatever gaps ``order`` has.
+
+    Pieces of the order are numbered on their own, so a group of any size spreads over many tasks.
+    """
+    numbered = carry_forward(df.withColumn("_part", F.floor(F.col(order) / piece)), [group], [order], "_part", {}, number=name)
+    return numbered.withColumn(name, F.col(name) - 1).drop("_part")
+
+
 def keyset_page(df: DataFrame, key: str, cursor: int | str | None = None, size: int = 10) -> DataFrame:
     """The next ``size`` rows behind a cursor; the comparison reaches the Parquet scan."""
     if cursor is not None:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.embedding import embed
 from ..functions.text import token_count, tokens
-from .ordering import with_halo
+from ..session import materialise
+from .ordering import with_halo, with_position
 from .sizes import BROADCAST_ROWS, at_most, broadcast_when
 from .similarity import top_k_similar
 
@@ -35,8 +36,8 @@ def jaccard(a: Column, b: Column) -> Column:
 def rerank(hits: DataFrame, questions: DataFrame, chunks: DataFrame, scorer: Callable[[Column, Column], Column] = jaccard,
            top_n: int | None = None) -> DataFrame:
     """Second scoring pass over the candidates only; ties keep the first pass' order."""
-    few = at_most(questions, BROADCAST_ROWS)  # a handful of candidates per question: the chunks need no shuffle
-    both = (chunks.join(broadcast_when(hits, few), "chunk_id")
+    hits = materialise(hits, "hits")  # searched once, and counted before they may be broadcast
+    both = (chunks.join(broadcast_when(hits, at_most(hits, BROADCAST_ROWS)), "chunk_id")
             .join(questions.select("question_id", "question"), "question_id")
             .withColumn("rerank_score", scorer(F.col("question"), F.col("chunk"))))
     order = Window.partitionBy("question_id").orderBy(F.desc("rerank_score"), "rank")
@@ -101,13 +102,14 @@ def question_cache(incoming: DataFrame, cache: DataFrame, *, threshold: float =
 
 
 def chat_window(messages: DataFrame, window_size: int = 2, piece: int = 4096) -> DataFrame:
-    """Texts of the last ``window_size`` positions before each user message.
+    """Texts of the last ``window_size`` messages before each user message, whatever their turn numbers.
 
     Conversations are cut into pieces with copied edges, so one long conversation does not end up in
     one task, and each window still sees all it needs.
     """
-    cut = with_halo(messages.select("conv_id", "turn", "role", "text"), "turn", piece, before=window_size)
-    before = Window.partitionBy("conv_id", "_piece").orderBy("turn").rangeBetween(-window_size, -1)
+    placed = with_position(messages.select("conv_id", "turn", "role", "text"), "conv_id", "turn")
+    cut = with_halo(placed, "position", piece, before=window_size)
+    before = Window.partitionBy("conv_id", "_piece").orderBy("position").rangeBetween(-window_size, -1)
     seen = cut.withColumn("history", F.collect_list("text").over(before))
     return seen.where(~F.col("_halo") & (F.col("role") == "user")).select("conv_id", "turn", "history", "text")
 

@@ -9,9 +9,13 @@ from ..functions.generate import inline_rows, let, posexplode_rows
 from ..functions.keys import stable_hash
 from ..functions.packing import greedy_runs
 from ..functions.text import token_count, tokens
+from .ordering import global_row_number, running_totals, with_position
 
 VOCABULARY = 49152
 EOS_ID = 49152
+CHARS_PER_TOKEN = 3.6
+BUFFERED_SEQUENCES = 1024
+PACKED_ROWS = 2_000  # documents of one segment of the order
 IGNORED_LABEL = -100
 # The instruction layout used for fine-tuning rows.
 INSTRUCTION = "### Instruction:\n{instruction}\n\n### Response:\n"
@@ -29,19 +33,20 @@ def chars_per_token(df: DataFrame, key: str, text: str, examples: int | None = 4
                     ).withColumn("chars_per_token", F.round(F.try_divide(F.col("n_chars"), F.col("n_tokens")), 6))
 
 
-def pack_constant_length(df: DataFrame, key: str, ids: str, seq_length: int, *, docs_per_shard: int,
-                         eos: int = EOS_ID) -> DataFrame:
-    """Concatenate documents of a shard with an end mark between them and cut to ``seq_length``.
+def pack_constant_length(df: DataFrame, key: str, ids: str, n_chars: str, seq_length: int, *, buffer_chars: int | None = None,
+                         eos: int = EOS_ID, rows_per_segment: int = PACKED_ROWS) -> DataFrame:
+    """Concatenate documents in key order with an end mark between them and cut to ``seq_length``.
 
-    A shard is a run of ``docs_per_shard`` consecutive keys, the unit a reader would buffer; its
-    incomplete tail is dropped, as a buffer's tail is. The window and the regrouping share one
-    shuffle, by shard. Pieces, not single tokens, are regrouped.
+    The stream is cut into buffers of about ``buffer_chars`` characters (a document stays whole), and a
+    buffer's incomplete tail is dropped. Offsets are running totals over the whole order, whatever the
+    keys are; pieces, not single tokens, are regrouped, by sequence.
     """
-    rows = df.select(F.floor(F.col(key) / docs_per_shard).alias("shard"), F.col(key),
-                     F.concat(F.col(ids), F.array(F.lit(eos).cast("long"))).alias("_all"))
-    rows = rows.withColumn("_n", F.size("_all"))
-    before = Window.partitionBy("shard").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_at", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    buffer_chars = buffer_chars or int(seq_length * CHARS_PER_TOKEN * BUFFERED_SEQUENCES)
+    rows = df.select(F.col(key), F.col(n_chars).alias("_chars"), F.concat(F.col(ids), F.array(F.lit(eos).cast("long"))).alias("_all"))
+    rows = running_totals(rows.withColumn("_n", F.size("_all")), key, {"_read": "_chars", "_end": "_n"}, rows_per_segment)
+    rows = rows.withColumns({"buffer_no": F.floor((F.col("_read") - F.col("_chars")) / buffer_chars), "_at": F.col("_end") - F.col("_n")})
+    first = rows.groupBy("buffer_no").agg(F.min("_at").alias("_first"))
+    rows = rows.join(first, "buffer_no").withColumn("_at", F.col("_at") - F.col("_first"))
     end = F.col("_at") + F.col("_n")
     numbers = F.sequence(F.floor(F.col("_at") / seq_length), F.floor((end - 1) / seq_length))
 
@@ -50,11 +55,11 @@ def pack_constant_length(df: DataFrame, key: str, ids: str, seq_length: int, *,
         return F.struct(no.alias("seq_no"), start.alias("at"), F.slice(
             "_all", (start - F.col("_at") + 1).cast("int"), (stop - start).cast("int")).alias("piece"))
 
-    pieces = inline_rows(rows, ["shard"], F.transform(numbers, piece), "seq_no")
-    packed = pieces.groupBy("shard", "seq_no").agg(
+    pieces = inline_rows(rows, ["buffer_no"], F.transform(numbers, piece), "seq_no")
+    packed = pieces.groupBy("buffer_no", "seq_no").agg(
         F.array_sort(F.collect_list(F.struct("at", "piece"))).alias("p"), F.sum(F.size("piece")).alias("_n"))
     joined = packed.where(F.col("_n") == seq_length).select(
-        "shard", "seq_no", F.flatten(F.transform("p", lambda x: x["piece"])).alias("input_ids"))
+        "buffer_no", "seq_no", F.flatten(F.transform("p", lambda x: x["piece"])).alias("input_ids"))
     return joined.withColumn("labels", F.col("input_ids"))
 
 
@@ -94,8 +99,9 @@ def pack_samples(df: DataFrame, key: str, ids: str, seq_length: int, *, samples_
     """Whole samples into sequences, filled in key order and padded to ``seq_length``.
 
     A sample longer than a sequence is cut into full pieces, so no token is lost. A shard is a run
-    of ``samples_per_shard`` consecutive keys, which bounds what one task holds.
+    of ``samples_per_shard`` consecutive samples, which bounds what one task holds.
     """
+    df = global_row_number(df, key, "_row", rows_per_segment=PACKED_ROWS)
     def cut(sample: Column) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(F.size(sample), F.lit(1)), F.lit(seq_length))
         return F.transform(starts, lambda at: F.struct(at.alias("at"), F.slice(sample, at, seq_length).alias("ids")))
@@ -106,7 +112,7 @@ def pack_samples(df: DataFrame, key: str, ids: str, seq_length: int, *, samples_
                            lambda r: F.slice(pieces, r["start"] + 1, r["stop"] - r["start"]))
 
     # The pieces are made before the shuffle; a filter on their size would compute the ids twice.
-    shards = df.select(F.floor(F.col(key) / samples_per_shard).alias("shard"), F.col(key), let(F.col(ids), cut).alias("_cut")
+    shards = df.select(F.floor((F.col("_row") - 1) / samples_per_shard).alias("shard"), F.col(key), let(F.col(ids), cut).alias("_cut")
                        ).groupBy("shard").agg(F.array_sort(F.collect_list(F.struct(key, "_cut"))).alias("_samples"))
     pieces = F.filter(F.flatten(F.transform("_samples", lambda s: s["_cut"])), lambda p: F.size(p["ids"]) > 0)
     bins = posexplode_rows(shards, ["shard"], let(pieces, runs), "bin_no", "_run")
@@ -118,14 +124,15 @@ def pack_samples(df: DataFrame, key: str, ids: str, seq_length: int, *, samples_
 
 
 def instruction_rows(messages: DataFrame, template: str = INSTRUCTION) -> DataFrame:
-    """User turns with the assistant turn right after them; prompt tokens carry no loss.
+    """User messages with the assistant message right after them, over gaps in the turns; prompt tokens carry no loss.
 
     The pairing is a join on (conversation, position), so a huge conversation spreads over tasks.
     """
-    user = messages.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("instruction"))
-    reply = messages.where(F.col("role") == "assistant").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
-    pairs = user.join(reply, ["conv_id", "turn"])
+    placed = with_position(messages.select("conv_id", "turn", "role", "text"), "conv_id", "turn")
+    user = placed.where(F.col("role") == "user").select("conv_id", "turn", "position", F.col("text").alias("instruction"))
+    reply = placed.where(F.col("role") == "assistant").select(
+        "conv_id", (F.col("position") - 1).alias("position"), F.col("text").alias("answer"))
+    pairs = user.join(reply, ["conv_id", "position"])
     prompt = F.replace(F.lit(template), F.lit("{instruction}"), F.col("instruction"))
     ids = pairs.select("conv_id", "turn", token_ids(prompt).alias("_prompt"), token_ids(F.col("answer")).alias("_answer"))
     return ids.select("conv_id", "turn", F.concat("_prompt", "_answer").alias("input_ids"), F.concat(

@@ -162,8 +162,7 @@ def _search_broadcast(questions: Vectors, corpus: DataFrame, rules: Rules) -> Da
             search.add(Vectors.from_arrow(batch))
         yield from search.matches()
 
-    # Fewer, longer tasks: each hands on k matches per question, however many files it has read.
-    return corpus.coalesce(4 * corpus.sparkSession.sparkContext.defaultParallelism).mapInArrow(scan, MATCHES)
+    return corpus.mapInArrow(scan, MATCHES)  # one task per split of the corpus, each hands on k matches per question
 
 
 def _search_blocks(questions: DataFrame, corpus: DataFrame, rules: Rules, question_rows: int, block_rows: int) -> DataFrame:

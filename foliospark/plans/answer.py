@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.embedding import embed
-from ..functions.text import expand_acronyms, fill_prompt, redact
+from ..functions.text import fill_prompt, redact
 from ..operators import retrieval
+from ..operators.joins import expand_from_table
 from ..session import materialise
 
 Step = Callable[[DataFrame], DataFrame]
@@ -36,7 +37,12 @@ class AnswerSettings:
 
 
 def acronym_expander(dictionary: dict[str, str]) -> Step:
-    return lambda questions: questions.withColumn("question", expand_acronyms(F.col("question"), dictionary))
+    """Expand acronyms of a dictionary of any size, looked up as a table."""
+    def expand(questions: DataFrame) -> DataFrame:
+        forms = questions.sparkSession.createDataFrame(list(dictionary.items()), "acronym string, full_form string")
+        return expand_from_table(questions, "question_id", "question", forms)
+
+    return expand
 
 
 def personal_data_remover(questions: DataFrame) -> DataFrame:

@@ -18,6 +18,12 @@ def imported_history(bundles: DataFrame, raw: str, position: str) -> DataFrame:
     return rows.select("c.*", F.struct("bundle", "item").alias("position"))
 
 
+def refused_bundles(bundles: DataFrame, raw: str) -> DataFrame:
+    """Bundles of no supported version, whole and with the reason."""
+    found = upgrade_bundles(bundles, raw).where(F.col("version_found").isNull())
+    return found.select(*bundles.columns).withColumn("reason", F.lit("Unsupported data format"))
+
+
 def import_history(stored: DataFrame, bundles: DataFrame, raw: str, position: str) -> DataFrame:
     """Stored conversations win over imported ones with the same id; importing twice changes nothing.
 

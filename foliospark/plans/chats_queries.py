@@ -8,6 +8,7 @@ from ..functions import constants
 from ..functions.keys import document_key
 from ..operators import chat, chunking, joins, ordering, sets
 from ..session import table
+from .chat_import import refused_bundles
 from .registry import query
 from .splitting_queries import sql_chunks
 
@@ -108,20 +109,34 @@ def conversation_phrase_search(spark, sf):
     return _search(spark, sf, "... The")
 
 
-@query("snk4_chat_export", """
-SELECT conv_id, CAST(0 AS BIGINT) AS segment, '{"version":4,"history":[' || to_json({'id': CAST(conv_id AS VARCHAR),
-       'messages': list({'role': role, 'content': text} ORDER BY turn)}) || '],"folders":[],"prompts":[]}' AS bundle
-FROM conversations GROUP BY conv_id""")
+_SQL_HEAD = """'{"version":4,"history":[{"id":"' || conv_id || '","name":' || to_json(title) || ',"model":{"id":"gpt-3.5-turbo","name":"GPT-3.5",'
+ || '"maxLength":12000,"tokenLimit":4000},"prompt":"Prompt ' || conv_id || '","temperature":0.5,"messages":['"""
+
+
+@query("snk4_chat_export", f"""
+WITH {_SQL_TITLES}
+SELECT conv_id, CAST(-1 AS BIGINT) AS position, {_SQL_HEAD} AS fragment FROM titles
+UNION ALL SELECT conv_id, position, CASE WHEN position > 0 THEN ',' ELSE '' END || to_json({{'role': role, 'content': text}})
+FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS position FROM conversations)
+UNION ALL SELECT conv_id, count(*), ']}}],"folders":[],"prompts":[]}}' FROM conversations GROUP BY 1""")
 def chat_export(spark, sf):
-    return chat.export_json(_messages(spark, sf))
+    number = F.col("conv_id").cast("string")
+    settings = chat.titles(_messages(spark, sf)).select(
+        "conv_id", F.col("title").alias("name"), chat.default_model().alias("model"), F.concat(F.lit("Prompt "), number).alias("prompt"),
+        F.lit(0.5).alias("temperature"), F.lit(None).cast("string").alias("folderId"))
+    return chat.export_fragments(_messages(spark, sf), settings)
 
 
 @query("agg9_assemble_conversation", """
-SELECT conv_id, CAST(turn // 1000 AS BIGINT) AS segment, string_agg(role || ': ' || text, E'\\n' ORDER BY turn) AS transcript
-FROM conversations GROUP BY 1, 2""")
+SELECT conv_id, position, CASE WHEN position > 0 THEN chr(10) ELSE '' END || role || ': ' || text AS fragment
+FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS position FROM conversations)""")
 def assemble_conversation(spark, sf):
-    lines = F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["content"]))
-    return chat.assemble(_messages(spark, sf)).select("conv_id", "segment", F.array_join(lines, "\n").alias("transcript"))
+    return chat.transcript(_messages(spark, sf))
+
+
+@query("prj18_refused_bundles", "SELECT conv_id, turn, 'Unsupported data format' AS reason FROM conversations WHERE turn % 6 = 5")
+def refused(spark, sf):
+    return refused_bundles(_bundles(spark, sf), "raw").select("conv_id", "turn", "reason")
 
 
 @query("win1_first_ids", "SELECT doc_id FROM labels ORDER BY doc_id LIMIT 50")
@@ -150,15 +165,36 @@ def replace_tail(spark, sf):
     return chat.replace_tail(_messages(spark, sf), edits, 2)
 
 
-@query("win5_delete_with_reply", """
-SELECT conv_id, turn, role FROM (SELECT *, lag((conv_id + turn) % 4 = 0) OVER (PARTITION BY conv_id ORDER BY turn) AS pd FROM conversations)
-WHERE NOT ((conv_id + turn) % 4 = 0 OR (coalesce(pd, false) AND role = 'assistant'))""")
-def delete_with_reply(spark, sf):
-    rows = _messages(spark, sf)
+def _sql_deleted(source: str) -> str:
+    return f"""
+SELECT conv_id, turn, role FROM (SELECT *, lag((conv_id + turn) % 4 = 0) OVER (PARTITION BY conv_id ORDER BY turn) AS pd FROM {source})
+WHERE NOT ((conv_id + turn) % 4 = 0 OR (coalesce(pd, false) AND role = 'assistant'))"""
+
+
+def _deleted(rows):
     gone = rows.where((F.col("conv_id") + F.col("turn")) % 4 == 0)
     return chat.delete_with_reply(rows, gone).select("conv_id", "turn", "role")
 
 
+@query("win5_delete_with_reply", _sql_deleted("conversations"))
+def delete_with_reply(spark, sf):
+    return _deleted(_messages(spark, sf))
+
+
+@query("win5_delete_with_reply_over_gaps", _sql_deleted("(SELECT * FROM conversations WHERE turn % 3 <> 1)"))
+def delete_with_reply_over_gaps(spark, sf):
+    """Conversations with every third turn removed."""
+    return _deleted(_messages(spark, sf).where(F.col("turn") % 3 != 1))
+
+
+@query("win4_append_message", """
+SELECT conv_id, turn, role, text FROM conversations UNION ALL SELECT conv_id, max(turn) + 1, 'user', 'new' FROM conversations GROUP BY conv_id""")
+def append_message(spark, sf):
+    """Nothing dropped: the message comes behind the last."""
+    edits = _messages(spark, sf).select("conv_id").distinct().select("conv_id", F.lit("user").alias("role"), F.lit("new").alias("text"))
+    return chat.replace_tail(_messages(spark, sf), edits, 0)
+
+
 @query("win6_newest_item", "SELECT conv_id, turn, md5(text) AS text_md5 FROM conversations ORDER BY conv_id * 1000 + turn DESC LIMIT 1")
 def newest_item(spark, sf):
     rows = _messages(spark, sf).select((F.col("conv_id") * 1000 + F.col("turn")).alias("position"), "conv_id", "turn", F.md5("text").alias("text_md5"))

@@ -33,10 +33,13 @@ def ingest_documents(store: DatasetStore, docs: DataFrame, splitter: str = "toke
                      **options) -> None:
     """Append documents not stored yet, with their chunks; running it again adds nothing.
 
+    Documents whose data set has no valid name are set aside in ``store.refused()`` with the reason.
+
     With ``unique_keys`` (keys made from file paths, say) the duplicate check and its shuffle are left
     out. Otherwise that shuffle also serves the comparison with the stored keys.
     """
     named = docs.where(valid_name(F.col("dataset")))
+    store.refuse(docs.where(~valid_name(F.col("dataset"))), "data set name must be letters and digits")
     fresh = store.unknown_docs(named if unique_keys else named.dropDuplicates(["dataset", "dockey"]))
     store.append(fresh, lambda stored: chunk_documents(stored, splitter, **options))
 

@@ -16,7 +16,7 @@ from .chats_queries import _bundles
 from .ingest import ingest_documents
 from .metrics_queries import truth_table
 from .registry import query
-from .retrieval_queries import SQL_RETRIEVED, chunk_table, question_table, reranked, sql_embed, sql_scores
+from .retrieval_queries import SQL_RETRIEVED, chunk_table, question_table, reranked, sql_chunk_id, sql_embed, sql_hits, sql_scores
 from .scalars_queries import SQL_JUDGED, judge_replies
 from .splitting_queries import SQL_TOKENS, sql_chunks
 from .training import export_chunks, read_shards
@@ -68,15 +68,17 @@ def cached_answers(spark, sf):
 
 
 @query("lifecycle_ingest_and_search", f"""
-WITH {SQL_RETRIEVED}
-SELECT question_id, d.source AS dataset, sha256(d.source || d.doc_id) AS doc, CAST(h.doc_id % 100000 AS INTEGER) AS chunk_no, score,
-       CAST(rank AS INTEGER) AS rank
-FROM hits h JOIN documents d ON d.doc_id = h.doc_id // 100000 WHERE rank <= 3""")
+WITH {sql_chunks(256, 0)}, names AS (SELECT DISTINCT source, unnest([source, 'again' || source]) AS dataset FROM documents),
+stored AS (SELECT n.dataset, sha256(n.dataset || doc_id) AS doc, chunk_no, chunk FROM chunks JOIN documents USING (doc_id) JOIN names n USING (source)),
+ck AS (SELECT {sql_chunk_id('dataset', 'doc', 'chunk_no')} AS chunk_id, * FROM stored), {sql_hits('ck')}
+SELECT question_id, dataset, doc, chunk_no, score, CAST(rank AS INTEGER) AS rank FROM hits JOIN ck ON chunk_id = doc_id WHERE rank <= 3""")
 def ingest_and_search(spark, sf):
+    """Two data sets hold the same documents under the same ids; every hit is one chunk of one of them."""
     store = datasets.DatasetStore(spark, work_folder(spark, "searchable"))
     docs = spread(table(spark, sf, "documents").select("doc_id", "source", "text"), "doc_id")
+    docs = docs.withColumn("dataset", F.explode(F.array("source", F.concat(F.lit("again"), "source"))))
     ingest_documents(store, docs.select(
-        F.col("source").alias("dataset"), keys.document_key(F.col("source"), F.col("doc_id").cast("string")).alias("dockey"),
+        "dataset", keys.document_key(F.col("dataset"), F.col("doc_id").cast("string")).alias("dockey"),
         "doc_id", "text"), unique_keys=True, embedder=embedding.embed)
     chunks = store.search_table()
     hits = retrieval.retrieve_chunks(question_table(spark, sf), chunks, 3, 0)
@@ -97,14 +99,16 @@ def run_evaluation(spark, sf):
 
 
 @query("lifecycle_training_chunks", f"""
-WITH {sql_chunks(256, 0)}, ck AS (SELECT doc_id * 100000 + chunk_no AS chunk_id, chunk FROM chunks),
-f AS (SELECT chunk_id, chunk, row_number() OVER (ORDER BY chunk_id) - 1 AS n FROM ck JOIN labels ON chunk_id = labels.doc_id * 100000)
-SELECT '0-' || lpad(CAST(n // 100 AS VARCHAR), 6, '0') AS shard, md5(chunk) AS chunk_md5 FROM f""")
+WITH {sql_chunks(256, 0)}, ck AS (SELECT {sql_chunk_id('doc_id', 'chunk_no')} AS chunk_id, doc_id, chunk FROM chunks),
+f AS (SELECT chunk, row_number() OVER (ORDER BY chunk_id) - 1 AS n FROM ck WHERE doc_id IN (SELECT doc_id FROM labels))
+SELECT printf('0-%06d', n // 100) AS shard, md5(chunk) AS chunk_md5 FROM f""")
 def training_chunks(spark, sf):
+    """All chunks of the labelled documents."""
     id_file, folder = work_folder(spark, "chunk-ids"), work_folder(spark, "text-chunks")
-    table(spark, sf, "labels").select((F.col("doc_id") * keys.CHUNKS_PER_DOC).alias("chunk_id")).write.option(
+    chunks = chunk_table(spark, sf)
+    chunks.join(table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi").select("chunk_id").write.option(
         "header", "true").csv(id_file)
-    export_chunks(chunk_table(spark, sf), id_file, folder, shard_size=100)
+    export_chunks(chunks, id_file, folder, shard_size=100)
     return read_shards(spark, folder).select("shard", F.md5("chunk").alias("chunk_md5"))
 
 

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from ..functions import constants, embedding, keys
 from ..operators import chunking, evaluation, joins, retrieval
 from ..operators.containment import passages_in_texts
+from ..operators.ordering import with_position
 from ..session import spread, table
 from ..sources import datasets
 from .registry import query
-from .retrieval_queries import SQL_RETRIEVED, _SQL_VECTORS, question_table, reranked, sql_embed, stored_neighbours
+from .retrieval_queries import SQL_RETRIEVED, _SQL_VECTORS, question_table, reranked, sql_chunk_id, sql_embed, stored_neighbours
 from .scalars_queries import SQL_JUDGED, judge_replies
 from .splitting_queries import SQL_HASH, sql_chunks
 
@@ -30,7 +31,7 @@ def class_names(spark, sf):
 
 
 @query("agg4_question_seeds", f"""
-WITH {sql_chunks(256, 0)}, ck AS (SELECT doc_id * 100000 + chunk_no AS chunk_id, chunk FROM chunks),
+WITH {sql_chunks(256, 0)}, ck AS (SELECT {sql_chunk_id('doc_id', 'chunk_no')} AS chunk_id, chunk FROM chunks),
 p AS (SELECT * FROM ck ORDER BY {SQL_HASH.format("chunk_id || ':3'")}, chunk_id LIMIT 10)
 SELECT chunk_id, CAST(unnest([1, 2]) AS INTEGER) AS question_no, regexp_extract(chunk, '(?s)^(.*?[.!?])', 1) AS lead FROM p""")
 def question_seeds(spark, sf):
@@ -133,10 +134,11 @@ def text_retrieval_metrics(spark, sf):
 
 def answer_pairs(spark, sf):
     """Assistant replies with the user turn before them as the text to compare with."""
-    turns = table(spark, sf, "conversations")
-    user = turns.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("reference"))
-    reply = turns.where(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
-    return reply.join(user, ["conv_id", "turn"]).withColumn("run_id", F.col("conv_id") % 4)
+    placed = with_position(table(spark, sf, "conversations"), "conv_id", "turn")
+    user = placed.where(F.col("role") == "user").select("conv_id", "turn", "position", F.col("text").alias("reference"))
+    reply = placed.where(F.col("role") == "assistant").select(
+        "conv_id", (F.col("position") - 1).alias("position"), F.col("text").alias("answer"))
+    return reply.join(user, ["conv_id", "position"]).withColumn("run_id", F.col("conv_id") % 4)
 
 
 @query("evl3_semantic_similarity", f"""

@@ -87,11 +87,20 @@ def question_table(spark, sf):
     return table(spark, sf, "benchmark").select(F.col("item_id").alias("question_id"), F.col("text").alias("question"))
 
 
-SQL_RETRIEVED = f"""{sql_chunks(256, 0)},
-ck AS (SELECT doc_id * 100000 + chunk_no AS chunk_id, doc_id, chunk_no, chunk FROM chunks),
-{sql_embed('q', 'benchmark', 'item_id', 'text')}, {sql_embed('c', 'ck', 'chunk_id', 'chunk')},
+def sql_chunk_id(*key: str) -> str:
+    return f"CAST('0x' || substr(md5({" || ':' || ".join(key)}), 1, 15) AS BIGINT)"
+
+
+def sql_hits(chunks: str) -> str:
+    """The five nearest chunks of each question among ``chunks`` (chunk_id, chunk)."""
+    return f"""{sql_embed('q', 'benchmark', 'item_id', 'text')}, {sql_embed('c', chunks, 'chunk_id', 'chunk')},
 scored AS ({sql_scores('q', 'c')}),
-hits AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, doc_id) AS rank FROM scored) WHERE rank <= 5),
+hits AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, doc_id) AS rank FROM scored) WHERE rank <= 5)"""
+
+
+SQL_RETRIEVED = f"""{sql_chunks(256, 0)},
+ck AS (SELECT {sql_chunk_id('doc_id', 'chunk_no')} AS chunk_id, doc_id, chunk_no, chunk FROM chunks),
+{sql_hits('ck')},
 both_texts AS (SELECT h.question_id, h.doc_id AS chunk_id, ck.doc_id, ck.chunk_no, h.score, h.rank, b.text AS question, ck.chunk,
     list_distinct({SQL_TOKENS.format('lower(b.text)')}) AS qt, list_distinct({SQL_TOKENS.format('lower(ck.chunk)')}) AS ct
     FROM hits h JOIN ck ON ck.chunk_id = h.doc_id JOIN benchmark b ON b.item_id = h.question_id),
@@ -137,14 +146,26 @@ def references(spark, sf):
     return retrieval.references(kept, "name")
 
 
-@query("vec9_chat_window", """
-SELECT conv_id, turn, coalesce(string_agg(prev_text, '|' ORDER BY prev_turn), '') AS history, text
-FROM (SELECT u.conv_id, u.turn, u.text, p.turn AS prev_turn, p.text AS prev_text FROM conversations u
-      LEFT JOIN conversations p ON p.conv_id = u.conv_id AND p.turn BETWEEN u.turn - 2 AND u.turn - 1 WHERE u.role = 'user')
-GROUP BY conv_id, turn, text""")
+def _sql_window(source: str) -> str:
+    return f"""
+SELECT conv_id, turn, coalesce(array_to_string(h, '|'), '') AS history, text
+FROM (SELECT *, list(text) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING) AS h FROM {source})
+WHERE role = 'user'"""
+
+
+def _windows(messages):
+    return retrieval.chat_window(messages).select("conv_id", "turn", F.array_join("history", "|").alias("history"), "text")
+
+
+@query("vec9_chat_window", _sql_window("conversations"))
 def chat_window(spark, sf):
-    return retrieval.chat_window(table(spark, sf, "conversations")).select(
-        "conv_id", "turn", F.array_join("history", "|").alias("history"), "text")
+    return _windows(table(spark, sf, "conversations"))
+
+
+@query("vec9_chat_window_over_gaps", _sql_window("(SELECT * FROM conversations WHERE turn % 3 <> 1)"))
+def chat_window_over_gaps(spark, sf):
+    """Conversations with every third turn removed."""
+    return _windows(table(spark, sf, "conversations").where(F.col("turn") % 3 != 1))
 
 
 @query("vec10_token_budget", f"""WITH {SQL_RETRIEVED},

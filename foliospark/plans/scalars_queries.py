@@ -23,9 +23,13 @@ def _sql_clean(x: str) -> str:
             rf"E'\n\n', ' '), ' {{3,}}', '  ', 'g'), E'\t', ''), '\n+({_SP}*\n)*', E'\n', 'g')")
 
 
+# Entities that the given pages hold; the ampersand comes last.
+_PAGE_ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
+
+
 def _sql_entities(x: str) -> str:
-    for entity, character in html.ENTITIES:
-        x = f"replace({x}, '{entity.replace(chr(39), chr(39) * 2)}', '{character.replace(chr(39), chr(39) * 2)}')"
+    for entity, character in _PAGE_ENTITIES:
+        x = f"replace({x}, '{entity}', '{character}')"
     return x
 
 

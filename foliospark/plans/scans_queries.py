@@ -202,7 +202,7 @@ def vector_store(spark, sf):
 
 
 @query("snk3_json_shards", """
-SELECT '0-' || lpad(CAST(CAST(floor((rn - 1) / 500) AS BIGINT) AS VARCHAR), 6, '0') AS shard, count(*) AS n_rows,
+SELECT printf('0-%06d', (rn - 1) // 500) AS shard, count(*) AS n_rows,
        min(doc_id) AS first_id, max(doc_id) AS last_id
 FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rn FROM documents) GROUP BY 1""")
 def json_shards(spark, sf):

@@ -131,14 +131,17 @@ def _ids(spark, sf):
 
 
 @query("spl6_constant_length", f"""
-WITH d AS (SELECT doc_id, doc_id // 50 AS shard, unnest(list_append({sql_ids('text')}, {sequences.EOS_ID})) AS tok,
-                  generate_subscripts(list_append({sql_ids('text')}, {sequences.EOS_ID}), 1) AS pos FROM documents),
-o AS (SELECT shard, tok, row_number() OVER (PARTITION BY shard ORDER BY doc_id, pos) - 1 AS st FROM d)
-SELECT shard, st // 512 AS seq_no, md5(string_agg(CAST(tok AS VARCHAR), ',' ORDER BY st)) AS ids_md5
+WITH d AS (SELECT doc_id, length(text) AS c, list_append({sql_ids('text')}, {sequences.EOS_ID}) AS toks FROM documents),
+b AS (SELECT doc_id, toks, CAST((sum(c) OVER (ORDER BY doc_id) - c) // 1887436 AS BIGINT) AS buffer_no FROM d),
+u AS (SELECT buffer_no, doc_id, unnest(toks) AS tok, generate_subscripts(toks, 1) AS pos FROM b),
+o AS (SELECT buffer_no, tok, row_number() OVER (PARTITION BY buffer_no ORDER BY doc_id, pos) - 1 AS st FROM u)
+SELECT buffer_no, st // 512 AS seq_no, md5(string_agg(CAST(tok AS VARCHAR), ',' ORDER BY st)) AS ids_md5
 FROM o GROUP BY 1, 2 HAVING count(*) = 512""")
 def constant_length(spark, sf):
-    return sequences.pack_constant_length(_ids(spark, sf), "doc_id", "ids", 512, docs_per_shard=50).select(
-        "shard", "seq_no", _md5_list("input_ids").alias("ids_md5"))
+    """Buffers of 512 * 3.6 * 1024 characters."""
+    rows = _texts(spark, sf).select("doc_id", F.length("text").alias("n_chars"), sequences.token_ids(F.col("text")).alias("ids"))
+    return sequences.pack_constant_length(rows, "doc_id", "ids", "n_chars", 512).select(
+        "buffer_no", "seq_no", _md5_list("input_ids").alias("ids_md5"))
 
 
 def _sql_fim(truncate: bool) -> str:
@@ -205,7 +208,7 @@ def epochs(spark, sf):
 
 @query("spl14_sample_packing", f"""
 WITH RECURSIVE d AS (SELECT doc_id, {sql_ids('text')} AS ids FROM documents),
-p AS (SELECT doc_id // 64 AS shard, doc_id, st, ids[st + 1 : st + 1024] AS piece
+p AS (SELECT (dense_rank() OVER (ORDER BY doc_id) - 1) // 64 AS shard, doc_id, st, ids[st + 1 : st + 1024] AS piece
       FROM (SELECT *, unnest(range(0, len(ids), 1024)) AS st FROM d WHERE len(ids) > 0)),
 items AS (SELECT shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id, st) AS i, piece, len(piece) AS n FROM p),
 fill AS (SELECT shard, i, 0 AS bin_no, n AS used FROM items WHERE i = 1
@@ -224,12 +227,26 @@ def sample_packing(spark, sf):
 _SQL_PROMPT = "E'### Instruction:\\n' || u.text || E'\\n\\n### Response:\\n'"
 
 
-@query("spl15_instruction_rows", f"""
-WITH r AS (SELECT u.conv_id, u.turn, {sql_ids(_SQL_PROMPT)} AS p, {sql_ids('a.text')} AS a
-           FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
-           WHERE u.role = 'user' AND a.role = 'assistant')
+def _sql_instructions(source: str) -> str:
+    return f"""
+WITH u AS (SELECT *, lead(role) OVER w AS next_role, lead(text) OVER w AS answer FROM {source} WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+r AS (SELECT conv_id, turn, {sql_ids(_SQL_PROMPT)} AS p, {sql_ids('answer')} AS a FROM u WHERE role = 'user' AND next_role = 'assistant')
 SELECT conv_id, turn, {_SQL_MD5_LIST.format('p || a')} AS input_md5,
-       {_SQL_MD5_LIST.format('list_transform(p, lambda x: -100) || a')} AS labels_md5 FROM r""")
-def instruction_rows(spark, sf):
-    return sequences.instruction_rows(table(spark, sf, "conversations")).select(
+       {_SQL_MD5_LIST.format('list_transform(p, lambda x: -100) || a')} AS labels_md5 FROM r"""
+
+
+def _instructions(messages):
+    return sequences.instruction_rows(messages).select(
         "conv_id", "turn", _md5_list("input_ids").alias("input_md5"), _md5_list("labels").alias("labels_md5"))
+
+
+@query("spl15_instruction_rows", f"""
+{_sql_instructions("conversations")}""")
+def instruction_rows(spark, sf):
+    return _instructions(table(spark, sf, "conversations"))
+
+
+@query("spl15_instruction_rows_over_gaps", _sql_instructions("(SELECT * FROM conversations WHERE turn % 3 <> 1)"))
+def instruction_rows_over_gaps(spark, sf):
+    """Conversations with every third turn removed."""
+    return _instructions(table(spark, sf, "conversations").where(F.col("turn") % 3 != 1))

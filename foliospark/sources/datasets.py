@@ -13,6 +13,7 @@ from ..functions.keys import chunk_id
 from ..operators.ordering import global_row_number
 
 DOCS = "dataset string, dockey string, doc_id long, text string"
+REFUSED = "dataset string, dockey string, doc_id long, reason string"
 CHUNKS = ("dataset string, doc string, doc_id long, chunk_no int, name string, text string, prev string, next string, "
           "embedding array<float>")
 
@@ -24,7 +25,7 @@ def check_name(dataset: str) -> str:
 
 
 def valid_name(dataset: Column) -> Column:
-    return dataset.rlike("^[A-Za-z0-9]+$")
+    return F.coalesce(dataset.rlike("^[A-Za-z0-9]+$"), F.lit(False))
 
 
 class DatasetStore:
@@ -57,13 +58,28 @@ class DatasetStore:
     def docs(self) -> DataFrame:
         return self._read("docs", DOCS)
 
+    def refused(self) -> DataFrame:
+        """Documents that could not be stored, with the reason."""
+        system, path = self._path("refused")
+        if not system.exists(path):
+            return self.spark.createDataFrame([], REFUSED)
+        return self.spark.read.schema(REFUSED).parquet(f"{self.root}/refused")
+
+    def refuse(self, docs: DataFrame, reason: str) -> None:
+        """Set documents aside; one that was set aside before is not repeated."""
+        key = [c.split()[0] for c in REFUSED.split(", ")]
+        rows = docs.withColumn("reason", F.lit(reason)).select(key).dropDuplicates(["dataset", "dockey"])
+        known = self.refused().select(F.col("dataset").alias("_d"), F.col("dockey").alias("_k"))
+        fresh = rows.join(known, F.col("dataset").eqNullSafe(F.col("_d")) & F.col("dockey").eqNullSafe(F.col("_k")), "left_anti")
+        fresh.write.mode("append").parquet(f"{self.root}/refused")
+
     def chunks(self) -> DataFrame:
         return self._read("chunks", CHUNKS)
 
     def search_table(self, dataset: str | None = None) -> DataFrame:
         """Stored chunks as retrieval reads them; naming a dataset prunes the other partitions."""
         chunks = self.chunks() if dataset is None else self.chunks().where(F.col("dataset") == check_name(dataset))
-        return chunks.select(chunk_id(F.col("doc_id"), F.col("chunk_no")).alias("chunk_id"), "dataset", "doc", "chunk_no",
+        return chunks.select(chunk_id(F.col("dataset"), F.col("doc"), F.col("chunk_no")).alias("chunk_id"), "dataset", "doc", "chunk_no",
                              "name", F.col("text").alias("chunk"), "prev", "next", F.col("embedding").alias("vector"))
 
     def unknown_docs(self, docs: DataFrame) -> DataFrame:
@@ -118,8 +134,13 @@ def write_vectors(df: DataFrame, folder: str, vector: str = "vector") -> None:
 def with_shards(df: DataFrame, key: str, shard_size: int = 500) -> DataFrame:
     """Consecutive shards of ``shard_size`` rows in key order, named like ``0-000017``."""
     numbered = global_row_number(df, key)
-    index = F.floor((F.col("row_no") - 1) / shard_size)
-    return numbered.withColumn("shard", F.concat(F.lit("0-"), F.lpad(index.cast("string"), 6, "0")))
+    return numbered.withColumn("shard", shard_name(F.floor((F.col("row_no") - 1) / shard_size)))
+
+
+def shard_name(index: Column) -> Column:
+    """At least six digits; longer numbers keep all of theirs."""
+    digits = index.cast("string")
+    return F.concat(F.lit("0-"), F.when(F.length(digits) < 6, F.lpad(digits, 6, "0")).otherwise(digits))
 
 
 def write_shards(df: DataFrame, folder: str, key: str, text: str, shard_size: int = 500) -> None:

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from foliospark.functions.constants import DEFAULT_MODEL, DEFAULT_PROMPT
 from foliospark.operators import chat, joins, sets
-from foliospark.plans.chat_import import import_history
+from foliospark.operators.retrieval import chat_window
+from foliospark.plans.chat_import import import_history, refused_bundles
 
 MESSAGES = [{"role": "user", "content": "what's up ?"}, {"role": "assistant", "content": "Hi"}]
 OLD = {"id": 1, "name": "conversation 1", "messages": MESSAGES}
@@ -87,6 +88,24 @@ def test_replace_tail(spark):
     got = chat.replace_tail(talk(spark), edits, 2)
     assert ids(got) == [(1, 0), (1, 1), (1, 2), (1, 3), (2, 0)]
     assert sorted(r.text for r in got.collect()) == ["a", "b", "c", "new", "new"]
+    more = spark.createDataFrame([(1, "user", "new"), (7, "user", "first")], "conv_id long, role string, text string")
+    appended = chat.replace_tail(talk(spark), more, 0)
+    assert ids(appended) == [(1, 0), (1, 1), (1, 2), (1, 3), (1, 4), (1, 5), (2, 0), (7, 0)]
+
+
+def test_refused_bundles_are_kept_with_a_reason(spark):
+    df = spark.createDataFrame([(1, '{"version":9,"history":[],"folders":[]}'), (2, "[]"), (3, "no json")], "n long, raw string")
+    assert sorted((r.n, r.reason) for r in refused_bundles(df, "raw").collect()) == [(1, "Unsupported data format"), (3, "Unsupported data format")]
+
+
+def test_positions_ignore_gaps(spark):
+    gapped = talk(spark).where("turn <> 2").withColumn("turn", F.col("turn") * 10_000)  # turns 0, 1, 3, 4 far apart
+    names = spark.createDataFrame([(1, "Plan")], "conv_id long, name string")
+    assert [r.conv_id for r in chat.search_conversations(gapped, names, "b d", piece=2).collect()] == [1]
+    gone = chat.delete_with_reply(gapped, spark.createDataFrame([(1, 30_000)], "conv_id long, turn long"))
+    assert ids(gone) == [(1, 0), (1, 10_000), (2, 0)]
+    history = {(r.conv_id, r.turn): r.history for r in chat_window(gapped, 2).collect()}
+    assert history == {(1, 0): [], (1, 30_000): ["a", "b"], (2, 0): []}
 
 
 def test_search_over_message_borders(spark):
@@ -123,11 +142,25 @@ def test_sets(spark):
     assert sorted(r.id for r in sets.clear_type(typed, "type", "chat").collect()) == [2, 3]
 
 
-def test_export_can_be_imported(spark):
-    out = chat.export_json(talk(spark))
-    up = chat.upgrade_bundles(out, "bundle").collect()
-    assert all(r.version_found == 4 for r in up)
-    assert {r.history[0].id: [m.content for m in r.history[0].messages] for r in up} == {"1": ["a", "b", "c", "d", "e"], "2": ["x"]}
+def test_export_can_be_imported(spark, tmp_path):
+    long = spark.range(3000).select(F.lit(3).cast("long").alias("conv_id"), (F.col("id") * 2).alias("turn"), F.lit("user").alias("role"),
+                                    F.concat(F.lit('say "'), F.col("id").cast("string")).alias("text"))
+    settings = spark.createDataFrame([(c, f"n{c}", f"p{c}", c / 4, f"f{c}" if c > 1 else None) for c in (1, 2, 3, 4)],
+                                     "conv_id long, name string, prompt string, temperature double, folderId string")
+    out = chat.export_fragments(talk(spark).unionByName(long), settings.withColumn("model", chat.default_model()))
+    chat.write_bundles(out, str(tmp_path / "export"), 5)
+    written = "".join(p.read_text() for p in sorted((tmp_path / "export").glob("part-*")))
+    raw = spark.createDataFrame([(bundle,) for bundle in written.split("\n\n") if bundle], "bundle string")
+    assert raw.count() == 4
+    up = chat.upgrade_bundles(raw, "bundle").collect()
+    assert all(r.version_found == 4 and len(r.history) == 1 for r in up)
+    found = {r.history[0].id: r.history[0] for r in up}
+    assert {i: [m.content for m in c.messages] for i, c in found.items()} == {
+        "1": ["a", "b", "c", "d", "e"], "2": ["x"], "3": [f'say "{i}' for i in range(3000)], "4": []}
+    assert [(found[i].name, found[i].prompt, found[i].temperature, found[i].folderId, found[i].model.id) for i in ("1", "3")] == [
+        ("n1", "p1", 0.25, None, "gpt-3.5-turbo"), ("n3", "p3", 0.75, "f3", "gpt-3.5-turbo")]
+    lines = chat.transcript(long).orderBy("position").collect()
+    assert "".join(r.fragment for r in lines).count("\n") == 2999
     folders = spark.createDataFrame([("f", "F", "chat")], "id string, name string, type string")
     prompts = spark.createDataFrame([("p", "P", "text")], "id string, name string, content string")
     rest = chat.upgrade_bundles(chat.export_folders_and_prompts(folders, prompts), "bundle").collect()

@@ -71,12 +71,18 @@ def test_character_chunks_are_lossless_and_within_budget(spark):
 def test_packing_keeps_token_order(spark):
     rng = random.Random(4)
     docs = [(i, [rng.randint(0, 99) for _ in range(rng.choice([0, 1, 3, 17]))]) for i in range(23)]
-    df = spark.createDataFrame(docs, "id long, ids array<bigint>")
-    rows = sequences.pack_constant_length(df, "id", "ids", 8, docs_per_shard=10, eos=-1).orderBy("shard", "seq_no").collect()
-    for shard in range(3):
-        stream = [t for i, ids in docs if i // 10 == shard for t in [*ids, -1]]
-        whole = len(stream) // 8
-        assert [r.input_ids for r in rows if r.shard == shard] == [stream[k * 8:k * 8 + 8] for k in range(whole)]
+    sparse = [(i * 1000, ids, len(ids) * 3) for i, ids in docs]  # gaps between keys lose nothing
+    df = spark.createDataFrame(sparse, "id long, ids array<bigint>, n_chars long")
+    for segment in (5, 1000):
+        rows = sequences.pack_constant_length(df, "id", "ids", "n_chars", 8, buffer_chars=60, eos=-1, rows_per_segment=segment).collect()
+        buffers, read = {}, 0
+        for _, ids, n in sparse:
+            buffers.setdefault(read // 60, []).extend([*ids, -1])
+            read += n
+        expected = {(b, k): stream[k * 8:k * 8 + 8] for b, stream in buffers.items() for k in range(len(stream) // 8)}
+        assert {(r.buffer_no, r.seq_no): r.input_ids for r in rows} == expected
+    (whole,) = sequences.pack_constant_length(df, "id", "ids", "n_chars", 8).groupBy("buffer_no").count().collect()
+    assert whole["count"] == sum(len(ids) + 1 for _, ids in docs) // 8
 
 
 def test_infilling_is_a_permutation(spark):
@@ -96,7 +102,7 @@ def test_infilling_is_a_permutation(spark):
 def test_sample_packing_loses_nothing(spark):
     rng = random.Random(5)
     docs = [(i, [rng.randint(1, 99) for _ in range(rng.choice([0, 1, 3, 9, 25]))]) for i in range(40)]
-    df = spark.createDataFrame(docs, "id long, ids array<bigint>")
+    df = spark.createDataFrame([(i * 977, ids) for i, ids in docs], "id long, ids array<bigint>")
     rows = sequences.pack_samples(df, "id", "ids", 8, samples_per_shard=16).orderBy("shard", "bin_no").collect()
     assert all(len(r.input_ids) == 8 for r in rows)
     for shard in range(3):

@@ -35,10 +35,18 @@ def test_models_learn_separable_classes(spark):
     assert trials.count() == 2 and trials.agg(F.max("accuracy")).first()[0] > 0.9
 
 
+def test_missing_features_and_impossible_settings_are_errors(spark):
+    with pytest.raises(Exception, match="(?i)null"):
+        learning.features_and_label(spark.createDataFrame([(1.0, None, 1), (2.0, 3.0, 0)], "a double, b double, y int"), "y").collect()
+    for depth, share in ((31, 0.1), (5, 1.0)):
+        with pytest.raises(ValueError):
+            learning.forest(5, depth, share)
+
+
 def test_search_space_is_repeatable_and_in_range():
     space = learning.search_space(20, seed=3)
     assert space == learning.search_space(20, seed=3)
-    assert all(50 <= c["n_estimators"] <= 200 and 2 <= c["max_depth"] <= 32 and 0.1 <= c["min_samples_split"] <= 1 for c in space)
+    assert all(50 <= c["n_estimators"] <= 200 and 2 <= c["max_depth"] <= learning.MAX_DEPTH and 0.1 <= c["min_samples_split"] <= 1 for c in space)
 
 
 def test_json_scoring(spark):

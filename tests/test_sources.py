@@ -65,6 +65,8 @@ def test_ingest_twice_adds_nothing(spark):
     ingest_documents(store, first.unionByName(docs(spark, [("two", "k1", 4, "e")])), size=2)
     assert {r.class_name: r.n_objects for r in store.class_counts().collect()} == {
         "Donedocs": 2, "Donechunks": 3, "Dtwodocs": 1, "Dtwochunks": 1}
+    assert [(r.dataset, r.dockey, r.doc_id) for r in store.refused().collect()] == [("bad name", "k3", 3)]
+    assert "letters and digits" in store.refused().first().reason
     assert store.exists("one") and not store.exists("three")
     with pytest.raises(ValueError):
         store.exists("no spaces")
@@ -80,6 +82,18 @@ def test_chunks_of_a_lost_run_are_hidden(spark):
     assert store.chunks().count() == 2 and len(store.runs()) == 1
 
 
+def test_chunk_ids_differ_between_data_sets(spark):
+    store = datasets.DatasetStore(spark, work_folder(spark, "test-store"))
+    ingest_documents(store, docs(spark, [("one", "k1", 1, "a b c"), ("two", "k1", 1, "a b c"), ("one", "k2", 10**15, "d")]), size=2)
+    ids = [r.chunk_id for r in store.search_table().collect()]
+    assert len(ids) == len(set(ids)) == 5 and all(0 <= i < 1 << 60 for i in ids)
+
+
+def test_shard_numbers_keep_their_digits(one):
+    for index, name in ((0, "0-000000"), (17, "0-000017"), (999_999, "0-999999"), (1_000_000, "0-1000000"), (12_345_678, "0-12345678")):
+        assert one(datasets.shard_name(F.col("i")), i=index) == name
+
+
 def test_class_names(spark):
     names = spark.createDataFrame([("Dmydocsdocs",), ("Dmychunks",), ("Other",)], "class_name string")
     got = [(r.dataset, r.class_type) for r in datasets.parse_class_name(names).collect()]
@@ -133,5 +147,7 @@ def test_search_reads_stored_vectors_of_one_dataset(spark):
     ingest_documents(store, docs(spark, [("one", "k1", 1, "alpha beta"), ("one", "k2", 2, "gamma"), ("two", "k3", 3, "alpha")]),
                      splitter="sentence", embedder=embed)
     asked = spark.createDataFrame([(1, "alpha")], "question_id long, question string")
-    assert [r.chunk_id for r in retrieve_chunks(asked, store.search_table("one"), 1, 0).collect()] == [100_000]
-    assert [r.chunk_id for r in retrieve_chunks(asked, store.search_table(), 1, 0).collect()] == [300_000]
+    one = store.search_table("one")
+    assert [r.chunk for r in one.join(retrieve_chunks(asked, one, 1, 0), "chunk_id").collect()] == ["alpha beta"]
+    every = store.search_table()
+    assert [r.chunk for r in every.join(retrieve_chunks(asked, every, 1, 0), "chunk_id").collect()] == ["alpha"]

@@ -3,6 +3,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from foliospark.functions import html, keys, text, vectors
+from foliospark.operators.joins import expand_from_table
+from foliospark.plans.answer import acronym_expander
 
 
 def test_clean_source_text(one):
@@ -40,6 +42,35 @@ def test_redact(one):
     assert got == "mail <EMAIL> from <IP> or <PHONE>, card <ID>"
 
 
+def test_dates_and_number_lists_are_no_phone_numbers(one):
+    kept = "on 2024-01-15 at 100 200 300, sizes 12 - 14 - 16, id 123-4567"
+    assert one(text.redact(F.col("t")), t=kept) == kept
+    assert one(text.redact(F.col("t")), t="call 555-123-4567 or (030) 1234 567 or +49 30 1234567") == "call <PHONE> or <PHONE> or <PHONE>"
+
+
+def test_prompts_are_filled_in_one_pass(one):
+    assert one(text.fill_prompt("{a}-{b}-{c}-{a}", a=F.col("x"), b=F.col("y")), x="{b}", y="{a}") == "{b}-{a}-{c}-{b}"
+    assert one(text.fill_prompt("plain {x}")) == "plain {x}"
+
+
+def test_acronyms_of_any_number(one, spark):
+    forms = {f"K{i}": f"key {i}" for i in range(5000)}
+    assert one(text.expand_acronyms(F.col("t"), forms), t="K1 and K4999 K5000") == "key 1 and key 4999 K5000"
+    rows = spark.createDataFrame([(1, "VP of VP"), (2, None)], "question_id long, question string")
+    twice = spark.createDataFrame([("VP", "vice president"), ("VP", "value point")], "acronym string, full_form string")
+    got = {r.question_id: r.question for r in expand_from_table(rows, "question_id", "question", twice).collect()}
+    assert got == {1: "value point of value point", 2: None}
+    asked = acronym_expander(forms)(spark.createDataFrame([(1, "K7 x"), (2, "y")], "question_id long, question string"))
+    assert {r.question_id: r.question for r in asked.collect()} == {1: "key 7 x", 2: "y"}
+
+
+def test_entities(one):
+    raw = "&#147;a&#148; &#8217; &#x2014; &#X41; &eacute;&Aacute; &hellip; &#038; &nbsp;| &#160;| &amp;lt; &bogus; &; & &#0; &#55296; &#99999999; &#128512;"
+    plain = "“a” ’ — A éÁ … &  |  | &lt; &bogus; &; & \ufffd \ufffd &#99999999; 😀"
+    assert one(html.decode_entities(F.col("t")), t=raw) == plain
+    assert one(html.decode_entities(F.col("t")), t="none") == "none"
+
+
 def test_faq_split(one):
     q, a = text.split_faq(F.col("q"), F.col("t"))
     assert one(q, q="What? ", t="") == "What?"
