@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import FEEDBACK_REASONS
+from ..functions.embedding import embed
 from ..functions.generate import explode_rows
 from ..functions.keys import stable_hash
 from ..functions.text import judge_score
@@ -44,7 +45,10 @@ def correctness(answers: DataFrame, group: list[str], output: str = "judge_outpu
 
 
 # Evaluators by name: (answers, group) -> metric columns per group. Users add their own.
-EVALUATORS: dict[str, Callable[[DataFrame, list[str]], DataFrame]] = {"correctness": correctness}
+EVALUATORS: dict[str, Callable[[DataFrame, list[str]], DataFrame]] = {
+    "correctness": correctness,
+    "semantic_similarity": lambda answers, group: semantic_similarity(answers, embed, group),
+}
 
 
 def register_evaluator(name: str, evaluator: Callable[[DataFrame, list[str]], DataFrame]) -> None:

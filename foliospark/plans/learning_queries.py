@@ -81,9 +81,37 @@ def batch_scoring(spark, sf):
     return learning.score_json(records, schema, folder, ["l_orderkey", "l_linenumber"])
 
 
-@query("ml8_model_signature")
+_COLUMN_TYPES = {"l_quantity": "double", "l_discount": "double", "l_tax": "double", "l_linenumber": "integer"}
+
+
+@query("ml8_model_signature", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{kind}' AS type, count({c}) AS n_values FROM lineitem" for c, kind in _COLUMN_TYPES.items()))
 def model_signature(spark, sf):
-    return learning.signature(_prices(spark, sf).select(*_FEATURES))
+    """The stored signature of a model beside the values the scored table has for each of its columns."""
+    folder, rows = work_folder(spark, "model"), _prices(spark, sf)
+    assembler = VectorAssembler(inputCols=_FEATURES, outputCol="features")
+    train = assembler.transform(rows).select("features", F.col("l_extendedprice").alias("label"))
+    learning.save_model([assembler, learning.elastic_net(train)], rows.select(*_FEATURES), folder)
+    stored = spark.read.json(f"{folder}/signature").select(F.from_json("signature", "fields array<struct<name:string,type:string>>").alias("s"))
+    columns = stored.select(F.inline("s.fields")).select(F.col("name").alias("column_name"), "type")
+    there = rows.select(*[F.count(c).alias(c) for c in _FEATURES]).unpivot([], _FEATURES, "column_name", "n_values")
+    return columns.join(there, "column_name")
+
+
+@query("ml1_one_feature", f"""
+WITH t AS (SELECT l_quantity AS x, l_extendedprice AS y FROM lineitem
+           WHERE CAST('0x' || substr(md5(l_orderkey || ':40'), 1, 8) AS BIGINT) % 100 >= 25),
+s AS (SELECT covar_pop(x, y) AS c, var_pop(x) AS v, avg(x) AS mx, avg(y) AS my FROM t),
+w AS (SELECT sign(c) * greatest(abs(c) - 0.25, 0) / (v + 0.25) AS slope, mx, my FROM s)
+SELECT round(slope, 2) AS slope, round(my - slope * mx, 1) AS intercept FROM w""")
+def one_feature(spark, sf):
+    """One feature has a closed form: the soft-thresholded covariance over the variance plus the ridge part."""
+    rows = learning.features_and_label(table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice"),
+                                       "l_extendedprice", ["l_orderkey"])
+    model = learning.elastic_net(_split(rows, "l_orderkey").where("split = 'train'"))
+    fitted = rows.limit(1).select(F.round(F.lit(float(model.coefficients[0])), 2).alias("slope"),
+                                  F.round(F.lit(float(model.intercept)), 1).alias("intercept"))
+    return fitted
 
 
 @query("evl9_cross_validation")

@@ -141,19 +141,33 @@ def answer_pairs(spark, sf):
     return reply.join(user, ["conv_id", "position"]).withColumn("run_id", F.col("conv_id") % 4)
 
 
-@query("evl3_semantic_similarity", f"""
-WITH p AS (SELECT a.conv_id * 1000 + u.turn AS pair_id, a.conv_id % 4 AS run_id, a.text AS answer, u.text AS reference
-           FROM conversations a JOIN conversations u ON u.conv_id = a.conv_id AND u.turn = a.turn - 1
-           WHERE a.role = 'assistant' AND u.role = 'user'),
+_SQL_PAIRS = f"""
+WITH n AS (SELECT *, lag(role) OVER w AS before, lag(turn) OVER w AS user_turn, lag(text) OVER w AS reference
+           FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+p AS (SELECT conv_id * 1000 + user_turn AS pair_id, conv_id % 4 AS run_id, turn, text AS answer, reference
+      FROM n WHERE role = 'assistant' AND before = 'user'),
 {sql_embed('a', 'p', 'pair_id', 'answer')}, {sql_embed('r', 'p', 'pair_id', 'reference')},
 d AS (SELECT a.id, sum(a.v * r.v) AS dot FROM a JOIN r ON a.id = r.id AND a.slot = r.slot GROUP BY 1),
-c AS (SELECT p.run_id, round(coalesce(dot, 0) / (an.norm * rn.norm), 6) AS score FROM p LEFT JOIN a_norm an ON an.id = pair_id
-      LEFT JOIN r_norm rn ON rn.id = pair_id LEFT JOIN d ON d.id = pair_id)
+c AS (SELECT p.run_id, p.turn, round(coalesce(dot, 0) / (an.norm * rn.norm), 6) AS score FROM p LEFT JOIN a_norm an ON an.id = pair_id
+      LEFT JOIN r_norm rn ON rn.id = pair_id LEFT JOIN d ON d.id = pair_id)"""
+
+
+@query("evl3_semantic_similarity", f"""{_SQL_PAIRS}
 SELECT run_id, round(avg(score), 6) AS similarity, count(*) AS n_answers FROM c GROUP BY 1""")
 def semantic_similarity(spark, sf):
     return evaluation.semantic_similarity(answer_pairs(spark, sf), embedding.embed, ["run_id"])
 
 
+@query("udx5_both_evaluators", f"""{_SQL_PAIRS}
+SELECT run_id, round(avg(score), 6) AS similarity, count(*) AS n_answers,
+       round(avg(CASE WHEN turn % 11 >= 1 THEN turn % 11 END), 6) AS correctness, count(*) FILTER (turn % 11 = 0) AS n_unscored
+FROM c GROUP BY 1""")
+def both_evaluators(spark, sf):
+    # answer_pairs keeps the turn of the user message; the reply is the next turn in these conversations.
+    judged = answer_pairs(spark, sf).withColumn("judge_output", F.concat(F.lit("Score: "), ((F.col("turn") + 1) % 11).cast("string")))
+    return evaluation.evaluate(judged, ["semantic_similarity", "correctness"], ["run_id"])
+
+
 @query("evl4_correctness", f"""
 SELECT source, round(avg(score), 6) AS correctness, count(*) FILTER (score IS NULL) AS n_unscored FROM ({SQL_JUDGED}) GROUP BY 1""")
 def correctness(spark, sf):

@@ -12,16 +12,43 @@ from .ingest import ingest_documents
 from .registry import query
 
 
-@query("src1_directory_scan")
+_READERS = {".json": "json", ".txt": "lines"}
+
+
+def _document_files(spark, sf) -> str:
+    """Documents as JSON (even ids) and text files, several rows each, below language and source folders.
+
+    Marker and checksum files lie beside them, and CSV files no reader is responsible for.
+    """
+    folder = work_folder(spark, "files")
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "source", F.to_json(F.struct("doc_id", "text")).alias("value"))
+    even = F.col("doc_id") % 2 == 0
+    rows = table(spark, sf, "documents").where(even).select("doc_id", "lang", "source", "text")
+    rows.write.partitionBy("lang", "source").option("maxRecordsPerFile", 50).json(f"{folder}/json")
+    docs.where(~even).drop("doc_id").write.partitionBy("lang", "source").option("maxRecordsPerFile", 50).text(f"{folder}/text")
+    table(spark, sf, "labels").write.csv(f"{folder}/other")
+    return folder
+
+
+def _documents_in(found):
+    """Documents of scanned files by the reader their extension names."""
+    path = F.col("path")
+    routed = found.select("path", files.route_by_extension(path, _READERS, "none").alias("reader"), "content").where("reader <> 'none'")
+    lines = files.text_content(routed).select("path", "reader", F.explode(F.split("text", "\n")).alias("line")).where("line <> ''")
+    return files.with_file_metadata(lines.withColumn("d", F.from_json("line", "doc_id long, text string"))).select(
+        "d.doc_id", F.md5("d.text").alias("text_md5"), files.extension(path).alias("extension"), "page_label", "reader",
+        files.path_part(path, 2).alias("source_level"), files.path_part(path, 3).alias("lang_level"))
+
+
+@query("src1_directory_scan", """
+SELECT doc_id, md5(text) AS text_md5, CASE WHEN doc_id % 2 = 0 THEN '.json' ELSE '.txt' END AS extension FROM documents""")
 def directory_scan(spark, sf):
-    return files.scan_directory(spark, sf).select(
-        files.file_name(F.col("path")).alias("file_name"), F.col("length"))
+    return _documents_in(files.scan_directory(spark, _document_files(spark, sf))).select("doc_id", "text_md5", "extension")
 
 
-@query("src2_extension_scan")
+@query("src2_extension_scan", "SELECT doc_id, md5(text) AS text_md5 FROM documents WHERE doc_id % 2 = 1")
 def extension_scan(spark, sf):
-    return files.scan_directory(spark, sf, pattern="*.parquet").select(
-        files.file_name(F.col("path")).alias("file_name"), F.col("length"))
+    return _documents_in(files.scan_directory(spark, _document_files(spark, sf), pattern="*.txt")).select("doc_id", "text_md5")
 
 
 def _scraped_folder(spark, sf) -> str:
@@ -108,12 +135,11 @@ def ground_truth(spark, sf):
     return corpora.read_ground_truth(spark, folder)
 
 
-@query("src10_bucket_scan")
+@query("src10_bucket_scan", """
+SELECT doc_id, md5(text) AS text_md5, '1' AS page_label, CASE WHEN doc_id % 2 = 0 THEN 'json' ELSE 'lines' END AS reader,
+       'source=' || source AS source_level, 'lang=' || lang AS lang_level FROM documents""")
 def bucket_scan(spark, sf):
-    path = F.col("path")
-    return files.with_file_metadata(files.scan_directory(spark, sf)).select(
-        "file_name", "page_label", files.extension(path).alias("extension"),
-        files.route_by_extension(path, {".pdf": "pdf", ".parquet": "table"}).alias("reader"), "length")
+    return _documents_in(files.scan_directory(spark, _document_files(spark, sf))).drop("extension")
 
 
 @query("src11_document_loader", """

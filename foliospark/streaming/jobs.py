@@ -51,31 +51,36 @@ def ingest_stream(docs: DataFrame, store: DatasetStore, *, progress: str | None
         "checkpointLocation", log).trigger(availableNow=True).start().awaitTermination()
 
 
+DONE = -1  # number of pieces in the state of a reply that was emitted
+
+
 def assemble_replies(pieces: DataFrame, timeout_ms: int = 600_000) -> DataFrame:
     """Join the pieces (request_id, piece_no, n_pieces, piece, sent_at) of each reply in piece order.
 
     A reply is emitted once, when its last missing piece arrives, or incomplete once the watermark on
-    ``sent_at`` has passed its newest piece by the timeout. State per request is one reply, which the
+    ``sent_at`` has passed its newest piece by the timeout. A done mark stays until then, so a piece that
+    is repeated after the last one starts nothing new. State per request is one reply, which the
     model's answer length bounds. (A processing-time timeout would keep an available-now run going.)
     """
     def collect(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             numbers, texts, total = state.get
             state.remove()
+            if total == DONE:
+                return
         else:
             numbers, texts, total = state.get if state.exists else ([], [], 0)
-            known, newest = dict(zip(numbers, texts)), 0
+            done, known, newest = total == DONE, dict(zip(numbers, texts)), 0
             for batch in batches:
                 known.update(zip(batch["piece_no"].tolist(), batch["piece"].tolist()))
                 total = int(batch["n_pieces"].max())
                 newest = max(newest, int(batch["sent_at"].max().timestamp() * 1000))
             numbers, texts = list(known), list(known.values())
-            if len(known) < total:
-                state.update((numbers, texts, total))
-                state.setTimeoutTimestamp(max(newest, state.getCurrentWatermarkMs()) + timeout_ms)
+            whole = not done and len(known) >= total
+            state.update(([], [], DONE) if done or whole else (numbers, texts, total))
+            state.setTimeoutTimestamp(max(newest, state.getCurrentWatermarkMs()) + timeout_ms)
+            if not whole:
                 return
-            if state.exists:
-                state.remove()
         text = "".join(t for _, t in sorted(zip(numbers, texts)))
         yield pd.DataFrame({"request_id": [key[0]], "text": [text], "complete": [len(numbers) == total]})
 

@@ -9,12 +9,13 @@ def test_replies_from_pieces_out_of_order(spark):
     folder = work_folder(spark, "test-pieces")
     schema = "request_id string, piece_no int, n_pieces int, piece string, sent_at timestamp"
     at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("piece_no"))
-    for batch in ([("a", 1, 3, "el"), ("b", 0, 2, "x")], [("a", 2, 3, "lo"), ("a", 1, 3, "el")], [("a", 0, 3, "h")]):
+    for batch in ([("a", 1, 3, "el"), ("b", 0, 2, "x")], [("a", 2, 3, "lo"), ("a", 1, 3, "el")], [("a", 0, 3, "h")],
+                  [("a", 1, 3, "el"), ("a", 2, 3, "lo")], [("a", 0, 3, "h"), ("late", 100_000, 2, "z")], [("late", 100_001, 2, "z")]):
         spark.createDataFrame(batch, "request_id string, piece_no int, n_pieces int, piece string").withColumn(
             "sent_at", at).coalesce(1).write.mode("append").parquet(folder)
     stream = jobs.file_stream(spark, folder, schema, files_per_batch=1)
     rows = jobs.run_to_table(jobs.assemble_replies(jobs.event_time(stream, "sent_at", "1 hour")), "test-replies").collect()
-    assert [tuple(r) for r in rows] == [("a", "hello", True)]
+    assert sorted(tuple(r) for r in rows) == [("a", "hello", True), ("b", "x", False), ("late", "zz", True)]
 
 
 def test_rate_limit_and_sessions(spark):
