@@ -11,19 +11,22 @@ Extra columns are dropped. An empty table gives an empty result. A word of any l
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StringType, StructField, StructType
 
-from .blocks import BLOCK_BYTES, by_shard, pack, pack_blocks, parts_for, shard_of, text_bytes, unpack_all
+from .blocks import BLOCK_BYTES, by_shard, pack, pack_blocks, parts_for, shard_of, text_bytes, unpack, unpack_all
 from .texts import library_tokenizer, words_of
 
-SHARD_BYTES = 64 << 20  # text per shard of the word table; its distinct words are a fraction of that
+WORD_BLOCK_BYTES = BLOCK_BYTES // 2  # a block also holds its ids and its decoded text
+SHARD_BYTES = 32 << 20  # text per shard of the word table; its distinct words are a fraction of that
 ENCODE_SLICE = 20_000
 WORDS = StructType([StructField("shard", IntegerType()), StructField("block", IntegerType()), StructField("words", BinaryType())])
-CODES = StructType([StructField("block", IntegerType()), StructField("codes", BinaryType())])
+CODES = StructType([StructField("block", IntegerType()), StructField("shard", IntegerType()), StructField("codes", BinaryType())])
 
 
 def check_word_vocabulary(vocabulary: str) -> None:
@@ -50,16 +53,22 @@ def piece_table(vocabulary: str) -> pa.Array:
     return pa.array([tokenizer.id_to_token(i) for i in range(tokenizer.get_vocab_size(with_added_tokens=True))], pa.string())
 
 
+def words_by_shard(payloads: pa.ChunkedArray, n_shards: int) -> Iterator[tuple[int, list[str]]]:
+    """The distinct words of a block, sorted, for every shard that has any."""
+    words: set[str] = set()
+    for rows in unpack_all(payloads):
+        for text in rows.column("text").to_pylist():
+            words.update(words_of(text))
+    ordered = sorted(words)
+    for shard, at in by_shard(shard_of(ordered, n_shards)):
+        yield shard, [ordered[i] for i in at]
+
+
 def _distinct_words(n_shards: int):
     def distinct(table: pa.Table) -> pa.Table:
-        words: set[str] = set()
-        for rows in unpack_all(table.column("payload")):
-            for text in rows.column("text").to_pylist():
-                words.update(words_of(text))
-        words = sorted(words)
         block = table.column("block")[0].as_py()
-        out = [(shard, block, pack(pa.table({"word": pa.array([words[i] for i in at], pa.string())})))
-               for shard, at in by_shard(shard_of(words, n_shards))]
+        out = [(shard, block, pack(pa.table({"word": pa.array(words, pa.string())})))
+               for shard, words in words_by_shard(table.column("payload"), n_shards)]
         return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary()))],
                         names=["shard", "block", "words"])
     return distinct
@@ -76,9 +85,9 @@ def _word_table(vocabulary: str):
         for words in asked:
             at = np.fromiter(map(row.__getitem__, words), np.int64, len(words))
             own = ids[ragged(ends[at] - sizes[at], sizes[at])]
-            payloads.append(pack(pa.table({"word": pa.array(words, pa.string()),
-                                           "ids": pa.ListArray.from_arrays(offsets(sizes[at]), pa.array(own.astype(np.int32)))})))
-        return pa.table([table.column("block").cast(pa.int32()), pa.array(payloads, pa.binary())], names=["block", "codes"])
+            payloads.append(pack(pa.table({"ids": pa.ListArray.from_arrays(offsets(sizes[at]), pa.array(own, pa.uint32()))})))
+        return pa.table([table.column("block"), table.column("shard"), pa.array(payloads, pa.binary())],
+                        names=["block", "shard", "codes"])
     return encode
 
 
@@ -93,14 +102,15 @@ def offsets(sizes: np.ndarray) -> pa.Array:
     return pa.array(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int32))
 
 
-def _join_by_position(vocabulary: str, id_col: str, id_type: pa.DataType):
+def _join_by_position(vocabulary: str, id_col: str, id_type: pa.DataType, n_shards: int):
     def join(left: pa.Table, right: pa.Table) -> pa.Table:
         pieces = piece_table(vocabulary)
         row: dict[str, int] = {}
         ids, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for answer in unpack_all(right.column("codes")):
-            lists = answer.column("ids").combine_chunks()
-            row.update(zip(answer.column("word").to_pylist(), range(len(row), len(row) + len(lists)), strict=True))
+        answers = dict(zip(right.column("shard").to_pylist(), right.column("codes"), strict=True))
+        for shard, words in words_by_shard(left.column("payload"), n_shards):
+            lists = unpack(answers[shard].as_buffer()).column("ids").combine_chunks()
+            row.update(zip(words, range(len(row), len(row) + len(lists)), strict=True))
             ids.append(lists.flatten().to_numpy())
             sizes.append(np.diff(lists.offsets.to_numpy()))
         ids, sizes = np.concatenate(ids).astype(np.int32), np.concatenate(sizes)
@@ -123,7 +133,7 @@ def _join_by_position(vocabulary: str, id_col: str, id_type: pa.DataType):
 
 
 def encode_decode(docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_col: str = "text",
-                  block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+                  block_bytes: int = WORD_BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``id_col``, ``ids`` and ``decoded`` text of every row; ``vocabulary`` is the file's content."""
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -132,8 +142,9 @@ def encode_decode(docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id", t
     rows = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = rows.schema[id_col].dataType
     blocks = pack_blocks(rows, parts_for(total, block_bytes))
-    asked = blocks.groupBy("block").applyInArrow(_distinct_words(parts_for(total, shard_bytes)), WORDS)
+    n_shards = parts_for(total, shard_bytes)
+    asked = blocks.groupBy("block").applyInArrow(_distinct_words(n_shards), WORDS)
     answers = asked.groupBy("shard").applyInArrow(_word_table(vocabulary), CODES)
     out = StructType([StructField(id_col, kind), StructField("ids", ArrayType(IntegerType())), StructField("decoded", StringType())])
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _join_by_position(vocabulary, id_col, to_arrow_type(kind)), out)
+        _join_by_position(vocabulary, id_col, to_arrow_type(kind), n_shards), out)
