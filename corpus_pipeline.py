@@ -22,10 +22,11 @@ ORACLE_SQL = None  # tokenizer ids and packing have no SQL counterpart; tests co
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the rules keep, without the lines that are frequent on their host."""
-    judged = with_line_verdict(docs).where("kept")
-    changed = F.col("removed_lines").isNotNull()
-    return judged.withColumn("n_chars", F.when(changed, F.length("cleaned_text").cast("long")).otherwise(F.col("n_chars"))).withColumn(
-        "text", F.col("cleaned_text")).select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "source", "text")  # no column of the input can clash
+    judged = with_line_verdict(rows).where("kept")
+    length = F.when(F.col("removed_lines").isNull(), F.col("_row.n_chars")).otherwise(F.length("cleaned_text").cast("long"))
+    changed = {"text": F.col("cleaned_text"), "n_chars": length}
+    return judged.select(*[(changed[c] if c in changed else F.col("_row")[c]).alias(c) for c in docs.columns])
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,6 +21,21 @@ def test_stages_keep_what_their_operators_keep(spark):
     assert ids(last) == ids(docs)
 
 
+def test_stages_take_odd_rows_and_extra_columns(spark):
+    body = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, body, "en", "s", 5), (1, body, "en", "s", 5), (2, None, None, None, None), (None, body + " more", "en", "s", 1), (3, "", "de", "s", 0),
+            (4, "x" * 200_000, "en", "s", 9), (5, body.upper(), "xx", None, 2)]
+    docs = spark.createDataFrame([(*r, "own", 7, 1.5) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, "
+                                 "kept string, n_words long, perplexity double")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        for frame in (docs, docs.limit(0)):
+            out = stage(spark, frame, FOLDER)
+            assert out.columns == docs.columns, name
+            assert {tuple(r) for r in out.collect()} <= {tuple(r) for r in docs.collect()}, name
+    assert corpus_pipeline.packing(spark, docs, FOLDER).agg({"length": "sum"}).first()[0] > 0
+    assert corpus_pipeline.packing(spark, docs.limit(0), FOLDER).count() == 0
+
+
 def test_run_packs_the_survivors(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality rules", "quality classifier", "n-gram Jaccard join", "best-fit packing"]
     assert entrypoint.queries()["pipeline"] is corpus_pipeline.run and "pipeline" not in entrypoint.oracle_sql()
