@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import re
-import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import chunk_id
 from ..operators.ordering import global_row_number
+from ..session import materialise
 
 DOCS = "dataset string, dockey string, doc_id long, text string"
 REFUSED = "dataset string, dockey string, doc_id long, reason string"
@@ -29,41 +30,35 @@ def valid_name(dataset: Column) -> Column:
 
 
 class DatasetStore:
-    """Docs and chunks of all datasets below one folder.
+    """Docs and chunks of all datasets as two tables below one folder, partitioned by dataset.
 
-    Every append is a run with folders of its own, partitioned by dataset, and becomes visible by one
-    marker file written last. A run that died leaves folders no one reads; readers need neither a
-    duplicate check nor a join to ignore them.
+    Appends go through Spark's own committer and are compared by key with what is stored, chunks first
+    and documents last, so an append that died halfway is completed, not doubled, when it runs again. A
+    document's chunks lie in one file. One writer at a time per dataset.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _path(self, *parts: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self.root, *parts)))
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
-
-    def runs(self) -> list[str]:
-        """Committed runs: one short name per append."""
-        system, path = self._path("committed")
-        return sorted(s.getPath().getName() for s in system.listStatus(path)) if system.exists(path) else []
-
     def _read(self, kind: str, schema: str) -> DataFrame:
-        base = f"{self.root}/{kind}"
-        folders = [f"{base}/run={run}" for run in self.runs()]
-        if not folders:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(f"{schema}, run string").option("basePath", base).parquet(*folders).drop("run")
+        try:
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{kind}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)  # nothing was appended yet
+
+    def _append(self, frame: DataFrame, kind: str, schema: str) -> None:
+        """Balanced by size, so an append adds few files per dataset and none for a small one beyond one."""
+        rows = frame.select([c.split()[0] for c in schema.split(", ")])
+        rows.hint("rebalance", "dataset").write.mode("append").partitionBy("dataset").parquet(f"{self.root}/{kind}")
 
     def docs(self) -> DataFrame:
         return self._read("docs", DOCS)
 
     def refused(self) -> DataFrame:
         """Documents that could not be stored, with the reason."""
-        system, path = self._path("refused")
-        if not system.exists(path):
-            return self.spark.createDataFrame([], REFUSED)
-        return self.spark.read.schema(REFUSED).parquet(f"{self.root}/refused")
+        return self._read("refused", REFUSED)
 
     def refuse(self, docs: DataFrame, reason: str) -> None:
         """Set documents aside; one that was set aside before is not repeated."""
@@ -83,27 +78,21 @@ class DatasetStore:
                              "name", F.col("text").alias("chunk"), "prev", "next", F.col("embedding").alias("vector"))
 
     def unknown_docs(self, docs: DataFrame) -> DataFrame:
-        """Documents whose key is not stored yet; only keys of the store are read."""
-        return docs.join(self.docs().select("dataset", "dockey"), ["dataset", "dockey"], "left_anti") if self.runs() else docs
+        """Documents whose key is not stored yet; only keys are read and compared."""
+        keys = docs.select("dataset", "dockey").join(self.docs().select("dataset", "dockey"), ["dataset", "dockey"], "left_anti")
+        return docs.join(keys, ["dataset", "dockey"], "left_semi")
 
     def append(self, docs: DataFrame, chunker: Callable[[DataFrame], DataFrame]) -> None:
-        """Write documents, cut chunks from the written documents, then commit the run.
+        """Store documents that are new, and their chunks.
 
-        The chunks come from the stored table, so whatever produced the documents runs only once.
+        The batch is written to the work folder once, so whatever produced it runs only once.
         """
-        run = uuid.uuid4().hex
-
-        def write(frame: DataFrame, kind: str, schema: str) -> str:
-            folder = f"{self.root}/{kind}/run={run}"
-            frame.select([c.split()[0] for c in schema.split(", ")]).write.partitionBy("dataset").parquet(folder)
-            return folder
-
-        stored = self.spark.read.schema(DOCS).parquet(write(docs, "docs", DOCS))
-        if stored.isEmpty():
+        batch = materialise(docs, "ingest-batch")
+        if batch.isEmpty():
             return
-        write(chunker(stored), "chunks", CHUNKS)
-        system, marker = self._path("committed", run)
-        system.create(marker).close()
+        known = self.chunks().select("dataset", F.col("doc").alias("dockey")).distinct()
+        self._append(chunker(batch.join(known, ["dataset", "dockey"], "left_anti")), "chunks", CHUNKS)
+        self._append(batch, "docs", DOCS)
 
     def class_counts(self) -> DataFrame:
         """Object count per class name, ``D<dataset>docs`` and ``D<dataset>chunks``."""

@@ -72,14 +72,22 @@ def test_ingest_twice_adds_nothing(spark):
         store.exists("no spaces")
 
 
-def test_chunks_of_a_lost_run_are_hidden(spark):
+def test_an_append_that_died_is_completed(spark):
     store = datasets.DatasetStore(spark, work_folder(spark, "test-store"))
-    frame = docs(spark, [("one", "k1", 1, "a b c")])
-    chunks = chunk_documents(frame, size=2)
-    chunks.write.partitionBy("dataset").parquet(f"{store.root}/chunks/run=lost")  # a run that died before its marker
-    assert store.chunks().count() == 0
-    ingest_documents(store, frame, size=2)
-    assert store.chunks().count() == 2 and len(store.runs()) == 1
+    frame = docs(spark, [("one", "k1", 1, "a b c"), ("one", "k2", 2, "d")])
+    first = chunk_documents(frame.where("dockey = 'k1'"), size=2)
+    first.write.mode("append").partitionBy("dataset").parquet(f"{store.root}/chunks")  # died before the documents were written
+    for _ in range(2):
+        ingest_documents(store, frame, size=2)
+        assert store.chunks().count() == 3 and store.docs().count() == 2
+
+
+def test_many_appends_stay_one_table(spark):
+    store = datasets.DatasetStore(spark, work_folder(spark, "test-store"))
+    for i in range(12):
+        ingest_documents(store, docs(spark, [("one", f"k{i // 2}", i // 2, "a b c")]), size=2)
+    assert store.docs().count() == 6 and store.chunks().count() == 12
+    assert len(store.docs().inputFiles()) == 6
 
 
 def test_chunk_ids_differ_between_data_sets(spark):
