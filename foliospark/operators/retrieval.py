@@ -49,8 +49,8 @@ def keep_sources(ranked: DataFrame, max_sources: int = 3, rank: str = "new_rank"
     return ranked.where(F.col(rank) <= max_sources)
 
 
-def within_budget(ranked: DataFrame, budget: int, text: str, rank: str = "new_rank") -> DataFrame:
-    """Leading sources whose texts together stay within a token budget."""
+def within_budget(ranked: DataFrame, budget: int | Column, text: str, rank: str = "new_rank") -> DataFrame:
+    """Leading sources whose texts together stay within a token budget, one for all or a column such as a model's limit."""
     upto = Window.partitionBy("question_id").orderBy(rank).rowsBetween(Window.unboundedPreceding, 0)
     return (ranked.withColumn("n_tokens", token_count(F.col(text)))
             .withColumn("used_tokens", F.sum("n_tokens").over(upto)).where(F.col("used_tokens") <= budget))

@@ -213,9 +213,11 @@ SELECT event_id, user_id, coalesce(last_value(own IGNORE NULLS) OVER w, 'default
 FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def inherited_settings(spark, sf):
     rows = table(spark, sf, "events").select(
-        "event_id", "user_id", "ts", F.col("ts").cast("date").alias("day"),
+        "event_id", "user_id", "ts", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"),
         F.when(F.col("event_type").isin("signup", "purchase"), F.concat("event_type", F.col("event_id").cast("string"))).alias("own"))
-    carried = ordering.carry_forward(rows, ["user_id"], ["ts", "event_id"], "day", {"setting": "own"}, number="n")
+    # Pieces of the time axis with a bounded number of rows, so a busy user of one day is several tasks.
+    pieces = ordering.with_segment(rows, "at", ordering.order_bounds(rows, "at", 50_000), "piece")
+    carried = ordering.carry_forward(pieces, ["user_id"], ["ts", "event_id"], "piece", {"setting": "own"}, number="n")
     return carried.select("event_id", "user_id", F.coalesce("setting", F.lit("default")).alias("setting"),
                           F.concat(F.lit("Prompt "), F.col("n").cast("string")).alias("name"))
 

@@ -140,8 +140,7 @@ SELECT doc_id, CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS I
 FROM documents""")
 def table_function(spark, sf):
     spark.udtf.register("split_lines", SplitLines)
-    table(spark, sf, "documents").createOrReplaceTempView("udx1_documents")
-    return spark.sql("SELECT doc_id, line_no, line FROM udx1_documents, LATERAL split_lines(text)")
+    return spark.sql("SELECT doc_id, line_no, line FROM {docs}, LATERAL split_lines(text)", docs=table(spark, sf, "documents"))
 
 
 @query("udx2_metadata_extractor", "SELECT page_id, length(html) AS n_html, 'page' AS kind FROM pages")
@@ -173,7 +172,10 @@ SELECT source, round(avg(score), 6) AS correctness, count(*) FILTER (score IS NU
 FROM ({SQL_JUDGED}) GROUP BY 1""")
 def evaluator_list(spark, sf):
     evaluation.register_evaluator("volume", lambda answers, group: answers.groupBy(*group).agg(F.count(F.lit(1)).alias("n_replies")))
-    return evaluation.evaluate(judge_replies(spark, sf), ["correctness", "volume"], ["source"])
+    try:
+        return evaluation.evaluate(judge_replies(spark, sf), ["correctness", "volume"], ["source"])
+    finally:
+        evaluation.EVALUATORS.pop("volume")
 
 
 def length_client():

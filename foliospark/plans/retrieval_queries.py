@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import embedding, keys, vectors
+from ..functions import constants, embedding, keys, vectors
 from ..functions.generate import posexplode_rows
 from ..operators import chunking, retrieval, sequences
 from ..operators.similarity import top_k_similar
@@ -176,6 +176,23 @@ def token_budget(spark, sf):
     return retrieval.within_budget(reranked(spark, sf), 600, "chunk").select("question_id", "chunk_id", "new_rank", "used_tokens")
 
 
+_SQL_MODEL = "CASE r.question_id % 3 WHEN 0 THEN 'gpt-4' WHEN 1 THEN 'gpt-3.5-turbo' ELSE 'gpt-35-turbo' END"
+
+
+@query("vec10_model_budget", f"""WITH {SQL_RETRIEVED},
+m(model_id, model_name, max_length, token_limit) AS (VALUES {constants.sql_values(constants.MODELS)}),
+t AS (SELECT r.question_id, r.chunk_id, new_rank, m.token_limit, len({SQL_TOKENS.format('chunk')}) AS n FROM reranked r JOIN m ON m.model_id = {_SQL_MODEL}),
+u AS (SELECT *, sum(n) OVER (PARTITION BY question_id ORDER BY new_rank) AS used FROM t)
+SELECT question_id, chunk_id, new_rank, CAST(used AS BIGINT) AS used_tokens FROM u WHERE used <= token_limit // 10""")
+def model_budget(spark, sf):
+    """A tenth of the token limit of each question's model."""
+    q = F.col("question_id")
+    model = F.when(q % 3 == 0, "gpt-4").when(q % 3 == 1, "gpt-3.5-turbo").otherwise("gpt-35-turbo")
+    limited = reranked(spark, sf).withColumn("model_id", model).join(constants.model_table(spark), "model_id")
+    return retrieval.within_budget(limited, F.floor(F.col("token_limit") / 10), "chunk").select(
+        "question_id", "chunk_id", "new_rank", "used_tokens")
+
+
 @query("vec11_question_batches", f"""WITH {SQL_RETRIEVED},
 b AS (SELECT item_id, (row_number() OVER (ORDER BY item_id) - 1) // 16 AS batch_no FROM benchmark)
 SELECT batch_no, question_id, chunk_id FROM reranked JOIN b ON item_id = question_id WHERE new_rank = 1""")

@@ -13,9 +13,6 @@ from ..plans.ingest import ingest_documents
 from ..session import work_folder
 from ..sources.datasets import DatasetStore
 
-LOCAL_SESSION_MERGE = ("spark.sql.sessionWindow.merge.sessions.in.local.partition",
-                       "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition")
-
 
 def file_stream(spark: SparkSession, folder: str, schema, *, pattern: str | None = None, files_per_batch: int = 64) -> DataFrame:
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
@@ -110,10 +107,8 @@ def first_per_interval(df: DataFrame, key: str, ts: str, payload: Column, durati
 def sessions(df: DataFrame, key: str, ts: str, gap: str) -> DataFrame:
     """Sessions of activity closed by a gap; batch or stream.
 
-    Sessions are merged on the map side first, so a busy key sends sessions through the shuffle
-    instead of all its events.
+    ``build_session`` has sessions merged on the map side first, so a busy key sends sessions through
+    the shuffle instead of all its events.
     """
-    for setting in LOCAL_SESSION_MERGE:
-        df.sparkSession.conf.set(setting, "true")
     return df.groupBy(key, F.session_window(ts, gap).alias("s")).agg(F.count(F.lit(1)).alias("n_events")).select(
         key, F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), "n_events")
