@@ -29,11 +29,11 @@ def op5(spark, folder):
 
 OP7_SQL = r"""
 WITH docs AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
-words AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), w -> w <> '') AS ws, source, text FROM docs),
+words AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws, source, text FROM docs),
 grams AS (SELECT doc_id, i, list_slice(ws, i, i + 4) AS gram FROM words, unnest(range(1, len(ws) - 3)) AS t(i)),
 repeated AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM grams) WHERE n > 1),
 covered AS (SELECT doc_id, count(DISTINCT i + o) AS n FROM repeated, unnest(range(0, 5)) AS t(o) GROUP BY doc_id),
-lines AS (SELECT doc_id, source, text, unnest(list_filter(string_split(text, chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]'))) AS line
+lines AS (SELECT doc_id, source, text, unnest(list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]'))) AS line
           FROM docs),
 normal AS (SELECT *, lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))) AS norm FROM lines),
 hosts AS (SELECT source, count(DISTINCT text) AS n FROM docs GROUP BY source),
