@@ -9,6 +9,7 @@ from ..functions.generate import explode_rows, let
 from ..functions.text import tokens
 
 ANCHOR_WORDS = 8
+SHORT_PASSAGES = 1_000  # passages of one or two words that are searched for inside each text
 
 
 def _word_runs(hashes: Column, n: int) -> Column:
@@ -55,9 +56,19 @@ def passages_in_texts(passages: DataFrame, texts: DataFrame, passage_id: str, pa
         keyed = distinct.where(F.col("_n") > 0).select("_rep", F.coalesce(*[anchor(n) for n in runs]).alias("_key"))
         found = let(_word_hashes(tokens(F.col("_text"))), lambda h: F.concat(*[_word_runs(h, n) for n in runs]))
         candidates.append(explode_rows(split, [text_id], F.array_distinct(found), "_key").join(keyed, "_key"))
-    if 0 in sizes:  # one or two words, none of them inner: look up the first two characters
-        keyed = distinct.where(F.col("_n") == 0).select("_rep", F.substring("_passage", 1, 2).alias("_key"))
-        candidates.append(explode_rows(split, [text_id], _character_pairs(F.col("_text")), "_key").join(keyed, "_key"))
+    short_hits = None
+    if 0 in sizes:  # one or two words, none of them inner
+        short = distinct.where(F.col("_n") == 0).select("_rep", "_passage").where(F.col("_passage").isNotNull())
+        listed = [r["_passage"] for r in short.select("_passage").limit(SHORT_PASSAGES + 1).collect()]
+        if len(listed) <= SHORT_PASSAGES:  # found in the row: only true hits leave it
+            found_short = F.filter(F.lit(listed).cast("array<string>"), lambda p: F.contains(F.col("_text"), p))
+            short_hits = explode_rows(split, [text_id], found_short, "_passage").join(short, "_passage").select("_rep", text_id)
+        else:  # looked up by the first two characters
+            keyed = short.select("_rep", F.substring("_passage", 1, 2).alias("_key"))
+            candidates.append(explode_rows(split, [text_id], _character_pairs(F.col("_text")), "_key").join(keyed, "_key"))
+    members = asked.join(distinct.select("_rep", "_passage"), "_passage").select("_rep", passage_id)
+    if not candidates and short_hits is not None:
+        return short_hits.join(members, "_rep").select(passage_id, text_id)
     if not candidates:
         id_type = texts.schema[text_id].dataType
         return passages.where(F.lit(False)).select(passage_id, F.lit(None).cast(id_type).alias(text_id))
@@ -66,5 +77,6 @@ def passages_in_texts(passages: DataFrame, texts: DataFrame, passage_id: str, pa
         pairs = pairs.unionByName(more.select("_rep", text_id))
     inside = (pairs.join(distinct.select("_rep", "_passage"), "_rep").join(split, text_id)
               .where(F.contains("_text", "_passage")).select("_rep", text_id).distinct())
-    members = asked.join(distinct.select("_rep", "_passage"), "_passage").select("_rep", passage_id)
+    if short_hits is not None:
+        inside = inside.unionByName(short_hits)
     return inside.join(members, "_rep").select(passage_id, text_id)

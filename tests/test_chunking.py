@@ -128,6 +128,18 @@ def test_passages_in_texts(spark):
     assert sorted(map(tuple, got)) == sorted((p, t) for p, s in passages for t, x in texts if s in x)
 
 
+def test_many_short_passages(spark, monkeypatch):
+    from foliospark.operators import containment
+
+    texts = [(i, f"a{i % 3} b{i} c") for i in range(12)]
+    passages = [(i, t) for i, t in enumerate(["a1", "b1", "1 b", "c", "", "zz", "a1 b", "b11 c"])]
+    frames = spark.createDataFrame(passages, "p long, s string"), spark.createDataFrame(texts, "t long, x string")
+    for limit in (1000, 3):
+        monkeypatch.setattr(containment, "SHORT_PASSAGES", limit)
+        got = passages_in_texts(*frames, "p", "s", "t", "x").collect()
+        assert sorted(map(tuple, got)) == sorted((p, t) for p, s in passages for t, x in texts if s in x)
+
+
 def test_no_passages(spark):
     texts = spark.createDataFrame([(1, "a")], "t long, x string")
     none = spark.createDataFrame([], "p long, s string")
