@@ -6,6 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from ..functions.text import tokens
 from ..operators import evaluation, learning, ordering
 from ..session import table, work_folder
 from .registry import query
@@ -119,3 +120,46 @@ def cross_validation(spark, sf):
     rows = learning.with_folds(_labelled(spark, sf), "vec_id")
     accuracy = learning.cross_validated_accuracy(rows, learning.forest(10, 5, 0.05))
     return rows.groupBy("fold").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("mean_accuracy", F.lit(accuracy))
+
+
+def _quality(spark, sf):
+    """Labelled documents with three features of their text: shares of symbols, of capitals, of different words."""
+    length, words = F.greatest(F.length("text"), F.lit(1)), tokens(F.col("text"))
+    share = lambda pattern: F.length(F.regexp_replace("text", pattern, "")) / length
+    rows = table(spark, sf, "documents").join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id").select(
+        "doc_id", "quality", share("[^#*$%&|!]+").alias("symbols"), share("[^A-Z]+").alias("capitals"),
+        F.coalesce(F.try_divide(F.size(F.array_distinct(words)), F.size(words)), F.lit(0.0)).alias("different"))
+    return _split(learning.features_and_label(rows, "quality", ["doc_id"]), "doc_id")
+
+
+_SQL_SUPPORT = """
+SELECT quality AS label, count(*) AS support, true AS found FROM documents JOIN labels USING (doc_id)
+WHERE CAST('0x' || substr(md5(doc_id || ':40'), 1, 8) AS BIGINT) % 100 < 25 GROUP BY 1"""
+
+
+def _found(model, rows):
+    """Per label of the test rows: how many there are, and whether the model finds three quarters of them."""
+    report = _report(model, rows.where("split = 'test'"))
+    return report.select("label", "support", (F.col("recall") >= 0.75).alias("found"))
+
+
+@query("ml2_quality_tree", _SQL_SUPPORT)
+def quality_tree(spark, sf):
+    rows = _quality(spark, sf)
+    return _found(learning.decision_tree(rows.where("split = 'train'")), rows)
+
+
+@query("ml3_quality_forest", _SQL_SUPPORT)
+def quality_forest(spark, sf):
+    rows = _quality(spark, sf)
+    return _found(learning.forest(50, 10, 0.02).fit(rows.where("split = 'train'")), rows)
+
+
+@query("evl9_quality_folds", """
+SELECT CAST(CAST('0x' || substr(md5(doc_id || ':0'), 1, 8) AS BIGINT) % 3 AS INTEGER) AS fold, count(*) AS n_rows, true AS accurate
+FROM documents JOIN labels USING (doc_id) GROUP BY 1""")
+def quality_folds(spark, sf):
+    """Three folds of the labelled documents, and whether the mean accuracy reaches 0.9."""
+    rows = learning.with_folds(_quality(spark, sf), "doc_id")
+    accuracy = learning.cross_validated_accuracy(rows, learning.forest(50, 10, 0.02))
+    return rows.groupBy("fold").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("accurate", F.lit(accuracy >= 0.9))
