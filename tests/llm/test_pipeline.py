@@ -8,16 +8,19 @@ from foliospark.llm.queries_native import op7
 FOLDER = "/root/testdata/sf0.01"
 
 
+SMALL = "/root/testdata/sf0.001"
+
+
 def test_stages_keep_what_their_operators_keep(spark):
-    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     ids = lambda df: {r.doc_id for r in df.select("doc_id").collect()}
-    first = corpus_pipeline.quality_rules(spark, docs, FOLDER)
-    assert first.columns == docs.columns and ids(first) == ids(op7(spark, FOLDER).where("kept"))
-    second = corpus_pipeline.quality_classifier(spark, docs, FOLDER)
-    assert second.columns == docs.columns and ids(second) == ids(op9(spark, FOLDER).where("kept"))
-    third = corpus_pipeline.near_duplicates(spark, docs, FOLDER)
-    assert third.columns == docs.columns and ids(third) == ids(op3(spark, FOLDER).where("doc_id = component_id"))
-    last = corpus_pipeline.packing(spark, docs, FOLDER)
+    first = corpus_pipeline.quality_rules(spark, docs, SMALL)
+    assert first.columns == docs.columns and ids(first) == ids(op7(spark, SMALL).where("kept"))
+    second = corpus_pipeline.quality_classifier(spark, docs, SMALL)
+    assert second.columns == docs.columns and ids(second) == ids(op9(spark, SMALL).where("kept"))
+    third = corpus_pipeline.near_duplicates(spark, docs, SMALL)
+    assert third.columns == docs.columns and ids(third) == ids(op3(spark, SMALL).where("doc_id = component_id"))
+    last = corpus_pipeline.packing(spark, docs, SMALL)
     assert ids(last) == ids(docs)
 
 
