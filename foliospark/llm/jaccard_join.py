@@ -359,8 +359,11 @@ def _links(percent: int):
         classes, at = np.unique(table.column("class").to_numpy(), return_index=True)
         m = table.column("m").to_numpy()[at]
         shared = [np.frombuffer(table.column("shared")[int(i)].as_buffer(), np.uint64) for i in at]
-        found = tile_links(m, shared, percent) if len(classes) > 1 else []
-        return pa.table([pa.array([int(classes[p[i]]) for p in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+        least = np.arange(len(classes))  # smallest member that links reach: stars settle in few rounds later
+        for i, j in tile_links(m, shared, percent) if len(classes) > 1 else []:
+            least[least == max(least[i], least[j])] = min(least[i], least[j])
+        joined = np.flatnonzero(least != np.arange(len(classes)))
+        return pa.table([pa.array(classes[least[joined]]), pa.array(classes[joined])], names=["a", "b"])
     return link
 
 
