@@ -40,7 +40,7 @@ from ..operators.sizes import at_most, broadcast_when
 from ..session import materialise
 from .blocks import by_shard, pack, parts_for, unpack_all
 from .components import components
-from .texts import ascii_lower, words_of
+from .texts import ascii_lower, releasing, releasing_group, words_of
 from .word_codec import ragged
 
 WIDTH = 5
@@ -48,7 +48,9 @@ PERCENT = 80
 HASH_BITS = 48
 SHARD_SHINGLES = 1_000_000
 BLOCK_SHINGLES = 500_000  # shingles of a tile's side
-RUN_CHARS = 8 << 20
+RUN_CHARS = 4 << 20
+KNOWN_WORDS = 100_000  # whose hashes a worker remembers
+BATCH_ROWS = 2_000  # texts turned into Python strings together
 SAMPLE_DOCS = 4_000
 HOT_SHARE = 0.01
 HOT_CLASSES = 1 << 30  # stands for the count of a hot shingle
@@ -59,7 +61,7 @@ _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E377
 
 class _WordHash(dict):
     def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
+        if len(self) > KNOWN_WORDS:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word.encode())
         return value
@@ -119,7 +121,7 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, width: int) -> Da
             yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64())],
                                              names=["id", "n_shingles", "class"])
 
-    return rows.mapInArrow(measure, StructType([StructField("id", rows.schema["_id"].dataType), StructField("n_shingles", LongType()),
+    return rows.mapInArrow(releasing(measure), StructType([StructField("id", rows.schema["_id"].dataType), StructField("n_shingles", LongType()),
                                                 StructField("class", LongType())]))
 
 
@@ -139,7 +141,7 @@ def hot_shingles(docs: DataFrame, n_docs: int, text_col: str, width: int) -> np.
                 values, counts = np.unique(np.concatenate(sets), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(values.astype(np.int64)), pa.array(counts)], names=["shingle", "n"])
 
-    counted = sample.mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    counted = sample.mapInArrow(releasing(count), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
     least = max(HOT_SHARE * min(n_docs, SAMPLE_DOCS), 20)
     return np.array(sorted(r.shingle for r in counted.where(F.col("n") > least).select("shingle").collect()), np.uint64)
 
@@ -180,8 +182,8 @@ def posted(docs: DataFrame, text_col: str, width: int, n_shards: int, hot: np.nd
     rows = docs.select(F.col(text_col).alias("_text"))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("_text").to_pylist()
+        for texts in (whole.column("_text").slice(at, BATCH_ROWS).to_pylist() for whole in batches
+                      for at in range(0, whole.num_rows, BATCH_ROWS)):
             for a, b in _runs(texts):
                 own: dict[int, np.ndarray] = {}
                 for text in texts[a:b]:
@@ -204,7 +206,7 @@ def posted(docs: DataFrame, text_col: str, width: int, n_shards: int, hot: np.nd
                 yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in out], pa.int32()), pa.array([p for _, p in out], pa.binary())],
                                                  names=["target", "payload"])
 
-    return rows.mapInArrow(post, StructType([StructField("target", IntegerType()), StructField("payload", BinaryType())]))
+    return rows.mapInArrow(releasing(post), StructType([StructField("target", IntegerType()), StructField("payload", BinaryType())]))
 
 
 def _returned(hashes: np.ndarray, classes: np.ndarray, sizes: np.ndarray, counts: np.ndarray, n_buckets: int) -> pa.Table:
@@ -374,8 +376,8 @@ def class_links(docs: DataFrame, sets: DataFrame, text_col: str, width: int, per
     n_shards = parts_for(total, shard_shingles)
     hot = hot_shingles(docs, n_docs, text_col, width)
     posts = posted(docs, text_col, width, n_shards, hot)
-    back = posts.groupBy("target").applyInArrow(_count_shard(n_shards), "bucket int, payload binary")
-    alive = materialise(back.groupBy("bucket").applyInArrow(_prefixes(percent), PREFIXES), "prefixes")
+    back = posts.groupBy("target").applyInArrow(releasing_group(_count_shard(n_shards)), "bucket int, payload binary")
+    alive = materialise(back.groupBy("bucket").applyInArrow(releasing_group(_prefixes(percent)), PREFIXES), "prefixes")
     members = homes(alive).join(alive.select("class", "m"), "class")
     placed = materialise(tiles(members, percent, block_shingles), "tiles")
     tile = [c for c in placed.columns if c != "class"]

@@ -29,12 +29,12 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from ..session import materialise
 from .blocks import parts_for
-from .texts import BLANKS, library_tokenizer
+from .texts import BLANKS, library_tokenizer, releasing
 
 BINS = 64
 MAX_PARTS = 3
 BUCKET_ROWS = 200_000
-CACHED_WORDS = 600_000  # words whose ids a worker remembers, about 200 bytes each
+CACHED_WORDS = 300_000  # words whose ids a worker remembers, about 200 bytes each
 
 
 class WordIds:
@@ -100,8 +100,9 @@ def token_pieces(docs: DataFrame, vocabulary: str, max_len: int, end_id: int = 0
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("_id").take(pa.array(row, pa.int64())), piece, start, pa.array(length, pa.int64()),
                      pa.array(crc, pa.int64())], names=[id_col, "piece", "start", "length", "ids_crc32"])
+        codec.known.clear()  # later tasks mostly see other rare words, and an idle worker holds nothing
 
-    return rows.mapInArrow(cut, StructType([
+    return rows.mapInArrow(releasing(cut), StructType([
         StructField(id_col, rows.schema["_id"].dataType), StructField("piece", IntegerType()), StructField("start", LongType()),
         StructField("length", LongType()), StructField("ids_crc32", LongType())]))
 

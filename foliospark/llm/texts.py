@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import pyarrow as pa
+
 BLANKS = "\t\n\x0b\x0c\r"
 ASCII_WORD = r"[^\x20\x09-\x0D]+"
 
@@ -43,3 +47,49 @@ def library_tokenizer(vocabulary: str):
     tokenizer.no_truncation()
     tokenizer.no_padding()
     return tokenizer
+
+
+@lru_cache(maxsize=1)
+def _trim() -> Callable[[int], int] | None:
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):  # not this C library
+        return None
+
+
+def release_memory() -> None:
+    """Give freed memory back: Python workers stay between tasks and would keep it beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+    trim = _trim()
+    if trim:
+        trim(0)
+
+
+def releasing(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over the batches of a task that gives its memory back at the end."""
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:
+            release_memory()
+    return run
+
+
+def releasing_group(group: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """The same for a function of one large group."""
+    def run(table):
+        try:
+            return group(table)
+        finally:
+            release_memory()
+    return run
+
+
+def releasing_pair(group: Callable[[pa.Table, pa.Table], pa.Table]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The same for a function of two large groups."""
+    def run(left, right):
+        try:
+            return group(left, right)
+        finally:
+            release_memory()
+    return run
