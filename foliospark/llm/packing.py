@@ -34,7 +34,7 @@ from .texts import BLANKS, library_tokenizer, releasing
 BINS = 64
 MAX_PARTS = 3
 BUCKET_ROWS = 200_000
-CACHED_WORDS = 300_000  # words whose ids a worker remembers, about 200 bytes each
+CACHED_WORDS = 600_000  # words whose ids a task remembers, about 200 bytes each
 
 
 class WordIds:
