@@ -1,28 +1,33 @@
 """Scores of texts under a hierarchical Pitman-Yor language model.
 
 A token is a word (A-Z lower-cased) or the end of its text. Every token is served in the restaurant of
-its context, the class of the token before: its last character modulo 256, or the start of the text.
-The bounded number of contexts keeps every total a small table. All context restaurants share one
-parent restaurant, whose base gives half its mass to the unknown word and half, evenly, to the
-vocabulary. Customers are the tokens of the training texts; a table of a context restaurant is a
-customer of the parent.
+its context, the word before or the start of the text, so restaurants are as many as words. The parent
+of a context is the restaurant of its class, its last character modulo 256 (or the start); the 257
+classes share one root, whose base gives half its mass to the unknown word and half, evenly, to the
+vocabulary. Customers are the tokens of the training texts; a table of a restaurant is a customer of
+its parent.
 
 Seating is sampled by Gibbs sweeps: in each, a dish leaves its restaurant and its customers sit down
 again one after another, at a table or a new one, given all other dishes (past ``EXACT_SEATS``
-customers in runs of doubling length). Dishes are words, so a word's restaurants lie in one shard and
-shards are sampled side by side; while sampling, a shard follows the totals of all shards by the growth
-of its own. The kept samples are then summed over all shards, so every sample is a normalised model,
-and probabilities are averaged over the samples. Discounts come from the counts of counts.
+customers in runs of doubling length). Dishes are words, so a word's customers in all restaurants lie
+in one shard and shards are sampled side by side. After every sweep the tables of each context are
+summed over all shards: shards send their share to the shard of the context and get the total back.
+Totals of classes and of the root are a few hundred numbers. So every sweep and every kept sample has
+exact totals, each sample is a normalised model, and probabilities are averaged over the samples.
+Discounts come from the counts of counts.
 
 Blocks of documents send their distinct (context, word) pairs with training counts to the shards and
-get back one log probability and one count per pair. Null texts are empty: one end token. Repeated rows
-are scored and counted once each. Extra columns are dropped. Without training texts every token is
-unknown. An empty table gives an empty result.
+get back one log probability per pair and one count per word. Contexts travel as their class and 54
+bits of a hash. Null texts are empty: one end token. Repeated rows are scored and counted once each.
+Extra columns are dropped. Without training texts every token is unknown. An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import hashlib
+from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +40,9 @@ from ..session import materialise
 from .blocks import by_shard, pack, pack_blocks, parts_for, shard_of, text_bytes, unpack, unpack_all
 from .texts import ascii_lower, words_of
 
-START = 256  # the context of a first token
-CONTEXTS = 257
-_STEP = 512  # pair key: word number * _STEP + context
+START = 256  # the class of a first token's context
+CONTEXTS = 257  # classes
+_STEP = 512  # class key: word number * _STEP + class
 BLOCK_BYTES = 16 << 20
 SHARD_BYTES = 32 << 20
 BURN_IN, SAMPLES = 2, 3
@@ -55,8 +60,31 @@ def sorted_codes(words: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
     return coded.dictionary.take(order), rank[coded.indices.to_numpy()]
 
 
+def context_ids(words: list[str]) -> np.ndarray:
+    """Contexts by the word before: a hash and, in the low bits, the class. The empty word stands for the start of a text."""
+    def one(word: str) -> int:
+        mixed = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "big") >> 1
+        return mixed // _STEP * _STEP + ord(word[-1]) % START
+    return np.fromiter((one(w) if w else START for w in words), np.int64, len(words))
+
+
+def one_row(**columns: pa.Array | np.ndarray) -> bytes:
+    """Columns of different lengths as one packed row of lists."""
+    values = {c: v if isinstance(v, pa.Array) else pa.array(v) for c, v in columns.items()}
+    return pack(pa.table({c: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for c, v in values.items()}))
+
+
+def lists(payload) -> dict[str, np.ndarray | pa.Array]:
+    held = unpack(payload)
+    values = {c: held.column(c)[0].values for c in held.column_names}
+    return {c: v if pa.types.is_string(v.type) else v.to_numpy() for c, v in values.items()}
+
+
 def block_tokens(payloads: pa.ChunkedArray):
-    """Tokens of a block: documents, tokens per document, sorted words, sorted pair keys, and the pair of each token."""
+    """Tokens of a block: documents, tokens per document, sorted words, sorted pair keys, and the pair of each token.
+
+    A pair key is the number of the word times the number of words, plus the number of the word before.
+    """
     tables, texts, sizes = [], [], []
     for rows in unpack_all(payloads):
         words = [[*words_of(ascii_lower(t)), ""] for t in rows.column("text").to_pylist()]
@@ -64,18 +92,16 @@ def block_tokens(payloads: pa.ChunkedArray):
         texts.append(pa.array([w for own in words for w in own], pa.string()))
         sizes.append(np.fromiter(map(len, words), np.int64, len(words)))
     distinct, codes = sorted_codes(pa.chunked_array(texts, pa.string()))
-    words = distinct.to_pylist()
-    context = np.fromiter((ord(w[-1]) % START if w else 0 for w in words), np.int64, len(words))
     sizes = np.concatenate(sizes)
     before = np.empty(len(codes), np.int64)
-    before[1:] = context[codes[:-1]]
-    before[np.cumsum(sizes) - sizes] = START
-    pairs, at = np.unique(codes * _STEP + before, return_inverse=True)
-    return pa.concat_tables(tables), sizes, words, pairs, at
+    before[1:] = codes[:-1]
+    before[np.cumsum(sizes) - sizes] = 0  # every text ends with the empty word, so that is the first one
+    pairs, at = np.unique(codes * len(distinct) + before, return_inverse=True)
+    return pa.concat_tables(tables), sizes, distinct.to_pylist(), pairs, at
 
 
 def _pairs_by_shard(words: list[str], pairs: np.ndarray, n_shards: int):
-    return by_shard(shard_of(words, n_shards)[pairs // _STEP])
+    return by_shard(shard_of(words, n_shards)[pairs // len(words)])
 
 
 def _ask(n_shards: int):
@@ -83,75 +109,131 @@ def _ask(n_shards: int):
         block = table.column("block")[0].as_py()
         docs, sizes, words, pairs, at = block_tokens(table.column("payload"))
         train = np.repeat(~np.asarray(docs.column("held_out").combine_chunks().to_numpy(zero_copy_only=False), bool), sizes)
-        counts = np.bincount(at, train, len(pairs)).astype(np.int64)
-        spelled = pa.array(words, pa.string())
-        out = [(shard, block, pack(pa.table({"word": spelled.take(pa.array(pairs[p] // _STEP)),
-                                             "context": (pairs[p] % _STEP).astype(np.uint16), "n": counts[p].astype(np.uint32)})))
-               for shard, p in _pairs_by_shard(words, pairs, n_shards)]
+        counts = np.bincount(at, train, len(pairs)).astype(np.uint32)
+        spelled, contexts, out = pa.array(words, pa.string()), context_ids(words), []
+        for shard, p in _pairs_by_shard(words, pairs, n_shards):
+            word, own = np.unique(pairs[p] // len(words), return_counts=True)
+            before, place = np.unique(pairs[p] % len(words), return_inverse=True)
+            out.append((shard, block, one_row(word=spelled.take(pa.array(word)), own=own.astype(np.uint32), context=contexts[before],
+                                              place=place.astype(np.uint32), n=counts[p])))
         return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary()))],
                         names=["shard", "block", "asked"])
     return ask
 
 
-STATS = "kind string, context int, value double"
+STATS = pa.list_(pa.struct([("kind", pa.string()), ("context", pa.int32()), ("value", pa.float64())]))
+ROWS = "shard int, kind string, source int, payload binary, stats array<struct<kind:string,context:int,value:double>>"
+_ROWS = pa.schema([("shard", pa.int32()), ("kind", pa.string()), ("source", pa.int32()), ("payload", pa.binary()), ("stats", STATS)])
+
 
+def _rows(rows: list[tuple]) -> pa.Table:
+    return pa.Table.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_ROWS)], schema=_ROWS)
 
-def _stat_rows(stats: dict[str, np.ndarray]) -> list[tuple[str, int, float]]:
-    return [(kind, int(i), float(values[i])) for kind, values in stats.items() for i in np.flatnonzero(values)]
 
+def _stat_rows(stats: dict[str, np.ndarray]) -> list[dict]:
+    return [{"kind": kind, "context": int(i), "value": float(values[i])} for kind, values in stats.items() for i in np.flatnonzero(values)]
 
-def _merge(table: pa.Table) -> pa.Table:
-    """The training pairs of a shard: sorted words, pair keys, counts; with the totals the discounts need."""
-    asked = pa.concat_tables(list(unpack_all(table.column("asked"))))
-    asked = asked.filter(pc.greater(asked.column("n"), 0))
-    words, codes = sorted_codes(asked.column("word"))
-    keys, at = np.unique(codes * _STEP + asked.column("context").to_numpy(), return_inverse=True)
-    counts = np.bincount(at, asked.column("n").to_numpy(), len(keys)).astype(np.int64)
-    served = np.bincount(keys // _STEP, minlength=len(words))  # contexts of each word
-    stats = {"customers": np.bincount(keys % _STEP, counts, CONTEXTS), "pairs": np.bincount(keys % _STEP, minlength=CONTEXTS),
-             "words": np.array([len(words)]),
-             "ones": np.array([(counts == 1).sum(), (served == 1).sum()]), "twos": np.array([(counts == 2).sum(), (served == 2).sum()])}
-    state = pack(pa.table({"word": pa.array([words], pa.list_(pa.string())), "key": pa.array([keys], pa.list_(pa.int64())),
-                           "n": pa.array([counts], pa.list_(pa.int64()))}))
-    rows = _stat_rows(stats)
-    return pa.table({"shard": pa.array([table.column("shard")[0].as_py()], pa.int32()), "state": pa.array([state], pa.binary()),
-                     "stats": pa.array([[{"kind": k, "context": c, "value": v} for k, c, v in rows]],
-                                       pa.list_(pa.struct([("kind", pa.string()), ("context", pa.int32()), ("value", pa.float64())])))})
 
+def _by_context_shard(context: np.ndarray, n_shards: int):
+    return by_shard(context // _STEP % n_shards)
 
-STATE = f"shard int, state binary, stats array<struct<{STATS.replace(' ', ':').replace(',:', ',')}>>"
+
+def _shares(shard: int, step: int, n_shards: int, context: np.ndarray, **values: np.ndarray) -> list[tuple]:
+    """A shard's share of what the contexts hold, to the shards of the contexts."""
+    return [(k, f"shares{step}", shard, one_row(context=context[p], **{c: v[p] for c, v in values.items()}), None)
+            for k, p in _by_context_shard(context, n_shards)]
+
+
+def _merge(n_shards: int):
+    """The training pairs of a shard: sorted words and contexts, places of the pairs, counts; contexts that are only asked for too."""
+    def merge(table: pa.Table) -> pa.Table:
+        shard, parts = table.column("shard")[0].as_py(), [lists(p.as_buffer()) for p in table.column("asked")]
+        words, codes = sorted_codes(pa.chunked_array([p["word"] for p in parts], pa.string()))
+        word = np.repeat(codes, np.concatenate([p["own"] for p in parts]))
+        context, place = np.unique(np.concatenate([p["context"][p["place"]] for p in parts]), return_inverse=True)
+        n = np.concatenate([p["n"] for p in parts])
+        trained = np.flatnonzero(n)
+        known, word = np.unique(word[trained], return_inverse=True)
+        key, at = np.unique(word * len(context) + place[trained], return_inverse=True)
+        counts = np.bincount(at, n[trained], len(key)).astype(np.int64)
+        word, place = key // len(context), key % len(context)
+        own_class, customers = np.unique(word * _STEP + context[place] % _STEP, return_counts=True)  # one table a pair
+        served = np.bincount(own_class // _STEP, minlength=len(known))
+        levels = (counts, customers, served)
+        stats = {"customers": np.bincount(own_class % _STEP, customers, CONTEXTS), "tables": np.bincount(own_class % _STEP, minlength=CONTEXTS),
+                 "words": np.array([len(known)]), "root": np.array([len(known)]), "trained": np.array([counts.sum()]),
+                 "ones": np.array([(c == 1).sum() for c in levels]), "twos": np.array([(c == 2).sum() for c in levels])}
+        pairs = one_row(word=words.take(pa.array(known)), own=np.bincount(word, minlength=len(known)).astype(np.uint32), context=context,
+                        place=place.astype(np.uint32), n=counts)
+        shares = _shares(shard, 0, n_shards, context, customers=np.bincount(place, counts, len(context)).astype(np.int64),
+                         tables=np.bincount(place, minlength=len(context)))
+        return _rows([(shard, "pairs", shard, pairs, _stat_rows(stats)), *shares])
+    return merge
+
+
+def _sum_shares(step: int):
+    def add(table: pa.Table) -> pa.Table:
+        """Totals of the contexts of a shard, back to all that sent a share, in the order of their contexts."""
+        parts = [lists(p.as_buffer()) for p in table.column("payload")]
+        _, at = np.unique(np.concatenate([p["context"] for p in parts]), return_inverse=True)
+        names = [c for c in parts[0] if c != "context"]
+        totals = {c: np.bincount(at, np.concatenate([p[c] for p in parts])).astype(np.int64)[at] for c in names}
+        ends = np.cumsum([len(p["context"]) for p in parts])
+        return _rows([(source, f"totals{step}", table.column("shard")[0].as_py(),
+                       one_row(**{c: v[end - len(p["context"]):end] for c, v in totals.items()}), None)
+                      for source, p, end in zip(table.column("source").to_pylist(), parts, ends.tolist(), strict=True)])
+    return add
+
+
+def _summed_shares(rows: DataFrame, step: int) -> DataFrame:
+    return rows.where(F.col("kind") == f"shares{step}").groupBy("shard").applyInArrow(_sum_shares(step), ROWS)
 
 
 @dataclass
 class Totals:
-    """Sums over all shards; arrays run over contexts."""
+    """Sums over all shards; arrays run over classes."""
 
     customers: np.ndarray
     pairs: np.ndarray
     n_words: int
     discount: float
     root_discount: float
+    word_discount: float = 0.5
+    trained: int = 0
 
     @property
     def base_known(self) -> float:
         return (1 - UNKNOWN_MASS) / max(self.n_words, 1)
 
 
+@dataclass
+class Sample:
+    """One sample's totals: tables per class, and of the root."""
+
+    tables: np.ndarray
+    root: float
+
+
 def _summed(states: DataFrame) -> dict[tuple[str, int], float]:
-    """Totals by kind and context: a few per context and sample, whatever the size of the corpus."""
+    """Totals by kind and class: a few per class and sweep, whatever the size of the corpus."""
     rows = states.select(F.inline("stats")).groupBy("kind", "context").agg(F.sum("value").alias("value")).collect()
     return {(r.kind, r.context): r.value for r in rows}
 
 
-def _totals(states: DataFrame) -> Totals:
+def _per_class(found: dict[tuple[str, int], float], kind: str) -> np.ndarray:
+    return np.array([found.get((kind, k), 0.0) for k in range(CONTEXTS)])
+
+
+def _totals(states: DataFrame) -> tuple[Totals, Sample]:
     found = _summed(states)
-    per_context = lambda kind: np.array([found.get((kind, k), 0.0) for k in range(CONTEXTS)])
 
     def discount(level: int) -> float:
         ones, twos = found.get(("ones", level), 0.0), found.get(("twos", level), 0.0)
         return float(np.clip(ones / (ones + 2 * twos) if ones else 0.5, 0.1, 0.95))
 
-    return Totals(per_context("customers"), per_context("pairs"), int(found.get(("words", 0), 0)), discount(0), discount(1))
+    tables = _per_class(found, "tables")
+    return (Totals(_per_class(found, "customers"), tables, int(found.get(("words", 0), 0)), discount(1), discount(2), discount(0),
+                   int(found.get(("trained", 0), 0))), Sample(tables, found.get(("root", 0), 0.0)))
 
 
 def seat(customers: np.ndarray, mass: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
@@ -168,65 +250,94 @@ def seat(customers: np.ndarray, mass: np.ndarray, discount: float, rng: np.rando
     return tables
 
 
+def reseat(word: np.ndarray, context: np.ndarray, customers: np.ndarray, tables: np.ndarray, root: np.ndarray, totals: Totals,
+           held: Sample, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """New tables of the classes, per pair, and of the root, per word, given the totals of all shards."""
+    d, d0, s, n_words = totals.discount, totals.root_discount, STRENGTH, len(root)
+    parent = root_share(np.bincount(word, tables, n_words)[word] - tables, word, root, totals, held)
+    tables = seat(customers, (s + d * np.maximum(held.tables[context] - tables, 0)) * parent, d, rng)
+    served = np.bincount(word, tables, n_words).astype(np.int64)
+    root = seat(served, (s + d0 * np.maximum(held.root - root, 0)) * totals.base_known, d0, rng)
+    return tables, root
+
+
+def root_share(others: np.ndarray, word: np.ndarray, root: np.ndarray, totals: Totals, held: Sample) -> np.ndarray:
+    """The root's probability of words with so many customers there."""
+    d0, s = totals.root_discount, STRENGTH
+    new = (s + d0 * held.root) / (s + held.tables.sum()) * totals.base_known
+    return np.maximum(others - d0 * np.minimum(root[word], others), 0) / (s + held.tables.sum()) + new
+
+
 def sample_tables(key: np.ndarray, counts: np.ndarray, n_words: int, totals: Totals, seed) -> tuple[np.ndarray, np.ndarray]:
-    """Tables per pair and, of the parent, per word: one row per kept sample."""
+    """Tables per (word, class) and, of the root, per word, of classes that are in one shard: one row per kept sample."""
     rng = np.random.default_rng(seed)
     word, context = key // _STEP, key % _STEP
-    d, d0, s = totals.discount, totals.root_discount, STRENGTH
     tables, root = np.ones(len(key), np.int64), np.ones(n_words, np.int64)
-    own_pairs = np.bincount(context, minlength=CONTEXTS)
     kept, kept_root = [], []
     for sweep in range(BURN_IN + SAMPLES):
-        growth = np.bincount(context, tables, CONTEXTS) / np.maximum(own_pairs, 1)
-        all_tables = totals.pairs * np.where(own_pairs > 0, growth, 1)
-        all_root = totals.n_words * root.mean() if n_words else 0.0
-        new_root = (s + d0 * all_root) / (s + all_tables.sum())
-        served = np.bincount(word, tables, n_words)
-        others = served[word] - tables
-        parent = np.maximum(others - d0 * np.minimum(root[word], others), 0) / (s + all_tables.sum()) + new_root * totals.base_known
-        tables = seat(counts, (s + d * np.maximum(all_tables[context] - tables, 0)) * parent, d, rng)
-        served = np.bincount(word, tables, n_words).astype(np.int64)
-        root = seat(served, (s + d0 * np.maximum(all_root - root, 0)) * totals.base_known, d0, rng)
+        held = Sample(np.bincount(context, tables, CONTEXTS), root.sum())
+        tables, root = reseat(word, context, counts, tables, root, totals, held, rng)
         if sweep >= BURN_IN:
             kept.append(tables)
             kept_root.append(root)
     return np.array(kept), np.array(kept_root)
 
 
-def _sample(totals: Totals, seed: int):
-    def sample(batches):
-        for batch in batches:
-            for shard, state in zip(batch.column("shard").to_pylist(), batch.column("state"), strict=True):
-                held = unpack(state.as_buffer())
-                words, key, counts = (held.column(c)[0].values for c in ("word", "key", "n"))
-                key, counts = key.to_numpy(), counts.to_numpy()
-                tables, root = sample_tables(key, counts, len(words), totals, [seed, shard])
-                stats = {f"tables{i}": np.bincount(key % _STEP, t, CONTEXTS) for i, t in enumerate(tables)}
-                stats |= {f"root{i}": np.array([r.sum()]) for i, r in enumerate(root)}
-                more = pa.table({**{c: held.column(c) for c in held.column_names},
-                                 **{f"t{i}": pa.array([t], pa.list_(pa.int64())) for i, t in enumerate(tables)},
-                                 **{f"r{i}": pa.array([r], pa.list_(pa.int64())) for i, r in enumerate(root)}})
-                rows = [{"kind": k, "context": c, "value": v} for k, c, v in _stat_rows(stats)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([shard], pa.int32()), pa.array([pack(more)], pa.binary()),
-                     pa.array([rows], pa.list_(pa.struct([("kind", pa.string()), ("context", pa.int32()), ("value", pa.float64())])))],
-                    names=["shard", "state", "stats"])
-    return sample
-
-
-@dataclass
-class Sample:
-    """One sample's totals: tables per context, and of the parent."""
-
-    tables: np.ndarray
-    root: float
+def _held(table: pa.Table) -> dict[str, list[dict]]:
+    """Rows of a shard by kind, in the order of their source."""
+    rows = sorted(zip(table.column("kind").to_pylist(), table.column("source").to_pylist(), range(len(table)), strict=True))
+    out: dict[str, list[dict]] = {}
+    for kind, _, i in rows:
+        out.setdefault(kind, []).append(lists(table.column("payload")[i].as_buffer()))
+    return out
+
+
+def _of_contexts(replies: list[dict], context: np.ndarray, n_shards: int, name: str) -> np.ndarray:
+    """Totals of all contexts of a shard from the replies, which come in the order of the context's shards."""
+    out = np.zeros(len(context), np.int64)
+    for (_, p), reply in zip(_by_context_shard(context, n_shards), replies, strict=True):
+        out[p] = reply[name]
+    return out
+
+
+def _classes(pairs: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The word of each pair, the sorted class keys and the class key of each pair."""
+    word = np.repeat(np.arange(len(pairs["word"])), pairs["own"])
+    own_class, at = np.unique(word * _STEP + pairs["context"][pairs["place"]] % _STEP, return_inverse=True)
+    return word, own_class, at
+
+
+def _sweep(step: int, n_shards: int, totals: Totals, held: Sample, seed: int):
+    def sweep(table: pa.Table) -> pa.Table:
+        shard, rows = table.column("shard")[0].as_py(), _held(table)
+        pairs, rng = rows["pairs"][0], np.random.default_rng([seed, shard, step])
+        context, place, n_words = pairs["context"], pairs["place"], len(pairs["word"])
+        _, own_class, at = _classes(pairs)
+        word, of = own_class // _STEP, own_class % _STEP
+        before = rows.get(f"tables{step - 1}", [{"tables": np.ones(len(place), np.int64), "classes": np.ones(len(word), np.int64),
+                                                 "root": np.ones(n_words, np.int64)}])[0]
+        tables, classes, root = (before[c].astype(np.int64) for c in ("tables", "classes", "root"))
+        all_tables = _of_contexts(rows[f"totals{step - 1}"], context, n_shards, "tables")
+        # The class's probability of each pair's word without the pair's own tables.
+        others = np.bincount(at, tables, len(word))[at] - tables
+        d, s = totals.discount, STRENGTH
+        new = (s + d * held.tables[of]) * root_share(np.bincount(word, classes, n_words)[word], word, root, totals, held)
+        parent = (np.maximum(others - d * np.minimum(classes[at], others), 0) + new[at]) / (s + totals.customers[of[at]])
+        tables = seat(pairs["n"], (s + totals.word_discount * np.maximum(all_tables[place] - tables, 0)) * parent, totals.word_discount, rng)
+        customers = np.bincount(at, tables, len(word)).astype(np.int64)
+        classes, root = reseat(word, of, customers, classes, root, totals, held, rng)
+        stats = {"customers": np.bincount(of, customers, CONTEXTS), "tables": np.bincount(of, classes, CONTEXTS), "root": np.array([root.sum()])}
+        seated = one_row(**{c: v.astype(np.uint32) for c, v in (("tables", tables), ("classes", classes), ("root", root))})
+        shares = _shares(shard, step, n_shards, context, tables=np.bincount(place, tables, len(context)).astype(np.int64))
+        return _rows([(shard, f"tables{step}", shard, seated, _stat_rows(stats)), *shares])
+    return sweep
 
 
 def pair_probabilities(totals: Totals, samples: list[Sample], context: np.ndarray, counts: np.ndarray, tables: list[np.ndarray],
                        served: list[np.ndarray], root: list[np.ndarray], known: np.ndarray) -> np.ndarray:
-    """Averaged predictive probability of (context, word) pairs.
+    """Averaged predictive probability of (class, word) pairs.
 
-    Per pair: training count, tables per sample, the word's customers and tables in the parent per
+    Per pair: customers, tables per sample, the word's customers and tables in the root per
     sample, and whether the word is known.
     """
     d, d0, s = totals.discount, totals.root_discount, STRENGTH
@@ -240,32 +351,44 @@ def pair_probabilities(totals: Totals, samples: list[Sample], context: np.ndarra
     return mean / len(samples)
 
 
-def _answer(totals: Totals, samples: list[Sample]):
-    n = len(samples)
+def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Places of wanted keys among sorted ones; the number of keys for those that are missing."""
+    at = np.searchsorted(keys, wanted)
+    return np.where(np.append(keys, -1)[at] == wanted, at, len(keys))
+
 
+def _answer(n_shards: int, totals: Totals, samples: dict[int, tuple[Totals, Sample]]):
+    """``samples``: of each kept step, the totals of the classes' customers and of their tables."""
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
-        held = unpack(right.column("state")[0].as_buffer())
-        words = held.column("word")[0].values
-        key, counts = held.column("key")[0].values.to_numpy(), held.column("n")[0].values.to_numpy()
-        tables = [held.column(f"t{i}")[0].values.to_numpy() for i in range(n)]
-        root = [held.column(f"r{i}")[0].values.to_numpy() for i in range(n)]
-        # One more word, unknown, and one more pair, never trained, stand for whatever is missing.
-        word_counts = np.append(np.bincount(key // _STEP, counts, len(words)).astype(np.int64), 0)
-        served = [np.append(np.bincount(key // _STEP, t, len(words)), 0) for t in tables]
-        root, tables = [np.append(r, 0) for r in root], [np.append(t, 0) for t in tables]
-        counts = np.append(counts, 0)
+        rows, s = _held(right), STRENGTH
+        pairs = rows["pairs"][0]
+        context, n_words = pairs["context"], len(pairs["word"])
+        word, own_class, at = _classes(pairs)
+        key = word * len(context) + pairs["place"]
+        # One more word, unknown, and one more pair and class, never trained, stand for whatever is missing.
+        more = lambda values: np.append(values, 0).astype(np.int64)
+        counts, word_counts = more(pairs["n"]), more(np.bincount(word, pairs["n"], n_words))
+        customers = _of_contexts(rows["totals0"], context, n_shards, "customers")
+        seated = []
+        for step, (of_classes, held) in samples.items():
+            own = rows[f"tables{step}"][0]
+            seated.append((of_classes, held, _of_contexts(rows[f"totals{step}"], context, n_shards, "tables"), more(own["tables"]),
+                           more(np.bincount(at, own["tables"], len(own_class))), more(own["classes"]),
+                           more(np.bincount(own_class // _STEP, own["classes"], n_words)), more(own["root"])))
         payloads = []
-        for asked in unpack_all(left.column("asked")):
-            spelled = asked.column("word").combine_chunks().dictionary_encode()
-            found = pc.fill_null(pc.index_in(spelled.dictionary, value_set=words), len(words)).to_numpy()
-            word = found[spelled.indices.to_numpy()].astype(np.int64)
-            context = asked.column("context").to_numpy().astype(np.int64)
-            wanted = word * _STEP + context
-            at = np.minimum(np.searchsorted(key, wanted), max(len(key) - 1, 0))
-            at = np.where(key[at] == wanted, at, len(key)) if len(key) else np.zeros(len(wanted), np.int64)
-            p = pair_probabilities(totals, samples, context, counts[at], [t[at] for t in tables], [c[word] for c in served],
-                                   [r[word] for r in root], word < len(words))
-            payloads.append(pack(pa.table({"log_p": np.log10(p).astype(np.float32), "count": word_counts[word]})))
+        for asked in (lists(p.as_buffer()) for p in left.column("asked")):
+            found = pc.fill_null(pc.index_in(asked["word"], value_set=pairs["word"]), n_words).to_numpy().astype(np.int64)
+            dish = np.repeat(found, asked["own"])
+            before = np.searchsorted(context, asked["context"])[asked["place"]]
+            of = context[before] % _STEP
+            pair, in_class = _find(key, dish * len(context) + before), _find(own_class, dish * _STEP + of)
+            p = np.zeros(len(dish))
+            for of_classes, held, all_tables, tables, served, classes, in_root, root in seated:
+                parent = pair_probabilities(of_classes, [held], of, served[in_class], [classes[in_class]], [in_root[dish]], [root[dish]],
+                                            dish < n_words)
+                d = totals.word_discount
+                p += (counts[pair] - d * tables[pair] + (s + d * all_tables[before]) * parent) / (s + customers[before])
+            payloads.append(one_row(log_p=np.log10(p / len(seated)).astype(np.float32), count=word_counts[found]))
         return pa.table([left.column("block"), left.column("shard"), pa.array(payloads, pa.binary())], names=["block", "shard", "answer"])
     return answer
 
@@ -274,10 +397,11 @@ def _score(n_shards: int, n_train: float, n_words: int, out: pa.Schema):
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         docs, sizes, words, pairs, at = block_tokens(left.column("payload"))
         answers = dict(zip(right.column("shard").to_pylist(), right.column("answer"), strict=True))
-        logs, counts = np.zeros(len(pairs)), np.zeros(len(pairs), np.int64)
+        logs, counts = np.zeros(len(pairs)), np.zeros(len(words), np.int64)
         for shard, p in _pairs_by_shard(words, pairs, n_shards):
-            given = unpack(answers[shard].as_buffer())
-            logs[p], counts[p] = given.column("log_p").to_numpy(), given.column("count").to_numpy()
+            given = lists(answers[shard].as_buffer())
+            logs[p], counts[np.unique(pairs[p] // len(words))] = given["log_p"], given["count"]
+        counts = counts[pairs // len(words)]
         base = np.log10((counts + 0.5) / (n_train + 0.5 * (n_words + 1)))
         starts = np.cumsum(sizes) - sizes
         sums = [np.add.reduceat(v[at], starts) for v in ((counts > 0).astype(np.int64), base, logs)]
@@ -300,17 +424,25 @@ def hpy_scores(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", tex
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     blocks = pack_blocks(rows, parts_for(total, block_bytes))
     asked = materialise(blocks.groupBy("block").applyInArrow(_ask(n_shards), "shard int, block int, asked binary"), "hpy-asked")
-    merged = materialise(asked.groupBy("shard").applyInArrow(_merge, STATE), "hpy-pairs")
-    totals = _totals(merged)
-    seated = materialise(merged.select("shard", "state").mapInArrow(_sample(totals, seed), STATE), "hpy-tables")
-    found = _summed(seated)
-    samples = [Sample(np.array([found.get((f"tables{i}", k), 0.0) for k in range(CONTEXTS)]), found.get((f"root{i}", 0), 0.0))
-               for i in range(SAMPLES)]
-    answers = asked.groupBy("shard").cogroup(seated.select("shard", "state").groupBy("shard")).applyInArrow(
-        _answer(totals, samples), "block int, shard int, answer binary")
+    merged = materialise(asked.groupBy("shard").applyInArrow(_merge(n_shards), ROWS), "hpy-pairs")
+    totals, held = _totals(merged)
+    of_kind = lambda rows, kind: rows.where(F.col("kind") == kind)
+    joined = lambda frames: reduce(DataFrame.unionByName, frames).drop("stats").groupBy("shard")
+    pairs = of_kind(merged, "pairs")
+    seated, of_classes, samples, given = merged, totals, {}, [pairs, _summed_shares(merged, 0)]
+    for step in range(1, BURN_IN + SAMPLES + 1):
+        sent = [pairs, of_kind(seated, f"tables{step - 1}"), _summed_shares(seated, step - 1)]
+        seated = materialise(joined(sent).applyInArrow(_sweep(step, n_shards, of_classes, held, seed), ROWS), "hpy-tables")
+        found = _summed(seated)
+        of_classes = replace(totals, customers=_per_class(found, "customers"))
+        held = Sample(_per_class(found, "tables"), found.get(("root", 0), 0.0))
+        if step > BURN_IN:
+            samples[step] = of_classes, held
+            given += [of_kind(seated, f"tables{step}"), _summed_shares(seated, step)]
+    answers = asked.groupBy("shard").cogroup(joined(given)).applyInArrow(
+        _answer(n_shards, totals, samples), "block int, shard int, answer binary")
     kinds = StructType([rows.schema["id"], StructField("held_out", BooleanType()), StructField("n_tokens", LongType()),
                         StructField("n_known", LongType()), StructField("base_score", DoubleType()), StructField("score", DoubleType())])
-    n_train = float(totals.customers.sum())
     scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _score(n_shards, n_train, totals.n_words, to_arrow_schema(kinds)), kinds)
-    return scored.withColumn("train_tokens", F.lit(int(n_train)).cast("long"))
+        _score(n_shards, float(totals.trained), totals.n_words, to_arrow_schema(kinds)), kinds)
+    return scored.withColumn("train_tokens", F.lit(totals.trained).cast("long"))

@@ -91,3 +91,19 @@ def test_seating_follows_the_process():
     for seated in range(1, 100_000):
         steps.append(steps[-1] + mass / (mass + seated - d * steps[-1]))
     assert abs(big.mean() - steps[-1]) < 0.5
+
+
+def test_the_word_before_is_the_context(spark):
+    """Two words with the same last letter are followed by different words, and each expects its own."""
+    train = [(i, " ".join(["cat sat", "bat flew"] * 20)) for i in range(20)]
+    asked = [(100, "cat sat"), (101, "bat sat"), (102, "bat flew"), (103, "cat flew")]
+    docs = spark.createDataFrame(train + asked, "doc_id long, text string")
+    score = {r.id: r.score for r in hpy_scores(docs, F.col("doc_id") >= 100).collect() if r.held_out}
+    assert score[100] > score[103] + 1 and score[102] > score[101] + 1
+
+
+def test_scores_of_one_and_many_shards_agree(spark):
+    docs = spark.createDataFrame([(i, f"w{i % 7} the w{i % 5} w{i % 11}. then w{i % 3} end") for i in range(400)], "doc_id long, text string")
+    one, many = ({r.id: r.score / r.n_tokens for r in hpy_scores(docs, F.col("doc_id") % 5 == 1, **sizes).collect()}
+                 for sizes in ({}, {"block_bytes": 2000, "shard_bytes": 1000}))
+    assert max(abs(one[i] - many[i]) for i in one) < 0.05
