@@ -119,3 +119,37 @@ def test_odd_tables(spark):
     assert [r.kept for r in none if r.n_words] == [True] * 4 and not any(r.kept for r in none if not r.n_words)
     assert scored_with_threshold(docs.limit(0), labels).count() == 0
     assert sorted(map(str, classified(docs, labels.limit(0)).collect())) == sorted(str(r) for r in docs.collect() if r.text)
+
+
+def test_words_in_another_order_score_lower(spark):
+    """A salad of known words and one word repeated have the words of clean text but not its order."""
+    clean = ["the cat sat on the mat", "the dog ate the hat", "a rat ran to the cat"]
+    train = spark.createDataFrame([(t,) for t in clean * 30], "text string")
+    asked = ["the cat sat on the mat", "mat the on sat cat the", "cat cat cat cat cat cat", "the dog ate the zebra"]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(asked)], "doc_id long, text string, lang string")
+    model = fit(train, across=True)
+    for sizes in ({}, {"block_bytes": 30, "shard_bytes": 30}):
+        found = {r.id: r.perplexity for r in perplexities(docs, model, **sizes).collect()}
+        assert found[1] > 1.5 * found[0] and found[2] > 1.5 * found[0] and found[3] > found[0]
+
+
+def test_pair_probabilities_equal_a_plain_model(spark):
+    model, plain = fit(spark.createDataFrame([(t,) for t in TEXTS], "text string"), "text", 3, across=True), PlainModel(TEXTS, 3)
+    pairs = Counter(p for t in TEXTS for own in [[None, *WORD.findall(t or "")]] for p in zip(own, own[1:], strict=False))
+    ns = Counter(pairs.values())
+    d = discounts(*[ns[i] for i in (1, 2, 3, 4)])
+
+    def p(before, word):
+        of_bytes = math.prod(plain.p(e) for e in events(word, 3))
+        total = sum(c for (b, _), c in pairs.items() if b == before)
+        if not total:
+            return of_bytes
+        held = sum(d[min(c, 3) - 1] for (b, _), c in pairs.items() if b == before)
+        c = pairs[before, word]
+        return (c - d[min(c, 3) - 1] if c else 0) / total + held / total * of_bytes
+
+    asked = [*TEXTS[:6], "mat the on sat cat the", "zebra the zebra"]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(asked)], "doc_id long, text string, lang string")
+    for r in perplexities(docs, model, block_bytes=60, shard_bytes=90).collect():
+        own = [None, *WORD.findall(asked[r.id] or "")]
+        assert math.isclose(r.log_prob, sum(math.log(p(b, w)) for b, w in zip(own, own[1:], strict=False)), rel_tol=1e-5, abs_tol=1e-6)
