@@ -61,13 +61,13 @@ def random_forest(spark, sf):
 @query("ml4_parameter_search")
 def parameter_search(spark, sf):
     rows = learning.with_folds(_labelled(spark, sf), "vec_id")
-    return learning.search(rows, learning.search_space(4, seed=23, trees=(5, 20), depth=(2, 8), share=(0.01, 0.2)))
+    return learning.search(rows, learning.search_space(20, seed=23))
 
 
 @query("ml5_dense_classifier")
 def dense_classifier(spark, sf):
     rows = _labelled(spark, sf)
-    model = learning.dense_classifier(rows.where("split = 'train'"), 64, 10, hidden=(32,), max_iter=40)
+    model = learning.dense_classifier(rows.where("split = 'train'"), 64, 10)
     return _report(model, rows.where("split = 'test'"))
 
 
@@ -118,7 +118,7 @@ def one_feature(spark, sf):
 @query("evl9_cross_validation")
 def cross_validation(spark, sf):
     rows = learning.with_folds(_labelled(spark, sf), "vec_id")
-    accuracy = learning.cross_validated_accuracy(rows, learning.forest(10, 5, 0.05))
+    accuracy = learning.cross_validated_accuracy(rows, learning.forest(100, 8, 0.1))
     return rows.groupBy("fold").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("mean_accuracy", F.lit(accuracy))
 
 

@@ -60,3 +60,22 @@ def test_json_scoring(spark):
     got = json.loads(row.value)
     assert got["id"] == 7 and got["prediction"] == pytest.approx(8.0)
     assert "double" in spark.read.json(f"{folder}/signature").first().signature
+
+
+def test_registered_jobs_train_the_whole_models(spark, monkeypatch):
+    from foliospark.plans import learning_queries as queries
+
+    seen = {}
+    folder = "/root/testdata/sf0.001"
+    monkeypatch.setattr(learning, "search", lambda rows, candidates: seen.update(candidates=candidates))
+    queries.parameter_search(spark, folder)
+    assert len(seen["candidates"]) == 20
+    assert all(50 <= c["n_estimators"] <= 200 and c["min_samples_split"] >= 0.1 for c in seen["candidates"])
+    assert max(c["max_depth"] for c in seen["candidates"]) > 8
+    monkeypatch.setattr(learning, "MultilayerPerceptronClassifier", lambda **options: seen.update(options))
+    with pytest.raises(AttributeError):
+        queries.dense_classifier(spark, folder)
+    assert seen["layers"] == [64, 512, 512, 10] and seen["maxIter"] == 100
+    monkeypatch.setattr(learning, "cross_validated_accuracy", lambda rows, estimator: seen.update(forest=estimator) or 1.0)
+    queries.cross_validation(spark, folder)
+    assert seen["forest"].getNumTrees() >= 50 and seen["forest"].getMinWeightFractionPerNode() >= 0.05
