@@ -54,7 +54,7 @@ BATCH_ROWS = 2_000  # texts turned into Python strings together
 SAMPLE_DOCS = 4_000
 HOT_SHARE = 0.01
 HOT_CLASSES = 1 << 30  # stands for the count of a hot shingle
-BROADCAST_REMOVED = 200_000  # document ids
+BROADCAST_REMOVED = 200_000  # hashes of rows
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
                          0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
@@ -401,11 +401,22 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
 
 def one_per_component(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component, unchanged; rows without an id stay.
+    """One row of ``docs`` per component, unchanged: the smallest id, missing ids last, and of equal ids one row.
 
-    The other ids are written and counted; up to ``BROADCAST_REMOVED`` are sent to all tasks, beyond
-    that both sides are shuffled by id.
+    Rows are told apart by a hash of all columns; of rows that are equal in all columns one stays. Rows
+    without shingles are like no other and stay. The hashes of removed rows are written and counted; up
+    to ``BROADCAST_REMOVED`` are sent to all tasks, beyond that both sides are shuffled.
     """
-    found = jaccard_components(docs, id_col=id_col, **options)
-    removed = materialise(found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct(), "removed")
-    return docs.join(broadcast_when(removed, at_most(removed, BROADCAST_REMOVED)), id_col, "left_anti").select(*docs.columns)
+    hashed = docs.withColumn("_row_key", F.xxhash64(*docs.columns))
+    ranked = hashed.withColumn("_rank", F.struct(F.col(id_col).isNull().alias("missing"), F.col(id_col).alias("id"), F.col("_row_key").alias("key")))
+    found = materialise(jaccard_components(ranked, id_col="_rank", **options).select(
+        F.col("_rank.key").alias("_row_key"), (F.col("_rank.key") == F.col("component_id.key")).alias("_stays"), "n_shingles"), "row-components")
+    removed = materialise(found.where(~F.col("_stays")).select("_row_key").distinct(), "removed")
+    stay = hashed.join(broadcast_when(removed, at_most(removed, BROADCAST_REMOVED)), "_row_key", "left_anti")
+    equal = materialise(found.where(F.col("_stays") & (F.col("n_shingles") > 0)).groupBy("_row_key").agg(F.count(F.lit(1)).alias("n"))
+                        .where("n > 1").select("_row_key"), "equal-rows")
+    if equal.isEmpty():
+        return stay.select(*docs.columns)
+    few = broadcast_when(equal, at_most(equal, BROADCAST_REMOVED))
+    one = stay.join(few, "_row_key", "left_semi").groupBy("_row_key").agg(F.first(F.struct(*docs.columns)).alias("_row"))
+    return stay.join(few, "_row_key", "left_anti").select(*docs.columns).unionByName(one.select("_row.*"))

@@ -119,3 +119,17 @@ def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(1000, 1050)] + [(2, 1050), (1049, 1050), (500, 500)]
     label = {r.node: r.label for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert all(label[i] == 100 for i in range(100, 161)) and all(label[i] == 2 for i in [2, 7, *range(1000, 1051)]) and label[500] == 500
+
+
+def test_one_row_of_a_component_stays(spark):
+    """Repeated ids, missing ids and equal rows; rows without words are no copies of each other."""
+    from foliospark.llm.jaccard_join import one_per_component
+
+    body, other = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
+    rows = [(3, body, 1), (3, body, 1), (3, body, 2), (None, body, 1), (None, body, 1), (7, body + " end", 1),
+            (None, other, 1), (None, other, 1), (None, other, 2), (9, None, 1), (9, None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, extra long")
+    out = [tuple(r) for r in one_per_component(docs).collect()]
+    assert sorted((r[0] or 0, r[1]) for r in out if r[1]) == [(0, other), (3, body)]
+    assert sum(r[1] is None for r in out) == 2 and set(out) <= set(rows)
+    assert one_per_component(docs.limit(0)).count() == 0
