@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import queries_conversations, queries_models, queries_native, queries_spelling  # noqa: F401  register their queries
+from . import queries_conversations, queries_licenses, queries_models, queries_native, queries_spelling  # noqa: F401  register their queries
 from .packing import pack_documents
 from .registry import query
 from .texts import read_vocabulary
