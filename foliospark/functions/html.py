@@ -8,11 +8,12 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .article import article_of
 from .text import trim_space
 
-# Parts of a page that carry no article text.
+# Parts of a page that a browser does not show.
 HIDDEN = (r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<head\b.*?</head\s*>"
-          r"|<nav\b.*?</nav\s*>|<footer\b.*?</footer\s*>|<noscript\b.*?</noscript\s*>")
+          r"|<noscript\b.*?</noscript\s*>|<template\b.*?</template\s*>")
 LINE_END = r"(?i)<br\s*/?>|</(p|div|li|tr|h[1-6]|section|article|table|ul|ol)\s*>"
 ANY_TAG = r"<[^>]*>"
 
@@ -51,9 +52,7 @@ def html_title(html: Column) -> Column:
 
 def readable_text(html: Column) -> Column:
     """Article text of a page, one line per block; null when nothing readable is left."""
-    visible = F.regexp_replace(html, HIDDEN, "")
-    article = F.regexp_extract(visible, r"(?is)<article\b[^>]*>(.*)</article\s*>", 1)
-    body = F.when(article != "", article).otherwise(visible)
+    body = article_of(F.regexp_replace(html, HIDDEN, ""))
     lines = F.regexp_replace(body, LINE_END, "\n")
     text = trim_space(decode_entities(F.regexp_replace(lines, ANY_TAG, "")))
     return F.when(text != "", text)

@@ -1,8 +1,10 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from foliospark.functions import html, keys, text, vectors
+from foliospark.functions.article import article_html
 from foliospark.operators.joins import expand_from_table
 from foliospark.plans.answer import acronym_expander
 
@@ -97,6 +99,52 @@ def test_readable_html(one):
     assert one(html.readable_text(F.col("h")), h="<nav>only menu</nav>") is None
 
 
+BLOG = """<body><div class="wrap"><div id="top"><a href="/">Home</a> <a href="/a">About us</a> <a href="/b">All our stories, sorted</a></div>
+<div><div><h2>The ferry stops early</h2>
+<p>The last boat now leaves at nine, an hour before the old timetable, and the harbour office blames the crew shortage.</p>
+<p>Regular passengers, most of them nurses on late shifts, say that nobody asked them; the council, however, says it did.</p>
+<ul><li><a href="/1">Five more stories about boats, harbours and islands</a></li><li><a href="/2">Subscribe to our newsletter, it is free</a></li></ul>
+<p>A petition, signed by two hundred people, will be read on Monday.</p></div>
+<div><a href="/x">Older: the bridge, the tolls and the bill</a> <a href="/y">Newer: a walk, a dog and a storm</a></div></div>
+<div>Copyright 2021, the paper &amp; its owners</div></div></body>"""
+SPLIT = """<table><tr><td><a href=1>One, two, three, four and five</a><a href=2>Six, seven, eight, nine and ten</a></td>
+<td>The first column tells, in plain words, how the seed was sown, when the rain came, and what grew of it in the end.
+<td>The second column tells, in plain words, who took the grain, where it was sold, and what became of the money.</tr></table>"""
+FORUM = """<div><div><p>Question: why does the pump, after an hour, start to hum, and who else has heard it do that?</p></div>
+<div><p>It hums, I think, because the valve is worn; mine did, and a new one, for ten euros, cured it.</p></div>
+<div><p>ok</p></div><div><p>Agreed, the valve, though mine, oddly, needed a new seal, a longer hose, and some grease too.</p></div></div>"""
+
+
+@pytest.mark.parametrize("page, text", [
+    (BLOG, "The ferry stops early\n\nThe last boat now leaves at nine, an hour before the old timetable, and the harbour office blames the crew "
+           "shortage.\n\nRegular passengers, most of them nurses on late shifts, say that nobody asked them; the council, however, says it did."
+           "\n\n\nA petition, signed by two hundred people, will be read on Monday."),
+    (SPLIT, "The first column tells, in plain words, how the seed was sown, when the rain came, and what grew of it in the end.\n"
+            "The second column tells, in plain words, who took the grain, where it was sold, and what became of the money."),
+    (FORUM, "Question: why does the pump, after an hour, start to hum, and who else has heard it do that?\n\n"
+            "It hums, I think, because the valve is worn; mine did, and a new one, for ten euros, cured it.\n\n"
+            "Agreed, the valve, though mine, oddly, needed a new seal, a longer hose, and some grease too."),
+    ("<div class='sidebar'>" + "Buy this, buy that, buy now, and save a lot of money today. " * 3 + "</div><div>A short, true note about the sea, the wind.</div>",
+     "A short, true note about the sea, the wind."),
+    ("plain words only", "plain words only"), ("<p>unclosed <b>bold <div>block</span></section>", "unclosed bold block"), ("", None), (None, None)])
+def test_article_without_marks(one, page, text):
+    found = one(html.readable_text(F.col("h")), h=F.lit(page).cast("string"))
+    assert (found and [line for line in found.split("\n") if line]) == (text and [line for line in text.split("\n") if line])
+
+
+def test_article_of_a_deep_and_a_long_page():
+    deep = "<div>" * 20_000 + "Words, many words, and commas to score, at the very bottom of it." + "</div>" * 20_000
+    assert "very bottom" in article_html(deep)
+    long = "<p>" + "some words, " * 300_000
+    assert article_html(long) == long
+
+
+def test_records_without_a_question(spark):
+    rows = spark.createDataFrame([("How? ", "How? \n Like this."), (None, "Only text"), ("Why?", " Other ")], "q string, t string")
+    question, answer = text.split_faq(F.col("q"), F.col("t"))
+    assert [tuple(r) for r in rows.select(question, answer).collect()] == [("How?", "Like this."), (None, "Only text"), ("Why?", "Other")]
+
+
 def test_vectors(one):
     zero, unit = F.array(F.lit(0.0), F.lit(0.0)), F.array(F.lit(3.0), F.lit(4.0))
     assert one(vectors.l2_normalise(F.col("v")), v=unit) == [0.6, 0.8]
