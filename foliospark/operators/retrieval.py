@@ -12,7 +12,7 @@ from ..functions.text import token_count, tokens
 from ..session import materialise
 from .ordering import with_halo, with_position
 from .sizes import BROADCAST_ROWS, at_most, broadcast_when
-from .similarity import top_k_similar
+from .similarity import Rules, top_k_by_rule, top_k_similar
 
 def retrieve_chunks(questions: DataFrame, chunks: DataFrame, top_k: int = 3, rerank_top_k: int = 5,
                     embedder: Callable[[Column], Column] = embed) -> DataFrame:
@@ -127,10 +127,8 @@ def training_groups(rows: DataFrame, *, key: str, vector: str, group: str, negat
 
     The group test happens inside the search, so a negative is found however many rows share the group.
     """
-    def best(rule: str, k: int) -> DataFrame:
-        return top_k_similar(rows, rows, k, question_id=key, doc_id=key, vector=vector, exclude_self=True,
-                             group=group, group_rule=rule)
-
-    positive = best("same", 1).select("question_id", F.col("doc_id").alias("positive_id"))
-    negative = best("other", negatives).select("question_id", F.col("doc_id").alias("negative_id"), "rank")
+    found = top_k_by_rule(rows, rows, [Rules(1, True, "same"), Rules(negatives, True, "other")], question_id=key, doc_id=key,
+                          vector=vector, group=group)
+    positive = found.where("rule = 0").select("question_id", F.col("doc_id").alias("positive_id"))
+    negative = found.where("rule = 1").select("question_id", F.col("doc_id").alias("negative_id"), "rank")
     return positive.join(negative, "question_id")

@@ -1,13 +1,13 @@
 """Exact top-k similarity search as blocked matrix products.
 
-Every corpus row meets every question inside NumPy, but only the best ``k`` per question and task
-leave a task, so no table of all pairs ever exists. Questions are sent to the tasks when their
-measured size is small; otherwise both sides are cut into blocks that meet pairwise by key.
+Corpus rows meet questions inside NumPy, but only the best ``k`` per question and task leave a task, so
+no table of all pairs ever exists. Questions are sent to the tasks when their measured size is small;
+beyond that they are routed to the cells of the corpus that can hold one of their best (``cells``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BROADCAST_VALUES = 4_000_000      # numbers in the broadcast question matrix (32 MB)
-BLOCK_ROWS = 20_000               # corpus rows per block of the blocked form
+BLOCK_ROWS = 20_000               # corpus rows per part of a cell
 QUESTION_ROWS, DOC_ROWS = 512, 8192  # one product inside a task
-MATCHES = "question_id long, doc_id long, score double"
-MATCH_ARROW = pa.schema([("question_id", pa.int64()), ("doc_id", pa.int64()), ("score", pa.float64())])
+DIGITS = 6
+MATCHES = "rule int, question_id long, doc_id long, score double"
 
 
 @dataclass
@@ -56,9 +56,8 @@ class Vectors:
 @dataclass
 class Rules:
     k: int
-    exclude_self: bool
-    group: str | None
-    digits: int = 6
+    exclude_self: bool = False
+    group: str | None = None
 
     def allowed(self, questions: Vectors, docs: Vectors) -> np.ndarray | None:
         mask = None
@@ -85,12 +84,11 @@ class Best:
         out[full] = self.score[np.cumsum(counts)[full] - 1]
         return out[:, None]
 
-    def add(self, docs: Vectors) -> None:
+    def add(self, docs: Vectors, scores: np.ndarray) -> None:
         k = self.rules.k
-        scores = np.round(self.questions.unit @ docs.unit.T, self.rules.digits) + 0.0
         mask = self.rules.allowed(self.questions, docs)
         if mask is not None:
-            scores[~mask] = -np.inf
+            scores = np.where(mask, scores, -np.inf)
         keep = (scores >= self.floor()) & (scores > -np.inf)
         if scores.shape[1] > k and np.count_nonzero(keep) > 4 * k * len(scores):
             # All above the k-th score, and of those equal to it the lowest ids: at most k per question,
@@ -110,21 +108,24 @@ class Best:
 
 
 class Search:
-    """All questions against a stream of document batches, in products of bounded size."""
+    """All questions against a stream of document batches, in products of bounded size; every rule keeps its own best."""
 
-    def __init__(self, questions: Vectors, rules: Rules):
-        self.best = [Best(part, rules) for part in questions.pieces(QUESTION_ROWS)]
+    def __init__(self, questions: Vectors, rules: Sequence[Rules]):
+        self.best = [[Best(part, rule) for rule in rules] for part in questions.pieces(QUESTION_ROWS)]
 
     def add(self, docs: Vectors) -> None:
         for part in docs.pieces(DOC_ROWS):
-            for best in self.best:
-                best.add(part)
+            for bests in self.best:
+                scores = np.round(bests[0].questions.unit @ part.unit.T, DIGITS) + 0.0
+                for best in bests:
+                    best.add(part, scores)
 
     def matches(self) -> Iterator[pa.RecordBatch]:
-        for best in self.best:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(best.questions.ids[best.row]), pa.array(best.doc), pa.array(best.score)],
-                names=["question_id", "doc_id", "score"])
+        for bests in self.best:
+            for number, best in enumerate(bests):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(best.row), number, np.int32)), pa.array(best.questions.ids[best.row]), pa.array(best.doc),
+                     pa.array(best.score)], names=["rule", "question_id", "doc_id", "score"])
 
 
 def _side(df: DataFrame, key: str, vector: str, group: str | None) -> DataFrame:
@@ -142,18 +143,29 @@ def top_k_similar(questions: DataFrame, corpus: DataFrame, k: int, *, question_i
     equal scores rank by lower id. ``group_rule`` "same" or "other" compares only rows whose
     ``group`` value equals, or differs from, the question's.
     """
+    return top_k_by_rule(questions, corpus, [Rules(k, exclude_self, group_rule)], question_id=question_id, doc_id=doc_id, vector=vector,
+                         group=group, broadcast_values=broadcast_values, block_rows=block_rows).drop("rule")
+
+
+def top_k_by_rule(questions: DataFrame, corpus: DataFrame, rules: Sequence[Rules], *, question_id: str = "question_id",
+                  doc_id: str = "doc_id", vector: str = "vector", group: str | None = None,
+                  broadcast_values: int = BROADCAST_VALUES, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """The same for several rules in one search; ``rule`` is the rule's number."""
+    from .cells import build_cells, search_cells
+
     q, c = _side(questions, question_id, vector, group), _side(corpus, doc_id, vector, group)
-    rules = Rules(k, exclude_self, group_rule)
     sample = q.where(F.size("vector") > 0).select(F.size("vector")).first()  # all vectors share one width
     most = max(1, broadcast_values // (sample[0] if sample else 1))
     small = q.limit(most + 1).toArrow()
     found = (_search_broadcast(Vectors.from_arrow(small), c, rules) if small.num_rows <= most
-             else _search_blocks(q, c, rules, most, block_rows))
-    order = Window.partitionBy("question_id").orderBy(F.desc("score"), "doc_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+             else search_cells(q, build_cells(c, block_rows), rules)[0])
+    order = Window.partitionBy("rule", "question_id").orderBy(F.desc("score"), "doc_id")
+    most_wanted = F.element_at(F.lit([rule.k for rule in rules]), F.col("rule") + 1)
+    return found.withColumn("rank", F.row_number().over(order)).where(
+        (F.col("rank") <= max(rule.k for rule in rules)) & (F.col("rank") <= most_wanted))
 
 
-def _search_broadcast(questions: Vectors, corpus: DataFrame, rules: Rules) -> DataFrame:
+def _search_broadcast(questions: Vectors, corpus: DataFrame, rules: Sequence[Rules]) -> DataFrame:
     shared = corpus.sparkSession.sparkContext.broadcast(questions)  # at most BROADCAST_VALUES numbers
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,22 +175,3 @@ def _search_broadcast(questions: Vectors, corpus: DataFrame, rules: Rules) -> Da
         yield from search.matches()
 
     return corpus.mapInArrow(scan, MATCHES)  # one task per split of the corpus, each hands on k matches per question
-
-
-def _search_blocks(questions: DataFrame, corpus: DataFrame, rules: Rules, question_rows: int, block_rows: int) -> DataFrame:
-    """Every question block meets every corpus block in a group of bounded size."""
-    q_blocks = -(-questions.count() // question_rows)
-    c_blocks = max(1, -(-corpus.count() // block_rows))
-
-    def block(df: DataFrame, own: str, own_n: int, other: str, other_n: int) -> DataFrame:
-        return df.withColumns({own: F.pmod(F.xxhash64("id"), F.lit(own_n)).cast("int"),
-                               other: F.explode(F.sequence(F.lit(0), F.lit(other_n - 1)))})
-
-    def meet(q: pa.Table, c: pa.Table) -> pa.Table:
-        search = Search(Vectors.from_arrow(q), rules)
-        search.add(Vectors.from_arrow(c))
-        return pa.Table.from_batches(search.matches(), schema=MATCH_ARROW)
-
-    q = block(questions, "qb", q_blocks, "cb", c_blocks)
-    c = block(corpus, "cb", c_blocks, "qb", q_blocks)
-    return q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb")).applyInArrow(meet, MATCHES)

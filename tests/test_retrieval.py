@@ -3,7 +3,8 @@ from pyspark.sql import functions as F
 
 from foliospark.functions.embedding import HashingEmbedder, embed
 from foliospark.operators import retrieval
-from foliospark.operators.similarity import top_k_similar
+from foliospark.operators.cells import build_cells, search_cells, skipped_share
+from foliospark.operators.similarity import Rules, top_k_by_rule, top_k_similar
 from foliospark.plans.answer import AnswerSettings, answer_questions
 
 
@@ -39,8 +40,52 @@ def test_search_forms_agree_with_brute_force(spark):
             assert sorted((r.question_id, r.doc_id, r["rank"]) for r in got) == want
 
 
+def clustered(spark, n, seed, first_id=0):
+    rng = np.random.default_rng(seed)
+    centres = np.random.default_rng(0).normal(size=(40, 8))
+    rows = [(first_id + i, [float(x) for x in centres[rng.integers(40)] + rng.normal(size=8) / 20], int(i % 3)) for i in range(n)]
+    return rows, spark.createDataFrame(rows, "id long, vector array<double>, grp long")
+
+
+def test_cells_skip_what_cannot_win(spark):
+    corpus, docs = clustered(spark, 3000, 1)
+    asked, questions = clustered(spark, 1500, 2, 10_000)
+    cells = build_cells(docs, block_rows=100)
+    rules = [Rules(3), Rules(2, False, "other")]
+    matches, visits = search_cells(questions, cells, rules)
+    found = matches.collect()
+    for number, rule in enumerate(rules):
+        best = {}
+        for r in found:
+            if r.rule == number:
+                best.setdefault(r.question_id, []).append((-r.score, r.doc_id))
+        got = sorted((q, d, i + 1) for q, hits in best.items() for i, (_, d) in enumerate(sorted(hits)[:rule.k]))
+        c = np.array([v for _, v, _ in corpus])
+        c /= np.sqrt((c * c).sum(axis=1, keepdims=True))
+        groups, want = np.array([g for _, _, g in corpus]), []
+        for qid, v, g in asked:
+            scores = np.round(c @ (np.array(v) / np.sqrt(np.array(v) @ np.array(v))), 6)
+            if rule.group:
+                scores[groups == g] = -9
+            want += [(qid, int(d), i + 1) for i, d in enumerate(np.lexsort((np.arange(len(c)), -scores))[:rule.k])]
+        assert got == sorted(want)
+    assert skipped_share(visits, cells) > 0.6
+    assert len(cells.used) > 30 and cells.parts.max() > 1
+    plan = matches._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 2  # questions by cell and by part, never the corpus
+
+
+def test_two_rules_in_one_search(spark):
+    rows, df = frames(spark)
+    for size in ({}, {"broadcast_values": 40, "block_rows": 50}):
+        got = top_k_by_rule(df, df, [Rules(2, True, "same"), Rules(4, True, "other")], question_id="id", doc_id="id", vector="v", group="g", **size).collect()
+        for number, k, rule in ((0, 2, "same"), (1, 4, "other")):
+            assert sorted((r.question_id, r.doc_id, r["rank"]) for r in got if r.rule == number) == by_hand(rows, rows, k, True, rule)
+
+
 def test_no_questions(spark):
     _, df = frames(spark)
+    assert top_k_similar(df, df.limit(0), 3, question_id="id", doc_id="id", vector="v", broadcast_values=4).count() == 0
     assert top_k_similar(df.limit(0), df, 3, question_id="id", doc_id="id", vector="v").count() == 0
     assert top_k_similar(df, df.limit(0), 3, question_id="id", doc_id="id", vector="v").count() == 0
 
