@@ -110,8 +110,7 @@ BLOG = """<body><div class="wrap"><div id="top"><a href="/">Home</a> <a href="/a
 SPLIT = """<table><tr><td><a href=1>One, two, three, four and five</a><a href=2>Six, seven, eight, nine and ten</a></td>
 <td>The first column tells, in plain words, how the seed was sown, when the rain came, and what grew of it in the end.
 <td>The second column tells, in plain words, who took the grain, where it was sold, and what became of the money.</tr></table>"""
-FORUM = """<div><div><p>Question: why does the pump, after an hour, start to hum, and who else has heard it do that?</p></div>
-<div><p>It hums, I think, because the valve is worn; mine did, and a new one, for ten euros, cured it.</p></div>
+FORUM = """<div><div><p>It hums, I think, because the valve is worn; mine did, and a new one, for ten euros, cured it.</p></div>
 <div><p>ok</p></div><div><p>Agreed, the valve, though mine, oddly, needed a new seal, a longer hose, and some grease too.</p></div></div>"""
 
 
@@ -121,8 +120,7 @@ FORUM = """<div><div><p>Question: why does the pump, after an hour, start to hum
            "\n\n\nA petition, signed by two hundred people, will be read on Monday."),
     (SPLIT, "The first column tells, in plain words, how the seed was sown, when the rain came, and what grew of it in the end.\n"
             "The second column tells, in plain words, who took the grain, where it was sold, and what became of the money."),
-    (FORUM, "Question: why does the pump, after an hour, start to hum, and who else has heard it do that?\n\n"
-            "It hums, I think, because the valve is worn; mine did, and a new one, for ten euros, cured it.\n\n"
+    (FORUM, "It hums, I think, because the valve is worn; mine did, and a new one, for ten euros, cured it.\n\n"
             "Agreed, the valve, though mine, oddly, needed a new seal, a longer hose, and some grease too."),
     ("<div class='sidebar'>" + "Buy this, buy that, buy now, and save a lot of money today. " * 3 + "</div><div>A short, true note about the sea, the wind.</div>",
      "A short, true note about the sea, the wind."),
