@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from foliospark.functions.packing import greedy_runs
 from foliospark.operators import chunking, sequences
-from foliospark.operators.containment import passages_in_texts
+from foliospark.operators.containment import anchored_passages, passage_hits, passages_in_texts
 
 
 def words(n, rng):
@@ -128,16 +128,29 @@ def test_passages_in_texts(spark):
     assert sorted(map(tuple, got)) == sorted((p, t) for p, s in passages for t, x in texts if s in x)
 
 
-def test_many_short_passages(spark, monkeypatch):
-    from foliospark.operators import containment
-
-    texts = [(i, f"a{i % 3} b{i} c") for i in range(12)]
-    passages = [(i, t) for i, t in enumerate(["a1", "b1", "1 b", "c", "", "zz", "a1 b", "b11 c"])]
+def test_short_and_odd_passages_in_rounds(spark):
+    texts = [(i, f"a{i % 3} b{i} c") for i in range(12)] + [(20, None), (21, ""), (22, "é" * 70 + "日本" * 40), (23, "x" * 1_200_000 + "needle in the stack")]
+    passages = [(i, t) for i, t in enumerate(["a1", "b1", "1 b", "c", "", "zz", "a1 b", "b11 c", None, "é日", "é" * 65, "é" * 71, "本日本日",
+                                              "x" * 40 + "needle", "needle in the stack", "x" * 1_200_000, "k"])]
     frames = spark.createDataFrame(passages, "p long, s string"), spark.createDataFrame(texts, "t long, x string")
-    for limit in (1000, 3):
-        monkeypatch.setattr(containment, "SHORT_PASSAGES", limit)
-        got = passages_in_texts(*frames, "p", "s", "t", "x").collect()
-        assert sorted(map(tuple, got)) == sorted((p, t) for p, s in passages for t, x in texts if s in x)
+    for size in ({}, {"round_passages": 4}):
+        got = passages_in_texts(*frames, "p", "s", "t", "x", **size).collect()
+        assert sorted(map(tuple, got)) == sorted((p, t) for p, s in passages for t, x in texts if s is not None and x is not None and s in x)
+
+
+def test_passages_that_share_their_words(spark):
+    """All passages and texts share most of their words; no false candidate leaves the scan."""
+    rng = random.Random(9)
+    opening, ending = "all of them begin with the same long sentence ", " and end in the very same way as well"
+    passages = [(i, opening + words(6, rng) + f" mark{i} " + words(6, rng) + ending) for i in range(300)]
+    texts = [(i, " ".join(passages[rng.randrange(200)][1] for _ in range(3)) + opening * 3 + ending) for i in range(200)]
+    p, t = spark.createDataFrame(passages, "p long, passage string"), spark.createDataFrame(texts, "id long, text string")
+    anchored = anchored_passages(p.select("passage"), t)
+    rarest = {r.passage: r.n_texts for r in anchored.collect()}
+    want = sorted((i, j) for i, s in passages for j, x in texts if s in x)
+    assert passage_hits(anchored, t).count() == len(want)
+    assert sum(rarest.values()) <= 2 * len(want)  # anchors stand in few texts although the openings stand in all
+    assert sorted(map(tuple, passages_in_texts(p, t, "p", "passage", "id", "text").collect())) == want
 
 
 def test_no_passages(spark):
