@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import io
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -52,25 +52,50 @@ def parts_for(total: int, size: int) -> int:
     return max(1, -(-int(total) // size))
 
 
-def pack_blocks(rows: DataFrame, n_blocks: int, salt: int = 0) -> DataFrame:
-    """Deal rows to ``n_blocks`` by a hash of all their columns: (block, payload) with many rows a payload."""
+class Dealer:
+    """Block of each row of a task: by the hash of its content, equal rows one block after another.
+
+    The blocks a task deals out depend on the rows it holds and not on their order, so a task that runs
+    again deals the same.
+    """
+
+    def __init__(self, n_blocks: int):
+        self.n_blocks, self.seen = np.uint64(n_blocks), {}
+
+    def blocks(self, hashes: np.ndarray) -> np.ndarray:
+        unique, place, counts = np.unique(hashes, return_inverse=True, return_counts=True)
+        before = np.fromiter(map(self.seen.get, unique.tolist(), [0] * len(unique)), np.int64, len(unique))
+        self.seen.update(zip(unique.tolist(), (before + counts).tolist(), strict=True))
+        order = np.argsort(place, kind="stable")
+        nth = np.empty(len(hashes), np.int64)
+        nth[order] = np.arange(len(hashes)) - (np.cumsum(counts) - counts)[place[order]]
+        return ((hashes.astype(np.uint64) + (before[place] + nth).astype(np.uint64)) % self.n_blocks).astype(np.int32)
+
+
+def pack_blocks(rows: DataFrame, n_blocks: int, salt: int = 0, convert: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None) -> DataFrame:
+    """Deal rows to ``n_blocks``: (block, payload) with many rows a payload, ``convert``ed before they are dealt.
+
+    Rows go by a hash of all their columns, and equal rows to blocks in turn, however many there are.
+    """
     names = rows.columns
-    dealt = rows.withColumn("_block", F.pmod(F.xxhash64(*names, F.lit(salt)), F.lit(n_blocks)).cast("int"))
+    hashed = rows.withColumn("_hash", F.xxhash64(*names, F.lit(salt)))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dealer = Dealer(n_blocks)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            block = np.asarray(batch.column("_block"))
+            block = dealer.blocks(np.asarray(batch.column("_hash")))
             order = np.argsort(block, kind="stable")
             cuts = np.flatnonzero(np.diff(block[order])) + 1
             bare = batch.select(names)
+            bare = convert(bare) if convert else bare
             for part in np.split(order, cuts):
                 payload = pack(bare.take(pa.array(part)))
                 yield pa.RecordBatch.from_arrays([pa.array([block[part[0]]], pa.int32()), pa.array([payload], pa.binary())],
                                                  names=["block", "payload"])
 
-    return dealt.mapInArrow(deal, PACKED)
+    return hashed.mapInArrow(deal, PACKED)
 
 
 def shard_of(words: Iterable[str], n_shards: int) -> np.ndarray:

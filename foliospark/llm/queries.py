@@ -10,7 +10,7 @@ from .registry import query
 from .texts import read_vocabulary
 from .token_counts import token_counts
 from .url_filter import UrlRule, fit_url_model, judge_urls, labelled_by_rules
-from .word_codec import encode_decode
+from .word_codec import encode_decode_digests
 
 
 def table(spark, folder: str, name: str):
@@ -55,7 +55,4 @@ def op6(spark, folder):
 
 @query("op10_word_codec")
 def op10(spark, folder):
-    coded = encode_decode(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
-    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-                        F.sha2("decoded", 256).alias("decoded_sha256"))
+    return encode_decode_digests(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))

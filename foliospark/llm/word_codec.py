@@ -1,26 +1,31 @@
 """BPE encoding and decoding through a table of distinct words.
 
-Texts are split at the six ASCII blanks, where the tokenizer splits in any case. Blocks of documents
-send their distinct words to shards; a shard encodes each of its words once, however many documents
-and blocks hold it, and looks the pieces up in the id-to-piece table of the vocabulary (bounded by
-the vocabulary's size). The answers return to the blocks, where words are replaced by position.
-
-Null and empty texts have no ids and decode to the empty string. Repeated rows each get their row.
-Extra columns are dropped. An empty table gives an empty result. A word of any length is one word.
+Texts are split once, at the six ASCII blanks, where the tokenizer splits in any case, and travel as
+dictionary codes. Blocks of documents send their distinct words to shards; a shard encodes each of its
+words once, however many documents and blocks hold it. The answers return to the blocks, where words are
+replaced by position, and the pieces of each distinct word are looked up in the id-to-piece table of the
+vocabulary (bounded by the vocabulary's size).
+
+Null and empty texts have no ids and decode to the empty string. Repeated rows each get their row, and are
+dealt to the blocks in turn. Extra columns are dropped. An empty table gives an empty result. A word of any
+length is one word.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from .blocks import BLOCK_BYTES, by_shard, pack, pack_blocks, parts_for, shard_of, text_bytes, unpack, unpack_all
-from .texts import library_tokenizer, words_of
+from .texts import library_tokenizer, releasing_pair, words_of
 
 WORD_BLOCK_BYTES = BLOCK_BYTES // 2  # a block also holds its ids and its decoded text
 SHARD_BYTES = 32 << 20  # text per shard of the word table; its distinct words are a fraction of that
@@ -43,23 +48,51 @@ def encode_words(vocabulary: str, words: list[str]) -> tuple[np.ndarray, np.ndar
     for at in range(0, len(words), ENCODE_SLICE):
         found = [e.ids for e in tokenizer.encode_batch_fast(words[at:at + ENCODE_SLICE], add_special_tokens=False)]
         sizes.append(np.fromiter(map(len, found), np.int32, len(found)))
-        ids.append(np.fromiter((i for f in found for i in f), np.uint32, int(sizes[-1].sum())))
+        ids.append(np.fromiter(chain.from_iterable(found), np.uint32, int(sizes[-1].sum())))
     return np.concatenate(ids), np.concatenate(sizes)
 
 
 def piece_table(vocabulary: str) -> pa.Array:
     """Piece of every id, added tokens included."""
     tokenizer = library_tokenizer(vocabulary)
-    return pa.array([tokenizer.id_to_token(i) for i in range(tokenizer.get_vocab_size(with_added_tokens=True))], pa.string())
+    return pa.array([tokenizer.id_to_token(i) for i in range(tokenizer.get_vocab_size(with_added_tokens=True))], pa.large_string())
 
 
-def words_by_shard(payloads: pa.ChunkedArray, n_shards: int) -> Iterator[tuple[int, list[str]]]:
-    """The distinct words of a block, sorted, for every shard that has any."""
-    words: set[str] = set()
+def with_codes(rows: pa.RecordBatch) -> pa.RecordBatch:
+    """(id, words): texts as lists of codes of one dictionary of distinct words."""
+    codes: dict[str, int] = Codes()
+    split = [list(map(codes.__getitem__, words_of(text))) for text in rows.column(1).to_pylist()]
+    sizes = np.fromiter(map(len, split), np.int64, len(split))
+    flat = np.fromiter(chain.from_iterable(split), np.int32, int(sizes.sum()))
+    return pa.RecordBatch.from_arrays([rows.column(0), _lists(sizes, pa.DictionaryArray.from_arrays(pa.array(flat), pa.array(list(codes), pa.string())))],
+                                      names=[rows.schema.names[0], "words"])
+
+
+class Codes(dict):
+    """Numbers words as they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
+def _lists(sizes: np.ndarray, values: pa.Array) -> pa.Array:
+    return pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])), values)
+
+
+def coded_payloads(payloads: pa.ChunkedArray) -> Iterator[tuple[pa.Array, np.ndarray, list[str], np.ndarray]]:
+    """Per payload: ids, words of each document, the dictionary words that occur, and the codes end to end."""
     for rows in unpack_all(payloads):
-        for text in rows.column("text").to_pylist():
-            words.update(words_of(text))
-    ordered = sorted(words)
+        for batch in rows.to_batches():
+            lists = batch.column(1)
+            words = lists.flatten()
+            used, codes = np.unique(words.indices.to_numpy(zero_copy_only=False), return_inverse=True)
+            yield batch.column(0), np.diff(lists.offsets.to_numpy()), words.dictionary.take(pa.array(used)).to_pylist(), codes.astype(np.int32)
+
+
+def words_by_shard(dictionaries: Iterable[list[str]], n_shards: int) -> Iterator[tuple[int, list[str]]]:
+    """The distinct words of a block, sorted, for every shard that has any."""
+    ordered = sorted(set().union(*dictionaries))
     for shard, at in by_shard(shard_of(ordered, n_shards)):
         yield shard, [ordered[i] for i in at]
 
@@ -67,8 +100,8 @@ def words_by_shard(payloads: pa.ChunkedArray, n_shards: int) -> Iterator[tuple[i
 def _distinct_words(n_shards: int):
     def distinct(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
-        out = [(shard, block, pack(pa.table({"word": pa.array(words, pa.string())})))
-               for shard, words in words_by_shard(table.column("payload"), n_shards)]
+        dictionaries = (words for _, _, words, _ in coded_payloads(table.column("payload")))
+        out = [(shard, block, pack(pa.table({"word": pa.array(words, pa.string())}))) for shard, words in words_by_shard(dictionaries, n_shards)]
         return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary()))],
                         names=["shard", "block", "words"])
     return distinct
@@ -102,49 +135,79 @@ def offsets(sizes: np.ndarray) -> pa.Array:
     return pa.array(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int32))
 
 
-def _join_by_position(vocabulary: str, id_col: str, id_type: pa.DataType, n_shards: int):
+def _joined(sizes: np.ndarray, texts: pa.Array, at: np.ndarray) -> pa.Array:
+    """Texts with the given numbers, joined by blanks per document."""
+    return pc.binary_join(_lists(sizes, texts.take(pa.array(at))), pa.scalar(" ", texts.type))
+
+
+def _join_by_position(vocabulary: str, id_type: pa.DataType, n_shards: int, finish: Callable):
     def join(left: pa.Table, right: pa.Table) -> pa.Table:
-        pieces = piece_table(vocabulary)
+        coded = list(coded_payloads(left.column("payload")))
         row: dict[str, int] = {}
         ids, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         answers = dict(zip(right.column("shard").to_pylist(), right.column("codes"), strict=True))
-        for shard, words in words_by_shard(left.column("payload"), n_shards):
+        for shard, words in words_by_shard((words for _, _, words, _ in coded), n_shards):
             lists = unpack(answers[shard].as_buffer()).column("ids").combine_chunks()
             row.update(zip(words, range(len(row), len(row) + len(lists)), strict=True))
             ids.append(lists.flatten().to_numpy())
             sizes.append(np.diff(lists.offsets.to_numpy()))
         ids, sizes = np.concatenate(ids).astype(np.int32), np.concatenate(sizes)
-        starts = np.cumsum(sizes) - sizes
-        spelled = pieces.take(pa.array(ids)).to_pylist()  # the id-to-piece join, once per distinct word
-        spelled = [" ".join(spelled[a:a + n]) for a, n in zip(starts.tolist(), sizes.tolist(), strict=True)]
+        pieces = piece_table(vocabulary)
+        spelled = _joined(sizes, pieces, ids)  # the id-to-piece join, once per distinct word
         out = []
-        for rows in unpack_all(left.column("payload")):
-            at = [np.fromiter(map(row.__getitem__, words), np.int64, len(words))
-                  for words in map(words_of, rows.column("text").to_pylist())]
-            flat = np.concatenate([np.zeros(0, np.int64), *at])
-            n_ids = np.fromiter((int(sizes[a].sum()) for a in at), np.int64, len(at))
-            out.append(pa.table({
-                id_col: rows.column(id_col).cast(id_type),
-                "ids": pa.ListArray.from_arrays(offsets(n_ids), pa.array(ids[ragged(starts[flat], sizes[flat])])),
-                "decoded": pa.array([" ".join([spelled[i] for i in a.tolist() if sizes[i]]) for a in at], pa.string())}))
-        return pa.concat_tables(out) if out else pa.table({id_col: pa.array([], id_type), "ids": pa.array([], pa.list_(pa.int32())),
-                                                           "decoded": pa.array([], pa.string())})
+        for keys, n_words, words, codes in coded:
+            at = np.fromiter(map(row.__getitem__, words), np.int64, len(words))[codes]
+            owner = np.repeat(np.arange(len(keys)), n_words)
+            some = sizes[at] > 0  # words the tokenizer drops leave no blank
+            at, owner = at[some], owner[some]
+            out.append(finish(keys.cast(id_type), np.bincount(owner, minlength=len(keys)), at, ids, sizes, spelled))
+        return pa.concat_tables(out)
     return join
 
 
-def encode_decode(docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_col: str = "text",
-                  block_bytes: int = WORD_BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """``id_col``, ``ids`` and ``decoded`` text of every row; ``vocabulary`` is the file's content."""
+def _texts(keys: pa.Array, n_words: np.ndarray, at: np.ndarray, ids: np.ndarray, sizes: np.ndarray, spelled: pa.Array) -> pa.Table:
+    owner = np.repeat(np.arange(len(keys)), n_words)
+    n_ids = np.bincount(owner, weights=sizes[at], minlength=len(keys)).astype(np.int64)
+    flat = ids[ragged((np.cumsum(sizes) - sizes)[at], sizes[at])]
+    return pa.table([keys, pa.ListArray.from_arrays(offsets(n_ids), pa.array(flat)), _joined(n_words, spelled, at).cast(pa.string())],
+                    names=["id", "ids", "decoded"])
+
+
+def _digests(keys: pa.Array, n_words: np.ndarray, at: np.ndarray, ids: np.ndarray, sizes: np.ndarray, spelled: pa.Array) -> pa.Table:
+    owner = np.repeat(np.arange(len(keys)), n_words)
+    n_ids = np.bincount(owner, weights=sizes[at], minlength=len(keys)).astype(np.int64)
+    decimals = _joined(sizes, pa.array(ids).cast(pa.large_string()), np.arange(len(ids)))  # per distinct word, as the decoded pieces
+    hashed = [pa.array([hashlib.sha256(t.as_buffer()).hexdigest() for t in _joined(n_words, texts, at)], pa.string()) for texts in (decimals, spelled)]
+    return pa.table([keys, pa.array(n_ids), *hashed], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+
+def _coded(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, block_bytes: int, shard_bytes: int, finish: Callable,
+           fields: list[StructField]) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_type
 
     check_word_vocabulary(vocabulary)
     total = text_bytes(docs, text_col)
-    rows = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    kind = rows.schema[id_col].dataType
-    blocks = pack_blocks(rows, parts_for(total, block_bytes))
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    kind = rows.schema["id"].dataType
+    blocks = pack_blocks(rows, parts_for(total, block_bytes), convert=with_codes)
     n_shards = parts_for(total, shard_bytes)
     asked = blocks.groupBy("block").applyInArrow(_distinct_words(n_shards), WORDS)
     answers = asked.groupBy("shard").applyInArrow(_word_table(vocabulary), CODES)
-    out = StructType([StructField(id_col, kind), StructField("ids", ArrayType(IntegerType())), StructField("decoded", StringType())])
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _join_by_position(vocabulary, id_col, to_arrow_type(kind), n_shards), out)
+    join = _join_by_position(vocabulary, to_arrow_type(kind), n_shards, finish)
+    found = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        releasing_pair(join), StructType([StructField("id", kind), *fields]))
+    return found.withColumnRenamed("id", id_col)
+
+
+def encode_decode(docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_col: str = "text",
+                  block_bytes: int = WORD_BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """``id_col``, ``ids`` and ``decoded`` text of every row; ``vocabulary`` is the file's content."""
+    return _coded(docs, vocabulary, id_col, text_col, block_bytes, shard_bytes, _texts,
+                  [StructField("ids", ArrayType(IntegerType())), StructField("decoded", StringType())])
+
+
+def encode_decode_digests(docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_col: str = "text",
+                          block_bytes: int = WORD_BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """The same with ``n_tokens`` and the SHA-256 of the blank-joined decimal ids and of the decoded text instead of both."""
+    return _coded(docs, vocabulary, id_col, text_col, block_bytes, shard_bytes, _digests,
+                  [StructField("n_tokens", LongType()), StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType())])

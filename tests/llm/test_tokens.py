@@ -8,7 +8,8 @@ import numpy as np
 from foliospark.llm.queries import op2, op10, vocabulary
 from foliospark.llm.texts import ascii_lower, library_tokenizer, words_of
 from foliospark.llm.token_counts import PairTable, RaggedBpe, byte_letters, token_counts
-from foliospark.llm.word_codec import encode_decode
+from foliospark.llm.blocks import pack_blocks
+from foliospark.llm.word_codec import encode_decode, encode_decode_digests
 
 FOLDER = "/root/testdata/sf0.001"
 ODD = [None, "", " ", "a", "aaa" * 100, "ab" * 3000, "  x  y\n\n z ", "<|endoftext|>hi<|endoftext|><|endoftext|>", "<|startoftext|>", "don't we'LL ",
@@ -65,6 +66,26 @@ def test_codec_round_trip_equals_the_library(spark):
     assert encode_decode(frame(spark).limit(0), v).count() == 0
 
 
+def test_many_equal_rows_are_many_blocks(spark):
+    """A third of all rows are one text; blocks stay of one size and every row keeps its result."""
+    v = vocabulary("word_bpe_49k.json")
+    texts = ["the same words again and again"] * 1500 + [f"other words {i} {i * i}" for i in range(3000)]
+    rows = spark.createDataFrame([(7 if i < 1500 else i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    sizes = [n for (n,) in rows.mapInArrow(lambda b: b, "doc_id long, text string").transform(
+        lambda d: pack_blocks(d, 15)).groupBy("block").applyInArrow(_count_rows, "n long").collect()]
+    assert sum(sizes) == 4500 and len(sizes) == 15 and max(sizes) < 2 * sorted(sizes)[7]
+    out = encode_decode_digests(rows, v, block_bytes=9000, shard_bytes=30_000).collect()
+    assert len(out) == 4500 and sum(r.doc_id == 7 for r in out) == 1500 and len({tuple(r) for r in out}) <= 3001
+
+
+def _count_rows(table):
+    import pyarrow as pa
+
+    from foliospark.llm.blocks import unpack_all
+
+    return pa.table({"n": pa.array([sum(t.num_rows for t in unpack_all(table.column("payload")))], pa.int64())})
+
+
 def test_op10_digests(spark):
     tokenizer = library_tokenizer(vocabulary("word_bpe_49k.json"))
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
