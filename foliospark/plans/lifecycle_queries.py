@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.functions import udtf
 
 from ..functions import embedding, keys
+from ..functions.tables import line_splitter
 from ..functions.text import judge_score
 from ..operators import chat, evaluation, retrieval
 from ..session import spread, table, work_folder
@@ -126,21 +126,13 @@ def chat_import(spark, sf):
     return import_history(stored, bundles, "raw", "order_no").select("id", "name")
 
 
-@udtf(returnType="line_no int, line string")
-class SplitLines:
-    """A table function as a small loader: lines of one text."""
-
-    def eval(self, text: str):
-        for number, line in enumerate((text or "").split("\n")):
-            yield number, line
-
-
 @query("udx1_table_function", r"""
 SELECT doc_id, CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS INTEGER) AS line_no, unnest(string_split(text, chr(10))) AS line
 FROM documents""")
 def table_function(spark, sf):
-    spark.udtf.register("split_lines", SplitLines)
-    return spark.sql("SELECT doc_id, line_no, line FROM {docs}, LATERAL split_lines(text)", docs=table(spark, sf, "documents"))
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    spark.udtf.register("split_lines", line_splitter(docs.schema))
+    return spark.sql("SELECT doc_id, line_no, line FROM split_lines(TABLE({docs}) PARTITION BY doc_id)", docs=docs)
 
 
 @query("udx2_metadata_extractor", "SELECT page_id, length(html) AS n_html, 'page' AS kind FROM pages")

@@ -59,13 +59,29 @@ f AS (SELECT event_id - 1 - event_id % 3 AS request_id, ts AS fb_ts, event_type
 WITH {_FEEDBACK_SQL}
 SELECT request_id, epoch_us(ts) AS ts, epoch_us(fb_ts) AS fb_ts, feedback FROM m JOIN f USING (request_id) WHERE fb_ts BETWEEN ts AND ts + INTERVAL 15 MINUTE""")
 def late_feedback(spark, sf):
+    joined = jobs.run_to_table(jobs.attach_late_feedback(*_feedback_streams(spark, sf)), "feedback")
+    return _micros(joined, "ts", "fb_ts")
+
+
+def _feedback_streams(spark, sf):
     events = _stream(spark, sf, "events")
     messages = jobs.event_time(events.where(F.col("event_type") == "view").select(F.col("event_id").alias("request_id"), "ts"), "ts", "1 hour")
     posts = jobs.event_time(events.where(F.col("event_type").isin("click", "error")).select(
         (F.col("event_id") - 1 - F.col("event_id") % 3).alias("request_id"), F.col("ts").alias("fb_ts"),
         F.col("event_type").alias("feedback")), "fb_ts", "1 hour")
-    joined = jobs.run_to_table(jobs.attach_late_feedback(messages, posts), "feedback")
-    return _micros(joined, "ts", "fb_ts")
+    return messages, posts
+
+
+@query("str3_message_feedback", f"""
+WITH {_FEEDBACK_SQL},
+w AS (SELECT least((SELECT max(ts) FROM m), (SELECT max(fb_ts) FROM f)) - INTERVAL 1 HOUR AS mark),
+j AS (SELECT m.request_id, m.ts, f.fb_ts, f.feedback FROM m LEFT JOIN f ON f.request_id = m.request_id AND f.fb_ts BETWEEN m.ts AND m.ts + INTERVAL 15 MINUTE),
+l AS (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY fb_ts DESC, feedback DESC) AS no FROM j)
+SELECT request_id, epoch_us(ts) AS ts, epoch_us(fb_ts) AS fb_ts, feedback FROM l, w WHERE no = 1 AND (fb_ts IS NOT NULL OR ts + INTERVAL 15 MINUTE < mark)""")
+def message_feedback(spark, sf):
+    """Messages with their last feedback, and those that can get none any more."""
+    joined = jobs.run_to_table(jobs.messages_with_feedback(*_feedback_streams(spark, sf)), "message-feedback")
+    return _micros(jobs.latest_feedback(joined), "ts", "fb_ts")
 
 
 @query("str4_rate_limit", """

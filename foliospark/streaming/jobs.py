@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..plans.ingest import ingest_documents
 from ..session import work_folder
@@ -48,42 +47,72 @@ def ingest_stream(docs: DataFrame, store: DatasetStore, *, progress: str | None
         "checkpointLocation", log).trigger(availableNow=True).start().awaitTermination()
 
 
-DONE = -1  # number of pieces in the state of a reply that was emitted
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class ReplyAssembler(StatefulProcessor):
+    """State of one request: its pieces by number, one entry each, and how many are there.
+
+    A piece writes its own entry and never the reply so far. A reply that is whole leaves a done mark
+    until its timer fires, so pieces repeated after the last one start nothing new. The timer stands at
+    the newest piece plus the timeout and is the state's time to live: nothing stays behind it.
+    """
+
+    def __init__(self, timeout_ms: int):
+        self.timeout_ms = timeout_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.pieces = handle.getMapState("pieces", "piece_no int", "piece string")
+        self.progress = handle.getValueState("progress", "known int, wanted int, done boolean, timer long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        known, wanted, done, timer = self.progress.get() if self.progress.exists() else (0, 0, False, 0)
+        newest = 0
+        for row in rows:
+            newest = max(newest, int(row.sent_at.timestamp() * 1000))
+            wanted = max(wanted, row.n_pieces)
+            if not done:
+                known += not self.pieces.containsKey((row.piece_no,))
+                self.pieces.updateValue((row.piece_no,), (row.piece,))
+        whole = not done and known >= wanted
+        if whole:
+            yield self._reply(key, True)
+            self.pieces.clear()
+        due = max(timer, newest, timerValues.getCurrentWatermarkInMs()) + (self.timeout_ms if newest > timer - self.timeout_ms else 0)
+        if due != timer:
+            if timer:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(due)
+        self.progress.update((known, wanted, done or whole, due))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if not self.progress.get()[2]:
+            yield self._reply(key, False)
+        self.pieces.clear()
+        self.progress.clear()
+
+    def _reply(self, key, complete: bool) -> Row:
+        in_order = sorted((number[0], piece[0]) for number, piece in self.pieces.iterator())
+        return Row(request_id=key[0], text="".join(piece for _, piece in in_order), complete=complete)
+
+    def close(self) -> None:
+        pass
 
 
 def assemble_replies(pieces: DataFrame, timeout_ms: int = 600_000) -> DataFrame:
     """Join the pieces (request_id, piece_no, n_pieces, piece, sent_at) of each reply in piece order.
 
     A reply is emitted once, when its last missing piece arrives, or incomplete once the watermark on
-    ``sent_at`` has passed its newest piece by the timeout. A done mark stays until then, so a piece that
-    is repeated after the last one starts nothing new. State per request is one reply, which the
-    model's answer length bounds. (A processing-time timeout would keep an available-now run going.)
+    ``sent_at`` has passed its newest piece by the timeout. A processing-time timeout would keep an
+    available-now run going, so timers follow the event time. Map state needs the RocksDB state store,
+    which is set for the session when nothing else was.
     """
-    def collect(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            numbers, texts, total = state.get
-            state.remove()
-            if total == DONE:
-                return
-        else:
-            numbers, texts, total = state.get if state.exists else ([], [], 0)
-            done, known, newest = total == DONE, dict(zip(numbers, texts)), 0
-            for batch in batches:
-                known.update(zip(batch["piece_no"].tolist(), batch["piece"].tolist()))
-                total = int(batch["n_pieces"].max())
-                newest = max(newest, int(batch["sent_at"].max().timestamp() * 1000))
-            numbers, texts = list(known), list(known.values())
-            whole = not done and len(known) >= total
-            state.update(([], [], DONE) if done or whole else (numbers, texts, total))
-            state.setTimeoutTimestamp(max(newest, state.getCurrentWatermarkMs()) + timeout_ms)
-            if not whole:
-                return
-        text = "".join(t for _, t in sorted(zip(numbers, texts)))
-        yield pd.DataFrame({"request_id": [key[0]], "text": [text], "complete": [len(numbers) == total]})
-
-    return pieces.groupBy("request_id").applyInPandasWithState(
-        collect, "request_id string, text string, complete boolean", "numbers array<int>, texts array<string>, total int",
-        "append", GroupStateTimeout.EventTimeTimeout)
+    conf = pieces.sparkSession.conf
+    if "RocksDB" not in conf.get("spark.sql.streaming.stateStore.providerClass", ""):
+        conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    return pieces.groupBy("request_id").transformWithState(
+        ReplyAssembler(timeout_ms), "request_id string, text string, complete boolean", "Append", "EventTime")
 
 
 def attach_late_feedback(messages: DataFrame, feedback: DataFrame, interval: str = "15 minutes") -> DataFrame:
@@ -98,6 +127,24 @@ def attach_late_feedback(messages: DataFrame, feedback: DataFrame, interval: str
         "m.request_id", "m.ts", "f.fb_ts", "f.feedback")
 
 
+def messages_with_feedback(messages: DataFrame, feedback: DataFrame, interval: str = "15 minutes") -> DataFrame:
+    """Every message with each feedback that comes in time, and once without when none can come any more.
+
+    A message without feedback leaves when the watermark of both sides has passed its interval; it is
+    never emitted before and not emitted when feedback came.
+    """
+    m, f = messages.alias("m"), feedback.alias("f")
+    in_time = F.col("f.fb_ts").between(F.col("m.ts"), F.col("m.ts") + F.expr(f"interval {interval}"))
+    return m.join(f, (F.col("m.request_id") == F.col("f.request_id")) & in_time, "left_outer").select(
+        "m.request_id", "m.ts", "f.fb_ts", "f.feedback")
+
+
+def latest_feedback(joined: DataFrame) -> DataFrame:
+    """One row per message: later feedback replaces earlier feedback of the same id."""
+    last = F.max(F.struct("fb_ts", "feedback"))
+    return joined.groupBy("request_id", "ts").agg(last.alias("last")).select("request_id", "ts", "last.fb_ts", "last.feedback")
+
+
 def first_per_interval(df: DataFrame, key: str, ts: str, payload: Column, duration: str) -> DataFrame:
     """First event of each key per tumbling interval; batch or stream. Tasks pre-aggregate."""
     return df.groupBy(key, F.window(ts, duration)).agg(F.min(F.struct(F.col(ts).alias("ts"), payload.alias("payload"))).alias("first")

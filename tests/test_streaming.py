@@ -18,6 +18,46 @@ def test_replies_from_pieces_out_of_order(spark):
     assert sorted(tuple(r) for r in rows) == [("a", "hello", True), ("b", "x", False), ("late", "zz", True)]
 
 
+def test_replies_go_on_from_their_checkpoint(spark):
+    """Half a reply is kept over a restart, and pieces repeated after it was emitted start nothing new."""
+    folder, base = work_folder(spark, "test-pieces"), work_folder(spark, "test-replies")
+    schema = "request_id string, piece_no int, n_pieces int, piece string, sent_at timestamp"
+
+    def run(*rows):
+        spark.createDataFrame(list(rows), "request_id string, piece_no int, n_pieces int, piece string, s long").select(
+            "request_id", "piece_no", "n_pieces", "piece", F.timestamp_seconds("s").alias("sent_at")).coalesce(1).write.mode("append").parquet(folder)
+        stream = jobs.event_time(jobs.file_stream(spark, folder, schema, files_per_batch=1), "sent_at", "1 minute")
+        return sorted(map(tuple, jobs.run_to_table(jobs.assemble_replies(stream), "", folder=base).collect()))
+
+    assert run(("a", 1, 2, "b", 1000), ("c", 0, 2, "never", 1000)) == []
+    assert run(("a", 0, 2, "a", 1001)) == [("a", "ab", True)]
+    assert run(("a", 0, 2, "a", 1002), ("a", 1, 2, "b", 1002)) == [("a", "ab", True)]
+    assert run(("z", 0, 1, "late", 9000)) == [("a", "ab", True), ("c", "never", False), ("z", "late", True)]
+    assert run(("y", 0, 1, "later", 20000)) == [("a", "ab", True), ("c", "never", False), ("y", "later", True), ("z", "late", True)]
+
+
+def test_messages_without_feedback_leave_once(spark):
+    def frames(rows, names):
+        folder = work_folder(spark, "test-feedback")
+        for row in rows:
+            spark.createDataFrame([row], names).coalesce(1).write.parquet(folder, mode="append")
+        return folder
+
+    base = work_folder(spark, "test-feedback-out")
+    sent = frames([(i, 60 * i) for i in (1, 2, 3, 200)], "request_id long, s long")
+    posts = frames([(1, 90, "click"), (1, 120, "error"), (2, 9000, "click"), (7, 12000, "click")], "request_id long, s long, feedback string")
+
+    def run():
+        m = jobs.file_stream(spark, sent, "request_id long, s long", files_per_batch=1).select("request_id", F.timestamp_seconds("s").alias("ts"))
+        f = jobs.file_stream(spark, posts, "request_id long, s long, feedback string", files_per_batch=1).select(
+            "request_id", F.timestamp_seconds("s").alias("fb_ts"), "feedback")
+        out = jobs.run_to_table(jobs.messages_with_feedback(jobs.event_time(m, "ts", "1 minute"), jobs.event_time(f, "fb_ts", "1 minute")), "", folder=base)
+        return sorted((r.request_id, r.feedback or "") for r in out.collect()), sorted((r.request_id, r.feedback or "") for r in jobs.latest_feedback(out).collect())
+
+    want = [(1, "click"), (1, "error"), (2, ""), (3, "")], [(1, "error"), (2, ""), (3, "")]
+    assert run() == want and run() == want  # message 200 may still get feedback
+
+
 def test_rate_limit_and_sessions(spark):
     rows = [(1, 0, 1), (1, 5, 2), (1, 65, 3), (2, 10, 4), (1, 300, 5)]
     df = spark.createDataFrame(rows, "user long, s long, id long").withColumn("ts", F.timestamp_seconds("s"))
