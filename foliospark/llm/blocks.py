@@ -72,8 +72,8 @@ class Dealer:
         return ((hashes.astype(np.uint64) + (before[place] + nth).astype(np.uint64)) % self.n_blocks).astype(np.int32)
 
 
-def pack_blocks(rows: DataFrame, n_blocks: int, salt: int = 0, convert: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None) -> DataFrame:
-    """Deal rows to ``n_blocks``: (block, payload) with many rows a payload, ``convert``ed before they are dealt.
+def pack_blocks(rows: DataFrame, n_blocks: int, salt: int = 0) -> DataFrame:
+    """Deal rows to ``n_blocks``: (block, payload) with many rows a payload.
 
     Rows go by a hash of all their columns, and equal rows to blocks in turn, however many there are.
     """
@@ -89,7 +89,6 @@ def pack_blocks(rows: DataFrame, n_blocks: int, salt: int = 0, convert: Callable
             order = np.argsort(block, kind="stable")
             cuts = np.flatnonzero(np.diff(block[order])) + 1
             bare = batch.select(names)
-            bare = convert(bare) if convert else bare
             for part in np.split(order, cuts):
                 payload = pack(bare.take(pa.array(part)))
                 yield pa.RecordBatch.from_arrays([pa.array([block[part[0]]], pa.int32()), pa.array([payload], pa.binary())],

@@ -1,7 +1,7 @@
 """BPE encoding and decoding through a table of distinct words.
 
-Texts are split once, at the six ASCII blanks, where the tokenizer splits in any case, and travel as
-dictionary codes. Blocks of documents send their distinct words to shards; a shard encodes each of its
+Texts are split at the six ASCII blanks, where the tokenizer splits in any case, and numbered by distinct
+word inside Arrow. Blocks of documents send their distinct words to shards; a shard encodes each of its
 words once, however many documents and blocks hold it. The answers return to the blocks, where words are
 replaced by position, and the pieces of each distinct word are looked up in the id-to-piece table of the
 vocabulary (bounded by the vocabulary's size).
@@ -14,7 +14,7 @@ length is one word.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable
 from itertools import chain
 
 import numpy as np
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from .blocks import BLOCK_BYTES, by_shard, pack, pack_blocks, parts_for, shard_of, text_bytes, unpack, unpack_all
-from .texts import library_tokenizer, releasing_pair, words_of
+from .texts import library_tokenizer, releasing_pair
 
 WORD_BLOCK_BYTES = BLOCK_BYTES // 2  # a block also holds its ids and its decoded text
 SHARD_BYTES = 32 << 20  # text per shard of the word table; its distinct words are a fraction of that
@@ -58,50 +58,38 @@ def piece_table(vocabulary: str) -> pa.Array:
     return pa.array([tokenizer.id_to_token(i) for i in range(tokenizer.get_vocab_size(with_added_tokens=True))], pa.large_string())
 
 
-def with_codes(rows: pa.RecordBatch) -> pa.RecordBatch:
-    """(id, words): texts as lists of codes of one dictionary of distinct words."""
-    codes: dict[str, int] = Codes()
-    split = [list(map(codes.__getitem__, words_of(text))) for text in rows.column(1).to_pylist()]
-    sizes = np.fromiter(map(len, split), np.int64, len(split))
-    flat = np.fromiter(chain.from_iterable(split), np.int32, int(sizes.sum()))
-    return pa.RecordBatch.from_arrays([rows.column(0), _lists(sizes, pa.DictionaryArray.from_arrays(pa.array(flat), pa.array(list(codes), pa.string())))],
-                                      names=[rows.schema.names[0], "words"])
-
-
-class Codes(dict):
-    """Numbers words as they are first asked for."""
-
-    def __missing__(self, word: str) -> int:
-        self[word] = number = len(self)
-        return number
-
-
 def _lists(sizes: np.ndarray, values: pa.Array) -> pa.Array:
     return pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])), values)
 
 
-def coded_payloads(payloads: pa.ChunkedArray) -> Iterator[tuple[pa.Array, np.ndarray, list[str], np.ndarray]]:
-    """Per payload: ids, words of each document, the dictionary words that occur, and the codes end to end."""
-    for rows in unpack_all(payloads):
-        for batch in rows.to_batches():
-            lists = batch.column(1)
-            words = lists.flatten()
-            used, codes = np.unique(words.indices.to_numpy(zero_copy_only=False), return_inverse=True)
-            yield batch.column(0), np.diff(lists.offsets.to_numpy()), words.dictionary.take(pa.array(used)).to_pylist(), codes.astype(np.int32)
+class BlockWords:
+    """Texts of a block as numbers of its distinct words, which stand in sorted order."""
 
+    def __init__(self, payloads: pa.ChunkedArray):
+        rows = pa.concat_tables(unpack_all(payloads)).combine_chunks()
+        self.ids = rows.column(0).combine_chunks()
+        lists = pc.ascii_split_whitespace(rows.column("text").cast(pa.large_string())).combine_chunks()
+        owner, words = pc.list_parent_indices(lists).to_numpy(), lists.flatten()
+        real = pc.greater(pc.binary_length(words), 0)  # blanks at either end leave an empty word
+        self.owner = owner[real.to_numpy(zero_copy_only=False)]
+        coded = words.filter(real).dictionary_encode()
+        order = pc.sort_indices(coded.dictionary).to_numpy()
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        self.words = coded.dictionary.take(pa.array(order)).to_pylist()
+        self.codes = rank[coded.indices.to_numpy()]
 
-def words_by_shard(dictionaries: Iterable[list[str]], n_shards: int) -> Iterator[tuple[int, list[str]]]:
-    """The distinct words of a block, sorted, for every shard that has any."""
-    ordered = sorted(set().union(*dictionaries))
-    for shard, at in by_shard(shard_of(ordered, n_shards)):
-        yield shard, [ordered[i] for i in at]
+    def by_shard(self, n_shards: int) -> list[tuple[int, np.ndarray]]:
+        """Numbers of the words of every shard that has any."""
+        return by_shard(shard_of(self.words, n_shards))
 
 
 def _distinct_words(n_shards: int):
     def distinct(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
-        dictionaries = (words for _, _, words, _ in coded_payloads(table.column("payload")))
-        out = [(shard, block, pack(pa.table({"word": pa.array(words, pa.string())}))) for shard, words in words_by_shard(dictionaries, n_shards)]
+        known = BlockWords(table.column("payload"))
+        out = [(shard, block, pack(pa.table({"word": pa.array([known.words[i] for i in at.tolist()], pa.string())})))
+               for shard, at in known.by_shard(n_shards)]
         return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary()))],
                         names=["shard", "block", "words"])
     return distinct
@@ -140,45 +128,49 @@ def _joined(sizes: np.ndarray, texts: pa.Array, at: np.ndarray) -> pa.Array:
     return pc.binary_join(_lists(sizes, texts.take(pa.array(at))), pa.scalar(" ", texts.type))
 
 
-def _join_by_position(vocabulary: str, id_type: pa.DataType, n_shards: int, finish: Callable):
-    def join(left: pa.Table, right: pa.Table) -> pa.Table:
-        coded = list(coded_payloads(left.column("payload")))
-        row: dict[str, int] = {}
-        ids, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        answers = dict(zip(right.column("shard").to_pylist(), right.column("codes"), strict=True))
-        for shard, words in words_by_shard((words for _, _, words, _ in coded), n_shards):
+class Coded:
+    """A block with the ids of its words: documents as rows of the word table."""
+
+    def __init__(self, known: BlockWords, answers: dict[int, pa.Scalar], n_shards: int, id_type: pa.DataType):
+        ids, sizes, row = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], np.zeros(len(known.words), np.int64)
+        n = 0
+        for shard, at in known.by_shard(n_shards):
             lists = unpack(answers[shard].as_buffer()).column("ids").combine_chunks()
-            row.update(zip(words, range(len(row), len(row) + len(lists)), strict=True))
+            row[at] = n + np.arange(len(at))
+            n += len(at)
             ids.append(lists.flatten().to_numpy())
             sizes.append(np.diff(lists.offsets.to_numpy()))
-        ids, sizes = np.concatenate(ids).astype(np.int32), np.concatenate(sizes)
-        pieces = piece_table(vocabulary)
-        spelled = _joined(sizes, pieces, ids)  # the id-to-piece join, once per distinct word
-        out = []
-        for keys, n_words, words, codes in coded:
-            at = np.fromiter(map(row.__getitem__, words), np.int64, len(words))[codes]
-            owner = np.repeat(np.arange(len(keys)), n_words)
-            some = sizes[at] > 0  # words the tokenizer drops leave no blank
-            at, owner = at[some], owner[some]
-            out.append(finish(keys.cast(id_type), np.bincount(owner, minlength=len(keys)), at, ids, sizes, spelled))
-        return pa.concat_tables(out)
+        self.ids, self.sizes = np.concatenate(ids).astype(np.int32), np.concatenate(sizes).astype(np.int64)
+        self.keys = known.ids.cast(id_type)
+        at = row[known.codes]
+        some = self.sizes[at] > 0  # words the tokenizer drops leave no blank
+        self.at, owner = at[some], known.owner[some]
+        self.n_words = np.bincount(owner, minlength=len(self.keys))
+        self.n_ids = np.bincount(owner, weights=self.sizes[self.at], minlength=len(self.keys)).astype(np.int64)
+
+    def texts(self, per_id: pa.Array) -> pa.Array:
+        """Texts of all ids of each document joined by blanks, given the text of each id of the word table."""
+        return _joined(self.n_words, _joined(self.sizes, per_id, np.arange(len(self.ids))), self.at)
+
+
+def _join_by_position(vocabulary: str, id_type: pa.DataType, n_shards: int, finish: Callable[[Coded, pa.Array], pa.Table]):
+    def join(left: pa.Table, right: pa.Table) -> pa.Table:
+        answers = dict(zip(right.column("shard").to_pylist(), right.column("codes"), strict=True))
+        block = Coded(BlockWords(left.column("payload")), answers, n_shards, id_type)
+        return finish(block, block.texts(piece_table(vocabulary).take(pa.array(block.ids))))  # the id-to-piece join
     return join
 
 
-def _texts(keys: pa.Array, n_words: np.ndarray, at: np.ndarray, ids: np.ndarray, sizes: np.ndarray, spelled: pa.Array) -> pa.Table:
-    owner = np.repeat(np.arange(len(keys)), n_words)
-    n_ids = np.bincount(owner, weights=sizes[at], minlength=len(keys)).astype(np.int64)
-    flat = ids[ragged((np.cumsum(sizes) - sizes)[at], sizes[at])]
-    return pa.table([keys, pa.ListArray.from_arrays(offsets(n_ids), pa.array(flat)), _joined(n_words, spelled, at).cast(pa.string())],
+def _texts(block: Coded, decoded: pa.Array) -> pa.Table:
+    flat = block.ids[ragged((np.cumsum(block.sizes) - block.sizes)[block.at], block.sizes[block.at])]
+    return pa.table([block.keys, pa.ListArray.from_arrays(offsets(block.n_ids), pa.array(flat)), decoded.cast(pa.string())],
                     names=["id", "ids", "decoded"])
 
 
-def _digests(keys: pa.Array, n_words: np.ndarray, at: np.ndarray, ids: np.ndarray, sizes: np.ndarray, spelled: pa.Array) -> pa.Table:
-    owner = np.repeat(np.arange(len(keys)), n_words)
-    n_ids = np.bincount(owner, weights=sizes[at], minlength=len(keys)).astype(np.int64)
-    decimals = _joined(sizes, pa.array(ids).cast(pa.large_string()), np.arange(len(ids)))  # per distinct word, as the decoded pieces
-    hashed = [pa.array([hashlib.sha256(t.as_buffer()).hexdigest() for t in _joined(n_words, texts, at)], pa.string()) for texts in (decimals, spelled)]
-    return pa.table([keys, pa.array(n_ids), *hashed], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+def _digests(block: Coded, decoded: pa.Array) -> pa.Table:
+    decimals = block.texts(pa.array(block.ids).cast(pa.large_string()))
+    hashed = [pa.array([hashlib.sha256(t.as_buffer() or b"").hexdigest() for t in texts], pa.string()) for texts in (decimals, decoded)]
+    return pa.table([block.keys, pa.array(block.n_ids), *hashed], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 
 def _coded(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, block_bytes: int, shard_bytes: int, finish: Callable,
@@ -189,7 +181,7 @@ def _coded(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, block_b
     total = text_bytes(docs, text_col)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = rows.schema["id"].dataType
-    blocks = pack_blocks(rows, parts_for(total, block_bytes), convert=with_codes)
+    blocks = pack_blocks(rows, parts_for(total, block_bytes))
     n_shards = parts_for(total, shard_bytes)
     asked = blocks.groupBy("block").applyInArrow(_distinct_words(n_shards), WORDS)
     answers = asked.groupBy("shard").applyInArrow(_word_table(vocabulary), CODES)
