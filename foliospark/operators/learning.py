@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 import random
 
@@ -12,8 +13,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.keys import stable_hash
 
@@ -113,9 +115,55 @@ def signature(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "position int, column string, type string, nullable boolean")
 
 
-def score_json(records: DataFrame, schema: str, folder: str, keep: list[str]) -> DataFrame:
-    """JSON records in, JSON records with a prediction out; the model is loaded once by the driver."""
-    model = PipelineModel.load(f"{folder}/model")
-    parsed = records.select(F.from_json("value", schema).alias("r")).select("r.*")
-    return model.transform(parsed).select(F.to_json(F.struct(*keep, "prediction")).alias("value"))
+def stored_signature(spark, folder: str) -> StructType:
+    return StructType.fromJson(json.loads(spark.read.json(f"{folder}/signature").first().signature))
+
+
+def checked_records(records: DataFrame, wanted: StructType, value: str = "value") -> DataFrame:
+    """JSON records with ``parsed`` fields and ``reasons``: why a record does not fit the signature, empty if it does.
+
+    A record is refused when it is no JSON object, lacks a field or holds null in one that must have a value, has a field
+    nobody asked for, or a value that is not of the field's type.
+    """
+    raw = F.from_json(value, "map<string,string>")
+    keys = F.json_object_keys(value)
+    names = F.lit([f.name for f in wanted]) if len(wanted) else F.array().cast("array<string>")
+    parsed = records.withColumn("parsed", F.from_json(value, wanted)).withColumn("_raw", raw).withColumn("_keys", keys)
+
+    def listed(label: str, found: Column) -> Column:
+        return F.when(F.size(found) > 0, F.concat(F.lit(f"{label}: "), F.array_join(F.array_sort(found), ",")))
+
+    def fields(test) -> Column:
+        return F.filter(F.array(*[F.when(test(f), F.lit(f.name)) for f in wanted]) if len(wanted) else F.array().cast("array<string>"),
+                        lambda x: x.isNotNull())
+
+    missing = F.array_except(names, F.col("_keys"))
+    extra = F.array_except(F.col("_keys"), names)
+    wrong = fields(lambda f: F.try_element_at("_raw", F.lit(f.name)).isNotNull() & F.col(f"parsed.`{f.name}`").isNull())
+    empty = fields(lambda f: F.array_contains("_keys", f.name) & F.try_element_at("_raw", F.lit(f.name)).isNull() & F.lit(not f.nullable))
+    reasons = F.when(F.col("_keys").isNull(), F.array(F.lit("malformed"))).otherwise(F.filter(F.array(
+        listed("missing", missing), listed("extra", extra), listed("type", wrong), listed("null", empty)), lambda x: x.isNotNull()))
+    return parsed.withColumn("reasons", reasons).drop("_raw", "_keys")
 
+
+def refused_records(records: DataFrame, folder: str, keep: str | StructType = "") -> DataFrame:
+    """Reject table: records (value) that do not fit the model's stored signature and the ``keep`` fields, with their reasons."""
+    checked = checked_records(records, _with_kept(stored_signature(records.sparkSession, folder), keep))
+    return checked.where(F.size("reasons") > 0).select("value", "reasons")
+
+
+def _with_kept(wanted: StructType, keep: str | StructType) -> StructType:
+    kept = StructType.fromDDL(keep) if isinstance(keep, str) and keep else keep or StructType()
+    return StructType([*kept.fields, *[f for f in wanted if f.name not in kept.names]])
+
+
+def score_json(records: DataFrame, folder: str, keep: str | StructType = "") -> DataFrame:
+    """JSON records in, JSON records with the ``keep`` fields and a prediction out; refused records are left out.
+
+    Fields are those of the signature stored with the model; it is loaded once by the driver.
+    """
+    model = PipelineModel.load(f"{folder}/model")
+    wanted = _with_kept(stored_signature(records.sparkSession, folder), keep)
+    good = checked_records(records, wanted).where(F.size("reasons") == 0).select("parsed.*")
+    names = _with_kept(StructType(), keep).names
+    return model.transform(good).select(F.to_json(F.struct(*names, "prediction")).alias("value"))

@@ -26,6 +26,37 @@ def retrieve_chunks(questions: DataFrame, chunks: DataFrame, top_k: int = 3, rer
     return hits.withColumnRenamed("doc_id", "chunk_id")
 
 
+RANK_CONSTANT = 60
+
+
+def fused_hits(hits: DataFrame, rewrites: DataFrame, depth: int, constant: int = RANK_CONSTANT) -> DataFrame:
+    """Hits of several searches of a question as one list: reciprocal ranks are summed, ties go to the lower id.
+
+    ``hits`` (text_id, chunk_id, score, rank) are the searches' results, ``rewrites`` (question_id, text_id) say
+    which searches belong to a question. Returns (question_id, chunk_id, score, rank), ``score`` the fused one.
+    """
+    found = rewrites.join(hits, "text_id").groupBy("question_id", "chunk_id").agg(
+        F.round(F.sum(1.0 / (constant + F.col("rank"))), 9).alias("score"))
+    order = Window.partitionBy("question_id").orderBy(F.desc("score"), "chunk_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= depth)
+
+
+def retrieve_fused(questions: DataFrame, rewrites: DataFrame, chunks: DataFrame, top_k: int = 3, rerank_top_k: int = 5,
+                   embedder: Callable[[Column], Column] = embed) -> DataFrame:
+    """Candidates of questions (question_id, question) by fan-out over their rewrites (question_id, question).
+
+    A question without a rewrite is searched as it is. Equal texts are searched once, however many
+    questions share them.
+    """
+    plain = questions.select("question_id", "question").join(rewrites.select("question_id").distinct(), "question_id", "left_anti")
+    asked = rewrites.select("question_id", "question").unionByName(plain).distinct().withColumn(
+        "text_id", F.conv(F.substring(F.md5("question"), 1, 15), 16, 10).cast("long"))
+    asked = materialise(asked, "rewrites")
+    texts = asked.select(F.col("text_id").alias("question_id"), "question").distinct()
+    hits = retrieve_chunks(texts, chunks, top_k, rerank_top_k, embedder).withColumnRenamed("question_id", "text_id")
+    return fused_hits(hits, asked.select("question_id", "text_id"), max(top_k, rerank_top_k))
+
+
 def jaccard(a: Column, b: Column) -> Column:
     """Overlap of two texts' distinct lower-case tokens, 0 when both are blank."""
     left, right = tokens(F.lower(a)), tokens(F.lower(b))

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from ..functions import constants
 from ..functions.keys import document_key
 from ..operators import chat, chunking, joins, ordering, sets
-from ..session import table
+from ..operators.search import PostingIndex
+from ..session import materialise, table, work_folder
+from ..sources.buckets import BucketTable
 from .chat_import import refused_bundles
 from .registry import query
 from .splitting_queries import sql_chunks
@@ -109,6 +111,18 @@ def conversation_phrase_search(spark, sf):
     return _search(spark, sf, "... The")
 
 
+@query("prj19_indexed_search", _sql_search("... the"))
+def indexed_conversation_search(spark, sf):
+    """Messages and names stored with posting lists in two appends; only the candidates' messages are searched."""
+    messages, names = _messages(spark, sf), chat.titles(_messages(spark, sf))
+    index = PostingIndex(spark, work_folder(spark, "search"))
+    index.append(messages, "conv_id", "text", "messages")
+    index.append(names, "conv_id", "title", "names")
+    found = materialise(index.candidates("... The", across_texts=True), "candidates").withColumnRenamed("key", "conv_id")
+    return chat.search_conversations(messages.join(found, "conv_id", "left_semi"), names.join(found, "conv_id", "left_semi").withColumnRenamed(
+        "title", "name"), "... The")
+
+
 _SQL_HEAD = """'{"version":4,"history":[{"id":"' || conv_id || '","name":' || to_json(title) || ',"model":{"id":"gpt-3.5-turbo","name":"GPT-3.5",'
  || '"maxLength":12000,"tokenLimit":4000},"prompt":"Prompt ' || conv_id || '","temperature":0.5,"messages":['"""
 
@@ -261,6 +275,27 @@ def upsert(spark, sf):
     return sets.upsert(base, updates, "id")
 
 
+@query("set4_stored_upsert", """
+SELECT doc_id AS id, source AS value FROM documents WHERE doc_id NOT IN (SELECT page_id * 5 FROM pages)
+UNION ALL SELECT page_id * 5, url FROM pages""")
+def stored_upsert(spark, sf):
+    """The same on a stored table, in buckets; the change is run twice."""
+    stored = BucketTable(spark, work_folder(spark, "items"), "id long, value string", "id", 16)
+    stored.upsert(table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("source").alias("value")))
+    updates = table(spark, sf, "pages").select((F.col("page_id") * 5).alias("id"), F.col("url").alias("value"))
+    for _ in range(2):
+        stored.upsert(updates)
+    return stored.read()
+
+
+@query("set3_stored_delete", "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)")
+def stored_delete(spark, sf):
+    stored = BucketTable(spark, work_folder(spark, "items"), "doc_id long, source string", "doc_id", 16)
+    stored.upsert(table(spark, sf, "documents").select("doc_id", "source"))
+    stored.delete(table(spark, sf, "labels").where(F.col("toxic") == 1).select("doc_id"))
+    return stored.read()
+
+
 @query("set5_missing_ids", "SELECT vec_id * 7 AS doc_id FROM embeddings EXCEPT SELECT doc_id FROM documents")
 def missing_ids(spark, sf):
     wanted = table(spark, sf, "embeddings").select((F.col("vec_id") * 7).alias("doc_id"))

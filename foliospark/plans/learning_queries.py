@@ -78,8 +78,30 @@ def batch_scoring(spark, sf):
     train = assembler.transform(rows).select("features", F.col("l_extendedprice").alias("label"))
     learning.save_model([assembler, learning.elastic_net(train)], rows.select(*_FEATURES), folder)
     records = rows.select(F.to_json(F.struct("l_orderkey", *_FEATURES)).alias("value"))
-    schema = "l_orderkey long, l_quantity double, l_discount double, l_tax double, l_linenumber int"
-    return learning.score_json(records, schema, folder, ["l_orderkey", "l_linenumber"])
+    return learning.score_json(records, folder, "l_orderkey long, l_linenumber int")
+
+
+@query("ml6_refused_records", """
+SELECT CASE l_orderkey % 8 WHEN 0 THEN 'missing: l_tax' WHEN 1 THEN 'extra: note' WHEN 2 THEN 'type: l_quantity' WHEN 3 THEN 'malformed'
+       WHEN 4 THEN 'missing: l_discount;extra: discount;type: l_linenumber' ELSE 'accepted' END AS outcome, count(*) AS n FROM lineitem GROUP BY 1""")
+def refused_records(spark, sf):
+    """Records damaged by their order key: exact counts of accepted and refused ones."""
+    folder, rows = work_folder(spark, "model"), _prices(spark, sf)
+    assembler = VectorAssembler(inputCols=_FEATURES, outputCol="features")
+    train = assembler.transform(rows).select("features", F.col("l_extendedprice").alias("label"))
+    learning.save_model([assembler, learning.elastic_net(train)], rows.select(*_FEATURES), folder)
+    fault, plain = F.col("l_orderkey") % 8, ["l_orderkey", "l_quantity", "l_discount", "l_tax", "l_linenumber"]
+    others = [c for c in plain if c not in ("l_discount", "l_linenumber")]
+    damaged = F.when(fault == 0, F.to_json(F.struct(*[c for c in plain if c != "l_tax"]))).when(
+        fault == 1, F.to_json(F.struct(*plain, F.lit("x").alias("note")))).when(
+        fault == 2, F.to_json(F.struct(*[F.lit("many").alias(c) if c == "l_quantity" else F.col(c) for c in plain]))).when(
+        fault == 3, F.concat(F.lit("["), F.to_json(F.struct(*plain)))).when(
+        fault == 4, F.to_json(F.struct(*others, F.col("l_discount").alias("discount"), F.lit(1.5).alias("l_linenumber")))).otherwise(
+        F.to_json(F.struct(*plain)))
+    records = rows.select(damaged.alias("value"))
+    refused = learning.refused_records(records, folder, "l_orderkey long").select(F.array_join("reasons", ";").alias("outcome"))
+    accepted = learning.score_json(records, folder, "l_orderkey long").select(F.lit("accepted").alias("outcome"))
+    return refused.unionByName(accepted).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
 _COLUMN_TYPES = {"l_quantity": "double", "l_discount": "double", "l_tax": "double", "l_linenumber": "integer"}

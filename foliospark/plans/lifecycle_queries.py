@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import embedding, keys
+from ..functions import constants, embedding, keys
 from ..functions.tables import line_splitter
 from ..functions.text import judge_score
 from ..operators import chat, evaluation, retrieval
-from ..session import spread, table, work_folder
+from ..session import materialise, spread, table, work_folder
 from ..sources import datasets
-from .answer import acronym_expander, answer_questions, personal_data_remover, post_process
+from .answer import AnswerCache, AnswerSettings, acronym_expander, answer_questions, personal_data_remover, post_process
 from .chat_import import import_history
 from .chats_queries import _bundles
 from .ingest import ingest_documents
@@ -51,7 +51,7 @@ def answers(spark, sf):
 @query("lifecycle_cached_answers", f"""
 WITH {_SQL_SOURCES},
 cache AS (SELECT min(conv_id) AS cache_id, text FROM (SELECT conv_id, text FROM conversations WHERE role = 'user'
-          UNION ALL SELECT 1000000 + item_id, text FROM benchmark WHERE length(text) > 200) GROUP BY text),
+          UNION ALL SELECT 1000000 + item_id, text FROM benchmark) GROUP BY text),
 {sql_embed('i', 'benchmark', 'item_id', 'text')}, {sql_embed('k', 'cache', 'cache_id', 'text')},
 sc AS ({sql_scores('i', 'k')}),
 best AS (SELECT question_id, doc_id AS cache_id, score FROM sc QUALIFY row_number() OVER (PARTITION BY question_id ORDER BY score DESC, doc_id) = 1)
@@ -62,11 +62,62 @@ FROM benchmark JOIN best ON best.question_id = item_id LEFT JOIN ctx ON ctx.ques
 def cached_answers(spark, sf):
     users = table(spark, sf, "conversations").where(F.col("role") == "user")
     cache = users.select(F.col("conv_id").alias("cache_id"), F.col("text").alias("question")).unionByName(
-        table(spark, sf, "benchmark").where(F.length("text") > 200).select(
-            (F.col("item_id") + 1_000_000).alias("cache_id"), F.col("text").alias("question")))
+        table(spark, sf, "benchmark").select((F.col("item_id") + 1_000_000).alias("cache_id"), F.col("text").alias("question")))
     return _flat(answer_questions(question_table(spark, sf), _named_chunks(spark, sf), cache))
 
 
+def _rewritten(questions):
+    """Stand-in for a rewriting model: two rewrites, one below the threshold, and every seventh reply broken."""
+    def rewrite(text, score):
+        return F.struct(text.alias("question"), F.lit("g").alias("group"), F.lit("t").alias("topic"), F.lit(score).alias("similarity_score"))
+
+    q, first = F.col("question"), F.split_part("question", F.lit("."), F.lit(1))
+    good = F.to_json(F.array(rewrite(first, "7"), rewrite(F.concat(F.lit("How to "), q), "5"), rewrite(F.reverse(q), "4")))
+    return questions.select("question_id", F.when(F.col("question_id") % 7 == 0, F.lit("no JSON")).otherwise(good).alias("reply"))
+
+
+@query("lifecycle_fused_answers", f"""
+WITH {sql_chunks(256, 0)},
+ck AS (SELECT {sql_chunk_id('doc_id', 'chunk_no')} AS chunk_id, doc_id, chunk_no, chunk FROM chunks),
+rw AS (SELECT item_id AS question_id, unnest([split_part(text, '.', 1), 'How to ' || text]) AS question FROM benchmark WHERE item_id % 7 <> 0
+       UNION ALL SELECT item_id, text FROM benchmark WHERE item_id % 7 = 0),
+asked AS (SELECT DISTINCT question_id, question, {sql_chunk_id('question')} AS text_id FROM rw),
+texts AS (SELECT DISTINCT text_id, question FROM asked),
+{sql_embed('q', 'texts', 'text_id', 'question')}, {sql_embed('c', 'ck', 'chunk_id', 'chunk')},
+scored AS ({sql_scores('q', 'c')}),
+hits AS (SELECT question_id AS text_id, doc_id AS chunk_id, rank FROM (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, doc_id) AS rank FROM scored) WHERE rank <= 5),
+fused AS (SELECT question_id, chunk_id, round(sum(1.0::DOUBLE / (60 + rank)), 9) AS score FROM asked JOIN hits USING (text_id) GROUP BY 1, 2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, chunk_id) AS rank FROM fused),
+m(model_id, model_name, max_length, token_limit) AS (VALUES {constants.sql_values(constants.MODELS)}),
+lim AS (SELECT b.item_id AS question_id, m.token_limit // 10 AS token_limit FROM benchmark b JOIN m ON m.model_id = CASE WHEN b.item_id % 2 = 0 THEN 'gpt-4' ELSE 'gpt-3.5-turbo' END),
+src AS (SELECT r.question_id, ck.doc_id, r.rank, ck.chunk, sum(len({SQL_TOKENS.format('chunk')})) OVER (PARTITION BY r.question_id ORDER BY r.rank) AS used
+        FROM ranked r JOIN ck USING (chunk_id) WHERE r.rank <= 3),
+kept AS (SELECT src.* FROM src JOIN lim USING (question_id) WHERE used <= token_limit),
+named AS (SELECT question_id, 'doc ' || doc_id AS name, min(rank) AS r FROM kept GROUP BY 1, 2),
+refs AS (SELECT question_id, string_agg(name, ', ' ORDER BY r) AS "references" FROM named GROUP BY 1),
+ctx AS (SELECT question_id, md5(string_agg(chunk, E'\\n\\n' ORDER BY rank)) AS context_md5 FROM kept GROUP BY 1)
+SELECT item_id AS question_id, context_md5, "references" FROM benchmark LEFT JOIN ctx ON ctx.question_id = item_id LEFT JOIN refs ON refs.question_id = item_id""")
+def fused_answers(spark, sf):
+    """Every rewrite above the threshold is searched, lists are fused, and the context keeps to the limit of each question's model."""
+    models = constants.model_table(spark).select("model_id", F.floor(F.col("token_limit") / 10).alias("token_limit"))
+    asked = question_table(spark, sf).withColumn("model_id", F.when(F.col("question_id") % 2 == 0, "gpt-4").otherwise("gpt-3.5-turbo")).join(models, "model_id")
+    settings = AnswerSettings(rewriter=_rewritten, confidence_threshold=5, use_adjacent=False, rerank=False, rerank_top_k=5, top_k=5)
+    found = answer_questions(asked.drop("model_id"), materialise(_named_chunks(spark, sf), "chunks"), settings=settings)
+    return found.select("question_id", F.md5("context").alias("context_md5"), "references")
+
+
+@query("lifecycle_cache_write_back", f"""
+SELECT item_id AS question_id, 'hit' AS status, CAST({sql_chunk_id('text')} AS VARCHAR) AS cache_id FROM benchmark""")
+def cache_write_back(spark, sf):
+    """Answers to questions the empty cache missed are written back; asked again, every question is a hit."""
+    cache, asked = AnswerCache(spark, work_folder(spark, "answer-cache")), question_table(spark, sf)
+    first = retrieval.question_cache(asked, cache.entries()).where("status = 'miss'")
+    answered = asked.join(first.select("question_id"), "question_id").withColumn("answer", F.concat(F.lit("answer to "), "question"))
+    for _ in range(2):  # an answer written again replaces itself
+        cache.remember(answered)
+    return retrieval.question_cache(asked, cache.entries()).select("question_id", "status", F.col("cache_id").cast("string").alias("cache_id"))
+
+
 @query("lifecycle_ingest_and_search", f"""
 WITH {sql_chunks(256, 0)}, names AS (SELECT DISTINCT source, unnest([source, 'again' || source]) AS dataset FROM documents),
 stored AS (SELECT n.dataset, sha256(n.dataset || doc_id) AS doc, chunk_no, chunk FROM chunks JOIN documents USING (doc_id) JOIN names n USING (source)),

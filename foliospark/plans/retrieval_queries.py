@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions import constants, embedding, keys, vectors
 from ..functions.generate import posexplode_rows
-from ..operators import chunking, retrieval, sequences
+from ..operators import chunking, retrieval, sequences, terms
 from ..operators.similarity import top_k_similar
-from ..session import spread, table
+from ..session import materialise, spread, table, work_folder
 from .registry import query
 from .splitting_queries import SQL_HASH, SQL_TOKENS, sql_chunks
 
@@ -108,12 +108,10 @@ jac AS (SELECT *, round(len(list_intersect(qt, ct)) / (len(qt) + len(ct) - len(l
 reranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY question_id ORDER BY rerank_score DESC, rank) AS INTEGER) AS new_rank FROM jac)"""
 
 
-def retrieved(spark, sf):
-    return retrieval.retrieve_chunks(question_table(spark, sf), chunk_table(spark, sf))
-
-
 def reranked(spark, sf):
-    return retrieval.rerank(retrieved(spark, sf), question_table(spark, sf), chunk_table(spark, sf))
+    """The chunks are written once: the search and the join of its few hits read them."""
+    chunks = materialise(chunk_table(spark, sf), "chunks")
+    return retrieval.rerank(retrieval.retrieve_chunks(question_table(spark, sf), chunks), question_table(spark, sf), chunks)
 
 
 @query("jn3_vector_search", f"WITH {SQL_RETRIEVED} SELECT question_id, doc_id AS chunk_id, score, CAST(rank AS INTEGER) AS rank FROM hits WHERE rank <= 3")
@@ -126,6 +124,29 @@ def rerank(spark, sf):
     return reranked(spark, sf).select("question_id", "chunk_id", "score", "rerank_score", "new_rank")
 
 
+_SQL_TERMS = f"""
+toks AS (SELECT chunk_id, unnest({SQL_TOKENS.format('lower(chunk)')}) AS w FROM ck),
+df AS (SELECT w, count(DISTINCT chunk_id) AS df FROM toks GROUP BY 1),
+tf AS (SELECT chunk_id, w, count(*) AS tf FROM toks GROUP BY 1, 2),
+len AS (SELECT chunk_id, count(*) AS len FROM toks GROUP BY 1),
+tot AS (SELECT count(*) AS n, sum(len) / count(*) AS avg_len FROM len),
+gain AS (SELECT h.question_id, h.chunk_id, ln(1 + (tot.n - df.df + 0.5) / (df.df + 0.5)) * tf.tf * 2.2 / (tf.tf + 1.2 * (0.25 + 0.75 * len.len / tot.avg_len)) AS g
+         FROM (SELECT question_id, chunk_id, unnest(qt) AS w FROM both_texts) h JOIN df USING (w) JOIN tf ON tf.chunk_id = h.chunk_id AND tf.w = h.w
+         JOIN len ON len.chunk_id = h.chunk_id CROSS JOIN tot),
+bm AS (SELECT b.question_id, b.chunk_id, b.score, b.rank, round(coalesce(sum(g), 0.0), 6) AS rerank_score FROM both_texts b LEFT JOIN gain USING (question_id, chunk_id) GROUP BY ALL)"""
+
+
+@query("vec5_rerank_by_terms", f"""WITH {SQL_RETRIEVED}, {_SQL_TERMS}
+SELECT question_id, chunk_id, score, rerank_score, CAST(row_number() OVER (PARTITION BY question_id ORDER BY rerank_score DESC, rank) AS INTEGER) AS new_rank FROM bm""")
+def rerank_by_terms(spark, sf):
+    """Statistics of two appends, the second one repeated."""
+    chunks, store = materialise(chunk_table(spark, sf), "chunks"), terms.TermStore(spark, work_folder(spark, "terms"))
+    for batch, part in (("even", F.col("doc_id") % 2 == 0), ("odd", F.col("doc_id") % 2 != 0), ("odd", F.col("doc_id") % 2 != 0)):
+        store.append(chunks.where(part), "chunk", batch)
+    hits = retrieval.retrieve_chunks(question_table(spark, sf), chunks)
+    return terms.rerank_by_terms(hits, question_table(spark, sf), chunks, store).select("question_id", "chunk_id", "score", "rerank_score", "new_rank")
+
+
 @query("vec6_max_sources", f"WITH {SQL_RETRIEVED} SELECT question_id, chunk_id, new_rank FROM reranked WHERE new_rank <= 3")
 def max_sources(spark, sf):
     return retrieval.keep_sources(reranked(spark, sf), 3).select("question_id", "chunk_id", "new_rank")

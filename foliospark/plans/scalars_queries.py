@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from ..functions import constants, html, keys, text, vectors
 from ..functions.generate import non_null
 from ..operators import joins
-from ..session import spread, table
+from ..operators.search import PostingIndex
+from ..session import spread, table, work_folder
 from ..sources import files
 from .registry import query
 
@@ -244,6 +245,18 @@ def prompt_search(spark, sf):
     return table(spark, sf, "part").where(text.contains_folded(searchable, "Brand#1")).select("p_partkey", "p_name")
 
 
+@query("prj20_indexed_search", """
+SELECT p_partkey, p_name FROM part
+WHERE contains(lower(p_name) || ' ' || lower(p_brand) || ' ' || lower(p_type), 'brand#1')""")
+def indexed_prompt_search(spark, sf):
+    """The same through stored posting lists; a repeated append changes nothing."""
+    parts = table(spark, sf, "part")
+    index = PostingIndex(spark, work_folder(spark, "search"))
+    for _ in range(2):
+        index.append(parts.select("p_partkey", F.concat_ws(" ", "p_name", "p_brand", "p_type").alias("text")), "p_partkey", "text", "all")
+    return parts.join(index.search("Brand#1").withColumnRenamed("key", "p_partkey"), "p_partkey").select("p_partkey", "p_name")
+
+
 @query("prj20_prompt_name_search", "SELECT p_partkey, p_name FROM part WHERE contains(lower(p_name), 'ring')")
 def prompt_name_search(spark, sf):
     return table(spark, sf, "part").where(text.contains_folded(F.col("p_name"), "RING")).select("p_partkey", "p_name")

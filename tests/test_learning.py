@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from foliospark.operators import learning
 from foliospark.session import work_folder
@@ -56,12 +57,22 @@ def test_json_scoring(spark):
     model = learning.elastic_net(assembler.transform(df).select("features", F.col("y").alias("label")), alpha=0.0)
     learning.save_model([assembler, model], df.select("x"), folder)
     records = spark.createDataFrame([('{"id": 7, "x": 4.0}',)], "value string")
-    (row,) = learning.score_json(records, "id long, x double", folder, ["id"]).collect()
+    (row,) = learning.score_json(records, folder, "id long").collect()
     got = json.loads(row.value)
     assert got["id"] == 7 and got["prediction"] == pytest.approx(8.0)
     assert "double" in spark.read.json(f"{folder}/signature").first().signature
 
 
+def test_records_that_do_not_fit_are_refused(spark):
+    wanted = StructType.fromDDL("x double NOT NULL, n int, s string")
+    given = {'{"x": 1.5, "n": 2, "s": "t"}': [], '{"x": 1, "n": null, "s": null}': [], '{"x": 1.5, "n": 2}': ["missing: s"],
+             '{"x": "1.5", "n": 2.5, "s": "t"}': ["type: n,x"], '{"x": null, "n": 2, "s": "t"}': ["null: x"],
+             '{"x": 1, "n": 2, "s": "t", "z": 1, "a": {}}': ["extra: a,z"], '{"N": 1}': ["missing: n,s,x", "extra: N"], "": ["malformed"],
+             "[1]": ["malformed"], "{": ["malformed"], None: ["malformed"], "{}": ["missing: n,s,x"]}
+    rows = learning.checked_records(spark.createDataFrame([(v,) for v in given], "value string"), wanted).collect()
+    assert {r.value: r.reasons for r in rows} == given
+
+
 def test_registered_jobs_train_the_whole_models(spark, monkeypatch):
     from foliospark.plans import learning_queries as queries
 
