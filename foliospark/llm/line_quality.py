@@ -2,9 +2,10 @@
 
 Lines are normalised (blanks collapsed, lower case) and hashed together with the document's host. A
 line that stands in more *distinct* texts of its host than the limit allows is removed everywhere on
-that host; a document that keeps too few of its words is depleted and rejected. The limit is the
-larger of ``min_docs`` and ``max_share`` of the host's distinct texts, so exact copies of one text
-never make its lines frequent, however many there are.
+that host; a document that keeps too few of its words is depleted and rejected. The limit is
+``max_share`` of the host's distinct texts at every size of host, and ``min_docs`` texts at least, so
+exact copies of one text never make its lines frequent, however many there are. Texts of any number of
+words are counted whole.
 
 Shuffled are line hashes, never texts, and counts are combined in the map tasks first, so a frequent
 line or a hot host is no hot task. Null texts have no words or lines. Null hosts form one host.
@@ -22,14 +23,15 @@ from ..operators.sizes import at_most
 from ..session import materialise
 from .winnowing import BLANK_CHARS, BLANK_RUN, _spans, word_hashes
 
-MIN_DOCS = 20
-MAX_SHARE = 0.02
+MIN_DOCS = 3
+MAX_SHARE = 0.1
 MIN_KEPT_WORDS = 0.2
 MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
 REPEAT_WINDOW = 5
 SYMBOLS = "#*$%&|<>"
 BROADCAST_TEXTS = 200_000  # texts with removed lines, about 100 bytes each
+PACKED_WORDS = 1 << 16  # windows whose place is sorted inside the lower bits of their hash
 _PLACE = (1 << 24) - 1
 
 
@@ -59,6 +61,13 @@ def repeated_words(hashes: Column, width: int = REPEAT_WINDOW) -> Column:
             (acc["total"] + p + width - F.greatest(p, acc["end"])).alias("total"), (p + width).alias("end")),
             lambda acc: acc["total"])
 
+    def whole(windows: Column) -> Column:
+        """Long texts: hash and place side by side, so that neither loses bits."""
+        ordered = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.cast("long").alias("p"))))
+        marked = let(ordered, lambda keys: F.transform(keys, lambda key, j: F.when(
+            (key["h"] == F.get(keys, j - 1)["h"]) | (key["h"] == F.get(keys, j + 1)["h"]), key["p"])))
+        return covered(F.sort_array(F.filter(marked, lambda p: p.isNotNull())))
+
     def repeats(windows: Column) -> Column:
         keys = F.sort_array(F.transform(windows, lambda h, i: h.bitwiseAND(F.lit(~_PLACE)).bitwiseOR(i.cast("long"))))
         places = F.transform(keys, lambda key: key.bitwiseAND(F.lit(_PLACE)))
@@ -71,7 +80,8 @@ def repeated_words(hashes: Column, width: int = REPEAT_WINDOW) -> Column:
         return let(places, lambda ordered: covered(F.sort_array(F.filter(marked(ordered), lambda p: p.isNotNull()))))
 
     def of_windows(windows: Column) -> Column:
-        return F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.lit(0).cast("long")).otherwise(repeats(windows))
+        return F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.lit(0).cast("long")).otherwise(
+            F.when(F.size(windows) > PACKED_WORDS, whole(windows)).otherwise(repeats(windows)))
 
     def of_words(words: Column) -> Column:
         spans = _spans(words, width, lambda a, b: F.xxhash64(a, b), overlap=False)

@@ -38,7 +38,7 @@ lines AS (SELECT doc_id, source, text, unnest(list_filter(string_split(text, chr
 normal AS (SELECT *, lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))) AS norm FROM lines),
 hosts AS (SELECT source, count(DISTINCT text) AS n FROM docs GROUP BY source),
 often AS (SELECT n.source, n.norm FROM normal n JOIN hosts h ON n.source IS NOT DISTINCT FROM h.source
-          GROUP BY n.source, n.norm, h.n HAVING count(DISTINCT n.text) > greatest(20, h.n * 0.02)),
+          GROUP BY n.source, n.norm, h.n HAVING count(DISTINCT n.text) > greatest(3, h.n / 10)),
 gone AS (SELECT n.doc_id, sum(len(regexp_split_to_array(n.norm, ' '))) AS n FROM normal n
          JOIN often o ON n.source IS NOT DISTINCT FROM o.source AND n.norm = o.norm GROUP BY n.doc_id),
 dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY doc_id),

@@ -1,6 +1,7 @@
 """Column-expression operators against brute force."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -8,6 +9,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from foliospark.llm import line_quality
 from foliospark.llm.external_shuffle import shuffle_to_shards
 from foliospark.llm.line_quality import text_rules, with_line_verdict
 from foliospark.llm.queries_native import op5, op8
@@ -136,6 +138,31 @@ def test_frequent_lines_are_removed_and_depleted_documents_rejected(spark):
     assert with_line_verdict(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("size", [20, 2000])
+def test_the_limit_is_one_share_at_every_host_size(spark, size):
+    """A line in a fifth of a host's texts goes, one in a twentieth stays; both hosts under the query's own settings."""
+    body = lambda i: " ".join(f"w{i}x{j}" for j in range(20))
+    rows = [("h", body(i) + ("\nin a fifth of all texts" if i % 5 == 0 else "") + ("\nin a twentieth of them" if i % 20 == 1 else "")) for i in range(size)]
+    rows += [("h", rows[1][1])] * size  # copies are one text
+    docs = spark.createDataFrame([(i, t, h) for i, (h, t) in enumerate(rows)], "doc_id long, text string, source string")
+    out = with_line_verdict(docs).collect()
+    assert sum(r.removed_words for r in out) == 6 * size // 5 and all(r.kept for r in out)
+    assert {r.cleaned_text for r in out} == {t.replace("\nin a fifth of all texts", "") for _, t in rows}
+
+
+def test_lines_are_removed_on_the_small_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    assert with_line_verdict(docs).where("removed_words > 0").count() > 0
+
+
+def test_long_texts_sort_whole_hashes(spark, monkeypatch):
+    texts = [" ".join(random.Random(n).choice("abc") for _ in range(n)) for n in (3, 5, 6, 12, 40, 300)] + ["x y z " * 50, " ".join(map(str, range(200)))]
+    for limit in (1, 1 << 16):
+        monkeypatch.setattr(line_quality, "PACKED_WORDS", limit)
+        for row in text_rules(frame(spark, texts)).collect():
+            assert row.n_repeat_words == plain_rules(row.text)["n_repeat_words"]
+
+
 def test_shards_hold_everything_once(spark):
     docs = spark.createDataFrame([(i % 50 if i % 3 else None, None if i % 7 == 0 else f"text {i % 9}" * (i % 40), "s", i, i, i)
                                   for i in range(1003)], "doc_id long, text string, source string, shard long, record long, bucket long")
