@@ -45,7 +45,7 @@ class PostingIndex:
         postings = explode_rows(own, ["key"], runs_of(F.col("text")), "run").distinct()
         placed = postings.withColumn("bucket", F.pmod(F.xxhash64("run"), F.lit(BUCKETS)))
         self._write(placed.repartition("bucket").sortWithinPartitions("bucket", "run"), "postings", batch)
-        self._write(placed.groupBy("bucket", "run").agg(F.count(F.lit(1)).alias("n")), "counts", batch)
+        self._write(placed.groupBy("bucket", "run").agg(F.count(F.lit(1)).alias("n")).repartition("bucket"), "counts", batch)
         self._write(own.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(BUCKETS))).repartition("bucket"), "texts", batch)
 
     def _write(self, rows: DataFrame, kind: str, batch: str) -> None:
