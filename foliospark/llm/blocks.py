@@ -22,7 +22,7 @@ from pyspark.sql.types import BinaryType, IntegerType, StructField, StructType
 
 BLOCK_BYTES = 32 << 20  # text of one block
 PACKED = StructType([StructField("block", IntegerType()), StructField("payload", BinaryType())])
-_ZSTD = pa.ipc.IpcWriteOptions(compression="zstd")
+_ZSTD = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
 
 
 def pack(table: pa.Table | pa.RecordBatch) -> bytes:

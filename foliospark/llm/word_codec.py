@@ -62,17 +62,22 @@ def _lists(sizes: np.ndarray, values: pa.Array) -> pa.Array:
     return pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])), values)
 
 
+def split_words(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, pa.Array]:
+    """Words between the six ASCII blanks: the text each belongs to, and the words end to end. A null text has none."""
+    lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    words = lists.flatten()
+    real = pc.greater(pc.binary_length(words), 0)  # blanks at either end leave an empty word
+    return pc.list_parent_indices(lists).to_numpy()[real.to_numpy(zero_copy_only=False)], words.filter(real)
+
+
 class BlockWords:
     """Texts of a block as numbers of its distinct words, which stand in sorted order."""
 
     def __init__(self, payloads: pa.ChunkedArray):
-        rows = pa.concat_tables(unpack_all(payloads)).combine_chunks()
-        self.ids = rows.column(0).combine_chunks()
-        lists = pc.ascii_split_whitespace(rows.column("text").cast(pa.large_string())).combine_chunks()
-        owner, words = pc.list_parent_indices(lists).to_numpy(), lists.flatten()
-        real = pc.greater(pc.binary_length(words), 0)  # blanks at either end leave an empty word
-        self.owner = owner[real.to_numpy(zero_copy_only=False)]
-        coded = words.filter(real).dictionary_encode()
+        self.rows = pa.concat_tables(unpack_all(payloads)).combine_chunks()
+        self.owner, words = split_words(self.rows.column("text"))
+        coded = words.dictionary_encode()
         order = pc.sort_indices(coded.dictionary).to_numpy()
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
@@ -141,7 +146,7 @@ class Coded:
             ids.append(lists.flatten().to_numpy())
             sizes.append(np.diff(lists.offsets.to_numpy()))
         self.ids, self.sizes = np.concatenate(ids).astype(np.int32), np.concatenate(sizes).astype(np.int64)
-        self.keys = known.ids.cast(id_type)
+        self.keys = known.rows.column(0).combine_chunks().cast(id_type)
         at = row[known.codes]
         some = self.sizes[at] > 0  # words the tokenizer drops leave no blank
         self.at, owner = at[some], known.owner[some]
