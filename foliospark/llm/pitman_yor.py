@@ -7,9 +7,10 @@ classes share one root, whose base gives half its mass to the unknown word and h
 vocabulary. Customers are the tokens of the training texts; a table of a restaurant is a customer of
 its parent.
 
-Seating is sampled by Gibbs sweeps: in each, a dish leaves its restaurant and its customers sit down
-again one after another, at a table or a new one, given all other dishes (past ``EXACT_SEATS``
-customers in runs of doubling length). Dishes are words, so a word's customers in all restaurants lie
+Seating is sampled by blocked Gibbs sweeps: in each, a dish leaves its restaurant and its customers sit down
+again one after another, at a table or a new one, given all other dishes as the sweep before left them (a
+parallel approximation: a sequential sampler would see dishes already redrawn). Past ``EXACT_SEATS``
+customers of a dish they sit down in runs of doubling length with the probability of the run's middle. Dishes are words, so a word's customers in all restaurants lie
 in one shard and shards are sampled side by side. After every sweep the tables of each context are
 summed over all shards: shards send their share to the shard of the context and get the total back.
 Totals of classes and of the root are a few hundred numbers. So every sweep and every kept sample has
@@ -48,7 +49,7 @@ SHARD_BYTES = 32 << 20
 BURN_IN, SAMPLES = 2, 3
 STRENGTH = 1.0
 UNKNOWN_MASS = 0.5
-EXACT_SEATS = 64
+EXACT_SEATS = 512
 
 
 def sorted_codes(words: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
@@ -236,14 +237,18 @@ def _totals(states: DataFrame) -> tuple[Totals, Sample]:
                    int(found.get(("trained", 0), 0))), Sample(tables, found.get(("root", 0), 0.0)))
 
 
-def seat(customers: np.ndarray, mass: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
-    """Tables of each dish after its customers sat down; ``mass`` weighs a new table against the seated ones."""
+def seat(customers: np.ndarray, weight: np.ndarray, parent: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
+    """Tables of each dish after its customers sat down one after another.
+
+    ``weight`` is the strength plus the discount of the other dishes' tables: with each table a dish opens
+    another discount is added to it. ``parent`` is the parent's probability of the dish.
+    """
     tables = (customers > 0).astype(np.int64)
     going, n = np.flatnonzero(customers > 1), 1
     while len(going):
         runs = np.minimum(n if n >= EXACT_SEATS else 1, customers[going] - n)
-        seated = n + (runs - 1) / 2 - discount * tables[going]
-        p = mass[going] / (mass[going] + np.maximum(seated, 1e-9))
+        new = (weight[going] + discount * tables[going]) * parent[going]
+        p = new / (new + np.maximum(n + (runs - 1) / 2 - discount * tables[going], 1e-9))
         tables[going] += rng.random(len(going)) < p if n < EXACT_SEATS else rng.binomial(runs, p)
         n += n if n >= EXACT_SEATS else 1
         going = going[customers[going] > n]
@@ -255,9 +260,9 @@ def reseat(word: np.ndarray, context: np.ndarray, customers: np.ndarray, tables:
     """New tables of the classes, per pair, and of the root, per word, given the totals of all shards."""
     d, d0, s, n_words = totals.discount, totals.root_discount, STRENGTH, len(root)
     parent = root_share(np.bincount(word, tables, n_words)[word] - tables, word, root, totals, held)
-    tables = seat(customers, (s + d * np.maximum(held.tables[context] - tables, 0)) * parent, d, rng)
+    tables = seat(customers, s + d * np.maximum(held.tables[context] - tables, 0), parent, d, rng)
     served = np.bincount(word, tables, n_words).astype(np.int64)
-    root = seat(served, (s + d0 * np.maximum(held.root - root, 0)) * totals.base_known, d0, rng)
+    root = seat(served, s + d0 * np.maximum(held.root - root, 0), np.full(n_words, totals.base_known), d0, rng)
     return tables, root
 
 
@@ -268,21 +273,6 @@ def root_share(others: np.ndarray, word: np.ndarray, root: np.ndarray, totals: T
     return np.maximum(others - d0 * np.minimum(root[word], others), 0) / (s + held.tables.sum()) + new
 
 
-def sample_tables(key: np.ndarray, counts: np.ndarray, n_words: int, totals: Totals, seed) -> tuple[np.ndarray, np.ndarray]:
-    """Tables per (word, class) and, of the root, per word, of classes that are in one shard: one row per kept sample."""
-    rng = np.random.default_rng(seed)
-    word, context = key // _STEP, key % _STEP
-    tables, root = np.ones(len(key), np.int64), np.ones(n_words, np.int64)
-    kept, kept_root = [], []
-    for sweep in range(BURN_IN + SAMPLES):
-        held = Sample(np.bincount(context, tables, CONTEXTS), root.sum())
-        tables, root = reseat(word, context, counts, tables, root, totals, held, rng)
-        if sweep >= BURN_IN:
-            kept.append(tables)
-            kept_root.append(root)
-    return np.array(kept), np.array(kept_root)
-
-
 def _held(table: pa.Table) -> dict[str, list[dict]]:
     """Rows of a shard by kind, in the order of their source."""
     rows = sorted(zip(table.column("kind").to_pylist(), table.column("source").to_pylist(), range(len(table)), strict=True))
@@ -323,7 +313,7 @@ def _sweep(step: int, n_shards: int, totals: Totals, held: Sample, seed: int):
         d, s = totals.discount, STRENGTH
         new = (s + d * held.tables[of]) * root_share(np.bincount(word, classes, n_words)[word], word, root, totals, held)
         parent = (np.maximum(others - d * np.minimum(classes[at], others), 0) + new[at]) / (s + totals.customers[of[at]])
-        tables = seat(pairs["n"], (s + totals.word_discount * np.maximum(all_tables[place] - tables, 0)) * parent, totals.word_discount, rng)
+        tables = seat(pairs["n"], s + totals.word_discount * np.maximum(all_tables[place] - tables, 0), parent, totals.word_discount, rng)
         customers = np.bincount(at, tables, len(word)).astype(np.int64)
         classes, root = reseat(word, of, customers, classes, root, totals, held, rng)
         stats = {"customers": np.bincount(of, customers, CONTEXTS), "tables": np.bincount(of, classes, CONTEXTS), "root": np.array([root.sum()])}
@@ -414,7 +404,7 @@ def hpy_scores(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", tex
                shard_bytes: int = SHARD_BYTES, seed: int = 5) -> DataFrame:
     """Scores of all rows under a model of those not held out.
 
-    id, held_out, n_tokens, n_known, base_score (add-half unigrams) and score (log10), train_tokens.
+    id, held_out, n_tokens, n_known, base_score (add-half unigrams) and score (log10), train_tokens, perplexity per token.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -445,4 +435,4 @@ def hpy_scores(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", tex
                         StructField("n_known", LongType()), StructField("base_score", DoubleType()), StructField("score", DoubleType())])
     scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _score(n_shards, float(totals.trained), totals.n_words, to_arrow_schema(kinds)), kinds)
-    return scored.withColumn("train_tokens", F.lit(totals.trained).cast("long"))
+    return scored.withColumns({"train_tokens": F.lit(totals.trained).cast("long"), "perplexity": F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens"))})

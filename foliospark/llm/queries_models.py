@@ -19,7 +19,7 @@ def op1(spark, folder):
     docs = table(spark, folder, "documents")
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 1
     return hpy_scores(docs, held_out).select(F.col("id").alias("doc_id"), "held_out", "n_tokens", "n_known", "train_tokens",
-                                             "base_score", "score")
+                                             "base_score", "score", "perplexity")
 
 
 @query("op3_jaccard_join")

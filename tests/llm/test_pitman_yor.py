@@ -1,15 +1,16 @@
 """The Pitman-Yor model: exact counts and base scores, normalised samples, held-out accuracy."""
 
 import math
+import random
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from foliospark.llm.pitman_yor import CONTEXTS, START, _STEP, Sample, Totals, hpy_scores, pair_probabilities, sample_tables, seat
+from foliospark.llm.pitman_yor import hpy_scores, seat
 from foliospark.llm.queries_models import op1
 
 FOLDER = "/root/testdata/sf0.01"
@@ -57,40 +58,118 @@ def test_scores_do_not_depend_on_blocks_or_order(spark):
     assert sorted((r.id, round(r.score, 3)) for r in a) == sorted((r.id, round(r.score, 3)) for r in b)
 
 
-def test_every_sample_is_a_distribution():
-    rng = np.random.default_rng(2)
-    key = np.unique(rng.integers(0, 40, 300) * _STEP + rng.choice([START, 3, 99], 300))
-    counts = rng.zipf(1.7, len(key)).clip(1, 5000)
-    word, context, n_words = key // _STEP, key % _STEP, int(key.max() // _STEP) + 1
-    totals = Totals(np.bincount(context, counts, CONTEXTS), np.bincount(context, minlength=CONTEXTS).astype(float), n_words, 0.7, 0.6)
-    tables, root = sample_tables(key, counts, n_words, totals, [1, 2])
-    assert ((tables >= 1) & (tables <= counts)).all()
-    samples = [Sample(np.bincount(context, t, CONTEXTS), r.sum()) for t, r in zip(tables, root, strict=True)]
-    for k in (START, 3, 99, 7):  # the last context is empty
-        words = np.arange(n_words + 1)  # and the unknown one
-        at = {int(w): i for i, w in enumerate(word) if context[i] == k}
-        pick = lambda values, k=k, at=at: np.array([values[at[w]] if w in at else 0 for w in words.tolist()])
-        p = pair_probabilities(totals, samples, np.full(len(words), k), pick(counts), [pick(t) for t in tables],
-                               [np.append(np.bincount(word, t, n_words), 0) for t in tables], [np.append(r, 0) for r in root], words < n_words)
-        assert (p > 0).all() and math.isclose(p.sum(), 1.0, rel_tol=1e-9)
+class PlainProcess:
+    """Restaurants of words before, classes and a root, seated customer by customer."""
+
+    def __init__(self, texts, discounts, rng):
+        self.texts, self.d, self.rng = [t for t in texts], discounts, rng
+        self.known = len({w for t in texts for w in t})
+        self.seats = defaultdict(lambda: defaultdict(list))  # restaurant -> dish -> sizes of its tables
+        self.tokens = [(t[i - 1] if i else None, w) for t in texts for i, w in enumerate(t)]
+        for before, word in self.tokens:
+            self.add(0, before, word)
+
+    def parent(self, level, place):
+        return (ord(place[-1]) % 256 if place else 256) if level == 0 else "root"
+
+    def p(self, level, place, word):
+        if level == 3:
+            return 0.5 / self.known if word is not None else 0.5
+        room = self.seats[level, place]
+        n, tables = sum(map(sum, room.values())), sum(map(len, room.values()))
+        own, d = room.get(word, []), self.d[level]
+        return (sum(own) - d * len(own) + (1 + d * tables) * self.p(level + 1, self.parent(level, place), word)) / (1 + n)
+
+    def add(self, level, place, word):
+        if level == 3:
+            return
+        room, d = self.seats[level, place], self.d[level]
+        own, tables = room[word], sum(map(len, room.values()))
+        new = (1 + d * tables) * self.p(level + 1, self.parent(level, place), word)
+        at = self.rng.random() * (new + sum(own) - d * len(own))
+        for i, size in enumerate(own):
+            if at < size - d:
+                own[i] += 1
+                return
+            at -= size - d
+        own.append(1)
+        self.add(level + 1, self.parent(level, place), word)
+
+    def remove(self, level, place, word):
+        if level == 3:
+            return
+        own = self.seats[level, place][word]
+        at = self.rng.choices(range(len(own)), own)[0]
+        own[at] -= 1
+        if not own[at]:
+            del own[at]
+            self.remove(level + 1, self.parent(level, place), word)
+
+    def sweep(self):
+        for before, word in self.tokens:
+            self.remove(0, before, word)
+            self.add(0, before, word)
+
+
+def discount(counts):
+    ns = Counter(counts)
+    return min(max(ns[1] / (ns[1] + 2 * ns[2]) if ns[1] else 0.5, 0.1), 0.95)
+
+
+def test_scores_equal_a_plain_sequential_sampler(spark):
+    rng = random.Random(4)
+    vocabulary = [f"w{i}{c}" for i, c in enumerate("abcabcabcabcabcaab")]
+    docs = []
+    for i in range(120):
+        words = [rng.choices(vocabulary, [1 / (k + 1) for k in range(18)])[0]]
+        while len(words) < 12:
+            words.append(vocabulary[(vocabulary.index(words[-1]) * 3 + 1) % 18] if rng.random() < 0.5 else rng.choices(vocabulary, [1 / (k + 1) for k in range(18)])[0])
+        docs.append((i, " ".join(words)))
+    docs += [(200, "w0a unknown w1b"), (201, "w3a w3a w3a"), (202, "")]
+    held = lambda i: i % 5 == 1 or i >= 200
+    train = [tokens(t) for i, t in docs if not held(i)]
+    pairs = Counter((t[i - 1] if i else None, w) for t in train for i, w in enumerate(t))
+    classes = Counter((ord(b[-1]) % 256 if b else 256, w) for b, w in pairs)
+    plain = PlainProcess(train, [discount(pairs.values()), discount(classes.values()), discount(Counter(w for _, w in classes).values())], rng)
+    known, probabilities, n_samples = {w for t in train for w in t}, defaultdict(float), 40
+    wanted = {(t[i - 1] if i else None, w) for _, text in docs for t in [tokens(text)] for i, w in enumerate(t)}
+    for sweep in range(10 + n_samples):
+        plain.sweep()
+        if sweep >= 10:
+            for before, word in wanted:
+                place = before if before is None or before in known else before
+                probabilities[before, word] += plain.p(0, place, word if word in known else None) / n_samples
+    rows = hpy_scores(spark.createDataFrame(docs, "doc_id long, text string"), F.expr("doc_id % 5 = 1 OR doc_id >= 200"),
+                      block_bytes=3000, shard_bytes=2000).collect()
+    errors = []
+    for r in rows:
+        own = tokens(dict(docs)[r.id])
+        expected = sum(math.log10(probabilities[own[i - 1] if i else None, w]) for i, w in enumerate(own))
+        errors.append(abs(r.score - expected) / len(own))
+        assert math.isclose(r.perplexity, 10 ** (-r.score / len(own)), rel_tol=1e-9)
+    assert sum(errors) / len(errors) < 0.02 and max(errors) < 0.1
 
 
 def test_seating_follows_the_process():
     rng = np.random.default_rng(0)
-    assert seat(np.array([0, 1]), np.array([1.0, 1.0]), 0.5, rng).tolist() == [0, 1]
-    n, mass, d = 40, 1.5, 0.4
-    chance = np.zeros(n + 1)
-    chance[1] = 1
-    for seated in range(1, n):  # exact distribution of the tables of one dish
-        new = mass / (mass + np.maximum(seated - d * np.arange(n + 1), 1e-9))
-        chance = chance * (1 - new) + np.concatenate([[0], (chance * new)[:-1]])
-    drawn = seat(np.full(20_000, n), np.full(20_000, mass), d, rng)
-    assert abs(drawn.mean() - (chance * np.arange(n + 1)).sum()) < 0.05
-    big = seat(np.full(2000, 100_000), np.full(2000, mass), d, rng)
-    steps = [1.0]
+    assert seat(np.array([0, 1]), np.array([1.0, 1.0]), np.array([0.5, 0.5]), 0.5, rng).tolist() == [0, 1]
+    for n, others, parent, d in ((40, 0, 0.1, 0.5), (400, 0, 0.1, 0.5), (400, 20, 0.1, 0.5), (400, 0, 0.01, 0.5), (60, 5, 0.9, 0.8)):
+        weight, t = 1 + d * others, np.arange(n + 1)
+        chance = np.zeros(n + 1)
+        chance[1] = 1
+        for seated in range(1, n):  # exact distribution of the tables of one dish, its own tables weighing too
+            new = (weight + d * t) * parent
+            new = new / (new + np.maximum(seated - d * t, 1e-9))
+            chance = chance * (1 - new) + np.concatenate([[0], (chance * new)[:-1]])
+        drawn = seat(np.full(20_000, n), np.full(20_000, weight), np.full(20_000, parent), d, rng)
+        mean = (chance * t).sum()
+        assert abs(drawn.mean() - mean) < 0.03 * mean
+    big = seat(np.full(2000, 100_000), np.full(2000, 1.5), np.full(2000, 0.05), 0.4, rng)  # past the exact seats
+    tables = np.ones(2000)
     for seated in range(1, 100_000):
-        steps.append(steps[-1] + mass / (mass + seated - d * steps[-1]))
-    assert abs(big.mean() - steps[-1]) < 0.5
+        new = (1.5 + 0.4 * tables) * 0.05
+        tables += rng.random(2000) < new / (new + seated - 0.4 * tables)
+    assert abs(big.mean() - tables.mean()) < 0.03 * tables.mean()
 
 
 def test_the_word_before_is_the_context(spark):
