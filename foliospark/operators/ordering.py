@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import stable_hash
+from ..session import materialise
 
 SEGMENT_ROWS = 200_000
 SAMPLED_PER_SEGMENT = 200
@@ -49,34 +50,46 @@ def with_segment(df: DataFrame, key: str, bounds: list, name: str = "segment") -
     return df.withColumn(name, F.when(block == 0, 0).otherwise((block - 1) * step + inner))
 
 
+def segmented(df: DataFrame, key: str, rows_per_segment: int = SEGMENT_ROWS, tie: str | None = None) -> DataFrame | None:
+    """Rows cut along the order into segments of about ``rows_per_segment``, as a written table; None for one segment.
+
+    Adds ``_segment``, ascending with the order, and ``_inside``, the row's 1-based number in it. Spark's range
+    partitioning finds the cuts, so the plan does not grow with the table, and the written table fixes them.
+    With a tie breaker a key that very many rows share is cut too.
+    """
+    segments = -(-df.select(key).count() // rows_per_segment)  # follows the rows, so no segment grows with the table
+    if segments <= 1:
+        return None
+    order = [key, *([tie] if tie else [])]
+    placed = df.repartitionByRange(segments, *order).sortWithinPartitions(*order).withColumns({
+        "_segment": F.spark_partition_id(), "_inside": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 1})
+    return materialise(placed, "segments")
+
+
 def global_row_number(df: DataFrame, key: str, name: str = "row_no", *, tie: str | None = None,
                       rows_per_segment: int = SEGMENT_ROWS) -> DataFrame:
-    """1-based row number over the whole table in order of a numeric key (and a tie breaker).
+    """1-based row number over the whole table in order of a key (and a tie breaker).
 
-    Two passes: row counts per segment give each segment its offset, then rows are numbered
-    inside their segment. The offsets are one row per segment.
+    Rows are numbered inside segments as these are written; row counts per segment give each its offset.
     """
-    bounds = order_bounds(df, key, rows_per_segment)
-    parts = with_segment(df, key, bounds, "_segment")
-    inside = F.row_number().over(Window.partitionBy("_segment").orderBy(key, *([tie] if tie else [])))
-    if not bounds:
-        return parts.withColumn(name, inside.cast("long")).drop("_segment")
+    parts = segmented(df, key, rows_per_segment, tie)
+    if parts is None:  # the whole table is one segment of bounded size
+        return df.withColumn(name, F.row_number().over(Window.orderBy(key, *([tie] if tie else []))).cast("long"))
     counts = parts.groupBy("_segment").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_segment", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    return (parts.withColumn("_inside", inside).join(F.broadcast(offsets), "_segment")  # one row per segment
-            .withColumn(name, (F.col("_inside") + F.col("_offset")).cast("long"))
-            .drop("_segment", "_inside", "_offset"))
+    return (parts.join(F.broadcast(offsets), "_segment")  # one row per segment
+            .withColumn(name, (F.col("_inside") + F.col("_offset")).cast("long")).drop("_segment", "_inside", "_offset"))
 
 
 def running_totals(df: DataFrame, key: str, values: dict[str, str],
                    rows_per_segment: int = SEGMENT_ROWS) -> DataFrame:
-    """Running sums ``{output: input}`` over a unique numeric key, without a global window."""
-    bounds = order_bounds(df, key, rows_per_segment)
-    parts = with_segment(df, key, bounds, "_segment")
-    upto = Window.partitionBy("_segment").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-    if not bounds:  # the whole table is one segment of bounded size
-        return parts.withColumns({o: F.sum(v).over(upto) for o, v in values.items()}).drop("_segment")
+    """Running sums ``{output: input}`` over a unique key, without a global window."""
+    parts = segmented(df, key, rows_per_segment)
+    if parts is None:  # the whole table is one segment of bounded size
+        upto = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumns({o: F.sum(v).over(upto) for o, v in values.items()})
+    upto = Window.partitionBy("_segment").orderBy("_inside").rowsBetween(Window.unboundedPreceding, 0)
     totals = parts.groupBy("_segment").agg(*[F.sum(v).alias(f"_t_{o}") for o, v in values.items()])
     before = Window.orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_segment", *[F.coalesce(F.sum(f"_t_{o}").over(before), F.lit(0)).alias(f"_o_{o}")
@@ -84,7 +97,7 @@ def running_totals(df: DataFrame, key: str, values: dict[str, str],
     inner = parts.withColumns({f"_r_{o}": F.sum(v).over(upto) for o, v in values.items()})
     joined = inner.join(F.broadcast(offsets), "_segment")  # one row per segment
     return joined.withColumns({o: F.col(f"_r_{o}") + F.col(f"_o_{o}") for o in values}).drop(
-        "_segment", *[f"_r_{o}" for o in values], *[f"_o_{o}" for o in values])
+        "_segment", "_inside", *[f"_r_{o}" for o in values], *[f"_o_{o}" for o in values])
 
 
 def with_halo(df: DataFrame, position: str, width: int, before: int = 0, after: int = 0) -> DataFrame:
@@ -130,12 +143,24 @@ def carry_forward(df: DataFrame, group: list[str], order: list[str], piece: str,
     return out.drop("_before", *[f"_start_{o}" for o in carried])
 
 
-def with_position(df: DataFrame, group: str, order: str, name: str = "position", piece: int = 4096) -> DataFrame:
+GROUP_ROWS = 4096  # a group of so many rows may be one window
+
+
+def all_groups_within(df: DataFrame, group: str, rows: int = GROUP_ROWS) -> bool:
+    """Whether no group has more rows; counted over the key column alone, combined in the map tasks."""
+    return df.groupBy(group).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > rows).isEmpty()
+
+
+def with_position(df: DataFrame, group: str, order: str, name: str = "position", piece: int = GROUP_ROWS) -> DataFrame:
     """Zero-based position of every row in its group, dense whatever gaps ``order`` has.
 
-    Pieces of the order are numbered on their own, so a group of any size spreads over many tasks.
+    Groups of a checked size are numbered by one window. Otherwise the order is cut into segments that are
+    numbered on their own, so a group of any size spreads over many tasks.
     """
-    numbered = carry_forward(df.withColumn("_part", F.floor(F.col(order) / piece)), [group], [order], "_part", {}, number=name)
+    if all_groups_within(df, group, piece):
+        return df.withColumn(name, (F.row_number().over(Window.partitionBy(group).orderBy(order)) - 1).cast("long"))
+    placed = df.repartitionByRange(-(-df.select(group).count() // piece), group, order).withColumn("_part", F.spark_partition_id())
+    numbered = carry_forward(materialise(placed, "positions"), [group], [order], "_part", {}, number=name)
     return numbered.withColumn(name, F.col(name) - 1).drop("_part")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.embedding import embed
 from ..functions.text import token_count, tokens
 from ..session import materialise
-from .ordering import with_halo, with_position
+from .ordering import all_groups_within, with_halo, with_position
 from .sizes import BROADCAST_ROWS, at_most, broadcast_when
 from .similarity import Rules, top_k_by_rule, top_k_similar
 
@@ -135,10 +135,14 @@ def question_cache(incoming: DataFrame, cache: DataFrame, *, threshold: float =
 def chat_window(messages: DataFrame, window_size: int = 2, piece: int = 4096) -> DataFrame:
     """Texts of the last ``window_size`` messages before each user message, whatever their turn numbers.
 
-    Conversations are cut into pieces with copied edges, so one long conversation does not end up in
-    one task, and each window still sees all it needs.
+    Conversations of a checked length are one window each. Otherwise they are cut into pieces with copied
+    edges, so one long conversation does not end up in one task, and each window still sees all it needs.
     """
-    placed = with_position(messages.select("conv_id", "turn", "role", "text"), "conv_id", "turn")
+    rows = messages.select("conv_id", "turn", "role", "text")
+    if all_groups_within(rows, "conv_id", piece):
+        last = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(-window_size, -1)
+        return rows.withColumn("history", F.collect_list("text").over(last)).where(F.col("role") == "user").select("conv_id", "turn", "history", "text")
+    placed = with_position(rows, "conv_id", "turn", piece=piece)
     cut = with_halo(placed, "position", piece, before=window_size)
     before = Window.partitionBy("conv_id", "_piece").orderBy("position").rangeBetween(-window_size, -1)
     seen = cut.withColumn("history", F.collect_list("text").over(before))

@@ -230,8 +230,9 @@ def inherited_settings(spark, sf):
         "event_id", "user_id", "ts", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"),
         F.when(F.col("event_type").isin("signup", "purchase"), F.concat("event_type", F.col("event_id").cast("string"))).alias("own"))
     # Pieces of the time axis with a bounded number of rows, so a busy user of one day is several tasks.
-    pieces = ordering.with_segment(rows, "at", ordering.order_bounds(rows, "at", 50_000), "piece")
-    carried = ordering.carry_forward(pieces, ["user_id"], ["ts", "event_id"], "piece", {"setting": "own"}, number="n")
+    pieces = ordering.segmented(rows, "at", 50_000, "event_id")
+    pieces = rows.withColumn("_segment", F.lit(0)) if pieces is None else pieces
+    carried = ordering.carry_forward(pieces, ["user_id"], ["ts", "event_id"], "_segment", {"setting": "own"}, number="n")
     return carried.select("event_id", "user_id", F.coalesce("setting", F.lit("default")).alias("setting"),
                           F.concat(F.lit("Prompt "), F.col("n").cast("string")).alias("name"))
 

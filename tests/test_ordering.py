@@ -31,6 +31,27 @@ def test_running_totals(spark):
     assert got == want
 
 
+def test_the_plan_does_not_grow_with_the_rows(spark):
+    df = spark.range(5000).withColumnRenamed("id", "k").withColumn("n", F.lit(1))
+
+    def size(frame):
+        return len(frame._jdf.queryExecution().optimizedPlan().toString())
+
+    few, many = (size(ordering.global_row_number(df, "k", rows_per_segment=r)) for r in (1000, 20))
+    assert abs(few - many) < 200
+    few, many = (size(ordering.running_totals(df, "k", {"t": "n"}, rows_per_segment=r)) for r in (1000, 20))
+    assert abs(few - many) < 200
+
+
+def test_positions_of_groups_of_any_length_and_gaps(spark):
+    rng = random.Random(8)
+    rows = [(g, t) for g, n in ((1, 300), (2, 3), (3, 90), (None, 40)) for t in rng.sample(range(10**15), n)]
+    df = spark.createDataFrame(rows, "g long, t long")
+    want = {(g, t): i for g in (1, 2, 3, None) for i, t in enumerate(sorted(t for h, t in rows if h == g))}
+    for piece in (4096, 25):
+        assert {(r.g, r.t): r.position for r in ordering.with_position(df, "g", "t", piece=piece).collect() if r.g} == {k: v for k, v in want.items() if k[0]}
+
+
 def test_halo_gives_each_window_its_neighbours(spark):
     df = spark.createDataFrame([(g, t) for g in (1, 2) for t in range(-1, 40) if t % 5 != 3], "g long, t long")
     wide = Window.partitionBy("g").orderBy("t").rangeBetween(-2, 1)
