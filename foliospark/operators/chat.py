@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.constants import DEFAULT_MODEL, DEFAULT_PROMPT, DEFAULT_TEMPERATURE, MODELS
 from ..functions.keys import falsy_default
 from ..functions.text import title_of
-from .ordering import with_halo, with_position
+from .ordering import global_row_number, with_halo, with_position
 
 MESSAGE = "struct<role:string,content:string,id:string,feedback:boolean>"
 MODEL = "struct<id:string,name:string,maxLength:int,tokenLimit:int>"
@@ -146,6 +146,36 @@ def export_fragments(messages: DataFrame, settings: DataFrame) -> DataFrame:
             .unionByName(closing))
 
 
+HISTORY, FOLDERS, PROMPTS, END = 1, 3, 5, 6  # sections of a whole bundle; the others hold what stands between
+
+
+def export_whole_bundle(messages: DataFrame, settings: DataFrame, folders: DataFrame, prompts: DataFrame) -> DataFrame:
+    """(section, item, position, fragment): everything as one version 4 bundle; the fragments in order are the JSON text.
+
+    ``settings`` as for ``export_fragments``, ``folders`` and ``prompts`` as their rows with unique ids. One
+    fragment per message, folder and prompt: the bundle may be of any size.
+    """
+    spark = messages.sparkSession
+    between = spark.createDataFrame([(0, 0, 0, '{"version":4,"history":['), (2, 0, 0, '],"folders":['), (4, 0, 0, '],"prompts":['), (END, 0, 0, "]}")],
+                                    "section int, item long, position long, fragment string")
+    first = settings.agg(F.min("conv_id").alias("first"))
+    opening = export_fragments(messages, settings).crossJoin(F.broadcast(first))  # one row
+    head, tail = F.lit('{"version":4,"history":['), F.lit('],"folders":[],"prompts":[]}')
+    text = F.when(F.col("position") == -1, F.concat(F.when(F.col("conv_id") > F.col("first"), ",").otherwise(""),
+                                                    F.substring(F.col("fragment"), F.length(head) + 1, F.length("fragment"))))
+    text = text.otherwise(F.when(F.endswith("fragment", tail), F.substring(F.col("fragment"), F.lit(1), F.length("fragment") - F.length(tail)))
+                          .otherwise(F.col("fragment")))
+    history = opening.select(F.lit(HISTORY).alias("section"), F.col("conv_id").cast("long").alias("item"), "position", text.alias("fragment"))
+
+    def listed(rows: DataFrame, section: int) -> DataFrame:
+        numbered = global_row_number(rows, "id", "_no")
+        comma = F.when(F.col("_no") > 1, ",").otherwise("")
+        return numbered.select(F.lit(section).alias("section"), F.col("_no").alias("item"), F.lit(0).cast("long").alias("position"),
+                               F.concat(comma, F.to_json(F.struct(*rows.columns))).alias("fragment"))
+
+    return between.unionByName(history).unionByName(listed(folders, FOLDERS)).unionByName(listed(prompts, PROMPTS))
+
+
 def write_bundles(fragments: DataFrame, folder: str, parts: int) -> None:
     """Fragments as lines in (conversation, position) order: the files, read by name, are one bundle after another.
 

@@ -10,10 +10,10 @@ from ..operators.chat import upgrade_bundles
 from ..operators.sets import merge_first_wins
 
 
-def imported_history(bundles: DataFrame, raw: str, position: str) -> DataFrame:
-    """Conversations of all supported bundles with their place in the import order."""
+def imported(bundles: DataFrame, raw: str, position: str, kind: str = "history") -> DataFrame:
+    """Conversations (``history``), ``folders`` or ``prompts`` of all supported bundles with their place in the import order."""
     up = upgrade_bundles(bundles, raw).where(F.col("version_found").isNotNull())
-    placed = F.transform("history", lambda c, i: F.struct(F.col(position).alias("bundle"), i.alias("item"), c.alias("c")))
+    placed = F.transform(kind, lambda c, i: F.struct(F.col(position).alias("bundle"), i.alias("item"), c.alias("c")))
     rows = inline_rows(up, [], placed, "item")
     return rows.select("c.*", F.struct("bundle", "item").alias("position"))
 
@@ -29,4 +29,9 @@ def import_history(stored: DataFrame, bundles: DataFrame, raw: str, position: st
 
     ``stored`` has the columns of a conversation and a ``position`` struct (bundle, item).
     """
-    return merge_first_wins([stored, imported_history(bundles, raw, position)], "id", "position")
+    return merge_first_wins([stored, imported(bundles, raw, position)], "id", "position")
+
+
+def import_bundles(stored: dict[str, DataFrame], bundles: DataFrame, raw: str, position: str) -> dict[str, DataFrame]:
+    """The same for every kind stored: ``history``, ``folders`` and ``prompts``, each merged on its own with the first one winning."""
+    return {kind: merge_first_wins([own, imported(bundles, raw, position, kind)], "id", "position") for kind, own in stored.items()}

@@ -141,6 +141,34 @@ def chat_export(spark, sf):
     return chat.export_fragments(_messages(spark, sf), settings)
 
 
+_SQL_MODEL_JSON = '{"id":"gpt-3.5-turbo","name":"GPT-3.5","maxLength":12000,"tokenLimit":4000}'
+
+
+@query("snk4_whole_bundle", f"""
+WITH {_SQL_TITLES}, first AS (SELECT min(conv_id) AS c FROM conversations),
+o AS (SELECT conv_id, CASE WHEN conv_id > first.c THEN ',' ELSE '' END || '{{"id":"' || conv_id || '","name":' || to_json(title) || ',"model":{_SQL_MODEL_JSON},'
+      || '"prompt":"Prompt ' || conv_id || '","temperature":0.5,"folderId":"' || conv_id % 25 || '","messages":[' AS fragment FROM titles, first)
+SELECT 0 AS section, CAST(0 AS BIGINT) AS item, CAST(0 AS BIGINT) AS position, '{{"version":4,"history":[' AS fragment
+UNION ALL SELECT 2, 0, 0, '],"folders":[' UNION ALL SELECT 4, 0, 0, '],"prompts":[' UNION ALL SELECT 6, 0, 0, ']}}'
+UNION ALL SELECT 1, conv_id, -1, fragment FROM o
+UNION ALL SELECT 1, conv_id, position, CASE WHEN position > 0 THEN ',' ELSE '' END || to_json({{'role': role, 'content': text}})
+FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS position FROM conversations)
+UNION ALL SELECT 1, conv_id, count(*), ']}}' FROM conversations GROUP BY conv_id
+UNION ALL SELECT 3, no, 0, CASE WHEN no > 1 THEN ',' ELSE '' END || to_json({{'id': id, 'name': n_name, 'type': 'chat'}})
+FROM (SELECT *, CAST(n_nationkey AS VARCHAR) AS id, row_number() OVER (ORDER BY CAST(n_nationkey AS VARCHAR)) AS no FROM nation)
+UNION ALL SELECT 5, no, 0, CASE WHEN no > 1 THEN ',' ELSE '' END || to_json({{'id': id, 'name': p_name, 'description': p_type, 'content': p_brand, 'folderId': CAST(p_partkey % 25 AS VARCHAR)}})
+FROM (SELECT *, CAST(p_partkey AS VARCHAR) AS id, row_number() OVER (ORDER BY CAST(p_partkey AS VARCHAR)) AS no FROM part)""")
+def whole_bundle(spark, sf):
+    number = F.col("conv_id").cast("string")
+    settings = chat.titles(_messages(spark, sf)).select(
+        "conv_id", F.col("title").alias("name"), chat.default_model().alias("model"), F.concat(F.lit("Prompt "), number).alias("prompt"),
+        F.lit(0.5).alias("temperature"), (F.col("conv_id") % 25).cast("string").alias("folderId"))
+    folders = table(spark, sf, "nation").select(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("name"), F.lit("chat").alias("type"))
+    prompts = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("name"), F.col("p_type").alias("description"),
+                                              F.col("p_brand").alias("content"), (F.col("p_partkey") % 25).cast("string").alias("folderId"))
+    return chat.export_whole_bundle(_messages(spark, sf), settings, folders, prompts)
+
+
 @query("agg9_assemble_conversation", """
 SELECT conv_id, position, CASE WHEN position > 0 THEN chr(10) ELSE '' END || role || ': ' || text AS fragment
 FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS position FROM conversations)""")

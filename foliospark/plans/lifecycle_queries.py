@@ -11,10 +11,11 @@ from ..operators import chat, evaluation, retrieval
 from ..session import materialise, spread, table, work_folder
 from ..sources import datasets
 from .answer import AnswerCache, AnswerSettings, acronym_expander, answer_questions, personal_data_remover, post_process
-from .chat_import import import_history
+from .chat_import import import_bundles, import_history
 from .chats_queries import _bundles
 from .ingest import ingest_documents
-from .metrics_queries import truth_table
+from .evaluate import evaluation_run
+from .metrics_queries import _SQL_PAIRS, answer_pairs, truth_table
 from .registry import query
 from .retrieval_queries import SQL_RETRIEVED, chunk_table, question_table, reranked, sql_chunk_id, sql_embed, sql_hits, sql_scores
 from .scalars_queries import SQL_JUDGED, judge_replies
@@ -149,6 +150,24 @@ def run_evaluation(spark, sf):
     return datasets.append_metrics(metrics.select(F.lit(1).alias("run_id"), "*"), ["run_id"])
 
 
+@query("lifecycle_full_evaluation", f"""
+WITH r AS (WITH {SQL_RETRIEVED},
+  truth AS (SELECT b.item_id AS question_id, d.doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)
+            UNION SELECT item_id, item_id * 3 FROM benchmark),
+  f AS (SELECT t.question_id, min(r.new_rank) AS first_rank FROM truth t LEFT JOIN (SELECT * FROM reranked WHERE new_rank <= 3) r USING (question_id, doc_id) GROUP BY 1)
+  SELECT CAST(count(*) AS DOUBLE) AS n_questions, round(avg(CASE WHEN first_rank IS NOT NULL THEN 1.0 ELSE 0.0 END), 6) AS hit_rate,
+         round(avg(coalesce(1.0 / first_rank, 0.0)), 6) AS mrr FROM f),
+e AS ({_SQL_PAIRS} SELECT round(avg(score), 6) AS similarity, CAST(count(*) AS DOUBLE) AS n_answers,
+      round(avg(CASE WHEN turn % 11 >= 1 THEN turn % 11 END), 6) AS correctness, CAST(count(*) FILTER (turn % 11 = 0) AS DOUBLE) AS n_unscored FROM c)
+SELECT 1 AS run_id, metric, value FROM (SELECT * FROM r, e) UNPIVOT (value FOR metric IN (n_questions, hit_rate, mrr, similarity, n_answers, correctness, n_unscored))""")
+def full_evaluation(spark, sf):
+    """Both evaluators and both retrieval metrics in one run, over the verbatim and a logged ground truth."""
+    kept = retrieval.keep_sources(reranked(spark, sf), 3)
+    logged = table(spark, sf, "benchmark").select(F.col("item_id").alias("question_id"), (F.col("item_id") * 3).alias("doc_id"))
+    answers = answer_pairs(spark, sf).withColumn("judge_output", F.concat(F.lit("Score: "), ((F.col("turn") + 1) % 11).cast("string")))
+    return evaluation_run(1, kept, [truth_table(spark, sf), logged], answers)
+
+
 @query("lifecycle_training_chunks", f"""
 WITH {sql_chunks(256, 0)}, ck AS (SELECT {sql_chunk_id('doc_id', 'chunk_no')} AS chunk_id, doc_id, chunk FROM chunks),
 f AS (SELECT chunk, row_number() OVER (ORDER BY chunk_id) - 1 AS n FROM ck WHERE doc_id IN (SELECT doc_id FROM labels))
@@ -177,6 +196,28 @@ def chat_import(spark, sf):
     return import_history(stored, bundles, "raw", "order_no").select("id", "name")
 
 
+@query("lifecycle_bundle_import", """
+WITH v AS (SELECT DISTINCT turn % 6 AS v FROM conversations),
+f AS (SELECT '7' AS id, 'mine' AS name UNION ALL SELECT r_regionkey || 's', r_name FROM region
+      UNION ALL SELECT '8', 'eight' FROM v WHERE v = 1 UNION ALL SELECT 'a', 'A' FROM v WHERE v = 3),
+p AS (SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name FROM part UNION ALL SELECT 'p1', 'P' FROM v WHERE v = 4)
+SELECT 'folder' AS kind, id, name FROM f UNION ALL SELECT 'prompt', id, name FROM p""")
+def bundle_import(spark, sf):
+    """Folders and prompts of all bundles merged with stored ones, as the history is."""
+    stored_folders = table(spark, sf, "region").select(F.concat(F.col("r_regionkey").cast("string"), F.lit("s")).alias("id"), F.col("r_name").alias("name")).union(
+        spark.createDataFrame([("7", "mine")], "id string, name string")).withColumns({
+            "type": F.lit("chat"), "position": F.struct(F.lit(0).cast("long").alias("bundle"), F.lit(0).alias("item"))})
+    none = F.lit(None).cast("string")
+    stored_prompts = table(spark, sf, "part").select(
+        F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("name"), F.col("p_type").alias("description"), none.alias("content"),
+        F.lit(None).cast(chat.MODEL).alias("model"), none.alias("folderId"),
+        F.struct(F.col("p_partkey").alias("bundle"), F.lit(0).alias("item")).alias("position"))
+    bundles = _bundles(spark, sf).withColumn("order_no", F.col("conv_id") * 100 + F.col("turn"))
+    merged = import_bundles({"folders": stored_folders, "prompts": stored_prompts}, bundles, "raw", "order_no")
+    return merged["folders"].select(F.lit("folder").alias("kind"), "id", "name").unionByName(
+        merged["prompts"].select(F.lit("prompt").alias("kind"), "id", "name"))
+
+
 @query("udx1_table_function", r"""
 SELECT doc_id, CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS INTEGER) AS line_no, unnest(string_split(text, chr(10))) AS line
 FROM documents""")

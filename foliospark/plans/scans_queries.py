@@ -80,6 +80,19 @@ def json_documents(spark, sf):
         F.md5("text").alias("text_md5"))
 
 
+@query("src3_broken_records", """
+SELECT CASE WHEN doc_id % 7 = 0 THEN 'broken' ELSE 'read' END AS outcome, count(*) AS n FROM documents GROUP BY 1""")
+def broken_records(spark, sf):
+    """Every seventh record is cut off in its text: it is set aside, the others are read."""
+    lines = spark.read.text(_scraped_folder(spark, sf))
+    number = F.regexp_extract("value", r'"url":"https://example.org/[^"]*/([0-9]+)"', 1).cast("long")
+    folder = work_folder(spark, "damaged")
+    lines.select(F.when(number % 7 == 0, F.substring(F.col("value"), F.lit(1), F.length("value") - 2)).otherwise(F.col("value")).alias("value")).write.text(folder)
+    good = corpora.read_scraped(spark, folder, raise_on_error=False).where("url IS NOT NULL").select(F.lit("read").alias("outcome"))
+    bad = corpora.broken_records(spark, folder).select(F.lit("broken").alias("outcome"))
+    return good.unionByName(bad).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("src4_path_categories", r"""
 SELECT page_id, split_part(url, '/', 3) AS host, split_part(url, '/', 4) AS lang_level,
        split_part(url, '/', 5) AS leaf, 'web' AS doc_source

@@ -16,7 +16,7 @@ SCRAPED = T.StructType([T.StructField(n, T.StringType()) for n in
 def read_scraped(spark: SparkSession, folder: str, *, raise_on_error: bool = True, multiline: bool = False) -> DataFrame:
     """One JSON object per file (or per line); absent keys are null.
 
-    Broken records fail the job or are left out. ``multiline`` reads objects that span lines. The schema is fixed, so there is no inference pass. Small files share a task: lower
+    Broken records fail the job, or are left out here and found by ``broken_records``. ``multiline`` reads objects that span lines. The schema is fixed, so there is no inference pass. Small files share a task: lower
     ``spark.sql.files.openCostInBytes`` to pack more of them, or compact the folder once.
     """
     df = (spark.read.schema(SCRAPED).option("recursiveFileLookup", "true").option("multiLine", str(multiline).lower())
@@ -24,6 +24,16 @@ def read_scraped(spark: SparkSession, folder: str, *, raise_on_error: bool = Tru
     return df.withColumn("path", F.col("_metadata.file_path"))
 
 
+def broken_records(spark: SparkSession, folder: str, *, multiline: bool = False) -> DataFrame:
+    """Reject table of a scan: the path and text of every record that is no JSON object of the schema."""
+    schema = T.StructType([*SCRAPED.fields, T.StructField("record", T.StringType())])
+    df = (spark.read.schema(schema).option("recursiveFileLookup", "true").option("multiLine", str(multiline).lower())
+          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "record").json(folder))
+    # A filter on the record alone would be answered without parsing the others.
+    return df.withColumn("path", F.col("_metadata.file_path")).select("path", "record", F.struct(*SCRAPED.names).alias("_fields")).where(
+        F.col("record").isNotNull()).drop("_fields")
+
+
 def collected_on(date: Column, scraped_date: Column) -> Column:
     return mixed_date(F.coalesce(date, scraped_date))
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import chunk_id
 from ..operators.ordering import global_row_number
+from ..operators.sizes import BROADCAST_ROWS, at_most, broadcast_when
 from ..session import materialise
 
 DOCS = "dataset string, dockey string, doc_id long, text string"
@@ -90,7 +91,10 @@ class DatasetStore:
         batch = materialise(docs, "ingest-batch")
         if batch.isEmpty():
             return
-        known = self.chunks().select("dataset", F.col("doc").alias("dockey")).distinct()
+        # An append that died may have left chunks of this batch. Only the batch's keys are looked up, in its data sets' folders.
+        keys = batch.select("dataset", "dockey")
+        keys = broadcast_when(keys, at_most(keys, BROADCAST_ROWS))
+        known = self.chunks().select("dataset", F.col("doc").alias("dockey")).join(keys, ["dataset", "dockey"], "left_semi").distinct()
         self._append(chunker(batch.join(known, ["dataset", "dockey"], "left_anti")), "chunks", CHUNKS)
         self._append(batch, "docs", DOCS)
 

@@ -36,3 +36,12 @@ def test_runs_without_sql(spark, name):
 
 def test_entry(spark):
     assert entrypoint.entry(spark).count() > 0
+
+
+def test_the_other_queries_stay_without_the_optional_part(monkeypatch):
+    def absent(name):
+        raise ImportError(f"No module named 'xxhash', which {name} needs")
+
+    monkeypatch.setattr(entrypoint, "import_module", absent)
+    assert set(entrypoint.queries()) == {name for name in QUERIES if name in entrypoint.load_queries().QUERIES}
+    assert set(entrypoint.oracle_sql()) <= set(entrypoint.queries())
