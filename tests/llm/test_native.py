@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliospark.llm import line_quality
-from foliospark.llm.external_shuffle import shuffle_to_shards
+from foliospark.llm.external_shuffle import scatter, shuffle_to_shards
 from foliospark.llm.line_quality import text_rules, with_line_verdict
 from foliospark.llm.queries_native import op5, op8
 from foliospark.llm.winnowing import edited, fingerprint, word_hashes, with_next
@@ -181,6 +181,15 @@ def test_shards_hold_everything_once(spark):
     assert shuffle_to_shards(docs.limit(0), 7).count() == 0
 
 
+def test_equal_rows_go_to_many_buckets(spark):
+    """A third of all rows are one row; every bucket gets its share, and every row its place."""
+    docs = spark.createDataFrame([(7, "same text") if i % 3 == 0 else (i, f"text {i}") for i in range(6000)], "doc_id long, text string")
+    sizes = sorted(r["count"] for r in scatter(docs, 12, 7).groupBy("bucket").count().collect())
+    assert len(sizes) == 12 and sizes[-1] < 2 * sizes[6]
+    rows = shuffle_to_shards(docs, 5, bucket_bytes=30_000).collect()
+    assert Counter(r.record.doc_id for r in rows)[7] == 2001 - (7 % 3 == 0) and len({(r.shard, r.slot) for r in rows}) == 6000
+
+
 def test_op5_digests(spark):
     docs = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
     rows = op5(spark, FOLDER).collect()
