@@ -8,7 +8,7 @@ exact lengths at hand where they fill a sequence to the last token. Residual pie
 decreasing into new sequences. All of this counts lengths, never pieces.
 
 Pieces find their place by rank: pieces of one length are numbered in hash buckets, so a length that
-a third of all rows share is numbered by many tasks, and rank ranges map to (sequence, offset).
+a third of all rows share, or rows that are equal in all columns, are numbered by many tasks, and rank ranges map to (sequence, offset).
 
 A null or empty text is one piece holding the end id. Repeated rows are packed once each. Extra columns
 are dropped. An empty table gives an empty result.
@@ -277,15 +277,14 @@ class Plan:
 
 
 def numbered_by_length(pieces: DataFrame, n_pieces: int) -> DataFrame:
-    """Adds ``rank``, the 0-based number of a piece among those of its length."""
-    bucket = F.pmod(F.xxhash64(*pieces.columns), F.lit(parts_for(n_pieces, BUCKET_ROWS))).cast("int")
-    parts = pieces.withColumn("_bucket", bucket)
-    inside = F.row_number().over(Window.partitionBy("length", "_bucket").orderBy(*pieces.columns)) - 1
+    """Adds ``rank``, the 0-based number of a piece among those of its length; ``_deal`` is a written hash of piece and row."""
+    parts = pieces.withColumn("_bucket", F.pmod("_deal", F.lit(parts_for(n_pieces, BUCKET_ROWS))).cast("int"))
+    inside = F.row_number().over(Window.partitionBy("length", "_bucket").orderBy("_deal", *pieces.drop("_deal").columns)) - 1
     counts = parts.groupBy("length", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("length", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     return (parts.withColumn("_inside", inside).join(offsets, ["length", "_bucket"])
-            .withColumn("rank", (F.col("_inside") + F.col("_before")).cast("long")).drop("_inside", "_before", "_bucket"))
+            .withColumn("rank", (F.col("_inside") + F.col("_before")).cast("long")).drop("_inside", "_before", "_bucket", "_deal"))
 
 
 def place(pieces: DataFrame, plan: Plan) -> DataFrame:
@@ -314,7 +313,9 @@ def place(pieces: DataFrame, plan: Plan) -> DataFrame:
 def pack_documents(docs: DataFrame, vocabulary: str, max_len: int = 2048, end_id: int = 0, *, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """Pieces of all documents with the sequence and the offset they are packed at."""
-    pieces = materialise(token_pieces(docs, vocabulary, max_len, end_id, id_col=id_col, text_col=text_col), "pieces")
+    cut = token_pieces(docs, vocabulary, max_len, end_id, id_col=id_col, text_col=text_col)
+    # Written with the pieces, so equal pieces differ in it and every reader sees the same.
+    pieces = materialise(cut.withColumn("_deal", F.xxhash64(*cut.columns, F.monotonically_increasing_id())), "pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # <= max_len rows
     plan = Plan(histogram, max_len)
     return place(numbered_by_length(pieces, sum(histogram.values())), plan)

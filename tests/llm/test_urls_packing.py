@@ -126,3 +126,19 @@ def test_parts_of_odd_urls(spark):
     assert all((r.h, r.p) == plain_parts(r.url) for r in rows)
     assert labelled_by_rules(spark.createDataFrame([(u,) for u in ODD], "url string"), URL_RULES).count() == sum(
         plain_rule(*plain_parts(u)) is not None for u in ODD)
+
+
+def test_equal_pieces_are_numbered_by_many_tasks(spark, monkeypatch):
+    """A third of all rows are one row: pieces of one length get every rank once, from windows of about equal size."""
+    from foliospark.llm import packing
+
+    monkeypatch.setattr(packing, "BUCKET_ROWS", 100)
+    docs = spark.createDataFrame([(7, "a b c") if i % 3 == 0 else (i, "a b " * (i % 5)) for i in range(3000)], "doc_id long, text string")
+    cut = packing.token_pieces(docs, vocabulary("word_bpe_49k.json"), 16, 0)
+    pieces = packing.materialise(cut.withColumn("_deal", F.xxhash64(*cut.columns, F.monotonically_increasing_id())), "test-pieces")
+    sizes = sorted(r["count"] for r in pieces.groupBy(F.pmod("_deal", F.lit(30))).count().collect())
+    assert sizes[-1] < 2 * sizes[15]
+    for length, ranks in packing.numbered_by_length(pieces, 3000).groupBy("length").agg(F.collect_list("rank")).collect():
+        assert sorted(ranks) == list(range(len(ranks)))
+    packed = packing.pack_documents(docs, vocabulary("word_bpe_49k.json"), 16).collect()
+    assert len(packed) == 3000 and len({(r.sequence_id, r.offset) for r in packed}) == 3000
