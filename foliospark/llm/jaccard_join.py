@@ -403,11 +403,12 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 def one_per_component(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
     """One row of ``docs`` per component, unchanged: the smallest id, missing ids last, and of equal ids one row.
 
-    Rows are told apart by a hash of all columns; of rows that are equal in all columns one stays. Rows
+    Rows are told apart by two hashes of all columns; of rows that are equal in all columns one stays. Rows
     without shingles are like no other and stay. The hashes of removed rows are written and counted; up
     to ``BROADCAST_REMOVED`` are sent to all tasks, beyond that both sides are shuffled.
     """
-    hashed = docs.withColumn("_row_key", F.xxhash64(*docs.columns))
+    key = F.struct(F.xxhash64(*docs.columns).alias("a"), F.xxhash64(F.lit(59), *docs.columns).alias("b"))  # no row goes with another by a collision
+    hashed = docs.withColumn("_row_key", key)
     ranked = hashed.withColumn("_rank", F.struct(F.col(id_col).isNull().alias("missing"), F.col(id_col).alias("id"), F.col("_row_key").alias("key")))
     found = materialise(jaccard_components(ranked, id_col="_rank", **options).select(
         F.col("_rank.key").alias("_row_key"), (F.col("_rank.key") == F.col("component_id.key")).alias("_stays"), "n_shingles"), "row-components")
