@@ -76,11 +76,13 @@ class BlockWords:
 
     def __init__(self, payloads: pa.ChunkedArray):
         self.rows = pa.concat_tables(unpack_all(payloads)).combine_chunks()
-        self.owner, words = split_words(self.rows.column("text"))
+        owner, words = split_words(self.rows.column("text"))
+        self.owner = owner.astype(np.int32)
         coded = words.dictionary_encode()
+        del owner, words
         order = pc.sort_indices(coded.dictionary).to_numpy()
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
         self.words = coded.dictionary.take(pa.array(order)).to_pylist()
         self.codes = rank[coded.indices.to_numpy()]
 
