@@ -16,7 +16,7 @@ from ..session import materialise
 from .sizes import BROADCAST_ROWS, at_most, broadcast_when
 
 RUN = 3
-BUCKETS = 64
+BUCKETS = 256  # of an index, unless it is made with another number
 LOOKED_UP = 4  # runs of a term that are intersected, the rarest
 
 
@@ -36,17 +36,17 @@ def term_runs(term: str, across_texts: bool) -> list[str]:
 class PostingIndex:
     """Posting lists, run counts and texts below one folder; a key is a whole number and may have many texts."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, n_buckets: int = BUCKETS):
+        self.spark, self.root, self.n_buckets = spark, root.rstrip("/"), n_buckets
 
     def append(self, rows: DataFrame, key: str, text: str, batch: str) -> None:
         """Add rows; the same batch again replaces what it wrote."""
         own = materialise(rows.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).where("text IS NOT NULL"), "search-batch")
         postings = explode_rows(own, ["key"], runs_of(F.col("text")), "run").distinct()
-        placed = postings.withColumn("bucket", F.pmod(F.xxhash64("run"), F.lit(BUCKETS)))
+        placed = postings.withColumn("bucket", F.pmod(F.xxhash64("run"), F.lit(self.n_buckets)))
         self._write(placed.repartition("bucket").sortWithinPartitions("bucket", "run"), "postings", batch)
         self._write(placed.groupBy("bucket", "run").agg(F.count(F.lit(1)).alias("n")).repartition("bucket"), "counts", batch)
-        self._write(own.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(BUCKETS))).repartition("bucket"), "texts", batch)
+        self._write(own.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(self.n_buckets))).repartition("bucket"), "texts", batch)
 
     def _write(self, rows: DataFrame, kind: str, batch: str) -> None:
         rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/{kind}/batch={batch}")
@@ -64,7 +64,7 @@ class PostingIndex:
 
     def _of_runs(self, kind: str, schema: str, runs: list[str]) -> DataFrame:
         """Rows of the given runs: their buckets are the only folders read."""
-        wanted = self.spark.createDataFrame([(r,) for r in runs], "run string").select(F.pmod(F.xxhash64("run"), F.lit(BUCKETS)).alias("b"))
+        wanted = self.spark.createDataFrame([(r,) for r in runs], "run string").select(F.pmod(F.xxhash64("run"), F.lit(self.n_buckets)).alias("b"))
         buckets = sorted({r.b for r in wanted.collect()})
         return self._read(kind, schema).where(F.col("bucket").isin(buckets) & F.col("run").isin(runs))
 
@@ -89,7 +89,7 @@ class PostingIndex:
         if keys is None:
             return self.texts().select("key", "text")
         keys = materialise(keys, "candidates")
-        placed = keys.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int"))
+        placed = keys.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(self.n_buckets)).cast("int"))
         return self.texts().join(broadcast_when(placed, at_most(keys, BROADCAST_ROWS)), ["bucket", "key"]).select("key", "text")
 
     def search(self, term: str) -> DataFrame:

@@ -115,7 +115,7 @@ def conversation_phrase_search(spark, sf):
 def indexed_conversation_search(spark, sf):
     """Messages and names stored with posting lists in two appends; only the candidates' messages are searched."""
     messages, names = _messages(spark, sf), chat.titles(_messages(spark, sf))
-    index = PostingIndex(spark, work_folder(spark, "search"))
+    index = PostingIndex(spark, work_folder(spark, "search"), 16)
     index.append(messages, "conv_id", "text", "messages")
     index.append(names, "conv_id", "title", "names")
     found = materialise(index.candidates("... The", across_texts=True), "candidates").withColumnRenamed("key", "conv_id")

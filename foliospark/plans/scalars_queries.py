@@ -251,7 +251,7 @@ WHERE contains(lower(p_name) || ' ' || lower(p_brand) || ' ' || lower(p_type), '
 def indexed_prompt_search(spark, sf):
     """The same through stored posting lists; a repeated append changes nothing."""
     parts = table(spark, sf, "part")
-    index = PostingIndex(spark, work_folder(spark, "search"))
+    index = PostingIndex(spark, work_folder(spark, "search"), 16)
     for _ in range(2):
         index.append(parts.select("p_partkey", F.concat_ws(" ", "p_name", "p_brand", "p_type").alias("text")), "p_partkey", "text", "all")
     return parts.join(index.search("Brand#1").withColumnRenamed("key", "p_partkey"), "p_partkey").select("p_partkey", "p_name")

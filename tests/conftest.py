@@ -7,12 +7,12 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from foliospark.session import build_session
 
     session = build_session("local[8]", app="tests", **{
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
-        "spark.ui.showConsoleProgress": "false"})
+        "spark.ui.showConsoleProgress": "false", "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('work')}"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -90,3 +90,13 @@ def test_registered_jobs_train_the_whole_models(spark, monkeypatch):
     monkeypatch.setattr(learning, "cross_validated_accuracy", lambda rows, estimator: seen.update(forest=estimator) or 1.0)
     queries.cross_validation(spark, folder)
     assert seen["forest"].getNumTrees() >= 50 and seen["forest"].getMinWeightFractionPerNode() >= 0.05
+
+
+def test_a_broken_model_misses_the_floor(spark):
+    """The floor of the quality queries is three quarters of every label: a model of shuffled labels does not reach it."""
+    from foliospark.plans import learning_queries as queries
+
+    rows = queries._quality(spark, "/root/testdata/sf0.01")
+    assert all(r.found for r in queries._found(learning.decision_tree(rows.where("split = 'train'")), rows).collect())
+    broken = rows.withColumn("label", F.when(F.col("split") == "train", F.col("doc_id") % 2).otherwise(F.col("label")).cast("double"))
+    assert not all(r.found for r in queries._found(learning.decision_tree(broken.where("split = 'train'")), broken).collect())
