@@ -88,9 +88,10 @@ class PostingIndex:
         keys = self.candidates(term)
         if keys is None:
             return self.texts().select("key", "text")
-        keys = materialise(keys, "candidates")
-        placed = keys.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(self.n_buckets)).cast("int"))
-        return self.texts().join(broadcast_when(placed, at_most(keys, BROADCAST_ROWS)), ["bucket", "key"]).select("key", "text")
+        keys = materialise(keys.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(self.n_buckets)).cast("int")), "candidates")
+        buckets = sorted(r.bucket for r in keys.select("bucket").distinct().collect())  # at most ``n_buckets``
+        texts = self.texts().where(F.col("bucket").isin(buckets))
+        return texts.join(broadcast_when(keys, at_most(keys, BROADCAST_ROWS)), ["bucket", "key"]).select("key", "text")
 
     def search(self, term: str) -> DataFrame:
         """Keys with a text that contains the term in any case."""
