@@ -27,11 +27,10 @@ def read_scraped(spark: SparkSession, folder: str, *, raise_on_error: bool = Tru
 def broken_records(spark: SparkSession, folder: str, *, multiline: bool = False) -> DataFrame:
     """Reject table of a scan: the path and text of every record that is no JSON object of the schema."""
     schema = T.StructType([*SCRAPED.fields, T.StructField("record", T.StringType())])
-    df = (spark.read.schema(schema).option("recursiveFileLookup", "true").option("multiLine", str(multiline).lower())
-          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "record").json(folder))
-    # A filter on the record alone would be answered without parsing the others.
-    return df.withColumn("path", F.col("_metadata.file_path")).select("path", "record", F.struct(*SCRAPED.names).alias("_fields")).where(
-        F.col("record").isNotNull()).drop("_fields")
+    lines = spark.read.option("recursiveFileLookup", "true").option("wholetext", str(multiline).lower()).text(folder)
+    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "record"})
+    rows = lines.select(F.col("_metadata.file_path").alias("path"), "value", parsed.alias("parsed")).where(F.trim("value") != "")
+    return rows.where(F.col("parsed.record").isNotNull()).select("path", F.col("value").alias("record"))
 
 
 def collected_on(date: Column, scraped_date: Column) -> Column:

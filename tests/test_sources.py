@@ -54,6 +54,17 @@ def test_user_defined_loader(spark, tmp_path):
     assert loaders.LOADERS["upper"].description.startswith("one")
 
 
+def test_broken_records_are_set_aside(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "a.json").write_text('{"url":"u1","text":"t"}\n\n{"url":"u2"\n{"url":"u3","text":"x","more":1}\n')
+    (tmp_path / "sub" / "b.json").write_text('no json\n{"url":"u4"}\n')
+    good = corpora.read_scraped(spark, str(tmp_path), raise_on_error=False).where("url IS NOT NULL")
+    assert sorted(r.url for r in good.collect()) == ["u1", "u3", "u4"]
+    bad = corpora.broken_records(spark, str(tmp_path))
+    assert sorted((r.path.rsplit("/", 1)[-1], r.record) for r in bad.collect()) == [("a.json", '{"url":"u2"'), ("b.json", "no json")]
+    assert bad.count() == 2
+
+
 def test_loader_filters_and_arguments(spark, tmp_path):
     @loaders.document_loader("only_a", "fails on any file but a.txt")
     def load(path, mark="?"):
