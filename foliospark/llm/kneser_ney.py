@@ -6,13 +6,12 @@ the blank after it, from the ``ORDER - 1`` bytes before within the word; an n-gr
 ``8 * ORDER`` bits, so its keys are exact, while word pairs are compared by 48 bits of a hash. Pairs take
 all occurrences; the byte model takes every word as often as different words stand before it, and its lower
 orders the number of different bytes before. It is trained on
-at most ``TRUSTED_DOCS`` trusted documents (a documented bound; those with the smallest id hashes of
-four fifths of them). Counts, continuation counts, context totals and discounts are grouped sums and
+every trusted document but the fifth, by a hash of the id, that the thresholds are taken over. Counts, continuation counts, context totals and discounts are grouped sums and
 joins of DataFrames. Scoring covers every document: blocks of documents send the distinct n-grams of
 their distinct words and their distinct word pairs to shards, the shards' n-grams are joined with the
 count tables order by order, pairs meet the pairs of the model that are dealt to their shard, and the
-probabilities return to the blocks. A bit filter of the model's pairs, of a size that the bounded training
-fixes, goes to the blocks: a pair it does not hold is in no table and need not be asked for; one that it
+probabilities return to the blocks. A bit filter of the model's pairs, of at most
+``FILTER_BYTES``, goes to the blocks: a pair it does not hold is in no table and need not be asked for; one that it
 holds by mistake is asked for in vain. A document is kept when its perplexity is at most the
 ``QUANTILE`` of its language, taken over all trusted documents left out of the training, times
 ``MARGIN``; a language without such documents (or null) takes the quantile of all languages.
@@ -45,14 +44,13 @@ from .texts import releasing, releasing_group, releasing_pair
 from .word_codec import BlockWords, split_words
 
 ORDER = 5  # bytes; at most 6, so that a key is sent whole
-TRUSTED_DOCS = 50_000
 COUNTED_ROWS = 1_000  # texts whose words a task counts together
 CALIBRATION_SHARE = 5  # one trusted document of so many is left out of the training
 QUANTILE = 0.995
 MARGIN = 1.1
 SCORED_BLOCK_BYTES = BLOCK_BYTES // 4  # a block also holds its words' n-grams and pairs, about 25 bytes a byte of text
 SHARD_BYTES = 32 << 20
-BROADCAST_REJECTED = 200_000  # 16-byte keys
+BROADCAST_KEYS = 200_000  # of at most 16 bytes
 FILTER_BYTES = 64 << 20  # at most; a fuller filter only asks for more in vain
 FILTER_BITS = 8  # a key at least
 KEY_BITS = (1 << 48) - 1
@@ -426,22 +424,23 @@ def perplexities(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_
     return scored.withColumn("perplexity", F.when(F.col("n_events") > 0, F.exp(-F.col("log_prob") / F.col("n_events"))))
 
 
-def trusted_split(labels: DataFrame, id_col: str = "doc_id", limit: int = TRUSTED_DOCS) -> tuple[DataFrame, DataFrame]:
-    """Trusted ids for the training (at most ``limit``) and those left out for the thresholds."""
+def trusted_split(labels: DataFrame, id_col: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """All trusted ids, dealt into those for the training and those left out for the thresholds."""
     good = F.coalesce((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit(False))
     trusted = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.bool_and(good).alias("_good")).where("_good").select("id")
     dealt = trusted.withColumn("_h", F.xxhash64("id", F.lit(29)))
     left_out = F.pmod(F.col("_h"), F.lit(CALIBRATION_SHARE)) == 0
-    return dealt.where(~left_out).orderBy("_h", "id").limit(limit).select("id"), dealt.where(left_out).select("id")
+    return dealt.where(~left_out).select("id"), dealt.where(left_out).select("id")
 
 
 def scored_with_threshold(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                           lang_col: str = "lang", order: int = ORDER, quantile: float = QUANTILE, margin: float = MARGIN,
-                          limit: int = TRUSTED_DOCS, **sizes) -> DataFrame:
+                          **sizes) -> DataFrame:
     """``perplexities`` of all rows with ``threshold`` and ``kept``, written to the shared folder."""
-    training, left_out = trusted_split(labels, id_col, limit)
+    training, left_out = trusted_split(labels, id_col)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    model = fit(texts.join(F.broadcast(training), "id", "left_semi"), "text", order, across=True)  # at most ``limit`` ids
+    own = broadcast_when(training, at_most(training, BROADCAST_KEYS))
+    model = fit(texts.join(own, "id", "left_semi"), "text", order, across=True)
     scores = materialise(perplexities(docs, model, id_col=id_col, text_col=text_col, lang_col=lang_col, **sizes), "perplexities")
     known = scores.join(left_out, "id", "left_semi").where("perplexity IS NOT NULL")
     cut = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000)) * margin
@@ -457,12 +456,12 @@ def scored_with_threshold(docs: DataFrame, labels: DataFrame, *, id_col: str = "
 def classified(docs: DataFrame, labels: DataFrame, *, text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
     """The rows of ``docs`` that are kept, unchanged.
 
-    Rejected keys are written and counted; up to ``BROADCAST_REJECTED`` are sent to all tasks, beyond
+    Rejected keys are written and counted; up to ``BROADCAST_KEYS`` are sent to all tasks, beyond
     that both sides are shuffled by key.
     """
     judged = scored_with_threshold(docs, labels, text_col=text_col, lang_col=lang_col, **options)
     rejected = materialise(judged.where(~F.col("kept")).select(F.col("text_key").alias("_key"), F.col("text_check").alias("_check")).distinct(), "rejected")
-    small = broadcast_when(rejected, at_most(rejected, BROADCAST_REJECTED))
+    small = broadcast_when(rejected, at_most(rejected, BROADCAST_KEYS))
     lang, text = F.col(lang_col), F.col(text_col)
     keyed = docs.withColumns({"_key": text_key(lang, text), "_check": text_check(lang, text)})
     return keyed.join(small, ["_key", "_check"], "left_anti").select(*docs.columns)

@@ -162,3 +162,9 @@ def test_pair_probabilities_equal_a_plain_model(spark):
     for r in perplexities(docs, model, block_bytes=60, shard_bytes=90).collect():
         own = [None, *WORD.findall(asked[r.id] or "")]
         assert math.isclose(r.log_prob, sum(math.log(p(b, w)) for b, w in zip(own, own[1:], strict=False)), rel_tol=1e-5, abs_tol=1e-6)
+
+
+def test_all_trusted_documents_train_or_calibrate(spark):
+    labels = spark.range(70_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    training, left_out = (part.count() for part in trusted_split(labels))
+    assert training + left_out == 70_000 and 13_000 < left_out < 15_000
