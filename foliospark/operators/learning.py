@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.generate import let
 from ..functions.keys import stable_hash
 
 
@@ -125,10 +126,9 @@ def checked_records(records: DataFrame, wanted: StructType, value: str = "value"
     A record is refused when it is no JSON object, lacks a field or holds null in one that must have a value, has a field
     nobody asked for, or a value that is not of the field's type.
     """
-    raw = F.from_json(value, "map<string,string>")
-    keys = F.json_object_keys(value)
     names = F.lit([f.name for f in wanted]) if len(wanted) else F.array().cast("array<string>")
-    parsed = records.withColumn("parsed", F.from_json(value, wanted)).withColumn("_raw", raw).withColumn("_keys", keys)
+    read = F.struct(F.from_json(value, wanted).alias("parsed"), F.json_object_keys(value).alias("keys"))
+    text_of = F.from_json(value, "map<string,string>")
 
     def listed(label: str, found: Column) -> Column:
         return F.when(F.size(found) > 0, F.concat(F.lit(f"{label}: "), F.array_join(F.array_sort(found), ",")))
@@ -137,19 +137,40 @@ def checked_records(records: DataFrame, wanted: StructType, value: str = "value"
         return F.filter(F.array(*[F.when(test(f), F.lit(f.name)) for f in wanted]) if len(wanted) else F.array().cast("array<string>"),
                         lambda x: x.isNotNull())
 
-    missing = F.array_except(names, F.col("_keys"))
-    extra = F.array_except(F.col("_keys"), names)
-    wrong = fields(lambda f: F.try_element_at("_raw", F.lit(f.name)).isNotNull() & F.col(f"parsed.`{f.name}`").isNull())
-    empty = fields(lambda f: F.array_contains("_keys", f.name) & F.try_element_at("_raw", F.lit(f.name)).isNull() & F.lit(not f.nullable))
-    reasons = F.when(F.col("_keys").isNull(), F.array(F.lit("malformed"))).otherwise(F.filter(F.array(
-        listed("missing", missing), listed("extra", extra), listed("type", wrong), listed("null", empty)), lambda x: x.isNotNull()))
-    return parsed.withColumn("reasons", reasons).drop("_raw", "_keys")
+    def judged(record: Column) -> Column:
+        parsed, keys = record["parsed"], record["keys"]
+        missing, extra = F.array_except(names, keys), F.array_except(keys, names)
 
+        def of_values(raw: Column) -> Column:
+            wrong = fields(lambda f: F.try_element_at(raw, F.lit(f.name)).isNotNull() & parsed[f.name].isNull())
+            empty = fields(lambda f: F.array_contains(keys, f.name) & F.try_element_at(raw, F.lit(f.name)).isNull() & F.lit(not f.nullable))
+            return F.array(listed("type", wrong), listed("null", empty))
 
-def refused_records(records: DataFrame, folder: str, keep: str | StructType = "") -> DataFrame:
-    """Reject table: records (value) that do not fit the model's stored signature and the ``keep`` fields, with their reasons."""
-    checked = checked_records(records, _with_kept(stored_signature(records.sparkSession, folder), keep))
-    return checked.where(F.size("reasons") > 0).select("value", "reasons")
+        whole = F.lit(all(f.nullable for f in wanted))  # values that are all there need no second look
+        for f in wanted:
+            whole = whole & parsed[f.name].isNotNull()
+        values = F.when(whole, F.array().cast("array<string>")).otherwise(let(text_of, of_values))
+        reasons = F.when(keys.isNull(), F.array(F.lit("malformed"))).otherwise(F.filter(F.concat(F.array(
+            listed("missing", missing), listed("extra", extra)), values), lambda x: x.isNotNull()))
+        return F.struct(parsed.alias("parsed"), reasons.alias("reasons"))
+
+    # Bound and exploded in the outer form: a filter on the reasons is not pushed below with copies of the parsers.
+    own = [c for c in records.columns if c not in ("parsed", "reasons")]
+    return records.select(*own, F.explode_outer(F.array(let(read, judged))).alias("_checked")).select(*own, "_checked.parsed", "_checked.reasons")
+
+
+def checked_for(records: DataFrame, folder: str, keep: str | StructType = "") -> DataFrame:
+    """``checked_records`` by the signature stored with the model and the ``keep`` fields."""
+    return checked_records(records, _with_kept(stored_signature(records.sparkSession, folder), keep))
+
+
+def refused_records(records: DataFrame, folder: str, keep: str | StructType = "", *, checked: bool = False) -> DataFrame:
+    """Reject table: records (value) that do not fit the model's stored signature and the ``keep`` fields, with their reasons.
+
+    ``checked`` records are those of ``checked_for`` with the same ``keep`` fields; they are not parsed again.
+    """
+    rows = records if checked else checked_for(records, folder, keep)
+    return rows.where(F.size("reasons") > 0).select("value", "reasons")
 
 
 def _with_kept(wanted: StructType, keep: str | StructType) -> StructType:
@@ -157,13 +178,13 @@ def _with_kept(wanted: StructType, keep: str | StructType) -> StructType:
     return StructType([*kept.fields, *[f for f in wanted if f.name not in kept.names]])
 
 
-def score_json(records: DataFrame, folder: str, keep: str | StructType = "") -> DataFrame:
+def score_json(records: DataFrame, folder: str, keep: str | StructType = "", *, checked: bool = False) -> DataFrame:
     """JSON records in, JSON records with the ``keep`` fields and a prediction out; refused records are left out.
 
-    Fields are those of the signature stored with the model; it is loaded once by the driver.
+    Fields are those of the signature stored with the model; it is loaded once by the driver. ``checked`` as in
+    ``refused_records``.
     """
     model = PipelineModel.load(f"{folder}/model")
-    wanted = _with_kept(stored_signature(records.sparkSession, folder), keep)
-    good = checked_records(records, wanted).where(F.size("reasons") == 0).select("parsed.*")
+    good = (records if checked else checked_for(records, folder, keep)).where(F.size("reasons") == 0).select("parsed.*")
     names = _with_kept(StructType(), keep).names
     return model.transform(good).select(F.to_json(F.struct(*names, "prediction")).alias("value"))

@@ -100,3 +100,11 @@ def test_a_broken_model_misses_the_floor(spark):
     assert all(r.found for r in queries._found(learning.decision_tree(rows.where("split = 'train'")), rows).collect())
     broken = rows.withColumn("label", F.when(F.col("split") == "train", F.col("doc_id") % 2).otherwise(F.col("label")).cast("double"))
     assert not all(r.found for r in queries._found(learning.decision_tree(broken.where("split = 'train'")), broken).collect())
+
+
+def test_a_record_is_parsed_once_for_its_reasons_and_fields(spark):
+    records = spark.createDataFrame([('{"x": 1}',), ('{"x": "a"}',)], "value string")
+    checked = learning.checked_records(records, StructType.fromDDL("x double, y double, z int"))
+    for rows in (checked.where("size(reasons) > 0"), checked.where("size(reasons) = 0").select("parsed.*")):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert 1 <= plan.count("from_json(") + plan.count("jsontostructs(") <= 2  # the fields, and the texts of values that are not there
