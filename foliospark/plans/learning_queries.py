@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import tokens
 from ..operators import evaluation, learning, ordering
-from ..session import table, work_folder
+from ..session import materialise, table, work_folder
 from .registry import query
 
 _FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
@@ -98,9 +98,9 @@ def refused_records(spark, sf):
         fault == 3, F.concat(F.lit("["), F.to_json(F.struct(*plain)))).when(
         fault == 4, F.to_json(F.struct(*others, F.col("l_discount").alias("discount"), F.lit(1.5).alias("l_linenumber")))).otherwise(
         F.to_json(F.struct(*plain)))
-    records = rows.select(damaged.alias("value"))
-    refused = learning.refused_records(records, folder, "l_orderkey long").select(F.array_join("reasons", ";").alias("outcome"))
-    accepted = learning.score_json(records, folder, "l_orderkey long").select(F.lit("accepted").alias("outcome"))
+    checked = materialise(learning.checked_for(rows.select(damaged.alias("value")), folder, "l_orderkey long"), "checked-records")
+    refused = learning.refused_records(checked, folder, "l_orderkey long", checked=True).select(F.array_join("reasons", ";").alias("outcome"))
+    accepted = learning.score_json(checked, folder, "l_orderkey long", checked=True).select(F.lit("accepted").alias("outcome"))
     return refused.unionByName(accepted).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
