@@ -13,14 +13,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 WIDTH = 64
-CACHED_TOKENS = 500_000
+CACHED_TOKENS = 200_000
+PIECE_CHARS = 1 << 20  # of the texts whose tokens are numbered together
 Embedder = Callable[[list[str]], np.ndarray]
 
 
 class HashingEmbedder:
     """Signed feature hashing of whitespace tokens; the same text gives the same vector anywhere.
 
-    Tokens of a whole batch are split and numbered by Arrow; only distinct tokens are hashed.
+    Tokens of many texts are split and numbered by Arrow, so only distinct tokens are hashed; a batch is taken in
+    pieces of bounded size, as its tokens take many times the memory of its texts.
     """
 
     def __init__(self, width: int = WIDTH):
@@ -37,6 +39,13 @@ class HashingEmbedder:
         return cell
 
     def __call__(self, texts: list[str]) -> np.ndarray:
+        out, before = np.zeros((len(texts), self.width)), np.cumsum([0, *map(len, texts)])[:-1]
+        cuts = [0, *(np.flatnonzero(np.diff(before // PIECE_CHARS)) + 1).tolist(), len(texts)]
+        for low, high in zip(cuts, cuts[1:]):
+            out[low:high] = self._counted(texts[low:high])
+        return out
+
+    def _counted(self, texts: list[str]) -> np.ndarray:
         words = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))  # the gaps of TOKEN_GAP
         flat = words.flatten().dictionary_encode()
         cells = np.array([self._cell(t) for t in flat.dictionary.to_pylist()], np.int64)[flat.indices.to_numpy()]

@@ -1,5 +1,7 @@
 """Random inputs against plain Python."""
 
+import tracemalloc
+
 import random
 import re
 
@@ -60,3 +62,13 @@ def test_quadratic_inputs_stay_fast(spark):
     out = df.select(text.clean_source_text(F.col("t")), text.redact(F.col("t")), html.readable_text(F.col("t")),
                     F.size(chunking.sentences(F.col("t")))).collect()
     assert len(out) == len(bodies)
+
+
+def test_embedding_many_texts_takes_little_memory():
+    texts = [" ".join(f"w{(i * j) % 997}" for j in range(256)) for i in range(4_000)]
+    tracemalloc.start()
+    vectors = HashingEmbedder()(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert vectors.shape == (4_000, 64) and (vectors[3_999] == HashingEmbedder()(texts[-1:])[0]).all()
+    assert peak < 20 << 20  # 5 MB of texts, a million tokens
