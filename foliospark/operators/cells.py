@@ -5,10 +5,12 @@ angle between its pivot and a member. A question first searches one part of its
 it a floor: the score its k-th best has at least. By the triangle inequality no member of a cell scores
 above ``cos(angle to the pivot - radius)``; cells where that is below the floor are skipped.
 
-Questions travel to the cells they visit; the corpus is dealt by cell once per pass and never repeated.
-A cell with very many members (copies fall into one cell) is cut into parts by a hash of the id. A task
+Neighbouring cells are packed until they fill a task. Questions travel to the packs that hold a cell they
+visit, once to each with a bit per cell; the corpus is dealt by pack once per pass and never repeated.
+A pack with very many members (copies fall into one cell) is cut into parts by a hash of the id. A task
 holds one part and reads its questions in batches after it, so neither many members nor many questions of
-a cell need memory. Where angles tell little (vectors without clusters) most cells are visited and the
+a cell need memory, and only meets the cells that some of the questions at hand visit. There are two packs a
+core, more where their rows would not fit a task: so often a question travels at most, however many cells there are. Where angles tell little (vectors without clusters) most cells are visited and the
 search is the plain blocked product.
 """
 
@@ -24,20 +26,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .similarity import BLOCK_ROWS, BROADCAST_VALUES, MATCHES, Rules, Search, Vectors
+from .similarity import BLOCK_ROWS, BROADCAST_VALUES, MATCHES, QUESTION_ROWS, Rules, Search, Vectors
 
 MAX_PIVOTS = 1024
+PART_VALUES = 8_000_000  # numbers of the members a task holds (64 MB)
 ANGLE_SLACK, SCORE_SLACK = 1e-6, 1.5e-6  # rounding of scores and of angles near zero
 ASSIGNED = "cell int, angle double, id long, vector array<double>, grp long"
 
 
 @dataclass
 class Cells:
-    """An index of a corpus: pivots, radius and parts of every cell, and the members as a written table."""
+    """An index of a corpus: pivots, radius, pack and parts of every cell, and the members as a written table."""
 
     pivots: np.ndarray
     radius: np.ndarray
-    parts: np.ndarray  # 0 for an empty cell
+    pack: np.ndarray
+    parts: np.ndarray  # of the cell's pack; 0 for an empty cell
     members: DataFrame  # cell, id, vector, grp
 
     @property
@@ -75,12 +79,27 @@ def build_cells(corpus: DataFrame, block_rows: int = BLOCK_ROWS, max_pivots: int
     if not len(pivots):
         pivots = np.zeros((0, 1))
         empty = corpus.sparkSession.createDataFrame([], ASSIGNED).drop("angle")
-        return Cells(pivots, np.zeros(0), np.zeros(0, np.int64), empty)
+        return Cells(pivots, np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64), empty)
     members = materialise(corpus.mapInArrow(assign, ASSIGNED), "cells")
-    radius, parts = np.zeros(len(pivots)), np.zeros(len(pivots), np.int64)
+    radius, sizes = np.zeros(len(pivots)), np.zeros(len(pivots), np.int64)
     for row in members.groupBy("cell").agg(F.max("angle").alias("radius"), F.count(F.lit(1)).alias("n")).collect():  # a row per pivot
-        radius[row.cell], parts[row.cell] = row.radius, -(-row.n // block_rows)
-    return Cells(pivots, radius, parts, members.drop("angle"))
+        radius[row.cell], sizes[row.cell] = row.radius, row.n
+    tasks = 2 * corpus.sparkSession.sparkContext.defaultParallelism
+    pack, parts = _packs(pivots, sizes, max(1, min(block_rows, PART_VALUES // pivots.shape[1], -(-int(sizes.sum()) // tasks))))
+    return Cells(pivots, radius, pack, parts, members.drop("angle"))
+
+
+def _packs(pivots: np.ndarray, sizes: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pack of every cell, and the parts of that pack: chains of near cells of at most ``rows`` members, or one larger cell."""
+    near, left, at = pivots @ pivots.T, sizes > 0, int(sizes.argmax())
+    pack, filled = np.zeros(len(sizes), np.int64), [0]
+    while left.any():
+        if filled[-1] and filled[-1] + sizes[at] > rows:
+            filled.append(0)
+        pack[at], left[at] = len(filled) - 1, False
+        filled[-1] += int(sizes[at])
+        at = int(np.where(left, near[at], -np.inf).argmax())
+    return pack, np.where(sizes > 0, -(-np.array(filled)[pack] // rows), 0)
 
 
 def _lists(matrix: np.ndarray) -> pa.Array:
@@ -88,10 +107,16 @@ def _lists(matrix: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(sizes), pa.array(matrix.ravel()))
 
 
+ROUTED = "id long, vector array<double>, grp long, cell int, visits binary, packs array<int>, n_cells int"
+
+
 def _routed(questions: DataFrame, cells: Cells, floors: DataFrame | None, n_rules: int) -> DataFrame:
-    """Questions with the cells they visit: the nearest one, or all that their floors leave."""
+    """Questions with the cells they visit (a bit for each that is used) and the packs of these: the nearest one, or all that
+    their floors leave. ``cell`` is the nearest."""
     pivots, radius, used = cells.pivots[cells.used], cells.radius[cells.used], cells.used
-    seeded = floors is not None
+    packs, seeded = cells.pack[used], floors is not None
+    of_pack = np.argsort(packs, kind="stable")
+    own, first = np.unique(packs[of_pack], return_index=True)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,37 +124,66 @@ def _routed(questions: DataFrame, cells: Cells, floors: DataFrame | None, n_rule
             floor = dict(zip(table["id"].to_pylist(), table["floors"].to_pylist(), strict=True)) if seeded else {}
             for piece in Vectors.from_arrow(table).pieces(2048):
                 angles = _angles(piece.unit, pivots)
+                nearest = angles.argmin(axis=1)
                 if not seeded:
-                    visits = angles == angles.min(axis=1, keepdims=True)
-                    visits &= np.cumsum(visits, axis=1) == 1
+                    visits = np.arange(len(used)) == nearest[:, None]
                 else:
                     bound = np.cos(np.maximum(0.0, angles - radius - ANGLE_SLACK)) + SCORE_SLACK
                     lowest = np.array([min(floor[i]) if floor[i] and len(floor[i]) == n_rules else -np.inf for i in piece.ids.tolist()])
                     visits = bound >= lowest[:, None]
-                row, col = np.nonzero(visits)
-                ends = np.concatenate([[0], np.cumsum(visits.sum(axis=1))]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(used[col].astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([pa.array(piece.ids), _lists(piece.unit), pa.array(piece.group), lists],
-                                                 names=["id", "vector", "grp", "cells"])
+                row, col = np.nonzero(np.logical_or.reduceat(visits[:, of_pack], first, axis=1))
+                ends = np.searchsorted(row, np.arange(len(visits) + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(piece.ids), _lists(piece.unit), pa.array(piece.group), pa.array(used[nearest].astype(np.int32)),
+                     pa.array([bits.tobytes() for bits in np.packbits(visits, axis=1)], pa.binary()),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(own[col].astype(np.int32))), pa.array(visits.sum(axis=1).astype(np.int32))],
+                    names=["id", "vector", "grp", "cell", "visits", "packs", "n_cells"])
 
     if seeded:
         questions = questions.join(floors, "id", "left")
-    return questions.mapInArrow(route, "id long, vector array<double>, grp long, cells array<int>")
+    return questions.mapInArrow(route, ROUTED)
 
 
 def _parts_of(cells: Cells):
-    return F.element_at(F.lit(cells.parts.astype(int).tolist()), F.col("cell") + 1)
+    """Parts of a pack, by the ``pack`` column."""
+    parts = np.zeros(int(cells.pack.max()) + 1, np.int64)
+    parts[cells.pack[cells.used]] = cells.parts[cells.used]
+    return F.element_at(F.lit(parts.tolist()), F.col("pack") + 1)
+
+
+def _blocks(held: list[pa.Table]) -> list[tuple[int, Vectors]]:
+    """Members of one part by cell."""
+    rows = pa.concat_tables(held)
+    cell = rows["cell"].to_numpy()
+    cuts = [0, *(np.flatnonzero(np.diff(cell)) + 1).tolist(), len(cell)]
+    return [(int(cell[low]), Vectors.from_arrow(rows.slice(low, high - low))) for low, high in zip(cuts, cuts[1:])]
+
+
+def _found(rows: pa.Table, blocks: list[tuple[int, Vectors]], used: np.ndarray, rules: Sequence[Rules]) -> Iterator[pa.RecordBatch]:
+    """Best matches of questions in the blocks of the cells they visit; questions of one nearest cell follow one another."""
+    places = np.searchsorted(used, [cell for cell, _ in blocks])
+    for low in range(0, rows.num_rows, QUESTION_ROWS):
+        piece = rows.slice(low, QUESTION_ROWS)
+        bits = np.frombuffer(b"".join(piece["visits"].to_pylist()), np.uint8).reshape(piece.num_rows, -1)
+        wanted = np.unpackbits(np.bitwise_or.reduce(bits, axis=0)).astype(bool)[places]
+        search = Search(Vectors.from_arrow(piece), rules)
+        for visited, (_, block) in zip(wanted, blocks, strict=True):
+            if visited:
+                search.add(block)
+        yield from search.matches()
 
 
 def _meet(questions: DataFrame, cells: Cells, rules: Sequence[Rules]) -> DataFrame:
-    """Best matches of questions (cell, part, id, vector, grp) in the parts they visit."""
-    members = cells.members.select("cell", F.pmod(F.xxhash64("id"), _parts_of(cells).cast("long")).cast("int").alias("part"),
-                                   F.lit(0).alias("side"), "id", "vector", "grp")
-    asked = questions.select("cell", "part", F.lit(1).alias("side"), "id", "vector", "grp")
-    dealt = members.unionByName(asked).repartition("cell", "part").sortWithinPartitions("cell", "part", "side")
+    """Best matches of questions (pack, part, cell, visits, id, vector, grp) in the parts they visit."""
+    used, n_parts = cells.used, int(cells.parts[np.unique(cells.pack[cells.used], return_index=True)[1]].sum())
+    packed = cells.members.withColumn("pack", F.element_at(F.lit(cells.pack.tolist()), F.col("cell") + 1).cast("int"))
+    members = packed.select("pack", F.pmod(F.xxhash64("id"), _parts_of(cells)).cast("int").alias("part"), F.lit(0).alias("side"),
+                            "cell", F.lit(None).cast("binary").alias("visits"), "id", "vector", "grp")
+    asked = questions.select("pack", "part", F.lit(1).alias("side"), "cell", "visits", "id", "vector", "grp")
+    dealt = members.unionByName(asked).repartition(4 * n_parts, "pack", "part").sortWithinPartitions("pack", "part", "side", "cell")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, block = None, [], None
+        key, held, blocks = None, [], None
         for batch in batches:
             place = np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1)
             cuts = np.flatnonzero((place[1:] != place[:-1]).any(axis=1)) + 1
@@ -138,16 +192,13 @@ def _meet(questions: DataFrame, cells: Cells, rules: Sequence[Rules]) -> DataFra
                     continue
                 rows = pa.Table.from_batches([batch.slice(low, high - low)])
                 if key != (place[low, 0], place[low, 1]):
-                    key, held, block = (place[low, 0], place[low, 1]), [], None
+                    key, held, blocks = (place[low, 0], place[low, 1]), [], None
                 if place[low, 2] == 0:
                     held.append(rows)
                     continue
-                if block is None:
-                    block, held = Vectors.from_arrow(pa.concat_tables(held)) if held else None, []
-                if block is not None:
-                    search = Search(Vectors.from_arrow(rows), rules)
-                    search.add(block)
-                    yield from search.matches()
+                if blocks is None:
+                    blocks, held = _blocks(held) if held else [], []
+                yield from _found(rows, blocks, used, rules)
 
     return dealt.mapInArrow(meet, MATCHES)
 
@@ -157,14 +208,14 @@ def search_cells(questions: DataFrame, cells: Cells, rules: Sequence[Rules]) ->
     if not len(cells.used):
         spark = questions.sparkSession
         return spark.createDataFrame([], MATCHES), spark.createDataFrame([], "id long, n_cells int")
-    nearest = _routed(questions, cells, None, len(rules)).withColumn("cell", F.explode("cells"))
-    one_part = nearest.withColumn("part", F.pmod(F.xxhash64("id"), _parts_of(cells).cast("long")).cast("int"))
+    nearest = _routed(questions, cells, None, len(rules)).withColumn("pack", F.get("packs", 0))
+    one_part = nearest.withColumn("part", F.pmod(F.xxhash64("id"), _parts_of(cells)).cast("int"))
     wanted = F.element_at(F.lit([rule.k for rule in rules]), F.col("rule") + 1)
     seeds = _meet(one_part, cells, rules).groupBy("question_id", "rule").agg(F.min("score").alias("floor"), F.count(F.lit(1)).alias("n"))
     floors = seeds.where(F.col("n") >= wanted).groupBy(F.col("question_id").alias("id")).agg(F.collect_list("floor").alias("floors"))  # one a rule
     routed = materialise(_routed(questions, cells, floors, len(rules)), "routes")
-    visits = routed.withColumn("cell", F.explode("cells")).withColumn("part", F.explode(F.sequence(F.lit(0), _parts_of(cells).cast("int") - 1)))
-    return _meet(visits, cells, rules), routed.select("id", F.size("cells").alias("n_cells"))
+    visits = routed.withColumn("pack", F.explode("packs")).withColumn("part", F.explode(F.sequence(F.lit(0), _parts_of(cells).cast("int") - 1)))
+    return _meet(visits, cells, rules), routed.select("id", "n_cells")
 
 
 def skipped_share(visits: DataFrame, cells: Cells) -> float:

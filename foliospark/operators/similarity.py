@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BROADCAST_VALUES = 4_000_000      # numbers in the broadcast question matrix (32 MB)
-BLOCK_ROWS = 20_000               # corpus rows per part of a cell
+BLOCK_ROWS = 100_000              # corpus rows a task holds at most
 QUESTION_ROWS, DOC_ROWS = 512, 8192  # one product inside a task
 DIGITS = 6
 MATCHES = "rule int, question_id long, doc_id long, score double"

@@ -1,9 +1,8 @@
 """Random inputs against plain Python."""
 
-import tracemalloc
-
 import random
 import re
+import tracemalloc
 
 from hypothesis import given, settings
 from hypothesis import strategies as st

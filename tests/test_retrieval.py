@@ -75,6 +75,26 @@ def test_cells_skip_what_cannot_win(spark):
     assert plan.count("Generate explode") == 2  # questions by cell and by part, never the corpus
 
 
+def test_a_question_travels_to_packs_and_not_to_cells(spark):
+    """Where no cell can be skipped a question is sent as often as there are packs, of which there are two a core."""
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=24)], 0) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "id long, vector array<double>, grp long")
+    cells = build_cells(docs)
+    matches, visits = search_cells(docs.where("id < 100"), cells, [Rules(3, True)])
+    packs = len(set(cells.pack[cells.used].tolist()))
+    assert len(cells.used) > 50 and packs <= 4 * spark.sparkContext.defaultParallelism + 1
+    assert skipped_share(visits, cells) < 0.5
+    assert matches.count() <= 100 * 3 * packs
+    unit = np.array([v for _, v, _ in rows])
+    unit /= np.sqrt((unit * unit).sum(axis=1, keepdims=True))
+    found = matches.where("question_id = 7").collect()
+    scores = np.round(unit @ unit[7], 6)
+    scores[7] = -9
+    best = np.lexsort((np.arange(4000), -scores))[:3].tolist()
+    assert [r.doc_id for r in sorted(found, key=lambda r: (-r.score, r.doc_id))[:3]] == best
+
+
 def test_two_rules_in_one_search(spark):
     rows, df = frames(spark)
     for size in ({}, {"broadcast_values": 40, "block_rows": 50}):
