@@ -44,12 +44,15 @@ class PostingIndex:
         own = materialise(rows.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).where("text IS NOT NULL"), "search-batch")
         postings = explode_rows(own, ["key"], runs_of(F.col("text")), "run").distinct()
         placed = postings.withColumn("bucket", F.pmod(F.xxhash64("run"), F.lit(self.n_buckets)))
-        self._write(placed.repartition("bucket").sortWithinPartitions("bucket", "run"), "postings", batch)
-        self._write(placed.groupBy("bucket", "run").agg(F.count(F.lit(1)).alias("n")).repartition("bucket"), "counts", batch)
-        self._write(own.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(self.n_buckets))).repartition("bucket"), "texts", batch)
-
-    def _write(self, rows: DataFrame, kind: str, batch: str) -> None:
-        rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/{kind}/batch={batch}")
+        stored = self._write(placed, "postings", batch, "run")
+        self._write(stored.groupBy("bucket", "run").agg(F.count(F.lit(1)).alias("n")), "counts", batch)
+        self._write(own.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(self.n_buckets))), "texts", batch)
+
+    def _write(self, rows: DataFrame, kind: str, batch: str, *order: str) -> DataFrame:
+        """A file per bucket, or several of bounded size for one that would not fit a task; returns the stored rows."""
+        folder = f"{self.root}/{kind}/batch={batch}"
+        rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", *order).write.mode("overwrite").partitionBy("bucket").parquet(folder)
+        return self.spark.read.schema(rows.schema).parquet(folder)
 
     def _read(self, kind: str, schema: str) -> DataFrame:
         try:
