@@ -8,6 +8,7 @@ from ..functions import constants, embedding, keys
 from ..functions.tables import line_splitter
 from ..functions.text import judge_score
 from ..operators import chat, evaluation, retrieval
+from ..operators.sizes import BROADCAST_ROWS, at_most, broadcast_when
 from ..session import materialise, spread, table, work_folder
 from ..sources import datasets
 from .answer import AnswerCache, AnswerSettings, acronym_expander, answer_questions, personal_data_remover, post_process
@@ -133,8 +134,9 @@ def ingest_and_search(spark, sf):
         "dataset", keys.document_key(F.col("dataset"), F.col("doc_id").cast("string")).alias("dockey"),
         "doc_id", "text"), unique_keys=True, embedder=embedding.embed)
     chunks = store.search_table()
-    hits = retrieval.retrieve_chunks(question_table(spark, sf), chunks, 3, 0)
-    return chunks.select("chunk_id", "dataset", "doc", "chunk_no").join(hits, "chunk_id").select("question_id", "dataset", "doc", "chunk_no", "score", "rank")
+    hits = materialise(retrieval.retrieve_chunks(question_table(spark, sf), chunks, 3, 0), "hits")
+    few = broadcast_when(hits, at_most(hits, BROADCAST_ROWS))
+    return chunks.select("chunk_id", "dataset", "doc", "chunk_no").join(few, "chunk_id").select("question_id", "dataset", "doc", "chunk_no", "score", "rank")
 
 
 @query("lifecycle_evaluation", f"""

@@ -50,9 +50,9 @@ class DatasetStore:
             return self.spark.createDataFrame([], schema)  # nothing was appended yet
 
     def _append(self, frame: DataFrame, kind: str, schema: str) -> None:
-        """Balanced by size, so an append adds few files per dataset and none for a small one beyond one."""
+        """Rows of a balanced batch, without another shuffle."""
         rows = frame.select([c.split()[0] for c in schema.split(", ")])
-        rows.hint("rebalance", "dataset").write.mode("append").partitionBy("dataset").parquet(f"{self.root}/{kind}")
+        rows.write.mode("append").option("compression", "zstd").partitionBy("dataset").parquet(f"{self.root}/{kind}")
 
     def docs(self) -> DataFrame:
         return self._read("docs", DOCS)
@@ -79,23 +79,32 @@ class DatasetStore:
                              "name", F.col("text").alias("chunk"), "prev", "next", F.col("embedding").alias("vector"))
 
     def unknown_docs(self, docs: DataFrame) -> DataFrame:
-        """Documents whose key is not stored yet; only keys are read and compared."""
-        keys = docs.select("dataset", "dockey").join(self.docs().select("dataset", "dockey"), ["dataset", "dockey"], "left_anti")
-        return docs.join(keys, ["dataset", "dockey"], "left_semi")
+        """Documents whose key is not stored yet; only keys are read and compared. Texts are not shuffled while none is known."""
+        named = docs.where("dataset IS NOT NULL AND dockey IS NOT NULL")
+        return self._without(named, self.docs().select("dataset", "dockey"))
+
+    def _without(self, docs: DataFrame, stored: DataFrame) -> DataFrame:
+        """``docs`` but those whose key is among the stored ones, which are first reduced to the keys at hand."""
+        if stored.isEmpty():
+            return docs
+        keys = docs.select("dataset", "dockey")
+        keys = broadcast_when(keys, at_most(keys, BROADCAST_ROWS))
+        known = materialise(stored.join(keys, ["dataset", "dockey"], "left_semi").distinct(), "known-keys")
+        if known.isEmpty():
+            return docs
+        return docs.join(broadcast_when(known, at_most(known, BROADCAST_ROWS)), ["dataset", "dockey"], "left_anti")
 
     def append(self, docs: DataFrame, chunker: Callable[[DataFrame], DataFrame]) -> None:
         """Store documents that are new, and their chunks.
 
-        The batch is written to the work folder once, so whatever produced it runs only once.
+        The batch is written to the work folder once, so whatever produced it runs only once. It is balanced by data set and
+        size there, before texts are cut and repeated, so an append adds few files per dataset and none for a small one beyond one.
         """
-        batch = materialise(docs, "ingest-batch")
+        batch = materialise(docs.hint("rebalance", "dataset"), "ingest-batch", "zstd")
         if batch.isEmpty():
             return
         # An append that died may have left chunks of this batch. Only the batch's keys are looked up, in its data sets' folders.
-        keys = batch.select("dataset", "dockey")
-        keys = broadcast_when(keys, at_most(keys, BROADCAST_ROWS))
-        known = self.chunks().select("dataset", F.col("doc").alias("dockey")).join(keys, ["dataset", "dockey"], "left_semi").distinct()
-        self._append(chunker(batch.join(known, ["dataset", "dockey"], "left_anti")), "chunks", CHUNKS)
+        self._append(chunker(self._without(batch, self.chunks().select("dataset", F.col("doc").alias("dockey")))), "chunks", CHUNKS)
         self._append(batch, "docs", DOCS)
 
     def class_counts(self) -> DataFrame:

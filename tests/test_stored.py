@@ -6,6 +6,8 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from foliospark.plans.ingest import chunk_documents
+from foliospark.sources.datasets import DOCS, DatasetStore
 from foliospark.operators import retrieval
 from foliospark.operators.search import PostingIndex
 from foliospark.operators.terms import TermStore, term_scores
@@ -104,3 +106,26 @@ def test_answers_are_remembered_once(spark):
     assert [(r.question, r.answer) for r in cache.entries().collect()] == [("why", "a")]
     cache.remember(spark.createDataFrame([(9, "why", "c"), (3, "how", "d")], "question_id long, question string, answer string"))
     assert sorted((r.question, r.answer) for r in cache.entries().collect()) == [("how", "d"), ("why", "c")]
+
+
+def test_a_bucket_that_would_not_fit_a_task_is_several_files(spark):
+    rows = spark.range(4000).select(F.col("id").alias("k"), F.concat(F.lit("brand "), F.sha2(F.col("id").cast("string"), 256)).alias("t"))
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        index = PostingIndex(spark, work_folder(spark, "one-bucket"), 1)
+        index.append(rows, "k", "t", "all")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    assert len(spark.read.parquet(f"{index.root}/postings").inputFiles()) > 1
+    assert index.search("BRAND ").count() == 4000
+
+
+def test_texts_are_not_joined_while_no_key_is_known(spark):
+    store = DatasetStore(spark, work_folder(spark, "fresh-store"))
+    docs = spark.createDataFrame([("a", "k1", 1, "x y"), ("a", "k2", 2, "z"), (None, "k3", 3, "n"), ("a", None, 4, "n")], DOCS)
+    fresh = store.unknown_docs(docs)
+    assert "Join" not in fresh._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.dockey for r in fresh.collect()) == ["k1", "k2"]
+    store.append(docs.where("doc_id = 1"), lambda batch: chunk_documents(batch))
+    assert [r.dockey for r in store.unknown_docs(docs).collect()] == ["k2"]
