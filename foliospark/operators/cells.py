@@ -6,10 +6,11 @@ it a floor: the score its k-th best has at least. By the triangle inequality no
 above ``cos(angle to the pivot - radius)``; cells where that is below the floor are skipped.
 
 Neighbouring cells are packed until they fill a task. Questions travel to the packs that hold a cell they
-visit, once to each with a bit per cell; the corpus is dealt by pack once per pass and never repeated.
-A pack with very many members (copies fall into one cell) is cut into parts by a hash of the id. A task
-holds one part and reads its questions in batches after it, so neither many members nor many questions of
-a cell need memory, and only meets the cells that some of the questions at hand visit. There are two packs a
+visit, once to each with a bit per cell; the corpus is dealt by pack once per pass and slice.
+A pack with very many members (copies fall into one cell) is cut into parts by a hash of the id, and very many
+questions into slices, each of which meets every part. A task is dealt one part and one slice, no more, and reads the
+questions in batches after the part, so neither many members nor many questions need memory, in the sort
+before the task either; it only meets the cells that some of the questions at hand visit. There are two packs a
 core, more where their rows would not fit a task: so often a question travels at most, however many cells there are. Where angles tell little (vectors without clusters) most cells are visited and the
 search is the plain blocked product.
 """
@@ -30,6 +31,7 @@ from .similarity import BLOCK_ROWS, BROADCAST_VALUES, MATCHES, QUESTION_ROWS, Ru
 
 MAX_PIVOTS = 1024
 PART_VALUES = 8_000_000  # numbers of the members a task holds (64 MB)
+SLICE_VALUES = 16_000_000  # numbers of the questions dealt to a task (128 MB)
 ANGLE_SLACK, SCORE_SLACK = 1e-6, 1.5e-6  # rounding of scores and of angles near zero
 ASSIGNED = "cell int, angle double, id long, vector array<double>, grp long"
 
@@ -173,14 +175,26 @@ def _found(rows: pa.Table, blocks: list[tuple[int, Vectors]], used: np.ndarray,
         yield from search.matches()
 
 
-def _meet(questions: DataFrame, cells: Cells, rules: Sequence[Rules]) -> DataFrame:
-    """Best matches of questions (pack, part, cell, visits, id, vector, grp) in the parts they visit."""
-    used, n_parts = cells.used, int(cells.parts[np.unique(cells.pack[cells.used], return_index=True)[1]].sum())
+def _dealt(questions: DataFrame, cells: Cells, n_slices: int) -> DataFrame:
+    """Members (side 0) and questions (side 1), a task for every part of a pack and slice of the questions."""
+    first = np.unique(cells.pack[cells.used], return_index=True)[1]
+    parts = np.zeros(int(cells.pack.max()) + 1, np.int64)
+    parts[cells.pack[cells.used][first]] = cells.parts[cells.used][first]
+    before = F.element_at(F.lit((np.cumsum(parts) - parts).tolist()), F.col("pack") + 1)
     packed = cells.members.withColumn("pack", F.element_at(F.lit(cells.pack.tolist()), F.col("cell") + 1).cast("int"))
     members = packed.select("pack", F.pmod(F.xxhash64("id"), _parts_of(cells)).cast("int").alias("part"), F.lit(0).alias("side"),
-                            "cell", F.lit(None).cast("binary").alias("visits"), "id", "vector", "grp")
-    asked = questions.select("pack", "part", F.lit(1).alias("side"), "cell", "visits", "id", "vector", "grp")
-    dealt = members.unionByName(asked).repartition(4 * n_parts, "pack", "part").sortWithinPartitions("pack", "part", "side", "cell")
+                            "cell", F.lit(None).cast("binary").alias("visits"), "id", "vector", "grp",
+                            (F.explode(F.sequence(F.lit(0), F.lit(n_slices - 1))) if n_slices > 1 else F.lit(0)).alias("slice"))
+    asked = questions.select("pack", "part", F.lit(1).alias("side"), "cell", "visits", "id", "vector", "grp",
+                             F.pmod(F.xxhash64(F.lit(7), "id"), F.lit(n_slices)).cast("int").alias("slice"))
+    task = ((before + F.col("part")) * n_slices + F.col("slice")).cast("int")
+    return members.unionByName(asked).repartitionById(int(parts.sum()) * n_slices, task).drop("slice").sortWithinPartitions(
+        "pack", "part", "side", "cell")
+
+
+def _meet(questions: DataFrame, cells: Cells, rules: Sequence[Rules], n_slices: int) -> DataFrame:
+    """Best matches of questions (pack, part, cell, visits, id, vector, grp) in the parts they visit."""
+    used, dealt = cells.used, _dealt(questions, cells, n_slices)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, blocks = None, [], None
@@ -208,14 +222,15 @@ def search_cells(questions: DataFrame, cells: Cells, rules: Sequence[Rules]) ->
     if not len(cells.used):
         spark = questions.sparkSession
         return spark.createDataFrame([], MATCHES), spark.createDataFrame([], "id long, n_cells int")
+    n_slices = max(1, -(-questions.count() * cells.pivots.shape[1] // SLICE_VALUES))
     nearest = _routed(questions, cells, None, len(rules)).withColumn("pack", F.get("packs", 0))
     one_part = nearest.withColumn("part", F.pmod(F.xxhash64("id"), _parts_of(cells)).cast("int"))
     wanted = F.element_at(F.lit([rule.k for rule in rules]), F.col("rule") + 1)
-    seeds = _meet(one_part, cells, rules).groupBy("question_id", "rule").agg(F.min("score").alias("floor"), F.count(F.lit(1)).alias("n"))
+    seeds = _meet(one_part, cells, rules, n_slices).groupBy("question_id", "rule").agg(F.min("score").alias("floor"), F.count(F.lit(1)).alias("n"))
     floors = seeds.where(F.col("n") >= wanted).groupBy(F.col("question_id").alias("id")).agg(F.collect_list("floor").alias("floors"))  # one a rule
     routed = materialise(_routed(questions, cells, floors, len(rules)), "routes")
     visits = routed.withColumn("pack", F.explode("packs")).withColumn("part", F.explode(F.sequence(F.lit(0), _parts_of(cells).cast("int") - 1)))
-    return _meet(visits, cells, rules), routed.select("id", "n_cells")
+    return _meet(visits, cells, rules, n_slices), routed.select("id", "n_cells")
 
 
 def skipped_share(visits: DataFrame, cells: Cells) -> float:

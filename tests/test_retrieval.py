@@ -1,7 +1,9 @@
 import numpy as np
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from foliospark.functions.embedding import HashingEmbedder, embed
+from foliospark.operators import cells as cells_module
 from foliospark.operators import retrieval
 from foliospark.operators.cells import build_cells, search_cells, skipped_share
 from foliospark.operators.similarity import Rules, top_k_by_rule, top_k_similar
@@ -139,3 +141,27 @@ def test_answering_skips_cached_questions_and_keeps_unanswered_ones(spark):
     assert got[1].status == "hit" and got[1].cache_id == 7 and got[1].prompt is None
     assert got[2].context == "alpha beta gamma delta" and got[2].references == "doc"
     assert got[3].context is None and "Question:  " in got[3].prompt
+
+
+def test_a_task_is_dealt_one_part_and_one_slice_of_the_questions(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(size=8)], 0) for i in range(600)]
+    table = spark.createDataFrame(rows, "id long, vector array<double>, grp long").repartition(3)
+    held = {}
+    dealt = cells_module._dealt
+
+    def watched(*args):
+        out = dealt(*args)
+        held.setdefault("tasks", []).append(out.groupBy(F.spark_partition_id().alias("task")).agg(
+            F.count_distinct("pack", "part").alias("parts"), F.count_if(F.col("side") == 1).alias("asked")).collect())
+        return out
+
+    monkeypatch.setattr(cells_module, "_dealt", watched)
+    monkeypatch.setattr(cells_module, "SLICE_VALUES", 100 * 8)
+    found = search_cells(table, build_cells(table, block_rows=100), [Rules(3, True)])[0]
+    best = top_k_by_rule(table, table, [Rules(3, True)], question_id="id", doc_id="id")
+    assert len(held["tasks"]) == 2
+    assert all(t.parts == 1 and t.asked <= 150 for tasks in held["tasks"] for t in tasks)
+    order = Window.partitionBy("question_id").orderBy(F.desc("score"), "doc_id")
+    ranked = found.withColumn("rank", F.row_number().over(order)).where("rank <= 3").select("question_id", "doc_id", "rank")
+    assert sorted(map(tuple, ranked.collect())) == sorted(map(tuple, best.select("question_id", "doc_id", "rank").collect()))
