@@ -50,12 +50,16 @@ def ingest_stream(docs: DataFrame, store: DatasetStore, *, progress: str | None
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+BLOCK_PIECES = 128  # of consecutive numbers in one entry of the state
+
+
 class ReplyAssembler(StatefulProcessor):
-    """State of one request: its pieces by number, one entry each, and how many are there.
+    """State of one request: its pieces in blocks of ``BLOCK_PIECES`` consecutive numbers, one entry each, and how many are there.
 
-    A piece writes its own entry and never the reply so far. A reply that is whole leaves a done mark
-    until its timer fires, so pieces repeated after the last one start nothing new. The timer stands at
-    the newest piece plus the timeout and is the state's time to live: nothing stays behind it.
+    The pieces of a micro-batch read and write the blocks they fall into once, however many they are, and never the
+    reply so far. A reply that is whole leaves a done mark until its timer fires, so pieces repeated after
+    the last one start nothing new. The timer stands at the newest piece plus the timeout and is the state's time to
+    live: nothing stays behind it. Rows are (request_id, piece_no, n_pieces, piece, sent_at).
     """
 
     def __init__(self, timeout_ms: int):
@@ -63,22 +67,28 @@ class ReplyAssembler(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pieces = handle.getMapState("pieces", "piece_no int", "piece string")
+        self.blocks = handle.getMapState("blocks", "block int", "numbers array<int>, pieces array<string>")
         self.progress = handle.getValueState("progress", "known int, wanted int, done boolean, timer long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         known, wanted, done, timer = self.progress.get() if self.progress.exists() else (0, 0, False, 0)
-        newest = 0
-        for row in rows:
-            newest = max(newest, int(row.sent_at.timestamp() * 1000))
-            wanted = max(wanted, row.n_pieces)
+        newest, arrived = None, {}
+        for _, number, n_pieces, piece, sent_at in rows:
+            if newest is None or sent_at > newest:
+                newest = sent_at
+            wanted = max(wanted, n_pieces)
             if not done:
-                known += not self.pieces.containsKey((row.piece_no,))
-                self.pieces.updateValue((row.piece_no,), (row.piece,))
+                arrived.setdefault(None if number is None else number // BLOCK_PIECES, {})[number] = piece
+        newest = max(0, int(newest.timestamp() * 1000))
+        for block, pieces in arrived.items():
+            stored = dict(zip(*self.blocks.getValue((block,)), strict=True)) if known and self.blocks.containsKey((block,)) else {}
+            merged = {**stored, **pieces}
+            known += len(merged) - len(stored)
+            self.blocks.updateValue((block,), (list(merged), list(merged.values())))
         whole = not done and known >= wanted
         if whole:
             yield self._reply(key, True)
-            self.pieces.clear()
+            self.blocks.clear()
         due = max(timer, newest, timerValues.getCurrentWatermarkInMs()) + (self.timeout_ms if newest > timer - self.timeout_ms else 0)
         if due != timer:
             if timer:
@@ -89,11 +99,11 @@ class ReplyAssembler(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if not self.progress.get()[2]:
             yield self._reply(key, False)
-        self.pieces.clear()
+        self.blocks.clear()
         self.progress.clear()
 
     def _reply(self, key, complete: bool) -> Row:
-        in_order = sorted((number[0], piece[0]) for number, piece in self.pieces.iterator())
+        in_order = sorted(pair for _, block in self.blocks.iterator() for pair in zip(*block, strict=True))
         return Row(request_id=key[0], text="".join(piece for _, piece in in_order), complete=complete)
 
     def close(self) -> None:
@@ -111,7 +121,7 @@ def assemble_replies(pieces: DataFrame, timeout_ms: int = 600_000) -> DataFrame:
     conf = pieces.sparkSession.conf
     if "RocksDB" not in conf.get("spark.sql.streaming.stateStore.providerClass", ""):
         conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    return pieces.groupBy("request_id").transformWithState(
+    return pieces.select("request_id", "piece_no", "n_pieces", "piece", "sent_at").groupBy("request_id").transformWithState(
         ReplyAssembler(timeout_ms), "request_id string, text string, complete boolean", "Append", "EventTime")
 
 

@@ -1,3 +1,6 @@
+from datetime import datetime
+
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from foliospark.session import work_folder
@@ -84,3 +87,37 @@ def test_incremental_ingest_adds_only_new_documents(spark):
         jobs.ingest_stream(jobs.file_stream(spark, source, "dataset string, dockey string, doc_id long, text string"), store,
                            progress=progress, size=2)
     assert (store.docs().count(), store.chunks().count()) == (2, 3)
+
+
+def test_pieces_of_a_batch_are_written_together():
+    """State calls grow with the blocks of a micro-batch, not with its pieces; repeats and sparse numbers count once."""
+    calls = []
+
+    class State(dict):
+        exists = lambda self: "v" in self
+        get = lambda self: self["v"]
+        update = lambda self, v: self.__setitem__("v", v)
+        containsKey = lambda self, k: calls.append("has") or k in self
+        getValue = lambda self, k: calls.append("get") or self[k]
+        updateValue = lambda self, k, v: calls.append("put") or self.__setitem__(k, v)
+        iterator = lambda self: iter(list(self.items()))
+
+    class Handle:
+        getMapState = getValueState = lambda self, *_: State()
+        registerTimer = deleteTimer = lambda self, _: None
+
+    class Timer:
+        getCurrentWatermarkInMs = lambda self: 0
+
+    made = jobs.ReplyAssembler(1000)
+    made.init(Handle())
+    row, at = Row("request_id", "piece_no", "n_pieces", "piece", "sent_at"), datetime(2024, 1, 1)
+    numbers = [*range(1999), 1_000_000]
+
+    def send(some):
+        return list(made.handleInputRows(("a",), iter([row("a", n, 2000, f"{n} ", at) for n in some]), Timer()))
+
+    assert send(numbers[1::2]) == [] and send(numbers[1::2]) == []  # every second piece, and again
+    (reply,) = send(numbers[::2])
+    assert (reply.text, reply.complete) == ("".join(f"{n} " for n in numbers), True) and len(calls) < 200
+    assert send(numbers[:5]) == []
