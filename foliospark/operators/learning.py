@@ -19,6 +19,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.generate import let
 from ..functions.keys import stable_hash
+from ..session import spread
 
 
 def features_and_label(df: DataFrame, label: str, keep: list[str] = ()) -> DataFrame:
@@ -62,7 +63,8 @@ def forest(n_estimators: int, max_depth: int, min_samples_split: float, seed: in
 
 def dense_classifier(train: DataFrame, width: int, classes: int, hidden: tuple[int, ...] = (512, 512), max_iter: int = 100,
                      seed: int = 42):
-    return MultilayerPerceptronClassifier(layers=[width, *hidden, classes], maxIter=max_iter, seed=seed).fit(train)
+    """Rows are dealt evenly over the cores first: every step is a pass over them, and a row group makes one task whatever its size."""
+    return MultilayerPerceptronClassifier(layers=[width, *hidden, classes], maxIter=max_iter, seed=seed).fit(spread(train))
 
 
 def accuracy() -> MulticlassClassificationEvaluator:

@@ -108,3 +108,15 @@ def test_a_record_is_parsed_once_for_its_reasons_and_fields(spark):
     for rows in (checked.where("size(reasons) > 0"), checked.where("size(reasons) = 0").select("parsed.*")):
         plan = rows._jdf.queryExecution().optimizedPlan().toString()
         assert 1 <= plan.count("from_json(") + plan.count("jsontostructs(") <= 2  # the fields, and the texts of values that are not there
+
+
+def test_dense_classifier_uses_all_cores(spark, tmp_path, monkeypatch):
+    """A table of one row group trains in as many tasks as its size allows, with every row."""
+    noise = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.rand(3) + i * 0)
+    rows = spark.range(0, 20_000, 1, 1).select("id", (F.col("id") % 2).alias("label"), noise.alias("v"))
+    rows.write.parquet(str(tmp_path / "t"))
+    seen = []
+    monkeypatch.setattr(learning.MultilayerPerceptronClassifier, "fit", lambda self, df: seen.append((df.rdd.getNumPartitions(), df.count())))
+    train = learning.vector_features(spark.read.parquet(str(tmp_path / "t")).coalesce(1), "v", "label")
+    learning.dense_classifier(train, 64, 2)
+    assert seen[0][0] >= spark.sparkContext.defaultParallelism and seen[0][1] == 20_000
