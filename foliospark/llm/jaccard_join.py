@@ -40,7 +40,7 @@ from ..operators.sizes import at_most, broadcast_when
 from ..session import materialise
 from .blocks import by_shard, pack, parts_for, unpack_all
 from .components import components
-from .texts import ascii_lower, releasing, releasing_group, words_of
+from .texts import releasing, releasing_group
 from .word_codec import ragged
 
 WIDTH = 5
@@ -60,10 +60,10 @@ _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E377
 
 
 class _WordHash(dict):
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         if len(self) > KNOWN_WORDS:
             self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word.encode())
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
 
 
@@ -79,7 +79,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 def shingle_set(text: str | None, width: int = WIDTH) -> np.ndarray:
     """Sorted distinct 48-bit hashes of a text's shingles."""
-    words = words_of(ascii_lower(text or ""))
+    words = (text or "").encode().lower().split()  # of bytes: A-Z and the six ASCII blanks, nothing else
     if not words:
         return np.zeros(0, np.uint64)
     known = _word_hash()
@@ -88,7 +88,15 @@ def shingle_set(text: str | None, width: int = WIDTH) -> np.ndarray:
     total = np.zeros(len(h) - n + 1, np.uint64)
     for k in range(n):
         total = _mixed(total + h[k:len(h) - n + 1 + k] * _MULTIPLIERS[k % 8])
-    return np.unique(total >> np.uint64(64 - HASH_BITS))
+    return _distinct(total >> np.uint64(64 - HASH_BITS))
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; a sort of so few takes a quarter of the time of the library's hash table."""
+    values.sort()
+    first = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=first[1:])
+    return values if first.all() else values[first]
 
 
 def class_key(shingles: np.ndarray) -> int:

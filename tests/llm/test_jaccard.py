@@ -133,3 +133,16 @@ def test_one_row_of_a_component_stays(spark):
     assert sorted((r[0] or 0, r[1]) for r in out if r[1]) == [(0, other), (3, body)]
     assert sum(r[1] is None for r in out) == 2 and set(out) <= set(rows)
     assert one_per_component(docs.limit(0)).count() == 0
+
+
+def test_shingles_split_and_fold_ascii_only():
+    """Words of bytes are the words of the text: only A-Z are folded and only the six ASCII blanks divide."""
+    from foliospark.llm.texts import ascii_lower, words_of
+
+    odd = "Ab\x0bC\x0c\u00c4\u00a0x\x1cy\x85Z \u2003\u0130 \u212a\r\n\t\x1f q"
+    for text in (odd, f" {odd}  {odd} {odd} ", "", " \t", "one", "A a A a A a A a"):
+        words = words_of(ascii_lower(text))
+        runs = {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+        found = shingle_set(text)
+        assert len(found) == len(runs) and (np.diff(found.astype(np.int64)) > 0).all()
+        assert found.tolist() == shingle_set(" ".join(words)).tolist()
