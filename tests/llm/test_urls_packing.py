@@ -142,3 +142,33 @@ def test_equal_pieces_are_numbered_by_many_tasks(spark, monkeypatch):
         assert sorted(ranks) == list(range(len(ranks)))
     packed = packing.pack_documents(docs, vocabulary("word_bpe_49k.json"), 16).collect()
     assert len(packed) == 3000 and len({(r.sequence_id, r.offset) for r in packed}) == 3000
+
+
+def test_words_are_encoded_once_for_all_tasks_capitals_and_marks(monkeypatch):
+    from foliospark.llm import packing
+
+    v, encoded = vocabulary("word_bpe_49k.json"), []
+
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        def encode(self, text, **kw):
+            encoded.extend(text.split(" "))
+            return self.tokenizer.encode(text, **kw)
+
+        def encode_batch_fast(self, words, **kw):
+            encoded.extend(words)
+            return self.tokenizer.encode_batch_fast(words, **kw)
+
+    monkeypatch.setattr(packing, "library_tokenizer", lambda v: Counted(library_tokenizer(v)))
+    monkeypatch.setattr(packing, "CACHED_WORDS", 20)
+    codec = packing.WordIds(v)
+    odd = ["a. a.. a., 'a.' it's. it's, x.. .y a.b a .b! <a. <|endoftext|>. <|startoftext|>.", "é. é. é.́ é. z?\n w;", "ß. ÷. ª. 1. 2, ’s. 'S.",
+           "ab. <|ENDOFTEXT|>, q.́ r. ΑΣ. İ. \x85É. ÀÞ×\xa0Q. end."]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in codec.encode(odd * 2)] == [
+        library_tokenizer(v).encode(t, add_special_tokens=False).ids for t in odd * 2]
+    encoded.clear()
+    for _ in range(3):  # as many tasks
+        assert len(list(codec.encode(["été Été ÉTÉ. été, ÉTÉ", "Word word. WORD!"]))) == 2
+    assert sorted(w for w in encoded if w.isalpha()) == ["word", "été"] and len(encoded) <= 5
