@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
-from ..session import materialise
+from ..session import discard, materialise
 from .blocks import by_shard, pack, pack_blocks, parts_for, shard_of, text_bytes, unpack, unpack_all
 from .texts import ascii_lower, words_of
 
@@ -50,6 +50,7 @@ BURN_IN, SAMPLES = 2, 3
 STRENGTH = 1.0
 UNKNOWN_MASS = 0.5
 EXACT_SEATS = 512
+TURNS = 8  # parts of the shards that answer one after another
 
 
 def sorted_codes(words: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
@@ -413,24 +414,38 @@ def hpy_scores(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", tex
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     blocks = pack_blocks(rows, parts_for(total, block_bytes))
-    asked = materialise(blocks.groupBy("block").applyInArrow(_ask(n_shards), "shard int, block int, asked binary"), "hpy-asked")
-    merged = materialise(asked.groupBy("shard").applyInArrow(_merge(n_shards), ROWS), "hpy-pairs")
+    asked = blocks.groupBy("block").applyInArrow(_ask(n_shards), "shard int, block int, asked binary")
+    asked = materialise(asked.withColumn("turn", F.col("shard") % TURNS), "hpy-asked", parts=("turn",))
+    merged = materialise(asked.drop("turn").groupBy("shard").applyInArrow(_merge(n_shards), ROWS), "hpy-pairs")
     totals, held = _totals(merged)
     of_kind = lambda rows, kind: rows.where(F.col("kind") == kind)
     joined = lambda frames: reduce(DataFrame.unionByName, frames).drop("stats").groupBy("shard")
     pairs = of_kind(merged, "pairs")
-    seated, of_classes, samples, given = merged, totals, {}, [pairs, _summed_shares(merged, 0)]
+    seated, of_classes, samples, given, written = merged, totals, {}, [pairs], [merged]
+    shares = [_summed_shares(merged, 0)]
     for step in range(1, BURN_IN + SAMPLES + 1):
         sent = [pairs, of_kind(seated, f"tables{step - 1}"), _summed_shares(seated, step - 1)]
-        seated = materialise(joined(sent).applyInArrow(_sweep(step, n_shards, of_classes, held, seed), ROWS), "hpy-tables")
+        before, seated = seated, materialise(joined(sent).applyInArrow(_sweep(step, n_shards, of_classes, held, seed), ROWS), "hpy-tables")
+        if 1 < step <= BURN_IN + 1:  # what a burn-in sweep wrote serves the next one only
+            discard(before)
+        else:
+            written += [before] if step > 1 else []
         found = _summed(seated)
         of_classes = replace(totals, customers=_per_class(found, "customers"))
         held = Sample(_per_class(found, "tables"), found.get(("root", 0), 0.0))
         if step > BURN_IN:
             samples[step] = of_classes, held
-            given += [of_kind(seated, f"tables{step}"), _summed_shares(seated, step)]
-    answers = asked.groupBy("shard").cogroup(joined(given)).applyInArrow(
-        _answer(n_shards, totals, samples), "block int, shard int, answer binary")
+            given.append(of_kind(seated, f"tables{step}"))
+            shares.append(_summed_shares(seated, step))
+    summed = materialise(reduce(DataFrame.unionByName, shares), "hpy-totals")
+    answers, known = [], reduce(DataFrame.unionByName, [*given, summed]).drop("stats")
+    for turn in range(min(TURNS, n_shards)):  # what is asked and known is shuffled for a few shards at a time
+        own, held = asked.where(F.col("turn") == turn), known.where(F.col("shard") % TURNS == turn)
+        answers.append(materialise(own.drop("turn").groupBy("shard").cogroup(held.groupBy("shard")).applyInArrow(
+            _answer(n_shards, totals, samples), "block int, shard int, answer binary"), "hpy-answers"))
+        discard(asked, part=f"turn={turn}")
+    discard(*written, seated, summed)
+    answers = reduce(DataFrame.unionByName, answers)
     kinds = StructType([rows.schema["id"], StructField("held_out", BooleanType()), StructField("n_tokens", LongType()),
                         StructField("n_known", LongType()), StructField("base_score", DoubleType()), StructField("score", DoubleType())])
     scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(

@@ -186,3 +186,29 @@ def test_scores_of_one_and_many_shards_agree(spark):
     one, many = ({r.id: r.score / r.n_tokens for r in hpy_scores(docs, F.col("doc_id") % 5 == 1, **sizes).collect()}
                  for sizes in ({}, {"block_bytes": 2000, "shard_bytes": 1000}))
     assert max(abs(one[i] - many[i]) for i in one) < 0.05
+
+
+def test_work_tables_and_shuffles_go_when_they_have_been_read(spark):
+    import time
+    from pathlib import Path
+
+    from foliospark.session import SHUFFLE_CLEANUP, materialise, shared_root
+
+    def shuffles():
+        files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString(" ")
+        return {f.rsplit("/", 1)[1] for f in files.split() if "/shuffle_" in f}
+
+    before = shuffles()
+    table = materialise(spark.range(1000).repartition(3).groupBy((F.col("id") % 7).alias("k")).count(), "test-released", parts=("k",))
+    for _ in range(50):  # files are removed in the background
+        if shuffles() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffles() <= before and spark.conf.get(SHUFFLE_CLEANUP) == "false" and table.agg(F.sum("count")).first()[0] == 1000
+    root = Path(shared_root(spark).removeprefix("file://"))
+    held = lambda: {str(f.parent) for f in root.glob("hpy-*/**/*.parquet")}
+    old = held()
+    docs = spark.createDataFrame([(i, f"a b c{i % 5} d") for i in range(40)], "doc_id long, text string")
+    found = hpy_scores(docs, F.col("doc_id") % 5 == 1, block_bytes=200, shard_bytes=100)
+    assert found.count() == 40 and found.count() == 40
+    assert {f.rsplit("/", 1)[1][:11] for f in held() - old} == {"hpy-answers"}
