@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from ..operators.sizes import at_most, broadcast_when
-from ..session import materialise
+from ..session import discard, materialise, shuffles_released
 from .blocks import BLOCK_BYTES, by_shard, pack_blocks, parts_for, text_bytes
 from .pitman_yor import lists, one_row, sorted_codes
 from .texts import releasing, releasing_group, releasing_pair
@@ -269,7 +269,8 @@ def key_filter(keys: DataFrame) -> KeyFilter:
             held = np.bitwise_or.reduceat(np.uint64(1) << (place & np.uint64(63)), first) if len(place) else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(words.astype(np.int64)), pa.array(held.view(np.int64))], names=["word", "bits"])
 
-    rows = keys.select("kind", "key").mapInArrow(bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    with shuffles_released(keys.sparkSession):
+        rows = keys.select("kind", "key").mapInArrow(bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(size, np.uint64)
     out[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
     return KeyFilter(out)
@@ -317,10 +318,12 @@ def _ask(n_shards: int, order: int, known: Broadcast | None):
     def ask(table: pa.Table) -> pa.Table:
         block, (_, sizes, words, codes) = table.column("block")[0].as_py(), _block_tokens(table.column("payload"))
         keys, _ = _keys(words, np.unique(word_events(words, order)[0]), sizes, codes, known is not None)
-        out = [(shard, block, one_row(**{f"k{kind}": _steps(_sent(own[places.get(kind, _NONE)])) for kind, own in enumerate(keys)}))
-               for shard, places in sorted(_places(keys, n_shards, known and known.value).items())]
-        return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary()))],
-                        names=["shard", "block", "grams"])
+        out = []
+        for shard, places in sorted(_places(keys, n_shards, known and known.value).items()):
+            sent = {f"k{kind}": _steps(_sent(own[places.get(kind, _NONE)])) for kind, own in enumerate(keys)}
+            out.append((shard, block, one_row(k0=sent.pop("k0")), one_row(**sent)))
+        return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.binary()))],
+                        names=["shard", "block", "grams", "pairs"])
     return ask
 
 
@@ -333,21 +336,43 @@ def _asked(table: pa.Table) -> pa.Table:
     return pa.table({"shard": pa.array(np.full(len(grams), table.column("shard")[0].as_py()), pa.int32()), "gram": grams})
 
 
+PACKED_KEYS = 1 << 20  # keys of a task that are packed together
+
+
 def _dealt(n_shards: int):
+    """Keys with their probabilities, packed by shard: per kind the sent keys in order, and ``p``."""
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
         for batch in batches:
-            shard = pa.array(_shards(batch.column("key").to_numpy(), n_shards), pa.int32())
-            yield pa.RecordBatch.from_arrays([shard, *batch.columns], names=["shard", *batch.schema.names])
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= PACKED_KEYS:
+                yield packed(held)
+                held, rows = [], 0
+        if rows:
+            yield packed(held)
+
+    def packed(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        kinds, keys, p = (np.concatenate([b.column(c).to_numpy() for b in batches]) for c in ("kind", "key", "p"))
+        out = []
+        for shard, at in by_shard(_shards(keys, n_shards)):
+            own = {kind: at[kinds[at] == kind] for kind in (GRAM, PAIR, CONTEXT)}
+            own = {kind: places[np.argsort(_sent(keys[places]), kind="stable")] for kind, places in own.items()}
+            out.append((shard, one_row(**{f"k{kind}": _steps(_sent(keys[places])) for kind, places in own.items()},
+                                       **{f"p{kind}": p[places].astype(np.float64 if kind == GRAM else np.float32) for kind, places in own.items()})))
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int32(), pa.binary()))], names=["shard", "known"])
     return deal
 
 
 def _answer(left: pa.Table, right: pa.Table) -> pa.Table:
-    kinds, keys, p = (right.column(c).to_numpy() for c in ("kind", "key", "p"))
+    parts = [lists(x.as_buffer()) for x in right.column("known")]
     known = []
     for kind in (GRAM, PAIR, CONTEXT):
-        own = np.flatnonzero(kinds == kind)
-        own = own[np.argsort(_sent(keys[own]), kind="stable")]
-        known.append((_sent(keys[own]), p[own]))
+        keys = np.concatenate([_NONE, *[_whole(x[f"k{kind}"]) for x in parts]])
+        p = np.concatenate([np.zeros(0, np.float32), *[x[f"p{kind}"] for x in parts]])
+        order = np.argsort(keys, kind="stable")
+        known.append((keys[order], p[order]))
+    del parts
 
     def found(kind: int, asked: np.ndarray, missing: float) -> np.ndarray:
         own, values = known[kind]
@@ -356,7 +381,8 @@ def _answer(left: pa.Table, right: pa.Table) -> pa.Table:
         return np.where(there & (at < len(own)), np.append(values, missing)[at], missing)
 
     payloads = []
-    for asked in ({k: _whole(v) for k, v in lists(x.as_buffer()).items()} for x in left.column("grams")):
+    for own in zip(left.column("grams"), left.column("pairs"), strict=True):
+        asked = {k: _whole(v) for x in own for k, v in lists(x.as_buffer()).items()}
         payloads.append(one_row(k0=np.log(found(GRAM, asked["k0"], 1.0)).astype(np.float32), k1=found(PAIR, asked["k1"], 0.0).astype(np.float32),
                                 k2=found(CONTEXT, asked["k2"], 1.0).astype(np.float32)))
     return pa.table([left.column("block"), left.column("shard"), pa.array(payloads, pa.binary())], names=["block", "shard", "answer"])
@@ -411,12 +437,18 @@ def perplexities(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_
     n_shards = parts_for(total, shard_bytes)
     known_keys = docs.sparkSession.sparkContext.broadcast(key_filter(model.words)) if model.words is not None else None  # FILTER_BYTES at most
     blocks = pack_blocks(rows, parts_for(total, block_bytes))
-    requests = blocks.groupBy("block").applyInArrow(releasing_group(_ask(n_shards, model.order, known_keys)), "shard int, block int, grams binary")
-    asked = requests.groupBy("shard").applyInArrow(releasing_group(_asked), "shard int, gram long")
-    known = gram_probabilities(asked, model).select("shard", F.lit(GRAM).alias("kind"), F.col("gram").alias("key"), "p")
+    requests = materialise(blocks.groupBy("block").applyInArrow(
+        releasing_group(_ask(n_shards, model.order, known_keys)), "shard int, block int, grams binary, pairs binary"), "requests", "none")
+    tables = [requests]
+    asked = requests.select("shard", "grams").groupBy("shard").applyInArrow(releasing_group(_asked), "shard int, gram long")
+    known = gram_probabilities(asked, model).select(F.lit(GRAM).alias("kind"), F.col("gram").alias("key"), "p")
+    known = materialise(known.mapInArrow(releasing(_dealt(n_shards)), "shard int, known binary"), "known-grams", "none")
+    tables.append(known)
     if model.words is not None:
-        known = known.unionByName(model.words.mapInArrow(_dealt(n_shards), "shard int, kind int, key long, p double"))
-    answers = requests.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(releasing_pair(_answer), "block int, shard int, answer binary")
+        known = known.unionByName(model.words.mapInArrow(releasing(_dealt(n_shards)), "shard int, known binary"))
+    answers = materialise(requests.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(
+        releasing_pair(_answer), "block int, shard int, answer binary"), "answers", "none")
+    discard(*tables)
     kinds = StructType([*rows.drop("text").schema.fields, StructField("n_words", LongType()), StructField("n_events", LongType()),
                         StructField("log_prob", DoubleType())])
     scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(

@@ -168,3 +168,17 @@ def test_all_trusted_documents_train_or_calibrate(spark):
     labels = spark.range(70_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
     training, left_out = (part.count() for part in trusted_split(labels))
     assert training + left_out == 70_000 and 13_000 < left_out < 15_000
+
+
+def test_requests_and_their_shuffles_go_when_they_are_answered(spark):
+    from pathlib import Path
+
+    from foliospark.session import shared_root
+
+    root = Path(shared_root(spark).removeprefix("file://"))
+    held = lambda: {f.parent.name[:-33] for f in root.glob("*/*.parquet") if f.parent.name not in old}
+    old = {f.parent.name for f in root.glob("*/*.parquet")}
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(TEXTS)], "doc_id long, text string, lang string")
+    scores = perplexities(docs, fit(docs, across=True), block_bytes=60, shard_bytes=90)
+    assert "answers" in held() and not held() & {"requests", "known-grams"}
+    assert scores.count() == len(TEXTS)
