@@ -39,7 +39,8 @@ from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, St
 
 from ..session import discard, materialise
 from .blocks import by_shard, pack, pack_blocks, parts_for, shard_of, text_bytes, unpack, unpack_all
-from .texts import ascii_lower, words_of
+from .texts import releasing_group, releasing_pair
+from .word_codec import split_words
 
 START = 256  # the class of a first token's context
 CONTEXTS = 257  # classes
@@ -50,6 +51,7 @@ BURN_IN, SAMPLES = 2, 3
 STRENGTH = 1.0
 UNKNOWN_MASS = 0.5
 EXACT_SEATS = 512
+SWEPT_PAIRS = 1 << 19  # pairs of a shard whose words a sweep takes together
 TURNS = 8  # parts of the shards that answer one after another
 
 
@@ -64,10 +66,9 @@ def sorted_codes(words: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
 
 def context_ids(words: list[str]) -> np.ndarray:
     """Contexts by the word before: a hash and, in the low bits, the class. The empty word stands for the start of a text."""
-    def one(word: str) -> int:
-        mixed = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "big") >> 1
-        return mixed // _STEP * _STEP + ord(word[-1]) % START
-    return np.fromiter((one(w) if w else START for w in words), np.int64, len(words))
+    mixed = np.frombuffer(b"".join(hashlib.blake2b(w.encode(), digest_size=8).digest() for w in words), ">u8").astype(np.uint64)
+    last = np.fromiter((ord(w[-1]) % START if w else START for w in words), np.int64, len(words))
+    return np.where(last == START, START, (mixed >> np.uint64(1)).astype(np.int64) // _STEP * _STEP + last)
 
 
 def one_row(**columns: pa.Array | np.ndarray) -> bytes:
@@ -87,19 +88,18 @@ def block_tokens(payloads: pa.ChunkedArray):
 
     A pair key is the number of the word times the number of words, plus the number of the word before.
     """
-    tables, texts, sizes = [], [], []
-    for rows in unpack_all(payloads):
-        words = [[*words_of(ascii_lower(t)), ""] for t in rows.column("text").to_pylist()]
-        tables.append(rows.drop_columns("text"))
-        texts.append(pa.array([w for own in words for w in own], pa.string()))
-        sizes.append(np.fromiter(map(len, words), np.int64, len(words)))
-    distinct, codes = sorted_codes(pa.chunked_array(texts, pa.string()))
-    sizes = np.concatenate(sizes)
-    before = np.empty(len(codes), np.int64)
-    before[1:] = codes[:-1]
-    before[np.cumsum(sizes) - sizes] = 0  # every text ends with the empty word, so that is the first one
-    pairs, at = np.unique(codes * len(distinct) + before, return_inverse=True)
-    return pa.concat_tables(tables), sizes, distinct.to_pylist(), pairs, at
+    rows = pa.concat_tables(unpack_all(payloads)).combine_chunks()
+    owner, words = split_words(pc.ascii_lower(rows.column("text")))  # of the bytes only A-Z
+    distinct, coded = sorted_codes(pa.chunked_array([words]))
+    sizes = np.bincount(owner, minlength=rows.num_rows) + 1
+    keys = np.zeros(len(coded) + len(sizes), np.int64)  # every text ends with the empty word, so that is the first one
+    keys[np.arange(len(coded)) + owner] = coded + 1
+    del owner, words, coded
+    n_words = len(distinct) + 1
+    keys *= n_words
+    keys[1:] += keys[:-1] // n_words  # a text starts after an empty word
+    pairs, at = np.unique(keys, return_inverse=True)
+    return rows.drop_columns("text"), sizes, ["", *distinct.to_pylist()], pairs, at.astype(np.int32)
 
 
 def _pairs_by_shard(words: list[str], pairs: np.ndarray, n_shards: int):
@@ -151,14 +151,24 @@ def _merge(n_shards: int):
     def merge(table: pa.Table) -> pa.Table:
         shard, parts = table.column("shard")[0].as_py(), [lists(p.as_buffer()) for p in table.column("asked")]
         words, codes = sorted_codes(pa.chunked_array([p["word"] for p in parts], pa.string()))
-        word = np.repeat(codes, np.concatenate([p["own"] for p in parts]))
-        context, place = np.unique(np.concatenate([p["context"][p["place"]] for p in parts]), return_inverse=True)
+        context = np.unique(np.concatenate([p["context"] for p in parts]))
+        place = np.concatenate([np.searchsorted(context, p["context"]).astype(np.int32)[p["place"]] for p in parts])
+        word = np.repeat(codes.astype(np.int32), np.concatenate([p["own"] for p in parts]))
         n = np.concatenate([p["n"] for p in parts])
-        trained = np.flatnonzero(n)
-        known, word = np.unique(word[trained], return_inverse=True)
-        key, at = np.unique(word * len(context) + place[trained], return_inverse=True)
-        counts = np.bincount(at, n[trained], len(key)).astype(np.int64)
+        del parts, codes
+        trained = n > 0
+        n, word, place = n[trained], word[trained], place[trained]
+        known = np.unique(word)
+        key = np.searchsorted(known, word) * len(context) + place
+        del trained, word, place
+        order = np.argsort(key)
+        key, n = key[order], n[order]
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        counts = np.add.reduceat(n, first, dtype=np.int64) if len(first) else np.zeros(0, np.int64)
+        key = key[first]
+        del order, n, first
         word, place = key // len(context), key % len(context)
+        del key
         own_class, customers = np.unique(word * _STEP + context[place] % _STEP, return_counts=True)  # one table a pair
         served = np.bincount(own_class // _STEP, minlength=len(known))
         levels = (counts, customers, served)
@@ -188,7 +198,7 @@ def _sum_shares(step: int):
 
 
 def _summed_shares(rows: DataFrame, step: int) -> DataFrame:
-    return rows.where(F.col("kind") == f"shares{step}").groupBy("shard").applyInArrow(_sum_shares(step), ROWS)
+    return rows.where(F.col("kind") == f"shares{step}").groupBy("shard").applyInArrow(releasing_group(_sum_shares(step)), ROWS)
 
 
 @dataclass
@@ -291,36 +301,63 @@ def _of_contexts(replies: list[dict], context: np.ndarray, n_shards: int, name:
     return out
 
 
-def _classes(pairs: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The word of each pair, the sorted class keys and the class key of each pair."""
-    word = np.repeat(np.arange(len(pairs["word"])), pairs["own"])
-    own_class, at = np.unique(word * _STEP + pairs["context"][pairs["place"]] % _STEP, return_inverse=True)
-    return word, own_class, at
+def _words_of_pairs(own: np.ndarray) -> np.ndarray:
+    return np.repeat(np.arange(len(own)), own)
+
+
+def _classes(pairs: dict) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted class keys of words and the class key of each pair."""
+    own_class, at = np.unique(_words_of_pairs(pairs["own"]) * _STEP + pairs["context"][pairs["place"]] % _STEP, return_inverse=True)
+    return own_class, at.astype(np.int32)
+
+
+def _slices(own: np.ndarray):
+    """Words in runs of about ``SWEPT_PAIRS`` pairs, and the pairs of each run. A word's pairs stay together."""
+    ends = np.cumsum(own, dtype=np.int64)
+    start = 0
+    while start < len(own):
+        first = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, first + SWEPT_PAIRS, "right")))
+        yield slice(start, stop), slice(first, int(ends[stop - 1]))
+        start = stop
 
 
 def _sweep(step: int, n_shards: int, totals: Totals, held: Sample, seed: int):
     def sweep(table: pa.Table) -> pa.Table:
         shard, rows = table.column("shard")[0].as_py(), _held(table)
         pairs, rng = rows["pairs"][0], np.random.default_rng([seed, shard, step])
-        context, place, n_words = pairs["context"], pairs["place"], len(pairs["word"])
-        _, own_class, at = _classes(pairs)
-        word, of = own_class // _STEP, own_class % _STEP
-        before = rows.get(f"tables{step - 1}", [{"tables": np.ones(len(place), np.int64), "classes": np.ones(len(word), np.int64),
-                                                 "root": np.ones(n_words, np.int64)}])[0]
-        tables, classes, root = (before[c].astype(np.int64) for c in ("tables", "classes", "root"))
+        context, n_words = pairs["context"], len(pairs["word"])
+        before = rows[f"tables{step - 1}"][0] if step > 1 else None  # in the first sweep all have one
         all_tables = _of_contexts(rows[f"totals{step - 1}"], context, n_shards, "tables")
-        # The class's probability of each pair's word without the pair's own tables.
-        others = np.bincount(at, tables, len(word))[at] - tables
         d, s = totals.discount, STRENGTH
-        new = (s + d * held.tables[of]) * root_share(np.bincount(word, classes, n_words)[word], word, root, totals, held)
-        parent = (np.maximum(others - d * np.minimum(classes[at], others), 0) + new[at]) / (s + totals.customers[of[at]])
-        tables = seat(pairs["n"], s + totals.word_discount * np.maximum(all_tables[place] - tables, 0), parent, totals.word_discount, rng)
-        customers = np.bincount(at, tables, len(word)).astype(np.int64)
-        classes, root = reseat(word, of, customers, classes, root, totals, held, rng)
-        stats = {"customers": np.bincount(of, customers, CONTEXTS), "tables": np.bincount(of, classes, CONTEXTS), "root": np.array([root.sum()])}
-        seated = one_row(**{c: v.astype(np.uint32) for c, v in (("tables", tables), ("classes", classes), ("root", root))})
-        shares = _shares(shard, step, n_shards, context, tables=np.bincount(place, tables, len(context)).astype(np.int64))
-        return _rows([(shard, f"tables{step}", shard, seated, _stat_rows(stats)), *shares])
+        shares, of_class, root_tables = np.zeros(len(context), np.int64), np.zeros((2, CONTEXTS)), 0
+        seated: dict[str, list[np.ndarray]] = {c: [np.zeros(0, np.uint32)] for c in ("tables", "classes", "root")}
+        n_classes = 0  # of the words before
+        for words, own in _slices(pairs["own"]):
+            place, n = pairs["place"][own], pairs["n"][own]
+            own_class, at = _classes({"own": pairs["own"][words], "context": context, "place": place})
+            word, of = own_class // _STEP, own_class % _STEP
+            ranges = {"tables": own, "classes": slice(n_classes, n_classes + len(word)), "root": words}
+            sizes = {"tables": len(place), "classes": len(word), "root": words.stop - words.start}
+            tables, classes, root = (before[c][r].astype(np.int64) if before else np.ones(sizes[c], np.int64) for c, r in ranges.items())
+            n_classes += len(word)
+            # The class's probability of each pair's word without the pair's own tables.
+            others = np.bincount(at, tables, len(word))[at] - tables
+            new = (s + d * held.tables[of]) * root_share(np.bincount(word, classes, len(root))[word], word, root, totals, held)
+            parent = (np.maximum(others - d * np.minimum(classes[at], others), 0) + new[at]) / (s + totals.customers[of[at]])
+            weight = s + totals.word_discount * np.maximum(all_tables[place] - tables, 0)
+            tables = seat(n, weight, parent, totals.word_discount, rng)
+            customers = np.bincount(at, tables, len(word)).astype(np.int64)
+            classes, root = reseat(word, of, customers, classes, root, totals, held, rng)
+            of_class += [np.bincount(of, v, CONTEXTS) for v in (customers, classes)]
+            root_tables += root.sum()
+            np.add.at(shares, place, tables)
+            for c, v in (("tables", tables), ("classes", classes), ("root", root)):
+                seated[c].append(v.astype(np.uint32))
+        stats = {"customers": of_class[0], "tables": of_class[1], "root": np.array([root_tables])}
+        seated_row = one_row(**{c: np.concatenate(v) for c, v in seated.items()})
+        sent = _shares(shard, step, n_shards, context, tables=shares)
+        return _rows([(shard, f"tables{step}", shard, seated_row, _stat_rows(stats)), *sent])
     return sweep
 
 
@@ -354,16 +391,17 @@ def _answer(n_shards: int, totals: Totals, samples: dict[int, tuple[Totals, Samp
         rows, s = _held(right), STRENGTH
         pairs = rows["pairs"][0]
         context, n_words = pairs["context"], len(pairs["word"])
-        word, own_class, at = _classes(pairs)
-        key = word * len(context) + pairs["place"]
+        own_class, at = _classes(pairs)
+        key = _words_of_pairs(pairs["own"]) * len(context) + pairs["place"]
         # One more word, unknown, and one more pair and class, never trained, stand for whatever is missing.
-        more = lambda values: np.append(values, 0).astype(np.int64)
-        counts, word_counts = more(pairs["n"]), more(np.bincount(word, pairs["n"], n_words))
+        more = lambda values, kind=np.int64: np.append(values, kind(0)).astype(kind)
+        counts = more(pairs["n"], np.uint32)
+        word_counts = more(np.add.reduceat(pairs["n"], np.cumsum(pairs["own"], dtype=np.int64) - pairs["own"]) if n_words else pairs["n"])
         customers = _of_contexts(rows["totals0"], context, n_shards, "customers")
         seated = []
         for step, (of_classes, held) in samples.items():
             own = rows[f"tables{step}"][0]
-            seated.append((of_classes, held, _of_contexts(rows[f"totals{step}"], context, n_shards, "tables"), more(own["tables"]),
+            seated.append((of_classes, held, _of_contexts(rows[f"totals{step}"], context, n_shards, "tables"), more(own["tables"], np.uint32),
                            more(np.bincount(at, own["tables"], len(own_class))), more(own["classes"]),
                            more(np.bincount(own_class // _STEP, own["classes"], n_words)), more(own["root"])))
         payloads = []
@@ -414,9 +452,9 @@ def hpy_scores(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", tex
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     blocks = pack_blocks(rows, parts_for(total, block_bytes))
-    asked = blocks.groupBy("block").applyInArrow(_ask(n_shards), "shard int, block int, asked binary")
+    asked = blocks.groupBy("block").applyInArrow(releasing_group(_ask(n_shards)), "shard int, block int, asked binary")
     asked = materialise(asked.withColumn("turn", F.col("shard") % TURNS), "hpy-asked", parts=("turn",))
-    merged = materialise(asked.drop("turn").groupBy("shard").applyInArrow(_merge(n_shards), ROWS), "hpy-pairs")
+    merged = materialise(asked.drop("turn").groupBy("shard").applyInArrow(releasing_group(_merge(n_shards)), ROWS), "hpy-pairs")
     totals, held = _totals(merged)
     of_kind = lambda rows, kind: rows.where(F.col("kind") == kind)
     joined = lambda frames: reduce(DataFrame.unionByName, frames).drop("stats").groupBy("shard")
@@ -425,7 +463,8 @@ def hpy_scores(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", tex
     shares = [_summed_shares(merged, 0)]
     for step in range(1, BURN_IN + SAMPLES + 1):
         sent = [pairs, of_kind(seated, f"tables{step - 1}"), _summed_shares(seated, step - 1)]
-        before, seated = seated, materialise(joined(sent).applyInArrow(_sweep(step, n_shards, of_classes, held, seed), ROWS), "hpy-tables")
+        before, seated = seated, materialise(joined(sent).applyInArrow(
+            releasing_group(_sweep(step, n_shards, of_classes, held, seed)), ROWS), "hpy-tables")
         if 1 < step <= BURN_IN + 1:  # what a burn-in sweep wrote serves the next one only
             discard(before)
         else:
@@ -442,12 +481,12 @@ def hpy_scores(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", tex
     for turn in range(min(TURNS, n_shards)):  # what is asked and known is shuffled for a few shards at a time
         own, held = asked.where(F.col("turn") == turn), known.where(F.col("shard") % TURNS == turn)
         answers.append(materialise(own.drop("turn").groupBy("shard").cogroup(held.groupBy("shard")).applyInArrow(
-            _answer(n_shards, totals, samples), "block int, shard int, answer binary"), "hpy-answers"))
+            releasing_pair(_answer(n_shards, totals, samples)), "block int, shard int, answer binary"), "hpy-answers"))
         discard(asked, part=f"turn={turn}")
     discard(*written, seated, summed)
     answers = reduce(DataFrame.unionByName, answers)
     kinds = StructType([rows.schema["id"], StructField("held_out", BooleanType()), StructField("n_tokens", LongType()),
                         StructField("n_known", LongType()), StructField("base_score", DoubleType()), StructField("score", DoubleType())])
     scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _score(n_shards, float(totals.trained), totals.n_words, to_arrow_schema(kinds)), kinds)
+        releasing_pair(_score(n_shards, float(totals.trained), totals.n_words, to_arrow_schema(kinds))), kinds)
     return scored.withColumns({"train_tokens": F.lit(totals.trained).cast("long"), "perplexity": F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens"))})

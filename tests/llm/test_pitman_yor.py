@@ -212,3 +212,47 @@ def test_work_tables_and_shuffles_go_when_they_have_been_read(spark):
     found = hpy_scores(docs, F.col("doc_id") % 5 == 1, block_bytes=200, shard_bytes=100)
     assert found.count() == 40 and found.count() == 40
     assert {f.rsplit("/", 1)[1][:11] for f in held() - old} == {"hpy-answers"}
+
+
+def test_a_block_and_a_shard_take_few_bytes_a_token():
+    """Words are never Python objects one by one, and contexts of a shard are numbered before they are repeated by pair."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from foliospark.llm.blocks import pack
+    from foliospark.llm.pitman_yor import _ask, _merge, block_tokens
+
+    rng = random.Random(1)
+    texts = [" ".join(f"Word{rng.randrange(9000)}" for _ in range(500)) for _ in range(400)]
+    rows = pa.table({"id": pa.array(range(len(texts))), "held_out": [i % 5 == 1 for i in range(len(texts))], "text": texts})
+    payload = pa.chunked_array([[pack(rows.slice(i, 100)) for i in range(0, len(texts), 100)]], pa.binary())
+
+    def peak(task):
+        tracemalloc.start()
+        try:
+            result = task()
+            return result, tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    (_, sizes, words, pairs, at), used = peak(lambda: block_tokens(payload))
+    assert used < 70 * sizes.sum() and len(at) == sizes.sum() == 400 * 501 and words[0] == "" and len(pairs) > 150_000
+    blocks = [_ask(1)(pa.table({"block": pa.array([b] * payload.length(), pa.int32()), "payload": payload})) for b in range(8)]
+    asked = pa.concat_tables(blocks).drop_columns("block")
+    merged, used = peak(lambda: _merge(1)(asked))
+    assert used < 70 * 8 * len(pairs) and merged.num_rows == 2
+
+
+def test_a_sweep_takes_a_shard_in_slices(spark, monkeypatch):
+    """Slices cover all words and pairs once; the tables of a sweep are as many as without them, but for chance."""
+    from foliospark.llm import pitman_yor
+
+    own = np.array([3, 1, 9, 0, 2, 2], np.uint32)
+    monkeypatch.setattr(pitman_yor, "SWEPT_PAIRS", 4)
+    assert [(w.start, w.stop, p.start, p.stop) for w, p in pitman_yor._slices(own)] == [(0, 2, 0, 4), (2, 3, 4, 13), (3, 6, 13, 17)]
+    docs = spark.createDataFrame([(i, f"w{i % 7} the w{i % 5} w{i % 11}. then w{i % 3} end") for i in range(400)], "doc_id long, text string")
+    sliced = {r.id: r.score / r.n_tokens for r in hpy_scores(docs, F.col("doc_id") % 5 == 1).collect()}
+    monkeypatch.undo()
+    whole = {r.id: r.score / r.n_tokens for r in hpy_scores(docs, F.col("doc_id") % 5 == 1).collect()}
+    assert max(abs(sliced[i] - whole[i]) for i in whole) < 0.05
