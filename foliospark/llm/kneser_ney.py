@@ -10,9 +10,8 @@ every trusted document but the fifth, by a hash of the id, that the thresholds a
 joins of DataFrames. Scoring covers every document: blocks of documents send the distinct n-grams of
 their distinct words and their distinct word pairs to shards, the shards' n-grams are joined with the
 count tables order by order, pairs meet the pairs of the model that are dealt to their shard, and the
-probabilities return to the blocks. A bit filter of the model's pairs, of at most
-``FILTER_BYTES``, goes to the blocks: a pair it does not hold is in no table and need not be asked for; one that it
-holds by mistake is asked for in vain. A document is kept when its perplexity is at most the
+probabilities return to the blocks. Blocks are scored in ``TURNS``, so that the texts, requests and answers on disk are
+those of one turn; nothing of the model passes through the driver. A document is kept when its perplexity is at most the
 ``QUANTILE`` of its language, taken over all trusted documents left out of the training, times
 ``MARGIN``; a language without such documents (or null) takes the quantile of all languages.
 
@@ -25,19 +24,19 @@ and equal texts of a language one verdict. Extra columns are dropped by ``perple
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.core.broadcast import Broadcast
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from ..operators.sizes import at_most, broadcast_when
-from ..session import discard, materialise, shuffles_released
+from ..session import discard, materialise
 from .blocks import BLOCK_BYTES, by_shard, pack_blocks, parts_for, text_bytes
 from .pitman_yor import lists, one_row, sorted_codes
 from .texts import releasing, releasing_group, releasing_pair
@@ -51,12 +50,11 @@ MARGIN = 1.1
 SCORED_BLOCK_BYTES = BLOCK_BYTES // 4  # a block also holds its words' n-grams and pairs, about 25 bytes a byte of text
 SHARD_BYTES = 32 << 20
 BROADCAST_KEYS = 200_000  # of at most 16 bytes
-FILTER_BYTES = 64 << 20  # at most; a fuller filter only asks for more in vain
-FILTER_BITS = 8  # a key at least
+TURNS = 4  # parts of the documents that are scored one after another
 KEY_BITS = (1 << 48) - 1
 SYMBOLS = 256
 GRAM, PAIR, CONTEXT = 0, 1, 2  # kinds of keys
-_MIX, _SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def word_events(words: list[str], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
@@ -107,8 +105,7 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
 
 def word_hashes(words: list[str]) -> np.ndarray:
     """64 bits of every word, and 0, the start of a text, at the end."""
-    hashes = [int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "big") for w in words]
-    return np.array([*hashes, 0], np.uint64)
+    return np.fromiter((*(xxhash.xxh3_64_intdigest(w.encode()) for w in words), 0), np.uint64, len(words) + 1)
 
 
 def word_pairs(codes: np.ndarray, sizes: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -168,13 +165,15 @@ def words_before(pairs: DataFrame, words: DataFrame) -> DataFrame:
 class Model:
     """Per order: (gram, alpha) and (context, gamma); the probability is alpha plus gamma times the lower order's.
 
-    ``words``, if given, holds the alphas of word pairs and the gammas of words before as (kind, key, p).
+    ``words``, if given, holds the alphas of word pairs and the gammas of words before as (kind, key, p), read from the work
+    table ``pairs``.
     """
 
     order: int
     alphas: list[DataFrame]
     gammas: list[DataFrame]
     words: DataFrame | None = None
+    pairs: DataFrame | None = None
 
 
 def fit_words(table: DataFrame) -> DataFrame:
@@ -211,7 +210,7 @@ def fit(trusted: DataFrame, text_col: str = "text", order: int = ORDER, across:
         alphas.append(materialise(rows.join(broadcast_when(totals, k <= 2), "context").select(  # at most 256 contexts
             "gram", ((F.col("n") - cut) / F.col("total")).alias("alpha")), "alphas"))
         gammas.append(materialise(totals.select("context", "gamma"), "gammas"))
-    return Model(order, alphas[::-1], gammas[::-1], fit_words(pairs) if across else None)
+    return Model(order, alphas[::-1], gammas[::-1], fit_words(pairs) if across else None, pairs)
 
 
 def gram_probabilities(grams: DataFrame, model: Model) -> DataFrame:
@@ -234,48 +233,6 @@ def _block_tokens(payloads: pa.ChunkedArray) -> tuple[pa.Table, np.ndarray, list
     return block.rows.drop_columns("text"), np.bincount(block.owner, minlength=block.rows.num_rows), block.words, block.codes
 
 
-class KeyFilter:
-    """Bits of the model's pairs and contexts: what it does not hold is not in the model."""
-
-    def __init__(self, bits: np.ndarray):
-        self.bits, self.mask = bits, np.uint64(len(bits) * 64 - 1)
-
-    @staticmethod
-    def places(kind: int, keys: np.ndarray, mask: np.uint64) -> tuple[np.ndarray, np.ndarray]:
-        mixed = (keys.view(np.uint64) ^ np.uint64(kind)) * _MIX
-        mixed ^= mixed >> np.uint64(29)
-        mixed *= _SECOND
-        return (mixed >> np.uint64(20)) & mask, (mixed ^ (mixed >> np.uint64(31))) & mask
-
-    def holds(self, kind: int, keys: np.ndarray) -> np.ndarray:
-        out = np.ones(len(keys), bool)
-        for place in self.places(kind, keys, self.mask):
-            out &= (self.bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
-        return out
-
-
-def key_filter(keys: DataFrame) -> KeyFilter:
-    """Filter of (kind, key): words of 64 bits are set by tasks and combined before they meet; at most ``FILTER_BYTES`` in all."""
-    n = keys.count()
-    size = min(FILTER_BYTES // 8, 1 << max(10, int(n * FILTER_BITS // 64).bit_length()))
-    mask = np.uint64(size * 64 - 1)
-
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kinds, own = batch.column("kind").to_numpy(), batch.column("key").to_numpy()
-            place = np.concatenate([np.concatenate(KeyFilter.places(kind, own[kinds == kind], mask)) for kind in (PAIR, CONTEXT)])
-            place.sort()
-            words, first = np.unique(place >> np.uint64(6), return_index=True)
-            held = np.bitwise_or.reduceat(np.uint64(1) << (place & np.uint64(63)), first) if len(place) else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(words.astype(np.int64)), pa.array(held.view(np.int64))], names=["word", "bits"])
-
-    with shuffles_released(keys.sparkSession):
-        rows = keys.select("kind", "key").mapInArrow(bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out = np.zeros(size, np.uint64)
-    out[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
-    return KeyFilter(out)
-
-
 def _shards(grams: np.ndarray, n_shards: int) -> np.ndarray:
     mixed = grams.astype(np.uint64) * _MIX
     return ((mixed >> np.uint64(32)) % np.uint64(n_shards)).astype(np.int64)
@@ -289,14 +246,13 @@ def _keys(words: list[str], grams: np.ndarray, sizes: np.ndarray, codes: np.ndar
     return (grams, pair_keys(before, word, hashes), hashes.view(np.int64)), (before, word, at)
 
 
-def _places(keys: tuple[np.ndarray, ...], n_shards: int, known: KeyFilter | None) -> dict[int, dict[int, np.ndarray]]:
-    """Per shard and kind the places of the keys the model may hold, in the order in which they are sent."""
+def _places(keys: tuple[np.ndarray, ...], n_shards: int) -> dict[int, dict[int, np.ndarray]]:
+    """Per shard and kind the places of the keys, in the order in which they are sent."""
     out: dict[int, dict[int, np.ndarray]] = {}
     for kind, own in enumerate(keys):
-        may = np.flatnonzero(known.holds(kind, own)) if known and kind != GRAM else np.arange(len(own))
-        may = may[np.argsort(_sent(own[may]), kind="stable")]
-        for shard, p in by_shard(_shards(own[may], n_shards)):
-            out.setdefault(shard, {})[kind] = may[p]
+        order = np.argsort(_sent(own), kind="stable")
+        for shard, p in by_shard(_shards(own[order], n_shards)):
+            out.setdefault(shard, {})[kind] = order[p]
     return out
 
 
@@ -314,12 +270,12 @@ def _steps(keys: np.ndarray) -> np.ndarray:
 _NONE = np.zeros(0, np.int64)
 
 
-def _ask(n_shards: int, order: int, known: Broadcast | None):
+def _ask(n_shards: int, order: int, across: bool):
     def ask(table: pa.Table) -> pa.Table:
         block, (_, sizes, words, codes) = table.column("block")[0].as_py(), _block_tokens(table.column("payload"))
-        keys, _ = _keys(words, np.unique(word_events(words, order)[0]), sizes, codes, known is not None)
+        keys, _ = _keys(words, np.unique(word_events(words, order)[0]), sizes, codes, across)
         out = []
-        for shard, places in sorted(_places(keys, n_shards, known and known.value).items()):
+        for shard, places in sorted(_places(keys, n_shards).items()):
             sent = {f"k{kind}": _steps(_sent(own[places.get(kind, _NONE)])) for kind, own in enumerate(keys)}
             out.append((shard, block, one_row(k0=sent.pop("k0")), one_row(**sent)))
         return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.binary()))],
@@ -388,9 +344,7 @@ def _answer(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.table([left.column("block"), left.column("shard"), pa.array(payloads, pa.binary())], names=["block", "shard", "answer"])
 
 
-def _score(n_shards: int, order: int, known: Broadcast | None, out: pa.Schema):
-    across = known is not None
-
+def _score(n_shards: int, order: int, across: bool, out: pa.Schema):
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         docs, n_words, words, codes = _block_tokens(left.column("payload"))
         events, sizes = word_events(words, order)
@@ -398,7 +352,7 @@ def _score(n_shards: int, order: int, known: Broadcast | None, out: pa.Schema):
         keys, (before, word, pair) = _keys(words, grams, n_words, codes, across)
         values = [np.zeros(len(keys[0])), np.zeros(len(keys[1])), np.ones(len(keys[2]))]  # what the model does not hold
         answers = dict(zip(right.column("shard").to_pylist(), right.column("answer"), strict=True))
-        for shard, places in _places(keys, n_shards, known and known.value).items():
+        for shard, places in _places(keys, n_shards).items():
             given = lists(answers[shard].as_buffer())
             for kind, p in places.items():
                 values[kind][p] = given[f"k{kind}"]
@@ -426,33 +380,46 @@ def text_check(lang: Column, text: Column) -> Column:
 
 
 def perplexities(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                 block_bytes: int = SCORED_BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """id, lang, text_key, text_check, n_words, n_events, log_prob (natural) and perplexity of every row."""
+                 block_bytes: int = SCORED_BLOCK_BYTES, shard_bytes: int = SHARD_BYTES, spend_model: bool = False) -> DataFrame:
+    """id, lang, text_key, text_check, n_words, n_events, log_prob (natural) and perplexity of every row.
+
+    With ``spend_model`` the model's word pairs are removed as soon as they are dealt; it serves no second call then.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     total = text_bytes(docs, text_col)
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"),
                        text_key(F.col(lang_col), F.col(text_col)).alias("text_key"), text_check(F.col(lang_col), F.col(text_col)).alias("text_check"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    n_shards = parts_for(total, shard_bytes)
-    known_keys = docs.sparkSession.sparkContext.broadcast(key_filter(model.words)) if model.words is not None else None  # FILTER_BYTES at most
-    blocks = pack_blocks(rows, parts_for(total, block_bytes))
-    requests = materialise(blocks.groupBy("block").applyInArrow(
-        releasing_group(_ask(n_shards, model.order, known_keys)), "shard int, block int, grams binary, pairs binary"), "requests", "none")
-    tables = [requests]
-    asked = requests.select("shard", "grams").groupBy("shard").applyInArrow(releasing_group(_asked), "shard int, gram long")
-    known = gram_probabilities(asked, model).select(F.lit(GRAM).alias("kind"), F.col("gram").alias("key"), "p")
-    known = materialise(known.mapInArrow(releasing(_dealt(n_shards)), "shard int, known binary"), "known-grams", "none")
-    tables.append(known)
-    if model.words is not None:
-        known = known.unionByName(model.words.mapInArrow(releasing(_dealt(n_shards)), "shard int, known binary"))
-    answers = materialise(requests.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(
-        releasing_pair(_answer), "block int, shard int, answer binary"), "answers", "none")
-    discard(*tables)
+    n_shards, n_blocks = parts_for(total, shard_bytes), parts_for(total, block_bytes)
+    across = model.words is not None
+    turns = min(TURNS, n_blocks)
     kinds = StructType([*rows.drop("text").schema.fields, StructField("n_words", LongType()), StructField("n_events", LongType()),
                         StructField("log_prob", DoubleType())])
-    scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        releasing_pair(_score(n_shards, model.order, known_keys, to_arrow_schema(kinds))), kinds)
+    packed = "shard int, known binary"
+    words = materialise(model.words.mapInArrow(releasing(_dealt(n_shards)), packed), "known-words", "none") if across else None
+    if across and spend_model:
+        discard(model.pairs)
+    done = []
+    for turn in range(turns):
+        own = rows.where(F.pmod(F.xxhash64("text_key", "id", F.lit(37)), F.lit(turns)) == turn)
+        blocks = pack_blocks(own, parts_for(n_blocks, turns))
+        requests = materialise(blocks.groupBy("block").applyInArrow(
+            releasing_group(_ask(n_shards, model.order, across)), "shard int, block int, grams binary, pairs binary"), "requests", "none")
+        asked = requests.select("shard", "grams").groupBy("shard").applyInArrow(releasing_group(_asked), "shard int, gram long")
+        known = gram_probabilities(asked, model).select(F.lit(GRAM).alias("kind"), F.col("gram").alias("key"), "p")
+        grams = materialise(known.mapInArrow(releasing(_dealt(n_shards)), packed), "known-grams", "none")
+        answers = materialise(requests.groupBy("shard").cogroup((grams.unionByName(words) if across else grams).groupBy("shard")).applyInArrow(
+            releasing_pair(_answer), "block int, shard int, answer binary"), "answers", "none")
+        discard(requests, grams)
+        scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+            releasing_pair(_score(n_shards, model.order, across, to_arrow_schema(kinds))), kinds)
+        if turn < turns - 1:  # the last turn's scores are worked out by whoever reads them
+            done.append(materialise(scored, "scores"))
+            discard(answers)
+        elif across:
+            discard(words)
+    scored = reduce(DataFrame.unionByName, [*done, scored])
     return scored.withColumn("perplexity", F.when(F.col("n_events") > 0, F.exp(-F.col("log_prob") / F.col("n_events"))))
 
 
@@ -473,7 +440,8 @@ def scored_with_threshold(docs: DataFrame, labels: DataFrame, *, id_col: str = "
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     own = broadcast_when(training, at_most(training, BROADCAST_KEYS))
     model = fit(texts.join(own, "id", "left_semi"), "text", order, across=True)
-    scores = materialise(perplexities(docs, model, id_col=id_col, text_col=text_col, lang_col=lang_col, **sizes), "perplexities")
+    scores = materialise(perplexities(docs, model, id_col=id_col, text_col=text_col, lang_col=lang_col, spend_model=True, **sizes),
+                         "perplexities")
     known = scores.join(left_out, "id", "left_semi").where("perplexity IS NOT NULL")
     cut = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000)) * margin
     everywhere = known.agg(cut).first()[0]

@@ -182,3 +182,30 @@ def test_requests_and_their_shuffles_go_when_they_are_answered(spark):
     scores = perplexities(docs, fit(docs, across=True), block_bytes=60, shard_bytes=90)
     assert "answers" in held() and not held() & {"requests", "known-grams"}
     assert scores.count() == len(TEXTS)
+
+
+def test_documents_are_scored_in_turns_and_no_model_passes_the_driver(spark, monkeypatch):
+    from pathlib import Path
+
+    from pyspark import SparkContext
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from foliospark.session import shared_root
+
+    def refused(*_):
+        raise AssertionError("through the driver")
+
+    monkeypatch.setattr(SparkContext, "broadcast", refused)
+    monkeypatch.setattr(DataFrame, "toArrow", refused)
+    root = Path(shared_root(spark).removeprefix("file://"))
+    old = {f.parent.name for f in root.glob("*/*.parquet")}
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(TEXTS * 3)], "doc_id long, text string, lang string")
+    model = fit(docs, across=True)
+    scores = perplexities(docs, model, block_bytes=60, shard_bytes=90, spend_model=True)
+    held = [f.parent.name[:-33] for f in root.glob("*/*.parquet") if f.parent.name not in old]
+    assert not {"requests", "known-grams", "known-words", "pair-counts"} & set(held)
+    folders = {f.parent.name for f in root.glob("*/*.parquet")} - old
+    assert [sum(f.startswith(kind) for f in folders) for kind in ("scores-", "answers-")] == [3, 1]  # of the last turn only
+    found = {r.id: r.log_prob for r in scores.collect()}
+    whole = {r.id: r.log_prob for r in perplexities(docs, fit(docs, across=True)).collect()}  # one turn
+    assert len(found) == len(TEXTS) * 3 and all(math.isclose(found[i], whole[i], rel_tol=1e-9) for i in whole)
