@@ -50,7 +50,7 @@ MARGIN = 1.1
 SCORED_BLOCK_BYTES = BLOCK_BYTES // 4  # a block also holds its words' n-grams and pairs, about 25 bytes a byte of text
 SHARD_BYTES = 32 << 20
 BROADCAST_KEYS = 200_000  # of at most 16 bytes
-TURNS = 4  # parts of the documents that are scored one after another
+TURNS = 5  # parts of the documents that are scored one after another
 KEY_BITS = (1 << 48) - 1
 SYMBOLS = 256
 GRAM, PAIR, CONTEXT = 0, 1, 2  # kinds of keys

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from foliospark.llm.kneser_ney import (SYMBOLS, classified, discounts, fit, gram_probabilities, perplexities, scored_with_threshold,
+from foliospark.llm.kneser_ney import (SYMBOLS, TURNS, classified, discounts, fit, gram_probabilities, perplexities, scored_with_threshold,
                                        trusted_split, word_events)
 from foliospark.llm.queries_models import op9
 
@@ -205,7 +205,7 @@ def test_documents_are_scored_in_turns_and_no_model_passes_the_driver(spark, mon
     held = [f.parent.name[:-33] for f in root.glob("*/*.parquet") if f.parent.name not in old]
     assert not {"requests", "known-grams", "known-words", "pair-counts"} & set(held)
     folders = {f.parent.name for f in root.glob("*/*.parquet")} - old
-    assert [sum(f.startswith(kind) for f in folders) for kind in ("scores-", "answers-")] == [3, 1]  # of the last turn only
+    assert [sum(f.startswith(kind) for f in folders) for kind in ("scores-", "answers-")] == [TURNS - 1, 1]  # of the last turn only
     found = {r.id: r.log_prob for r in scores.collect()}
     whole = {r.id: r.log_prob for r in perplexities(docs, fit(docs, across=True)).collect()}  # one turn
     assert len(found) == len(TEXTS) * 3 and all(math.isclose(found[i], whole[i], rel_tol=1e-9) for i in whole)
